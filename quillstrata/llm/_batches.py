@@ -30,6 +30,11 @@ def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def encoded(batch: pa.RecordBatch, column: str) -> list[bytes]:
+    """The column's values in UTF-8; null counts as empty."""
+    return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
 def map_texts(df: DataFrame, column: str, schema: T.StructType, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """df in slices through build()(slice); build runs once a task, on the executor."""
 

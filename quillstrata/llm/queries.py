@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import quality_classifier
+from . import language_id, media, quality_classifier, quality_rules
 from ._batches import crc_of_id
 
 
@@ -18,7 +18,24 @@ def op2_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).select("doc_id", F.coalesce(crc_of_id() % 3 == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_language_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs)).select("doc_id", F.coalesce(crc_of_id() % 5 == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs))
+
+
+def op3_media_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.text_tiles(table(spark, sf_dir, "documents"), keep_tile=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_compression": op2_quality_compression,
+    "op3_media_tiles": op3_media_tiles,
+    "op4_language_cross_parsing": op4_language_cross_parsing,
+    "op7_quality_divergence": op7_quality_divergence,
 }
 ORACLES: dict[str, str] = {}
