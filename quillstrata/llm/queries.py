@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language_id, media, quality_classifier, quality_rules
+from . import language_id, media, quality_classifier, quality_rules, sentencepiece_bpe
 from ._batches import crc_of_id
 
 
@@ -32,10 +33,15 @@ def op3_media_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_tiles(table(spark, sf_dir, "documents"), keep_tile=False)
 
 
+def op10_sentencepiece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_compression": op2_quality_compression,
     "op3_media_tiles": op3_media_tiles,
     "op4_language_cross_parsing": op4_language_cross_parsing,
     "op7_quality_divergence": op7_quality_divergence,
+    "op10_sentencepiece_rounds": op10_sentencepiece_rounds,
 }
 ORACLES: dict[str, str] = {}
