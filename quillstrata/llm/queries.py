@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language_id, media, quality_classifier, quality_rules, sentencepiece_bpe
+from . import language_id, media, packing, quality_classifier, quality_rules, sentencepiece_bpe
 from ._batches import crc_of_id
 
 
@@ -33,6 +33,10 @@ def op3_media_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_tiles(table(spark, sf_dir, "documents"), keep_tile=False)
 
 
+def op8_packing_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_sentencepiece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_media_tiles": op3_media_tiles,
     "op4_language_cross_parsing": op4_language_cross_parsing,
     "op7_quality_divergence": op7_quality_divergence,
+    "op8_packing_differencing": op8_packing_differencing,
     "op10_sentencepiece_rounds": op10_sentencepiece_rounds,
 }
 ORACLES: dict[str, str] = {}
