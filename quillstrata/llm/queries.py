@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language_id, media, packing, quality_classifier, quality_rules, sentencepiece_bpe
-from ._batches import crc_of_id
+from . import language_id, media, packing, pii, quality_classifier, quality_rules, sentencepiece_bpe
+from ._batches import crc_of_id, texts_of
 
 
 def op2_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,14 @@ def op3_media_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_tiles(table(spark, sf_dir, "documents"), keep_tile=False)
 
 
+#: The key of the surrogates in these queries; a real run passes a secret of its own.
+PII_KEY = "quillstrata"
+
+
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(texts_of(table(spark, sf_dir, "documents")), PII_KEY).select("doc_id", "text", F.size("_pii").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct("_pii")), ",").alias("kinds"))
+
+
 def op8_packing_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -45,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_compression": op2_quality_compression,
     "op3_media_tiles": op3_media_tiles,
     "op4_language_cross_parsing": op4_language_cross_parsing,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op7_quality_divergence": op7_quality_divergence,
     "op8_packing_differencing": op8_packing_differencing,
     "op10_sentencepiece_rounds": op10_sentencepiece_rounds,
