@@ -6,12 +6,13 @@
    Which shingles are in it changes how much is compared, never what is found.
 3. A set of n tokens misses at most d = n // 10 tokens of one that it links with, so that the d + 1 first tokens of both
    share one. If these are all rare, each is a key. Else the rare ones are keys, and the prefix is extended: with at most
-   a tokens of x missing in y and b of y in x, the first a + b + 2 common tokens leave a pair of them side by side in
-   both; so all combinations of two tokens that are side by side in the first 2a + b + 2 tokens are keys.
+   a tokens of x missing in y and b of y in x, k of the first (k - 1)(a + b) + k common tokens are side by side in both;
+   so all combinations of k = COMBINED tokens side by side in the first ka + (k - 1)b + k tokens are keys (b is taken
+   one higher, as a may be less than d).
 4. Classes that share a key of at most BUCKET classes are compared with each other. In a larger bucket, all are
    compared with one leader; only what isn't yet in one component goes on to further leaders, of which each round
-   takes twice as many, so that every pair not yet connected is compared at last.
-5. A pair is dropped if the sizes, or counts of tokens in 64 bins, rule it out; the rest is verified on the whole sets.
+   takes sixteen times as many, so that every pair not yet connected is compared at last.
+5. A pair is dropped if the sizes, the rare tokens that they don't share, or counts of tokens in 64 bins, rule it out; the rest is verified on the whole sets.
 6. Components of the links (components.py).
 
 Defined cases: null and empty texts, and those without words, have no shingles and are linked with nothing; texts with
@@ -35,7 +36,7 @@ from ..sources.shared import stored
 from ._batches import encoded, map_texts, slices, texts_of
 from .components import components
 
-FREQUENT_FROM, FREQUENT_MOST, BUCKET = 32, 1_000_000, 32
+FREQUENT_FROM, FREQUENT_MOST, BUCKET, COMBINED = 32, 1_000_000, 32, 4
 BINS, COUNT_TOKENS, BLOOM_BITS = 64, 2_000_000, 26
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _L, _B = T.LongType(), T.BinaryType()
@@ -109,17 +110,24 @@ class Frequent:
         return out
 
 
-def keys_of(tokens: np.ndarray, frequent: np.ndarray, share: int) -> np.ndarray:
-    """The keys of a set; share: percents of similarity that link. tokens ascend, frequent tells the class of each."""
+def keys_of(tokens: np.ndarray, frequent: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a set, and with each the number of rare tokens if it is a combination, else 0.
+
+    share: percents of similarity that link. tokens ascend, frequent tells the class of each.
+    """
     n = len(tokens)
     d = n - -(-share * n // 100)
     rare = tokens[~frequent]
     single = mix(rare[: d + 1])
-    if len(rare) > d or n < 2:
-        return single if n > 1 or not len(tokens) else mix(tokens)
-    b = 100 * (n - d) // share - n
-    order = np.concatenate([rare, tokens[frequent]])[: 2 * d + max(0, b) + 2]
-    return np.concatenate([single, mix(order[:-1] * _M1 + mix(order[1:] + _M2))])
+    if len(rare) > d:
+        return single, np.zeros(len(single), np.int64)
+    b = max(0, 100 * (n - d) // share - n)
+    k = min(COMBINED, n)
+    order = np.concatenate([rare, tokens[frequent]])[: k * d + (k - 1) * (b + 1) + k]
+    key = order[: len(order) - k + 1]
+    for j in range(1, k):
+        key = mix(key * _M1 + mix(order[j : len(order) - k + 1 + j] + _M2))
+    return np.concatenate([single, key]), np.repeat([0, len(rare)], [len(single), len(key)])
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
@@ -193,8 +201,8 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, size: int, share: int, names: np.ndarray) -> DataFrame:
-    """key, v and n: the keys of every document's class."""
-    schema = T.StructType([T.StructField("key", _L), T.StructField("v", _L), T.StructField("n", _L)])
+    """key, v, n and r (see keys_of): the keys of every document's class."""
+    schema = T.StructType([T.StructField("key", _L), T.StructField("v", _L), T.StructField("n", _L), T.StructField("r", _L)])
     held = docs.sparkSession.sparkContext.broadcast(names)
 
     def build():
@@ -205,8 +213,8 @@ def _entries(docs: DataFrame, size: int, share: int, names: np.ndarray) -> DataF
             flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
             marks = np.split(frequent(flat), np.cumsum([len(s) for s in found])[:-1]) if found else []
             keys = [keys_of(s, m, share) for s, m in zip(found, marks, strict=True)]
-            sizes = [len(k) for k in keys]
-            columns = [np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64), np.repeat(np.array([class_of(s) for s in found], np.int64), sizes), np.repeat(np.array([len(s) for s in found], np.int64), sizes)]
+            sizes = [len(k) for k, _ in keys]
+            columns = [np.concatenate([k for k, _ in keys]).view(np.int64) if keys else np.zeros(0, np.int64), np.repeat(np.array([class_of(s) for s in found], np.int64), sizes), np.repeat(np.array([len(s) for s in found], np.int64), sizes), np.concatenate([r for _, r in keys]) if keys else np.zeros(0, np.int64)]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=schema.names)
 
         return apply
@@ -228,6 +236,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
     near = stored(near.select("a", "b", "x", "y", "na", "nb").mapInArrow(rule_out, "a long, b long"))
+    if near.isEmpty():
+        return near
     # one bit for each class that is in a pair: a filter of fixed size, whose false hits do no harm
     wanted = near.select(F.col("a").alias("v")).union(near.select(F.col("b").alias("v"))).distinct()
     bit = lambda v: F.expr(f"shiftrightunsigned({v}, {64 - BLOOM_BITS})")
@@ -271,11 +281,15 @@ def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFra
     """Links a, b of classes that connect all that is connected. classes: v, n and bins."""
     total = classes.agg(F.sum("n")).first()[0] or 0
     entries = stored(_entries(docs, size, share, frequent_names(docs, size, total)))
-    shared = entries.groupBy("key").agg(F.count("*").alias("held"), F.min("v").alias("_a"), F.max("v").alias("_b")).where("_a <> _b").select("key", "held")
+    shared = entries.groupBy("key").agg(F.min("v").alias("_a"), F.max("v").alias("_b")).where("_a <> _b").select("key")
     multi = stored(entries.join(shared, "key").distinct())
+    multi = stored(multi.join(multi.groupBy("key").agg(F.count("*").alias("held")), "key"))
     cold, hot = multi.where(F.col("held") <= BUCKET), multi.where(F.col("held") > BUCKET)
-    fits = 100 * F.least("na", "nb") >= share * F.greatest("na", "nb")
-    left, right = (lambda d: d.select("key", F.col("v").alias("a"), F.col("n").alias("na"))), (lambda d: d.select("key", F.col("v").alias("b"), F.col("n").alias("nb")))
+    # a class with combinations has all its rare tokens among its keys: two that link either share one, and are compared for that, or have all others in common at most
+    common = F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
+    fits = 100 * common >= share * (F.col("na") + F.col("nb") - common)
+    left = lambda d, *more: d.select("key", F.col("v").alias("a"), *[F.col(c).alias(f"{c}a") for c in ("n", "r", *more)])
+    right = lambda d, *more: d.select("key", F.col("v").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("n", "r", *more)])
     pairs = left(cold).join(right(cold), "key").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
     found = _verified(docs, pairs, classes, size, share)
     if hot.isEmpty():
@@ -284,32 +298,27 @@ def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFra
     degree = hot.groupBy("v").agg(F.count("*").alias("_degree"))
     hot = stored(hot.join(degree, "v"))
     leaders = hot.groupBy("key").agg(F.max_by("v", F.struct("_degree", "v")).alias("a"))
-    tested, share_of_leaders = None, 1
+    tested, taken = None, 1
     largest = hot.agg(F.max("held")).first()[0]
     while True:
         linked = components(found)
         marked = hot.join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
         open_ = marked.groupBy("key").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b").select("key")
-        open_entries = stored(marked.join(open_, "key"))
-        if open_entries.isEmpty():
+        entries = stored(marked.join(open_, "key"))
+        if entries.isEmpty():
             return found
         if tested is None:
-            lead = open_entries.join(leaders, "key").where("v = a").select("key", "a", F.col("n").alias("na"), F.col("c").alias("ca"))
+            lead = entries.join(leaders, "key").where("v = a").drop("a")
         else:
-            lead = open_entries.where(F.pmod(F.xxhash64("key", "v"), F.lit(1 << 30)) * F.col("held") < F.lit(share_of_leaders) * (1 << 30)).select("key", F.col("v").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-        to = lead.join(open_entries.select("key", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb")), "key").where((F.col("ca") != F.col("cb")) & fits)
+            lead = entries.where(F.pmod(F.xxhash64("key", "v"), F.lit(1 << 30)) * F.col("held") < F.lit(taken * (1 << 30)).cast("long"))
+        to = left(lead, "c").join(right(entries, "c"), "key").where((F.col("ca") != F.col("cb")) & fits)
         pairs = to.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        if tested is not None and share_of_leaders >= largest and pairs.isEmpty():
-            return found
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.union(pairs)
-        more = _verified(docs, pairs, classes, size, share)
-        found = stored(found.union(more).distinct())
-        if share_of_leaders >= 2 * largest:
+        found = stored(found.union(_verified(docs, pairs, classes, size, share)).distinct())
+        if taken >= largest:
             return found
-        share_of_leaders *= 4
+        taken *= 16
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:

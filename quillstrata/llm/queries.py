@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language_id, media, packing, pii, quality_classifier, quality_rules, sentencepiece_bpe
+from . import language_id, media, ngram_jaccard, packing, pii, quality_classifier, quality_rules, sentencepiece_bpe
 from ._batches import crc_of_id, texts_of
 
 
@@ -24,6 +24,10 @@ def op4_language_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs)).select("doc_id", F.coalesce(crc_of_id() % 5 == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.near_duplicates(table(spark, sf_dir, "documents"), size=3, share=90)
+
+
 def op7_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs))
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_media_tiles": op3_media_tiles,
     "op4_language_cross_parsing": op4_language_cross_parsing,
     "op5_pii_surrogates": op5_pii_surrogates,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_quality_divergence": op7_quality_divergence,
     "op8_packing_differencing": op8_packing_differencing,
     "op10_sentencepiece_rounds": op10_sentencepiece_rounds,
