@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language_id, media, ngram_jaccard, packing, pii, quality_classifier, quality_rules, sentencepiece_bpe
+from . import chat, language_id, media, ngram_jaccard, packing, pii, quality_classifier, quality_rules, sentencepiece_bpe, site_style
 from ._batches import crc_of_id, texts_of
 
 
+def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op2_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_classifier.fit(docs, quality_classifier.learnable(table(spark, sf_dir, "labels")))
@@ -49,11 +53,16 @@ def op8_packing_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_site_style_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_sentencepiece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_repair": op1_chat_repair,
     "op2_quality_compression": op2_quality_compression,
     "op3_media_tiles": op3_media_tiles,
     "op4_language_cross_parsing": op4_language_cross_parsing,
@@ -61,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_quality_divergence": op7_quality_divergence,
     "op8_packing_differencing": op8_packing_differencing,
+    "op9_site_style_text": op9_site_style_text,
     "op10_sentencepiece_rounds": op10_sentencepiece_rounds,
 }
 ORACLES: dict[str, str] = {}
