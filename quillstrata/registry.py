@@ -1,20 +1,15 @@
-"""All queries of the reference's operators, by name, with their SQL."""
+"""All queries of the engine's operators, by name, with their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .sources.tables import table
+from .plans import text
+from .plans.base import ORACLES, QUERIES
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "flagship", "text"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that two documents or more share: how many times, and in how many documents."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line")).where(F.length("line") > 0)
-    groups = lines.groupBy(F.sha1("line").alias("line_sha1")).agg(F.count("*").alias("n_lines"), F.count_distinct("doc_id").alias("n_docs"))
-    return groups.where("n_docs >= 2")
+    """Groups of repeated paragraphs: digits masked, in two documents or more."""
+    return QUERIES["txt24_hashes"](spark, sf_dir)
