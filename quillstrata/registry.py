@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import filters, text
+from .plans import filters, relations, text
 from .plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "filters", "flagship", "text"]
+__all__ = ["ORACLES", "QUERIES", "filters", "flagship", "relations", "text"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
