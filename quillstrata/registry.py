@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import filters, measures, relations, text
+from .plans import files, filters, measures, relations, text
 from .plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "filters", "flagship", "measures", "relations", "text"]
+__all__ = ["ORACLES", "QUERIES", "files", "filters", "flagship", "measures", "relations", "text"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
