@@ -26,6 +26,12 @@ def written(t, df: DataFrame, compressed: bool = False) -> str:
     return path
 
 
+def dumped(pages: DataFrame, path: str) -> None:
+    """A dump of pages (id, page) in a few XML files of one root each."""
+    files = pages.groupBy(F.pmod("id", F.lit(64)).alias("f")).agg(F.array_join(F.collect_list("page"), "\n").alias("p"))
+    files.select(F.concat(F.lit("<dump>\n"), "p", F.lit("\n</dump>")).alias("value")).withColumn("f", F.monotonically_increasing_id()).write.partitionBy("f").text(path)
+
+
 _DOC = "SELECT doc_id, lang, source, n_chars FROM documents"
 
 
@@ -72,7 +78,7 @@ def src6(t):
     path = place(t)
     esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     page = F.concat(F.lit("<page><title>"), esc("url"), F.lit("</title><ns>0</ns><id>"), F.col("page_id").cast("string"), F.lit("</id>"), F.when(F.col("page_id") % 10 == 0, '<redirect title="x"/>').otherwise(""), F.lit("<revision><id>1</id><timestamp>2026</timestamp><text>t</text></revision></page>"))
-    t.pages.select(page.alias("value")).write.text(path)
+    dumped(t.pages.select(F.col("page_id").alias("id"), page.alias("page")), path)
     return R.read_pages_xml(t.spark, path).select("id", "title")
 
 
@@ -81,8 +87,8 @@ def src7(t):
     path = place(t)
     who = F.when(F.col("role") == "system", '<contributor deleted="deleted"/>').when(F.col("role") == "user", "<contributor><ip>10.0.0.1</ip></contributor>").otherwise(F.concat(F.lit("<contributor><username>"), "role", F.lit("</username><id>7</id></contributor>")))
     rev = F.concat(F.lit("<revision><id>"), F.col("turn").cast("string"), F.lit("</id><timestamp>2026</timestamp>"), who, F.lit('<text bytes="5"/></revision>'))
-    pages = t.conversations.groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list(rev)), "").alias("r")).select(F.concat(F.lit("<page><id>"), F.col("conv_id").cast("string"), F.lit("</id>"), "r", F.lit("</page>")).alias("value"))
-    pages.write.text(path)
+    pages = t.conversations.groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list(rev)), "").alias("r")).select(F.col("conv_id").alias("id"), F.concat(F.lit("<page><id>"), F.col("conv_id").cast("string"), F.lit("</id>"), "r", F.lit("</page>")).alias("page"))
+    dumped(pages, path)
     return R.read_history_xml(t.spark, path).select("page", "rev", "user")
 
 
