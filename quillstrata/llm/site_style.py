@@ -24,9 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import stored
 from ._batches import slices, strings
 
 LEAST_IMPORTANCE, LEAST_PAGES, MAX_DEPTH = 0.3, 4, 12
+#: Paths to cut that may be broadcast, and the places that a host's pages are dealt to if there are more.
+BROADCAST_PATHS, SALTS = 20_000, 64
 
 # Tags by what they do to text.
 DROPPED = frozenset("head script style noscript template iframe object embed svg math canvas audio video map nav footer aside form button select textarea input label fieldset dialog menu datalist".split())
@@ -219,4 +222,10 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts = ["\n".join(Page(html).texts(set(paths or ()))) for html, paths in zip(strings(part, "html"), part.column("low").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
-    return own.join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(read, schema)
+    low = stored(low)
+    if (low.agg(F.sum(F.size("low"))).first()[0] or 0) <= BROADCAST_PATHS:
+        joined = own.join(F.broadcast(low), "host", "left")
+    else:  # a host may have a third of all pages: its row is dealt to SALTS places
+        salted = low.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = own.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "_salt"], "left")
+    return joined.select("page_id", "url", "html", "low").mapInArrow(read, schema)
