@@ -18,10 +18,14 @@ conv_id are one conversation; a conversation of system turns alone gets an empty
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.shared import stored
 
@@ -96,95 +100,120 @@ def trace(roles: list[int | None], entry: int, exit_: int) -> list[tuple[str, in
     return out
 
 
-_NODE = "key string, place long, parent long, matrix array<long>"
+@lru_cache(maxsize=65536)
+def matrix_of(roles: tuple[int | None, ...]) -> tuple[int, ...]:
+    """The costs of a stretch from each state to each, row by row."""
+    total = MATRICES[roles[0]]
+    for role in roles[1:]:
+        total = times(total, MATRICES[role])
+    return tuple(total.ravel().tolist())
 
 
-def _up(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("place")
-    total = None
-    for m in group["matrix"]:
-        m = np.array(m, np.int64).reshape(4, 4)
-        total = m if total is None else times(total, m)
-    place = int(group["parent"].iloc[0])
-    return pd.DataFrame({"key": [group["key"].iloc[0]], "place": [place], "parent": [place // STRETCH], "matrix": [total.ravel().tolist()]})
+@lru_cache(maxsize=65536)
+def traced(roles: tuple[int | None, ...], entry: int, exit_: int) -> tuple:
+    return tuple(trace(list(roles), entry, exit_))
 
 
-def _leaf(group: pd.DataFrame) -> pd.DataFrame:
-    total = None
-    for role in group.sort_values(["turn", "role", "text"], na_position="last", kind="stable")["role"]:
-        m = MATRICES[role_of(role)]
-        total = m if total is None else times(total, m)
-    place = int(group["place"].iloc[0])
-    return pd.DataFrame({"key": [group["key"].iloc[0]], "place": [place], "parent": [place // STRETCH], "matrix": [total.ravel().tolist()]})
-
-
-def _down(group: pd.DataFrame) -> pd.DataFrame:
-    """States at the ends of each child, on the best way between those of the parent."""
-    group = group.sort_values("place")
-    parts = [np.array(m, np.int64).reshape(4, 4) for m in group["matrix"]]
-    entry, exit_ = int(group["entry"].iloc[0]), int(group["exit"].iloc[0])
+def states_of(matrices: list, entry: int, exit_: int) -> list[tuple[int, int]]:
+    """States at the ends of each part, on the best way between those of the whole."""
+    parts = [np.array(m, np.int64).reshape(4, 4) for m in matrices]
     best = np.full((len(parts) + 1, 4), FAR, np.int64)
     best[-1, exit_] = 0
     for i in range(len(parts) - 1, -1, -1):
         best[i] = np.minimum((parts[i] + best[i + 1][None, :]).min(1), FAR)
-    entries, exits, state = [], [], entry
+    out, state = [], entry
     for i, m in enumerate(parts):
-        entries.append(state)
-        state = int(np.argmin(m[state] + best[i + 1]))
-        exits.append(state)
-    last = [False] * (len(parts) - 1) + [bool(group["last"].iloc[0])]
-    return pd.DataFrame({"key": group["key"], "place": group["place"], "entry": entries, "exit": exits, "last": last, "cost": group["cost"]})
+        before, state = state, int(np.argmin(m[state] + best[i + 1]))
+        out.append((before, state))
+    return out
+
+
+def pieces_of(roles: tuple, texts: list[str], entry: int, exit_: int, last: bool) -> tuple[tuple, list[str]]:
+    """The way of a stretch, and its rendered pieces."""
+    way, begun, pieces = traced(roles, entry, exit_), entry != START, []
+    for (option, new, inserted), text in zip(way, texts, strict=True):
+        if option == "merge":
+            pieces.append("\n" + text)
+            continue
+        front = "<|end|>\n" if begun else ""
+        if inserted is not None:
+            front += f"<|{ROLES[inserted]}|>\n<|end|>\n"
+        pieces.append(f"{front}<|{ROLES[new]}|>\n{text}")
+        begun = True
+    if last:
+        pieces[-1] += "<|end|>\n" + ("<|user|>\n<|end|>\n" if exit_ == 1 else "")
+    return way, pieces
+
 
+def _rowwise(df: DataFrame, schema: str, of: Callable[[dict], Iterable[tuple]]) -> DataFrame:
+    """The rows that each row becomes, batch by batch."""
+    kinds = T._parse_datatype_string(schema)
+    arrow = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<bigint>": pa.list_(pa.int64())}
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(zip(*[x for r in batch.to_pylist() for x in of(r)], strict=True)) or [[] for _ in kinds.fields]
+            yield pa.RecordBatch.from_arrays([pa.array(c, arrow[f.dataType.simpleString()]) for c, f in zip(columns, kinds.fields, strict=True)], names=kinds.names)
+
+    return df.mapInArrow(run, kinds)
+
+
+_NODE = "key string, place long, matrix array<long>"
 _STATES = "key string, place long, entry int, exit int, last boolean, cost long"
+_ROWS = "conv_id long, turn long, stretch long, at long, role string, new_role string, option string, inserted string, cost long, rendered string"
 
 
-def _root(group: pd.DataFrame) -> pd.DataFrame:
+def _product(row: dict) -> Iterable[tuple]:
+    total = None
+    for part in row["parts"]:
+        m = np.array(part["matrix"], np.int64).reshape(4, 4)
+        total = m if total is None else times(total, m)
+    yield row["key"], row["parent"], total.ravel().tolist()
+
+
+def _root(row: dict) -> Iterable[tuple]:
     """The at most two stretches below a conversation: that of negative numbers and that of the others."""
     total = np.array([0, FAR, FAR, FAR], np.int64)
-    for m in group.sort_values("place")["matrix"]:
-        total = np.minimum((total[:, None] + np.array(m, np.int64).reshape(4, 4)).min(0), FAR)
+    for part in row["parts"]:
+        total = np.minimum((total[:, None] + np.array(part["matrix"], np.int64).reshape(4, 4)).min(0), FAR)
     total = total + [ending(s) for s in range(4)]
     end = int(np.argmin(total))
-    return _down(group.assign(entry=START, exit=end, last=True, cost=int(total[end])))
+    yield from _children(row | {"entry": START, "exit": end, "last": True, "cost": int(total[end])})
 
 
-def _traced(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(["turn", "role", "text"], na_position="last", kind="stable").reset_index(drop=True)
-    entry, exit_, last = int(group["entry"].iloc[0]), int(group["exit"].iloc[0]), bool(group["last"].iloc[0])
-    way = trace([role_of(r) for r in group["role"]], entry, exit_)
-    begun, pieces = entry != START, []
-    for (_option, new, inserted), text in zip(way, group["text"], strict=True):
-        text = text or ""
-        if _option == "merge":
-            pieces.append("\n" + text)
-            continue
-        piece = "<|end|>\n" if begun else ""
-        if inserted is not None:
-            piece += f"<|{ROLES[inserted]}|>\n<|end|>\n"
-        pieces.append(f"{piece}<|{ROLES[new]}|>\n{text}")
-        begun = True
-    if last:
-        pieces[-1] += "<|end|>\n" + ("<|user|>\n<|end|>\n" if exit_ == 1 else "")
-    return pd.DataFrame({"conv_id": group["conv_id"], "turn": group["turn"], "stretch": group["place"], "at": range(len(group)), "role": group["role"], "new_role": [ROLES[w[1]] for w in way], "option": [w[0] for w in way], "inserted": [ROLES[w[2]] if w[2] is not None else None for w in way], "cost": group["cost"], "rendered": pieces})
+def _children(row: dict) -> Iterable[tuple]:
+    parts = row["parts"]
+    for k, (part, (a, b)) in enumerate(zip(parts, states_of([p["matrix"] for p in parts], row["entry"], row["exit"]), strict=True)):
+        yield row["key"], part["place"], a, b, row["last"] and k == len(parts) - 1, row["cost"]
 
 
-_ROWS = "conv_id long, turn long, stretch long, at long, role string, new_role string, option string, inserted string, cost long, rendered string"
+def _turns(row: dict) -> Iterable[tuple]:
+    items = row["items"]
+    way, pieces = pieces_of(tuple(role_of(x["role"]) for x in items), [x["text"] or "" for x in items], row["entry"], row["exit"], row["last"])
+    for k, (x, (option, new, inserted), piece) in enumerate(zip(items, way, pieces, strict=True)):
+        yield row["conv_id"], x["turn"], row["place"], k, x["role"], ROLES[new], option, ROLES[inserted] if inserted is not None else None, row["cost"], piece
+
+
+def _gathered(level: DataFrame, *keys: str) -> DataFrame:
+    """The parts below each node, STRETCH of them at most, in order."""
+    return level.withColumn("parent", F.floor(F.col("place") / STRETCH).cast("long")).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("place", "matrix"))).alias("parts"))
 
 
 def repair(conversations: DataFrame) -> DataFrame:
     """Every turn with its new role, the option taken, the role of an empty turn put in front, the conversation's cost and its rendered piece.
 
-    Order within a conversation: stretch, then at.
+    Order within a conversation: stretch, then at. Rows are gathered for STRETCH turn numbers at a time.
     """
     own = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
     last = (1 << 62) // STRETCH
     turns = own.withColumn("key", F.coalesce(F.col("conv_id").cast("string"), F.lit("none"))).withColumn("place", F.coalesce(F.floor(F.col("turn") / STRETCH).cast("long"), F.lit(last)))
-    levels = [stored(turns.select("key", "place", "turn", "role", "text").groupBy("key", "place").applyInPandas(_leaf, _NODE))]
+    stretches = stored(turns.groupBy("key", "place").agg(F.min("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("items")))
+    leaf = lambda r: [(r["key"], r["place"], list(matrix_of(tuple(map(role_of, r["roles"])))))]
+    levels = [stored(_rowwise(stretches.select("key", "place", F.col("items.role").alias("roles")), _NODE, leaf))]
     while levels[-1].where("place not in (-1, 0)").limit(1).count():
-        levels.append(stored(levels[-1].groupBy("key", "parent").applyInPandas(lambda g: _up(g), _NODE)))
-    states = levels[-1].groupBy("key").applyInPandas(_root, _STATES)
+        levels.append(stored(_rowwise(_gathered(levels[-1], "key", "parent"), _NODE, _product)))
+    states = _rowwise(_gathered(levels[-1], "key"), _STATES, _root)
     for level in reversed(levels[:-1]):
         above = states.withColumnRenamed("place", "parent")
-        states = level.join(above, ["key", "parent"]).groupBy("key", "parent").applyInPandas(lambda g: _down(g), _STATES)
-    return turns.join(states, ["key", "place"]).groupBy("key", "place").applyInPandas(_traced, _ROWS)
+        states = _rowwise(_gathered(level, "key", "parent").join(above, ["key", "parent"]), _STATES, _children)
+    return _rowwise(stretches.join(states, ["key", "place"]), _ROWS, _turns)
