@@ -14,8 +14,10 @@ a worker, then forgotten: a bound on memory, not on what is packed.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import os
+import re
 import zlib
 
 import numpy as np
@@ -30,7 +32,11 @@ from ._batches import encoded, map_texts, texts_of
 
 CAPACITY, END_ID = 4096, 2
 GROUP_WINDOWS, FILLER_EVERY, FILLERS, LEAST_FILLED = 512, 4, (64, 32, 16, 8, 4, 2, 1, 1), 256
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_200_000
+_MARKS = b".,;:!?*$%&#"
+#: A last letter that stays one letter under the model's normal form and lower case: A-Z, and U+00C0 to U+00FF without two signs.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_LETTER_LAST = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
 _PIECES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType())])
 _PACKED = T.StructType([*_PIECES.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
@@ -45,6 +51,15 @@ def partition(sizes: list[int], windows: int) -> tuple[np.ndarray, np.ndarray]:
     while len(heap) > 1:
         a, b = (parts.pop(heapq.heappop(heap)[1]) for _ in range(2))
         (sums, nodes), (less, fewer) = (a, b) if len(a[0]) >= len(b[0]) else (b, a)
+        if len(less) == 1 and len(sums) == windows:  # the smallest part grows and moves up
+            at = int(np.searchsorted(-sums[:-1], -(grown := sums[-1] + less[0]), side="right"))
+            pairs.append((int(nodes[-1]), int(fewer[0])))
+            sums[at + 1 :], nodes[at + 1 :] = sums[at:-1].copy(), nodes[at:-1].copy()
+            sums[at], nodes[at] = grown, n + len(pairs) - 1
+            parts[name] = (sums, nodes)
+            heapq.heappush(heap, (-int(sums[0] - sums[-1]), name))
+            name += 1
+            continue
         if len(sums) + len(less) <= windows:
             sums, nodes = np.concatenate([sums, less]), np.concatenate([nodes, fewer])
         else:
@@ -91,7 +106,11 @@ def cuts_of(n: int, filler: bool, capacity: int = CAPACITY) -> list[int]:
 
 
 class Tokenizer:
-    """Ids of texts as little-endian unsigned 32-bit integers. White space parts words, each encoded once by the library."""
+    """Ids of texts as little-endian unsigned 32-bit integers. White space parts words, each encoded once by the library.
+
+    The model lower-cases and never joins letters with marks: A-Z is folded first (unless a special token could be in the
+    text), and the marks at a word's end are encoded apart from it.
+    """
 
     def __init__(self, path: str, kept: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -99,19 +118,55 @@ class Tokenizer:
 
         self.library, self.kept = Library.from_file(path), kept
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Words of letters alone go in one text each thousand: the model marks where a word ends. The others go one by one."""
+        letters = [w for w in words if _LETTERS.fullmatch(w)]
+        others = [w for w in words if not _LETTERS.fullmatch(w)]
+        for at in range(0, len(letters), 1000):
+            part = letters[at : at + 1000]
+            ids = np.array(self.library.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(part):
+                others += part
+                continue
+            flat, start = ids.tobytes(), 0
+            for w, end in zip(part, ends, strict=True):
+                self.known[w] = flat[start:end]
+                start = end
+        for at in range(0, len(others), 20_000):
+            part = others[at : at + 20_000]
+            for w, found in zip(part, self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
+                self.known[w] = np.array(found.ids, "<u4").tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, ends, whole = self.known, [], set()
+        for w in words:
+            stem = w.rstrip(_MARKS)
+            if stem and len(stem) < len(w) and _LETTER_LAST.search(stem):
+                ends.append((w, stem))
+                whole.add(stem)
+                whole.add(w[len(stem) :])
+            else:
+                whole.add(w)
+        self._encode([w for w in whole if w not in known])
+        for w, stem in ends:
+            known[w] = known[stem] + known[w[len(stem) :]]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        words = dict.fromkeys(w for ws in split for w in ws)
-        missing = [w for w in words if w not in self.known]
-        if len(self.known) + len(missing) > self.kept:
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        if len(self.known) > self.kept:
             self.known.clear()
-            missing = list(words)
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            for w, found in zip(part, self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join([self.known[w] for w in ws]) for ws in split]
+        gc.disable()  # nothing here is cyclic, and a collection would walk all words
+        try:
+            if missing := set().union(*split).difference(self.known):
+                self._learn(missing)
+            return [b"".join(map(self.known.__getitem__, ws)) for ws in split]
+        finally:
+            gc.enable()
 
 
 _tokenizers: dict[str, Tokenizer] = {}
