@@ -107,7 +107,7 @@ class Parser:
             tables.append(_dense(step, base))
             self.starts.append(base)
             base += tables[-1].size
-        self.table = np.concatenate(tables).astype(np.int32 if 4 * base < 2**31 else np.int64)
+        self.table = np.concatenate([np.zeros(0, np.int64), *tables]).astype(np.int32 if 4 * base < 2**31 else np.int64)
         self.bits = np.array([np.log2(max(2, len(text))) for _, text in model.texts])
 
     @staticmethod

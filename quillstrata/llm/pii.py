@@ -7,7 +7,8 @@ that all its mentions in all documents change alike (coreference), whatever thei
   original's punctuation; a number with a valid Luhn digit gets a valid one.
 - IP addresses: a keyed permutation of their 32 bits.
 - e-mail addresses, secrets, hexadecimal digests, account codes: keyed letters for letters (in their case and script),
-  keyed digits for digits; mail domains become names below the reserved example.org.
+  keyed digits for digits; mail domains become names below the reserved example.org, and a name that still collides at
+  the fourth attempt (short names have few forms) is made longer.
 - persons (after a title, or with a known given name): given names of the same gender, permuted by the key; surnames
   spelled of syllables in the same script. The title stays.
 
@@ -244,7 +245,7 @@ def surrogate(kind: Column, found: Column, normal: Column, key: Column, attempt:
 
     def of(digest: Column) -> Column:
         return (
-            F.when(kind == "email", F.concat(_spelled(F.substring_index(found, "@", 1), digest), F.lit("@d"), F.substring(_hash(key, F.lit("domain"), F.lower(F.substring_index(found, "@", -1))), 1, 8), F.lit(".example.org")))
+            F.when(kind == "email", F.concat(_spelled(F.substring_index(found, "@", 1), digest), F.when(attempt > 3, F.concat(F.lit("."), F.substring(digest, 1, 8))).otherwise(""), F.lit("@d"), F.substring(_hash(key, F.lit("domain"), F.lower(F.substring_index(found, "@", -1))), 1, 8), F.lit(".example.org")))
             .when(kind == "secret", F.concat(F.substr(found, F.lit(1), F.length(found) - F.length(normal)), F.when(normal.rlike("^[0-9a-fA-F]+$"), _hexed(normal, digest)).otherwise(_spelled(normal, digest))))
             .when(kind == "ip", _address(found, key, attempt))
             .when(kind == "account", F.concat(F.substring(found, 1, 2), _spelled(F.substr(found, F.lit(3)), digest)))
