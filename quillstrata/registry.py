@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import files, filters, measures, relations, text
+from .plans import files, filters, measures, more, relations, text
 from .plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "files", "filters", "flagship", "measures", "relations", "text"]
+__all__ = ["ORACLES", "QUERIES", "files", "filters", "flagship", "measures", "more", "relations", "text"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of repeated paragraphs: digits masked, in two documents or more."""
-    return QUERIES["txt24_hashes"](spark, sf_dir)
+    return QUERIES["agg4_groups"](spark, sf_dir)
