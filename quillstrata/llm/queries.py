@@ -73,4 +73,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_site_style_text": op9_site_style_text,
     "op10_sentencepiece_rounds": op10_sentencepiece_rounds,
 }
-ORACLES: dict[str, str] = {}
+#: op6 by all pairs that share a shingle, and a walk over the links.
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') AS w FROM documents),
+ s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+ u AS (SELECT doc_id, unnest(s) AS g FROM s),
+ p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+ l AS (SELECT p.a, p.b FROM p JOIN s x ON x.doc_id = p.a JOIN s y ON y.doc_id = p.b WHERE 100 * c >= 90 * (len(x.s) + len(y.s) - c)),
+ r AS (SELECT doc_id AS v, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.v),
+ m AS (SELECT v, min(root) AS component_id FROM r GROUP BY v)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM s JOIN m ON m.v = s.doc_id"""
+
+ORACLES: dict[str, str] = {"op6_ngram_jaccard": NEAR_SQL}
