@@ -35,13 +35,13 @@ def encoded(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def map_texts(df: DataFrame, column: str, schema: T.StructType, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+def map_texts(df: DataFrame, column: str, schema: T.StructType, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], limit: int = SLICE_BYTES) -> DataFrame:
     """df in slices through build()(slice); build runs once a task, on the executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = build()
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 yield apply(part)
 
     return df.mapInArrow(run, schema)

@@ -23,6 +23,7 @@ the component of their class. Other columns are left aside. Shingles are 64-bit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ from ._batches import encoded, map_texts, slices, texts_of
 from .components import components
 
 FREQUENT_FROM, FREQUENT_MOST, BUCKET, COMBINED = 32, 1_000_000, 32, 4
-BINS, COUNT_TOKENS, BLOOM_BITS = 64, 2_000_000, 26
+BINS, COUNT_TOKENS, BLOOM_BITS, SLICE = 64, 2_000_000, 26, 4 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _L, _B = T.LongType(), T.BinaryType()
 
@@ -58,20 +59,21 @@ class Shingler:
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.lower().split() for t in texts]
-        words = dict.fromkeys(w for ws in split for w in ws)
         if len(self.known) > self.kept:
             self.known.clear()
-        for w in words.keys() - self.known.keys():
-            self.known[w] = xxhash.xxh3_64_intdigest(w)
-        n = np.array([len(ws) for ws in split])
-        h = np.fromiter((self.known[w] for ws in split for w in ws), np.uint64, int(n.sum()))
+        known = self.known
+        for w in set().union(*split).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        n = [len(ws) for ws in split]
+        h = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.uint64, sum(n))
         k, out, at = self.size, [], 0
         rolled = np.zeros(max(0, len(h) - k + 1), np.uint64)
         for j in range(k):
             rolled = mix(rolled * _M1 + h[j : j + len(rolled)])
-        for m in n.tolist():
+        for m in n:
             if m >= k:
-                out.append(np.unique(rolled[at : at + m - k + 1]))
+                s = np.sort(rolled[at : at + m - k + 1])
+                out.append(s if len(s) < 2 or (new := s[1:] != s[:-1]).all() else s[np.r_[True, new]])
             elif m:
                 x = np.array([m], np.uint64)
                 for j in range(m):
@@ -83,9 +85,13 @@ class Shingler:
         return out
 
 
-def class_of(tokens: np.ndarray) -> int:
-    """The 64-bit name of a set, signed."""
-    return int(np.array([mix(mix(tokens * _M2).sum(keepdims=True) + np.uint64(len(tokens)))[0]], np.uint64).view(np.int64)[0])
+def classes_of(found: list[np.ndarray]) -> np.ndarray:
+    """The 64-bit names of sets that aren't empty, signed."""
+    if not found:
+        return np.zeros(0, np.int64)
+    size = np.array([len(s) for s in found])
+    total = np.add.reduceat(mix(np.concatenate(found) * _M2), np.cumsum(size) - size)
+    return mix(total + size.astype(np.uint64)).view(np.int64)
 
 
 def bins_of(tokens: np.ndarray) -> bytes:
@@ -110,8 +116,8 @@ class Frequent:
         return out
 
 
-def keys_of(tokens: np.ndarray, frequent: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of a set, and with each the number of rare tokens if it is a combination, else 0.
+def keys_of(tokens: np.ndarray, frequent: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of a set; with each combination the number of rare tokens and the combination one place before, else 0 and 0.
 
     share: percents of similarity that link. tokens ascend, frequent tells the class of each.
     """
@@ -120,14 +126,14 @@ def keys_of(tokens: np.ndarray, frequent: np.ndarray, share: int) -> tuple[np.nd
     rare = tokens[~frequent]
     single = mix(rare[: d + 1])
     if len(rare) > d:
-        return single, np.zeros(len(single), np.int64)
+        return single, np.zeros(len(single), np.int64), np.zeros(len(single), np.uint64)
     b = max(0, 100 * (n - d) // share - n)
     k = min(COMBINED, n)
     order = np.concatenate([rare, tokens[frequent]])[: k * d + (k - 1) * (b + 1) + k]
     key = order[: len(order) - k + 1]
     for j in range(1, k):
         key = mix(key * _M1 + mix(order[j : len(order) - k + 1 + j] + _M2))
-    return np.concatenate([single, key]), np.repeat([0, len(rare)], [len(single), len(key)])
+    return np.concatenate([single, key]), np.repeat([0, len(rare)], [len(single), len(key)]), np.concatenate([np.zeros(len(single) + 1, np.uint64), key[:-1]])
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
@@ -139,12 +145,13 @@ def sets(docs: DataFrame, size: int) -> DataFrame:
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = shingler(encoded(batch, "text"))
-            columns = [pa.array([len(s) for s in found], pa.int64()), pa.array([class_of(s) if len(s) else None for s in found], pa.int64()), pa.array([bins_of(s) for s in found], pa.binary())]
+            names = iter(classes_of([s for s in found if len(s)]).tolist())
+            columns = [pa.array([len(s) for s in found], pa.int64()), pa.array([next(names) if len(s) else None for s in found], pa.int64()), pa.array([bins_of(s) for s in found], pa.binary())]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=schema.names)
 
         return apply
 
-    return map_texts(docs, "text", schema, build)
+    return map_texts(docs, "text", schema, build, SLICE)
 
 
 def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
@@ -170,7 +177,7 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=schema.names)
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 for s in shingler(encoded(piece, "text")):
                     held.append((s >> np.uint64(32)).astype(np.uint32))
                     n += len(s)
@@ -201,8 +208,8 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, size: int, share: int, names: np.ndarray) -> DataFrame:
-    """key, v, n and r (see keys_of): the keys of every document's class."""
-    schema = T.StructType([T.StructField("key", _L), T.StructField("v", _L), T.StructField("n", _L), T.StructField("r", _L)])
+    """key, v, n, r and p (see keys_of): the keys of every document's class."""
+    schema = T.StructType([T.StructField(c, _L) for c in ("key", "v", "n", "r", "p")])
     held = docs.sparkSession.sparkContext.broadcast(names)
 
     def build():
@@ -213,37 +220,42 @@ def _entries(docs: DataFrame, size: int, share: int, names: np.ndarray) -> DataF
             flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
             marks = np.split(frequent(flat), np.cumsum([len(s) for s in found])[:-1]) if found else []
             keys = [keys_of(s, m, share) for s, m in zip(found, marks, strict=True)]
-            sizes = [len(k) for k, _ in keys]
-            columns = [np.concatenate([k for k, _ in keys]).view(np.int64) if keys else np.zeros(0, np.int64), np.repeat(np.array([class_of(s) for s in found], np.int64), sizes), np.repeat(np.array([len(s) for s in found], np.int64), sizes), np.concatenate([r for _, r in keys]) if keys else np.zeros(0, np.int64)]
+            sizes = [len(k[0]) for k in keys]
+            key, rare, before = (np.concatenate(x) for x in zip(*keys, strict=True)) if keys else [np.zeros(0, np.int64)] * 3
+            columns = [key.view(np.int64), np.repeat(classes_of(found), sizes), np.repeat(np.array([len(s) for s in found], np.int64), sizes), rare, before.view(np.int64)]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=schema.names)
 
         return apply
 
-    return map_texts(docs, "text", schema, build)
+    return map_texts(docs, "text", schema, build, SLICE)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFrame:
-    """The pairs a, b of classes that link."""
+def _near(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
+    """The pairs a, b that sizes and bins do not rule out."""
     bins = classes.select("v", "bins", "n")
-    near = pairs.join(bins.select(F.col("v").alias("a"), F.col("bins").alias("x"), F.col("n").alias("na")), "a").join(bins.select(F.col("v").alias("b"), F.col("bins").alias("y"), F.col("n").alias("nb")), "b")
+    both = pairs.join(bins.select(F.col("v").alias("a"), F.col("bins").alias("x"), F.col("n").alias("na")), "a").join(bins.select(F.col("v").alias("b"), F.col("bins").alias("y"), F.col("n").alias("nb")), "b")
 
     def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32) for c in ("x", "y"))
-            both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            common = -(-share * both // (100 + share))
-            keep = np.abs(x - y).sum(1) <= both - 2 * common
+            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            common = -(-share * sizes // (100 + share))
+            keep = np.abs(x - y).sum(1) <= sizes - 2 * common
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-    near = stored(near.select("a", "b", "x", "y", "na", "nb").mapInArrow(rule_out, "a long, b long"))
-    if near.isEmpty():
-        return near
-    # one bit for each class that is in a pair: a filter of fixed size, whose false hits do no harm
-    wanted = near.select(F.col("a").alias("v")).union(near.select(F.col("b").alias("v"))).distinct()
-    bit = lambda v: F.expr(f"shiftrightunsigned({v}, {64 - BLOOM_BITS})")
-    words = wanted.groupBy(F.shiftright(bit("v"), 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(v, {64 - BLOOM_BITS}) & 31 as int))")).alias("bits")).toPandas()
+    return stored(both.select("a", "b", "x", "y", "na", "nb").mapInArrow(rule_out, "a long, b long"))
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """v and tokens of the classes in wanted (v), and of a few others, by one pass over the texts.
+
+    One bit for each class that is wanted makes a filter of fixed size, whose false hits do no harm.
+    """
+    place = F.expr(f"shiftrightunsigned(v, {64 - BLOOM_BITS})")
+    words = wanted.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(v, {64 - BLOOM_BITS}) & 31 as int))")).alias("bits")).toPandas()
     mask = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
-    mask[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32) if len(words) else 0
+    if len(words):
+        mask[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     held = docs.sparkSession.sparkContext.broadcast(mask)
     schema = T.StructType([T.StructField("v", _L), T.StructField("tokens", _B)])
 
@@ -251,19 +263,21 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
         shingler = Shingler(size)
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = {}
-            for s in shingler(encoded(batch, "text")):
-                if len(s):
-                    v = class_of(s)
-                    at = (v & (2**64 - 1)) >> (64 - BLOOM_BITS)
-                    if held.value[at >> 5] >> (at & 31) & 1:
-                        rows[v] = s.tobytes()
+            found = [s for s in shingler(encoded(batch, "text")) if len(s)]
+            names = classes_of(found)
+            at = names.view(np.uint64) >> np.uint64(64 - BLOOM_BITS)
+            hit = (held.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1)
+            rows = {int(names[i]): found[i].tobytes() for i in np.flatnonzero(hit)}
             return pa.RecordBatch.from_arrays([pa.array(rows.keys(), pa.int64()), pa.array(rows.values(), pa.binary())], names=schema.names)
 
         return apply
 
-    found = map_texts(docs, "text", schema, build).groupBy("v").agg(F.first("tokens").alias("tokens"))
-    joined = near.join(found.select(F.col("v").alias("a"), F.col("tokens").alias("x")), "a").join(found.select(F.col("v").alias("b"), F.col("tokens").alias("y")), "b")
+    return stored(map_texts(docs, "text", schema, build, SLICE).groupBy("v").agg(F.first("tokens").alias("tokens")))
+
+
+def _verified(near: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
+    """The pairs a, b whose whole sets link."""
+    joined = near.join(tokens.select(F.col("v").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("v").alias("b"), F.col("tokens").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,10 +302,14 @@ def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFra
     # a class with combinations has all its rare tokens among its keys: two that link either share one, and are compared for that, or have all others in common at most
     common = F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
     fits = 100 * common >= share * (F.col("na") + F.col("nb") - common)
-    left = lambda d, *more: d.select("key", F.col("v").alias("a"), *[F.col(c).alias(f"{c}a") for c in ("n", "r", *more)])
-    right = lambda d, *more: d.select("key", F.col("v").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("n", "r", *more)])
-    pairs = left(cold).join(right(cold), "key").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
-    found = _verified(docs, pairs, classes, size, share)
+    left = lambda d, *more: d.select("key", F.col("v").alias("a"), *[F.col(c).alias(f"{c}a") for c in ("n", "r", "p", *more)])
+    right = lambda d, *more: d.select("key", F.col("v").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("n", "r", "p", *more)])
+    near = _near(left(cold).join(right(cold), "key").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct(), classes, share)
+    if near.isEmpty() and hot.isEmpty():
+        return near
+    wanted = near.select(F.col("a").alias("v")).union(near.select(F.col("b").alias("v"))).union(hot.select("v")).distinct()
+    tokens = _sets_of(docs, wanted, size)
+    found = _verified(near, tokens, share)
     if hot.isEmpty():
         return found
     # the class that is in the most large buckets is nearest to all in them: it leads first
@@ -310,12 +328,13 @@ def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFra
         if tested is None:
             lead = entries.join(leaders, "key").where("v = a").drop("a")
         else:
-            lead = entries.where(F.pmod(F.xxhash64("key", "v"), F.lit(1 << 30)) * F.col("held") < F.lit(taken * (1 << 30)).cast("long"))
-        to = left(lead, "c").join(right(entries, "c"), "key").where((F.col("ca") != F.col("cb")) & fits)
+            lead = entries.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) * F.col("held") < F.lit(taken * (1 << 30)).cast("long"))
+        # of the keys that a pair shares side by side, the first one stands for all
+        to = left(lead, "c").join(right(entries, "c"), "key").where((F.col("ca") != F.col("cb")) & ((F.col("pa") != F.col("pb")) | (F.col("pa") == 0)) & fits)
         pairs = to.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.union(pairs)
-        found = stored(found.union(_verified(docs, pairs, classes, size, share)).distinct())
+        found = stored(found.union(_verified(_near(pairs, classes, share), tokens, share)).distinct())
         if taken >= largest:
             return found
         taken *= 16
