@@ -291,8 +291,8 @@ def _verified(near: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
     return stored(joined.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
 
-def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFrame:
-    """Links a, b of classes that connect all that is connected. classes: v, n and bins."""
+def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFrame:
+    """v and c, the least class of its component, for each linked class. classes: v, n and bins."""
     total = classes.agg(F.sum("n")).first()[0] or 0
     entries = stored(_entries(docs, size, share, frequent_names(docs, size, total)))
     shared = entries.groupBy("key").agg(F.min("v").alias("_a"), F.max("v").alias("_b")).where("_a <> _b").select("key")
@@ -306,12 +306,12 @@ def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFra
     right = lambda d, *more: d.select("key", F.col("v").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("n", "r", "p", *more)])
     near = _near(left(cold).join(right(cold), "key").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct(), classes, share)
     if near.isEmpty() and hot.isEmpty():
-        return near
+        return components(near)
     wanted = near.select(F.col("a").alias("v")).union(near.select(F.col("b").alias("v"))).union(hot.select("v")).distinct()
     tokens = _sets_of(docs, wanted, size)
-    found = _verified(near, tokens, share)
+    linked = components(_verified(near, tokens, share))
     if hot.isEmpty():
-        return found
+        return linked
     # the class that is in the most large buckets is nearest to all in them: it leads first
     degree = hot.groupBy("v").agg(F.count("*").alias("_degree"))
     hot = stored(hot.join(degree, "v"))
@@ -319,12 +319,11 @@ def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFra
     tested, taken = None, 1
     largest = hot.agg(F.max("held")).first()[0]
     while True:
-        linked = components(found)
         marked = hot.join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
         open_ = marked.groupBy("key").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b").select("key")
         entries = stored(marked.join(open_, "key"))
         if entries.isEmpty():
-            return found
+            return linked
         if tested is None:
             lead = entries.join(leaders, "key").where("v = a").drop("a")
         else:
@@ -334,9 +333,11 @@ def links(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFra
         pairs = to.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.union(pairs)
-        found = stored(found.union(_verified(_near(pairs, classes, share), tokens, share)).distinct())
+        new = _verified(_near(pairs, classes, share), tokens, share)
+        if not new.isEmpty():
+            linked = components(linked.select(F.col("v").alias("a"), F.col("c").alias("b")).union(new))
         if taken >= largest:
-            return found
+            return linked
         taken *= 16
 
 
@@ -345,7 +346,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, share: int = 80) -> DataFram
     docs = texts_of(docs)
     all_ = stored(sets(docs, size))
     classes = stored(all_.where("v is not null").groupBy("v").agg(F.min("n").alias("n"), F.min("bins").alias("bins"), F.min("doc_id").alias("least")))
-    linked = components(links(docs, classes.select("v", "n", "bins"), size, share))
+    linked = linked_classes(docs, classes.select("v", "n", "bins"), size, share)
     named = classes.select("v", "least").join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
     least = named.groupBy("c").agg(F.min("least").alias("component_id"))
     of = stored(named.join(least, "c").select("v", "component_id"))
