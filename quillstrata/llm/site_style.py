@@ -187,9 +187,16 @@ def host_of(url: str = "url") -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
+def _hash64(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages and importance of the branches that no tag or name decides. pages: host and html."""
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("content", T.LongType())])
+    """host, path, pages and importance of the branches that no tag or name decides. pages: host and html.
+
+    Pages of one host with the same text count once, and so do repeats of a path in a page: what they say together is its content there.
+    """
+    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("page", T.LongType()), T.StructField("content", T.LongType())])
 
     def branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,13 +206,15 @@ def style_tree(pages: DataFrame) -> DataFrame:
                     page = Page(html)
                     if page.has_content:
                         continue
+                    whole, said = _hash64("\n".join(text for _, text, _ in page.blocks)), {}
                     for path, start, end in page.branches:
-                        said = "\n".join(text for _, text, _ in page.blocks[start:end])
-                        rows.append((host, path, int.from_bytes(hashlib.blake2b(said.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)))
-                columns = list(zip(*rows, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], names=schema.names)
+                        said.setdefault(path, []).extend(text for _, text, _ in page.blocks[start:end])
+                    rows += [(host, path, whole, _hash64("\n".join(texts))) for path, texts in said.items()]
+                columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=schema.names)
 
-    said = pages.select("host", "html").mapInArrow(branches, schema).groupBy("host", "path", "content").agg(F.count("*").alias("n"))
+    once = pages.select("host", "html").mapInArrow(branches, schema).groupBy("host", "path", "page").agg(F.min("content").alias("content"))
+    said = once.groupBy("host", "path", "content").agg(F.count("*").alias("n"))
     by_path = said.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("_s"))
     return by_path.select("host", "path", "pages", F.when(F.col("pages") > 1, 1 - F.col("_s") / (F.col("pages") * F.log("pages"))).otherwise(1.0).alias("importance"))
 

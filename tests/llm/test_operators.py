@@ -392,6 +392,15 @@ def test_copies_of_an_article_are_no_template(spark):
     assert {r["text"] for r in site_style.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {"The same article"}
 
 
+def test_copies_of_a_page_without_article_are_no_template(spark):
+    copy, own = "<body><div class='top'>Menu of all</div><div class='text'><p>{}</p></div></body>", [f"Own words {i} {i * 7}" for i in range(10)]
+    rows = [(i, "http://h.example/x", copy.format("The copied words")) for i in range(90)] + [(100 + i, "http://h.example/x", copy.format(t)) for i, t in enumerate(own)]
+    rows += [(200 + i, "http://same.example/x", "<body><div class='text'><p>One page alone</p></div></body>") for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in site_style.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[100 + i] for i in range(10)] == own
+    assert got[0] == "The copied words" and got[200] == "One page alone"
+
+
 # 10 sentencepiece
 
 
