@@ -1,11 +1,14 @@
 """Main text of web pages by site style trees.
 
 The DOMs of a host's pages are merged into one style tree: a node is a path of tags with their class or id. Tags and names
-that say what they hold decide by themselves (presentation nodes: menus, headers, footers, forms, adverts; content nodes:
-article, main, headings in them). The importance of every other branch is the entropy of its contents over the host's
-pages: 0 where all pages say the same, 1 where no two do. Branches of less than LEAST_IMPORTANCE, seen on
-LEAST_PAGES pages or more, are cut from each page. What is in an article or main node is content however often it
-recurs: copies of a page on one host are no template.
+of noise decide by themselves (menus, headers, footers, forms, adverts). The importance of every other branch is the
+entropy of its contents over the host's pages: 0 where all pages say the same, 1 where no two do. Branches of less than
+LEAST_IMPORTANCE, seen on LEAST_PAGES pages or more, are cut from each page, in article and main nodes, too. Text outside
+those nodes, on a page that has them, is kept only in branches that were seen on LEAST_PAGES pages or more with
+SURE_IMPORTANCE: there the tag has said that it is noise, and the tree has to say the contrary.
+
+Copies of a page on one host are no template: pages with the same text count once, and inside article and main nodes
+those with the same text there, whatever is around it.
 
 Defined cases: a null or empty html has the empty text; so has a page with noise alone. Pages without a host are one
 host. Broken markup is read to its end: open tags are closed by their parents' ends. Repeated rows give equal rows;
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 from ..sources.shared import stored
 from ._batches import slices, strings
 
-LEAST_IMPORTANCE, LEAST_PAGES, MAX_DEPTH = 0.3, 4, 12
+LEAST_IMPORTANCE, SURE_IMPORTANCE, LEAST_PAGES, MAX_DEPTH = 0.3, 0.7, 4, 12
 #: Paths to cut that may be broadcast, and the places that a host's pages are dealt to if there are more.
 BROADCAST_PATHS, SALTS = 20_000, 64
 
@@ -81,7 +84,7 @@ class Page:
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, str, bool]] = []  # path, text, whether in content
-        self.branches: list[tuple[str, int, int]] = []  # path, first and last block
+        self.branches: list[tuple[str, bool, int, int]] = []  # path, whether in content, first and last block
         self.has_content = False
         self._open: list[Node] = []
         self._text: list[str] = []
@@ -169,18 +172,24 @@ class Page:
 
     def _close(self) -> None:
         node = self._open.pop()
-        if not node.dropped and not node.content and node.tag not in INLINE and len(self.blocks) > node.start:
-            self.branches.append((node.path, node.start, len(self.blocks)))
-
-    def texts(self, low: set[str]) -> list[str]:
-        """Blocks of the main text. low: paths of little importance on this host."""
-        if self.has_content:
-            return [text for _, text, content in self.blocks if content]
+        if not node.dropped and node.tag not in INLINE and len(self.blocks) > node.start:
+            self.branches.append((node.path, node.content, node.start, len(self.blocks)))
+
+    def said(self) -> dict[tuple[str, bool], list[str]]:
+        """Texts of each path in content nodes (True) and, without the blocks of those, outside them."""
+        out: dict[tuple[str, bool], list[str]] = {}
+        for path, inside, start, end in self.branches:
+            if texts := [text for _, text, content in self.blocks[start:end] if content == inside]:
+                out.setdefault((path, inside), []).extend(texts)
+        return out
+
+    def texts(self, low: set[tuple[str, bool]], sure: frozenset[tuple[str, bool]] | set[tuple[str, bool]] = frozenset()) -> list[str]:
+        """Blocks of the main text. low and sure: (path, whether in content) of little and of sure importance on this host."""
         cut = set()
-        for path, start, end in self.branches:
-            if path in low:
-                cut.update(range(start, end))
-        return [text for i, (_, text, _) in enumerate(self.blocks) if i not in cut]
+        for path, inside, start, end in self.branches:
+            if (path, inside) in low:
+                cut.update(i for i in range(start, end) if self.blocks[i][2] == inside)
+        return [text for i, (path, text, content) in enumerate(self.blocks) if i not in cut and (content or not self.has_content or (path, False) in sure)]
 
 
 def host_of(url: str = "url") -> F.Column:
@@ -192,11 +201,12 @@ def _hash64(text: str) -> int:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages and importance of the branches that no tag or name decides. pages: host and html.
+    """host, path, inside (content nodes), beside (them, on a page or more), pages and importance of all branches that aren't named as noise. pages: host and html.
 
     Pages of one host with the same text count once, and so do repeats of a path in a page: what they say together is its content there.
     """
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("page", T.LongType()), T.StructField("content", T.LongType())])
+    kinds = {"host": (T.StringType(), pa.string()), "path": (T.StringType(), pa.string()), "inside": (T.BooleanType(), pa.bool_()), "beside": (T.BooleanType(), pa.bool_()), "page": (T.LongType(), pa.int64()), "content": (T.LongType(), pa.int64())}
+    schema = T.StructType([T.StructField(name, kind) for name, (kind, _) in kinds.items()])
 
     def branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,31 +214,34 @@ def style_tree(pages: DataFrame) -> DataFrame:
                 rows = []
                 for host, html in zip(part.column("host").to_pylist(), strings(part, "html"), strict=True):
                     page = Page(html)
-                    if page.has_content:
-                        continue
-                    whole, said = _hash64("\n".join(text for _, text, _ in page.blocks)), {}
-                    for path, start, end in page.branches:
-                        said.setdefault(path, []).extend(text for _, text, _ in page.blocks[start:end])
-                    rows += [(host, path, whole, _hash64("\n".join(texts))) for path, texts in said.items()]
-                columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=schema.names)
+                    whole = {False: _hash64("\n".join(text for _, text, _ in page.blocks)), True: _hash64("\n".join(text for _, text, content in page.blocks if content))}
+                    rows += [(host, path, inside, page.has_content and not inside, whole[inside], _hash64("\n".join(texts))) for (path, inside), texts in page.said().items()]
+                columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds.values(), strict=True)], names=schema.names)
 
-    once = pages.select("host", "html").mapInArrow(branches, schema).groupBy("host", "path", "page").agg(F.min("content").alias("content"))
-    said = once.groupBy("host", "path", "content").agg(F.count("*").alias("n"))
-    by_path = said.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("_s"))
-    return by_path.select("host", "path", "pages", F.when(F.col("pages") > 1, 1 - F.col("_s") / (F.col("pages") * F.log("pages"))).otherwise(1.0).alias("importance"))
+    once = pages.select("host", "html").mapInArrow(branches, schema).groupBy("host", "path", "inside", "page").agg(F.min("content").alias("content"), F.max("beside").alias("beside"))
+    said = once.groupBy("host", "path", "inside", "content").agg(F.count("*").alias("n"), F.max("beside").alias("beside"))
+    by_path = said.groupBy("host", "path", "inside").agg(F.max("beside").alias("beside"), F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("_s"))
+    return by_path.select("host", "path", "inside", "beside", "pages", F.when(F.col("pages") > 1, 1 - F.col("_s") / (F.col("pages") * F.log("pages"))).otherwise(1.0).alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host_of())
-    low = style_tree(own).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).groupBy("host").agg(F.collect_set("path").alias("low"))
+    known = style_tree(own).where(F.col("pages") >= LEAST_PAGES)
+    low, sure = F.col("importance") < LEAST_IMPORTANCE, F.col("beside") & (F.col("importance") >= SURE_IMPORTANCE)
+    low = known.where(low | sure).groupBy("host").agg(F.collect_list(F.struct("path", "inside", low.alias("low"))).alias("low"))
     schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                texts = ["\n".join(Page(html).texts(set(paths or ()))) for html, paths in zip(strings(part, "html"), part.column("low").to_pylist(), strict=True)]
+                texts = []
+                for html, paths in zip(strings(part, "html"), part.column("low").to_pylist(), strict=True):
+                    sets: dict[bool, set] = {True: set(), False: set()}
+                    for x in paths or ():
+                        sets[x["low"]].add((x["path"], x["inside"]))
+                    texts.append("\n".join(Page(html).texts(sets[True], sets[False])))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
     low = stored(low)

@@ -401,6 +401,20 @@ def test_copies_of_a_page_without_article_are_no_template(spark):
     assert got[0] == "The copied words" and got[200] == "One page alone"
 
 
+def test_style_tree_decides_inside_and_beside_articles(spark):
+    page = "<body><div class='top'>Menu of all</div><article><p>Own article {0}</p><div class='by'>Written by the house</div></article><div class='tail'>More of {0}</div></body>"
+    rows = [(i, "http://h.example/x", page.format(i)) for i in range(8)] + [(100, "http://few.example/x", page.format(100))]
+    got = {r["page_id"]: r["text"] for r in site_style.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Own article 3\nMore of 3"
+    assert got[100] == "Own article 100\nWritten by the house"
+
+
+def test_an_article_on_many_pages_is_no_template(spark):
+    rows = [(i, "http://h.example/x", f"<body><div class='day'>Day {i}</div><article><p>The same article</p></article></body>") for i in range(9)]
+    texts = {r["text"] for r in site_style.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all("The same article" in t for t in texts)
+
+
 # 10 sentencepiece
 
 
