@@ -2,8 +2,9 @@
 
 For each language a suffix automaton of labelled text yields, at every place of a new text, the longest match that
 starts there. Parsing takes one longest match after another; phrases * log2(length of the labelled text) / characters
-estimates the cross entropy in bits, and the least wins. The automata are dense transition tables: many stretches of
-text walk through all of them at once, one numpy step a character.
+estimates the cross entropy in bits, and the least wins. Many stretches of text walk through all automata at once, one
+numpy step a character. Every character of the training texts has a code: the moves of an automaton by the most frequent
+characters of its language are a dense table, those by its other characters (of Chinese, say) are sorted keys.
 
 Defined cases: `und` with score 0 if text is null, has no letter, or nothing could be learned; ties go to the first
 language in code-point order. A text longer than STRETCH characters is parsed in stretches of that many, all of them,
@@ -26,8 +27,8 @@ from .sample import sample_texts
 
 #: Bounds of the training sample: documents of each language, characters taken of each, characters in each automaton.
 SAMPLE_DOCS, SAMPLE_CHARS, TRAIN_CHARS = 256, 2048, 24_000
-#: Characters told apart; all others are one that matches nothing.
-ALPHABET, STRETCH, SHARPNESS = 64, 2048, 8.0
+#: Columns of the dense tables: characters that the language's text lacks, and its most frequent ones.
+DENSE, STRETCH, SHARPNESS = 64, 2048, 8.0
 _LETTER = re.compile(r"[^\W\d_]")
 _SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -62,17 +63,17 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return step
 
 
-def _dense(step: list[dict[int, int]], base: int) -> np.ndarray:
-    """Row per state: 4 * (place of the next state's row) + phrases that end. A failed match starts anew with the same character."""
-    at = [base + s * ALPHABET for s in range(len(step))]
-    table = np.empty((len(step), ALPHABET), np.int64)
-    for c in range(ALPHABET):
-        again = step[0].get(c)
-        table[:, c] = 4 * at[0] + 2 if again is None else 4 * at[again] + 1
-    table[0, [c for c in range(ALPHABET) if c not in step[0]]] = 4 * at[0] + 1
+def _dense(step: list[dict[int, int]], base: int, columns: dict[int, int]) -> np.ndarray:
+    """Row per state: 4 * (place of the next state's row) + phrases that end. A failed match starts anew with the same character. columns: of the codes that have one; column 0 matches nothing."""
+    table = np.empty((len(step), DENSE), np.int64)
+    table[:] = 4 * base + 2
+    for code, c in columns.items():
+        table[:, c] = 4 * (base + step[0][code] * DENSE) + 1
+    table[0, [c for c in range(DENSE) if c not in columns.values()]] = 4 * base + 1
     for s, moves in enumerate(step):
-        for c, to in moves.items():
-            table[s, c] = 4 * at[to]
+        for code, to in moves.items():
+            if code in columns:
+                table[s, columns[code]] = 4 * (base + to * DENSE)
     return table.ravel()
 
 
@@ -86,33 +87,52 @@ class Model:
 class Parser:
     def __init__(self, model: Model):
         self.langs = [lang for lang, _ in model.texts]
-        counts: dict[str, int] = {}
-        for _, text in model.texts:
-            for ch in text:
-                counts[ch] = counts.get(ch, 0) + 1
-        known = sorted((c for c in counts if c != "\0"), key=lambda c: (-counts[c], c))[: ALPHABET - 2]
-        self.codes = np.zeros(0x10000, np.uint8)
+        known = sorted({ch for _, text in model.texts for ch in text} - {"\0"})
+        self.codes = np.zeros(0x110000, np.int32)  # 0: in no training text
         for i, ch in enumerate(known):
-            if ord(ch) < 0xFFFF:
-                self.codes[ord(ch)] = i + 1
-        tables, self.starts, base = [], [], 0
-        for _, text in model.texts:
+            self.codes[ord(ch)] = i + 1
+        between = self.width = len(known) + 1
+        # by language and code: the dense column, and where a match that begins with a character outside the table leads
+        self.column = np.zeros((len(model.texts), self.width), np.intp)
+        self.first = np.zeros((len(model.texts), self.width), np.int64)
+        tables, self.starts, base, keys, targets = [], [], 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k, (_, text) in enumerate(model.texts):
             points = self._points(text)
             walk = self.codes[points]
-            walk[points == 0] = ALPHABET - 1  # between two training texts
-            # a character that is not told apart may match nothing: it is taken out of the automaton
+            walk[points == 0] = between  # two training texts meet
+            counts = np.bincount(walk[points != 0], minlength=self.width)
+            order = [int(c) for c in np.argsort(-counts, kind="stable") if counts[c]]
+            columns = {c: i + 1 for i, c in enumerate(order[: DENSE - 1])}
+            self.column[k, list(columns)] = list(columns.values())
             step = suffix_automaton(walk.tolist())
-            for moves in step:
-                moves.pop(0, None)
-            tables.append(_dense(step, base))
+            tables.append(_dense(step, base, columns))
+            for c in order[DENSE - 1 :]:
+                self.first[k, c] = 4 * (base + step[0][c] * DENSE)
+            rare = [((base // DENSE + s) * self.width + c, 4 * (base + to * DENSE)) for s, moves in enumerate(step) for c, to in moves.items() if c != between and c not in columns]
+            keys.append(np.array([x for x, _ in rare], np.int64))
+            targets.append(np.array([x for _, x in rare], np.int64))
             self.starts.append(base)
             base += tables[-1].size
         self.table = np.concatenate([np.zeros(0, np.int64), *tables]).astype(np.int32 if 4 * base < 2**31 else np.int64)
+        keys, targets = np.concatenate(keys), np.concatenate(targets)
+        order = np.argsort(keys)
+        self.keys, self.targets, self.rare = keys[order], targets[order], self.first.any(0)
         self.bits = np.array([np.log2(max(2, len(text))) for _, text in model.texts])
 
+    def _moved(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The cells of table that states (a row for each language) come to by codes."""
+        now = self.table[(state >> 2) + self.column[:, codes]]
+        at = np.flatnonzero(self.rare[codes])
+        if len(at):
+            first, key = self.first[:, codes[at]], (state[:, at] >> 2).astype(np.int64) // DENSE * self.width + codes[at]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            own = np.where(self.keys[place] == key, self.targets[place], first + 1)
+            now[:, at] = np.where(first > 0, own, now[:, at])
+        return now
+
     @staticmethod
     def _points(text: str) -> np.ndarray:
-        return np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), 0xFFFF)
+        return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Bits a character, for each text and language."""
@@ -130,7 +150,7 @@ class Parser:
         phrases = np.zeros((n, len(owner)), np.int32)
         active = len(owner) - np.searchsorted(length[::-1], np.arange(1, (length[0] if len(length) else 0) + 1))
         for t, k in enumerate(active):
-            now = self.table[(state[:, :k] >> 2) + codes[start[:k] + t]]
+            now = self._moved(state[:, :k], codes[start[:k] + t])
             phrases[:, :k] += now & 3
             state[:, :k] = now
         phrases += (state >> 2) != home

@@ -130,6 +130,29 @@ def test_language_phrases_equal_brute_force():
             assert got[i, k] * len(text) / parser.bits[k] == pytest.approx(phrases(train, text))
 
 
+def test_languages_of_large_and_many_scripts():
+    random.seed(5)
+    scripts = {"el": (0x3B1, 24), "hi": (0x905, 48), "ja": (0x3041, 80), "ko": (0xAC00, 900), "or": (0xB05, 45), "zh": (0x4E00, 1200), "zz": (0x20000, 300)}
+    words = {lang: ["".join(chr(a + random.randrange(n)) for _ in range(3)) for _ in range(300)] for lang, (a, n) in scripts.items()}
+    words["zh2"] = ["".join(chr(0x4E00 + random.randrange(1200)) for _ in range(3)) for _ in range(300)]  # the same characters in other words
+    text = lambda lang, n: " ".join(random.choice(words[lang]) for _ in range(n))
+    model = language_id.fit_texts({lang: [text(lang, 900) for _ in range(8)] for lang in words})
+    parser = language_id.Parser(model)
+    for lang in words:
+        assert parser.predict([text(lang, 40) for _ in range(5)])[0] == [lang] * 5
+    texts = ["".join(random.choice(random.choice(words["zh"]) + " ?") for _ in range(60)) + text("zh", 20) for _ in range(3)]
+    got = parser.entropies(texts)
+    for k, (_, train) in enumerate(model.texts):
+        for t, own in zip(texts, got[:, k] / parser.bits[k], strict=True):
+            i = n = 0
+            while i < len(t):
+                j = i + 1
+                while j <= len(t) and t[i:j] in train:
+                    j += 1
+                i, n = max(i + 1, j - 1), n + 1
+            assert own * len(t) == pytest.approx(n)
+
+
 def test_language_odd_cases(spark, odd):
     rows = language_id.identify(odd, language_id.fit_texts({"en": ["a b c d the words of a text"], "xx": ["日本語 words"]})).collect()
     assert len(rows) == len(ODD)
