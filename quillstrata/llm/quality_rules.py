@@ -23,15 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
+from ..sources.shared import stored
 from ._batches import encoded, map_texts, slices, texts_of
 
 MIN_WORDS, WORD_GUARD, COMMON_WORDS = 50, 80, 48
 CLASS_LIMIT, CLASS_SLACK, WORD_LIMIT, WORD_SLACK = 0.20, 0.5, 0.30, 1.0
 #: Words that a task counts before it hands the counts on.
 FLUSH_WORDS = 400_000
-#: Languages compared with, the most frequent ones: a bound on what each task holds.
-MAX_LANGS = 64
+#: Places that the words of one language are dealt to when the most frequent ones are looked for.
+SALTS = 64
 
 _SEPARATORS, _SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 CLASSES = ("lower", "upper", "letter", "digit", "space", "line", "stop", "symbol", "other")
@@ -132,14 +134,15 @@ class Judge:
         repeated = repeated_words(ids, owner, n)
         failed = (n_words < MIN_WORDS) | (100 * repeated > 50 * n_words)
         have = _sums(text_of, _classes(points), n, len(CLASSES))
-        by_class = np.min([distances(have, q) for q in self.classes], axis=0) if self.classes else np.zeros(n)
-        by_word = []
+        by_class = np.full(n, np.inf) if self.classes else np.zeros(n)
+        for q in self.classes:
+            np.minimum(by_class, distances(have, q), out=by_class)
+        by_word = np.full(n, np.inf) if self.words else np.zeros(n)
         for words, q in self.words:
             column = np.full(len(places) + 1, len(words), np.int64)
             for i, w in enumerate(words):
                 column[places.get(w, -1)] = i if w in places else column[-1]
-            by_word.append(distances(_sums(owner, column[ids], n, len(words) + 1), q))
-        by_word = np.min(by_word, axis=0) if by_word else np.zeros(n)
+            np.minimum(by_word, distances(_sums(owner, column[ids], n, len(words) + 1), q), out=by_word)
         by_class[n_words == 0] = by_word[n_words == 0] = np.nan
         root = np.sqrt(np.maximum(n_words, 1))
         strays = (by_class > CLASS_LIMIT + CLASS_SLACK / root) | (n_words >= WORD_GUARD) & (by_word > WORD_LIMIT + WORD_SLACK / root)
@@ -150,7 +153,7 @@ _COUNTED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("w
 
 
 def fit(docs: DataFrame) -> list[Reference]:
-    """References from all documents with a lang. Tasks hand on sums, added up by key with map-side combine; MAX_LANGS * COMMON_WORDS rows reach the driver."""
+    """References from all documents with a lang. Tasks hand on sums, added up by key with map-side combine; COMMON_WORDS + len(CLASSES) + 1 rows a language reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
@@ -177,16 +180,18 @@ def fit(docs: DataFrame) -> list[Reference]:
 
     known = docs.where(F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counted = known.mapInArrow(count, _COUNTED)
-    sums = counted.groupBy("lang", "word", "class").agg(F.sum("n").alias("n")).persist()
-    totals = {r[0]: r[1] for r in sums.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    out = []
-    for lang in sorted(totals):
-        own = sums.where(F.col("lang") == lang)
-        top = own.where("word is not null").orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()
-        classes = {r["class"]: r["n"] for r in own.where("word is null").collect()}
-        out.append(Reference(lang, tuple(classes.get(k, 0) for k in range(len(CLASSES))), tuple((bytes(r["word"]), r["n"]) for r in top), totals[lang]))
-    sums.unpersist()
-    return out
+    sums = stored(counted.groupBy("lang", "word", "class").agg(F.sum("n").alias("n")))
+    words, most = sums.where("word is not null"), [F.desc("n"), F.col("word")]
+    of_place = words.withColumn("_rank", F.row_number().over(W.partitionBy("lang", F.pmod(F.xxhash64("word"), F.lit(SALTS))).orderBy(*most))).where(F.col("_rank") <= COMMON_WORDS)
+    top = of_place.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy(*most))).where(F.col("_rank") <= COMMON_WORDS)
+    totals = {r[0]: r[1] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    common: dict[str, list[tuple[bytes, int]]] = {}
+    for r in sorted(top.collect(), key=lambda r: (r["lang"], r["_rank"])):
+        common.setdefault(r["lang"], []).append((bytes(r["word"]), r["n"]))
+    classes: dict[str, dict[int, int]] = {}
+    for r in sums.where("word is null").collect():
+        classes.setdefault(r["lang"], {})[r["class"]] = r["n"]
+    return [Reference(lang, tuple(classes.get(lang, {}).get(k, 0) for k in range(len(CLASSES))), tuple(common[lang]), totals[lang]) for lang in sorted(totals)]
 
 
 def judge(docs: DataFrame, references: list[Reference]) -> DataFrame:

@@ -197,6 +197,20 @@ def test_rules_odd_cases(spark, odd):
     assert quality_rules.fit(odd.limit(0)) == []
 
 
+def test_rules_keep_a_reference_of_every_language(spark):
+    rows = []
+    for k in range(70):
+        own = ["".join(chr(97 + (k * 7 + i * 3 + j * j) % 26) for j in range(4)) + chr(0x3B1 + k % 20) + str(k) for i in range(20)]
+        rows += [(100 * k + d, f"l{k:02d}", " ".join(f"{own[(i * (d + 3)) % 20]} {own[(i * i + d) % 20]}" for i in range(100 - k // 2))) for d in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    refs = quality_rules.fit(docs)
+    assert [r.lang for r in refs] == sorted({x[1] for x in rows})
+    for ref in refs:
+        words = Counter(w for _, lang, t in rows if lang == ref.lang for w in t.encode().split())
+        assert ref.words == tuple(sorted(words.items(), key=lambda x: (-x[1], x[0]))[: quality_rules.COMMON_WORDS])
+    assert max(r["word_distance"] for r in quality_rules.judge(docs, refs).collect()) < 0.4
+
+
 def test_distance_is_symmetric_and_bounded():
     p, q = np.array([[1.0, 0, 0]]), np.array([0, 0, 1.0])
     assert quality_rules.distances(p, q)[0] == pytest.approx(1.0)
