@@ -5,7 +5,7 @@ that all its mentions in all documents change alike (coreference), whatever thei
 
 - card, phone, social-security and account numbers: a keyed Feistel permutation of their digits, written into the
   original's punctuation; a number with a valid Luhn digit gets a valid one.
-- IP addresses: a keyed permutation of their 32 bits.
+- IPv4 addresses: a keyed permutation of their 32 bits; IPv6 addresses: keyed ones in 2001:db8::/32, the range for documents.
 - e-mail addresses, secrets, hexadecimal digests, account codes: keyed letters for letters (in their case and script),
   keyed digits for digits; mail domains become names below the reserved example.org, and a name that still collides at
   the fourth attempt (short names have few forms) is made longer.
@@ -36,13 +36,18 @@ ATTEMPTS = 24
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Sir")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita")
 PLAIN_TITLES = ("Dr", "Prof")
-MALE_NAMES = ("James", "Robert", "John", "Michael", "David", "William", "Richard", "Joseph", "Thomas", "Daniel", "Hans", "Klaus", "Jürgen", "Wolfgang", "Pierre", "François", "Philippe", "Carlos", "Miguel", "Fernando")
-FEMALE_NAMES = ("Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Karen", "Sarah", "Ursula", "Monika", "Petra", "Brigitte", "Nathalie", "Isabelle", "Sylvie", "Carmen", "Dolores", "Lucía")
+MALE_NAMES = ("James", "Robert", "John", "Michael", "David", "William", "Richard", "Joseph", "Thomas", "Daniel", "Hans", "Klaus", "Jürgen", "Wolfgang", "Pierre", "François", "Philippe", "Carlos", "Miguel", "Fernando", "Charles", "Christopher", "Matthew", "Anthony", "Steven", "Andrew", "Kenneth", "Brian", "Kevin", "Timothy", "Jeffrey", "Gary", "Nicholas", "Eric", "Stephen", "Jonathan", "Benjamin", "Samuel", "Alexander", "Peter", "Stefan", "Andreas", "Jens", "Uwe", "Matthias", "Jean", "Jacques", "Michel", "Alain", "Juan", "José", "Antonio", "Luis", "Javier", "Ivan", "Dmitri", "Ahmed", "Mohammed")
+FEMALE_NAMES = ("Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Karen", "Sarah", "Ursula", "Monika", "Petra", "Brigitte", "Nathalie", "Isabelle", "Sylvie", "Carmen", "Dolores", "Lucía", "Margaret", "Nancy", "Lisa", "Sandra", "Ashley", "Emily", "Michelle", "Amanda", "Melissa", "Deborah", "Stephanie", "Rebecca", "Laura", "Cynthia", "Kathleen", "Amy", "Angela", "Anna", "Nicole", "Samantha", "Katherine", "Sabine", "Claudia", "Andrea", "Heike", "Birgit", "Marie", "Catherine", "Françoise", "Monique", "Ana", "Pilar", "Teresa", "Olga", "Tatiana", "Fatima", "Aisha", "Helen")
 LATIN_SYLLABLES = ("bel", "car", "dor", "fen", "gar", "hol", "jun", "kas", "lim", "mar", "nor", "pel", "quin", "ros", "sal", "tor", "van", "wes", "yar", "zim")
 CYRILLIC_SYLLABLES = ("бел", "вар", "гор", "дан", "жар", "зим", "кал", "лаз", "мар", "нов", "пол", "рос", "сав", "тар", "фед", "хар", "чер", "шул", "юр", "яр")
 
 _LOCAL = r"[\p{L}\p{N}._%+-]"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_GROUP = "[0-9a-fA-F]{1,4}"
+#: Eight groups, or fewer around one double colon with a digit somewhere.
+_IP6 = rf"(?<![\w:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?=[0-9a-fA-F:]*\d)(?:{_GROUP}(?::{_GROUP}){{0,5}})?::{_GROUP}(?::{_GROUP}){{0,5}})(?![\w:]|\.\d)"
+#: What stands before a secret: a keyword, alone or at the end of a longer name, and its sign.
+_SECRET_HEAD = r"(?:[A-Za-z0-9]{1,30}[_-]){0,4}(?i:token|secret(?:[_-]?(?:access[_-]?)?key)?|password|passwd|(?:api|access|private)[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
 
 
 def _by_first_letter(words: tuple[str, ...]) -> str:
@@ -55,17 +60,20 @@ _GIVEN = _by_first_letter((*MALE_NAMES, *FEMALE_NAMES))
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
 PATTERNS = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{{2,24}}",
-    "secret": r"(?<!\p{L})(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,}+|(?<![A-Za-z0-9])[0-9a-fA-F]{32,}+(?![A-Za-z0-9])",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
+    "secret": r"(?<!\p{L})" + _SECRET_HEAD + r"[A-Za-z0-9+/_-]{8,}+|(?<![A-Za-z0-9])[0-9a-fA-F]{32,}+(?![A-Za-z0-9])",
+    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)|{_IP6}",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\w+])\d(?:[ -]?\d){12,18}(?![\w@])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+(])(?:\+?\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+.-])(?:\+\d{1,3}[ .-])?(?:\d{3}[ .-])?\d{3}[.-]\d{4}(?![\w-])|(?<![\w+])\+\d{7,15}(?!\w)",
+    "phone": r"(?<![\w+(])(?:\+?\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+.-])(?:\+\d{1,3}[ .-])?(?:\d{3}[ .-])?\d{3}[.-]\d{4}(?![\w-])|(?<![\w+])\+\d{7,15}(?!\w)"
+    # international and national numbers in groups parted by blanks, dots or hyphens
+    r"|(?<![\w+])\+(?=(?:[ .()-]{0,2}\d){7,15}(?![ .-]?\d))\d{1,3}(?:[ .-]?\(?\d{1,8}\)?){2,6}(?!\w)"
+    r"|(?<![\w+.-])(?:\d{3} \d{3} \d{4}|0\d{2,4} \d{3,4} \d{3,4}|0\d{1,4}[ /]\d{5,8}|0\d(?:[ .]\d{2}){4})(?![\w-])(?! ?\d)",
     "person": rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})",
 }
 #: All of them, tried at starts of words alone, and there by the first character.
 PATTERN = (
-    r"(?<![\p{L}\p{N}_])(?:(?=[\d+(])(?:" + "|".join(PATTERNS[k] for k in ("ip", "card", "ssn", "phone")) + r")|(?=[tTsSpPaA0-9b-fB-F])(?:" + PATTERNS["secret"]
+    r"(?<![\p{L}\p{N}_])(?:(?=[\d+(])(?:" + "|".join(PATTERNS[k] for k in ("ip", "card", "ssn", "phone")) + r")|(?=[a-fA-F:])(?:" + _IP6 + r")|(?=[A-Za-z0-9])(?:" + PATTERNS["secret"]
     + r")|(?=\p{Lu})(?:" + PATTERNS["account"] + "|" + PATTERNS["person"] + ")|" + PATTERNS["email"] + ")"
 )
 KINDS = tuple(PATTERNS)
@@ -88,14 +96,27 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
+def _groups(found: Column) -> Column:
+    """All eight groups of an IPv6 address, in four lower-case digits each."""
+
+    def of(x: Column) -> Column:
+        listed = lambda part: F.filter(F.split(part, ":"), lambda g: g != "")
+        left, right = listed(F.substring_index(x, "::", 1)), listed(F.when(F.contains(x, F.lit("::")), F.substring_index(x, "::", -1)).otherwise(""))
+        zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(left) - F.size(right)))
+        return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
+
+    return let(F.lower(found), of)
+
+
 def normal_form(kind: Column, found: Column) -> Column:
     """What mentions of one entity share."""
-    bare = F.regexp_replace(found, r"^(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?", "")
+    bare = F.regexp_replace(found, "^" + _SECRET_HEAD, "")
     return (
         F.when(kind.isin("card", "ssn", "phone"), _digits(found))
         .when(kind == "email", F.lower(found))
         .when(kind == "secret", bare)
         .when(kind == "account", F.replace(found, F.lit(" "), F.lit("")))
+        .when((kind == "ip") & F.contains(found, F.lit(":")), _groups(found))
         .when(kind == "person", F.lower(F.regexp_replace(found, rf"^(?:{_TITLE})\.? ", "")))
         .otherwise(found)
     )
@@ -247,6 +268,7 @@ def surrogate(kind: Column, found: Column, normal: Column, key: Column, attempt:
         return (
             F.when(kind == "email", F.concat(_spelled(F.substring_index(found, "@", 1), digest), F.when(attempt > 3, F.concat(F.lit("."), F.substring(digest, 1, 8))).otherwise(""), F.lit("@d"), F.substring(_hash(key, F.lit("domain"), F.lower(F.substring_index(found, "@", -1))), 1, 8), F.lit(".example.org")))
             .when(kind == "secret", F.concat(F.substr(found, F.lit(1), F.length(found) - F.length(normal)), F.when(normal.rlike("^[0-9a-fA-F]+$"), _hexed(normal, digest)).otherwise(_spelled(normal, digest))))
+            .when((kind == "ip") & F.contains(found, F.lit(":")), F.concat(F.lit("2001:0db8"), *[F.concat(F.lit(":"), F.substring(digest, 1 + 4 * i, 4)) for i in range(6)]))
             .when(kind == "ip", _address(found, key, attempt))
             .when(kind == "account", F.concat(F.substring(found, 1, 2), _spelled(F.substr(found, F.lit(3)), digest)))
             .when(kind == "card", _written(found, _card(normal, key, attempt)))

@@ -278,6 +278,22 @@ def test_surrogates_stay_distinct_and_run_natively(spark, docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_more_formats_of_personal_data(spark):
+    phones = ["+1 555 123 4567", "555 123 4567", "+44 20 7946 0958", "+49 30 1234567", "+33 6 12 34 56 78", "020 7946 0958", "06 12 34 56 78"]
+    secrets = ["access_token=Zx9qLmnopq", "client_secret: 'q8WvTTpzz'", "AWS_SECRET_ACCESS_KEY=abcDEF123+/x", '"api_key": "k3yk3yk3y"']
+    other = ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0DB8:0:0:0:0:0:1", "Emily Brown", "Andreas Schulz"]
+    kinds = ["phone"] * len(phones) + ["secret"] * len(secrets) + ["ip"] * 3 + ["person"] * 2
+    texts = phones + secrets + other
+    clean = ["std::vector a::b", "at 12:30:45 on 2024-01-02", "12 345 678 items", "the tokens and secrets: few"]
+    docs = spark.createDataFrame([(i, f"See {t} now") for i, t in enumerate(texts + clean)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["_pii"]) for r in pii.replace(docs, "k").collect()}
+    for i, (t, kind) in enumerate(zip(texts, kinds, strict=True)):
+        assert got[i][1] == [kind] and t not in got[i][0] and got[i][0].startswith("See ") and got[i][0].endswith(" now"), (t, got[i])
+    assert got[len(phones) + len(secrets)] == got[len(phones) + len(secrets) + 2]
+    for i, t in enumerate(clean, len(texts)):
+        assert got[i] == (f"See {t} now", [])
+
+
 def test_colliding_surrogates_are_keyed_anew(spark):
     rows = [(i, f"a{i}@x.example.com b{i}@x.example.com {i}.1.1.1") for i in range(10)] * 20
     rows += [(1000 + i, f"{chr(97 + i % 26)}@x.example.com") for i in range(26)]
