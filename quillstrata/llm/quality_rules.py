@@ -17,6 +17,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,9 @@ from ._batches import encoded, map_texts, slices, texts_of
 MIN_WORDS, WORD_GUARD, COMMON_WORDS = 50, 80, 48
 CLASS_LIMIT, CLASS_SLACK, WORD_LIMIT, WORD_SLACK = 0.20, 0.5, 0.30, 1.0
 #: Words that a task counts before it hands the counts on.
-FLUSH_WORDS = 400_000
+FLUSH_WORDS = 200_000
+#: Bytes of texts judged at once, and code points counted at once: each core has a worker, whose memory they bound.
+SLICE, PIECE = 1 << 20, 1 << 20
 #: Places that the words of one language are dealt to when the most frequent ones are looked for.
 SALTS = 64
 
@@ -56,15 +59,16 @@ def _class_of(ch: str) -> int:
 _table: list[np.ndarray] = []
 
 
-def _points(text: bytes) -> np.ndarray:
-    """Code points; all beyond the basic plane are one."""
-    return np.minimum(np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32), 0x10000)
-
-
-def _classes(points: np.ndarray) -> np.ndarray:
+def kinds_of(text: bytes) -> np.ndarray:
+    """How many code points of the text are of each class (rows) and are separators or symbols (columns 1 and 2), by pieces of bounded size."""
     if not _table:
-        _table.append(np.array([_class_of(chr(i)) if not 0xD800 <= i < 0xE000 else len(CLASSES) - 1 for i in range(0x10000)] + [len(CLASSES) - 1], np.uint8))
-    return _table[0][points]
+        mark = {ord(c): 1 for c in _SEPARATORS} | {ord(c): 2 for c in _SYMBOLS}
+        _table.append(np.array([3 * _class_of(chr(i)) + mark.get(i, 0) for i in range(0x110000)], np.uint8))
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
+    out = np.zeros(3 * len(CLASSES), np.int64)
+    for at in range(0, len(points), PIECE):
+        out += np.bincount(_table[0][points[at : at + PIECE]], minlength=len(out))
+    return out.reshape(-1, 3)
 
 
 def _sums(owner: np.ndarray, kind: np.ndarray, owners: int, kinds: int) -> np.ndarray:
@@ -125,15 +129,11 @@ class Judge:
         places = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
         ids = np.fromiter((places[w] for ws in split for w in ws), np.int64, int(n_words.sum()))
         owner = np.repeat(np.arange(n), n_words)
-        points, chars = _points(b"".join(texts)), np.array([len(t.decode("utf-8", "replace")) for t in texts], np.int64)
-        text_of = np.repeat(np.arange(n), chars)
-        mark = np.zeros(0x10001, np.uint8)
-        mark[[ord(c) for c in _SEPARATORS]], mark[[ord(c) for c in _SYMBOLS]] = 1, 2
-        marks = _sums(text_of, mark[points], n, 3)
+        kinds = np.array([kinds_of(t) for t in texts]).reshape(n, len(CLASSES), 3)
+        have, marks = kinds.sum(2), kinds.sum(1)
         again = np.array([duplicate_lines(t) for t in texts], np.int64)
         repeated = repeated_words(ids, owner, n)
         failed = (n_words < MIN_WORDS) | (100 * repeated > 50 * n_words)
-        have = _sums(text_of, _classes(points), n, len(CLASSES))
         by_class = np.full(n, np.inf) if self.classes else np.zeros(n)
         for q in self.classes:
             np.minimum(by_class, distances(have, q), out=by_class)
@@ -146,7 +146,7 @@ class Judge:
         by_class[n_words == 0] = by_word[n_words == 0] = np.nan
         root = np.sqrt(np.maximum(n_words, 1))
         strays = (by_class > CLASS_LIMIT + CLASS_SLACK / root) | (n_words >= WORD_GUARD) & (by_word > WORD_LIMIT + WORD_SLACK / root)
-        return [n_words, chars - marks[:, 1], marks[:, 2], again, repeated, failed, ~failed & ~strays, by_class, by_word]
+        return [n_words, marks[:, 0] + marks[:, 2], marks[:, 2], again, repeated, failed, ~failed & ~strays, by_class, by_word]
 
 
 _COUNTED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word", T.BinaryType()), T.StructField("class", T.IntegerType()), T.StructField("n", T.LongType())])
@@ -160,20 +160,26 @@ def fit(docs: DataFrame) -> list[Reference]:
         classes: dict[str, np.ndarray] = {}
 
         def hand_on() -> pa.RecordBatch:
-            rows = [(lang, w, None, n) for lang, c in words.items() for w, n in c.items()] + [(lang, None, k, int(n)) for lang, c in classes.items() for k, n in enumerate(c)]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+            of = [(lang, c, len(c)) for lang, c in words.items()] + [(lang, None, len(CLASSES)) for lang in classes]
+            columns = [
+                pa.array([lang for lang, _, size in of for _ in range(size)], pa.string()),
+                pa.array([w for _, c, size in of for w in (c or [None] * size)], pa.binary()),
+                pa.array([k for _, c, size in of for k in ([None] * size if c else range(size))], pa.int32()),
+                pa.array([*chain.from_iterable(c.values() for c in words.values()), *chain.from_iterable(c.tolist() for c in classes.values())], pa.int64()),
+            ]
             words.clear()
             classes.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.binary(), pa.int32(), pa.int64()), strict=True)], names=_COUNTED.names)
+            return pa.RecordBatch.from_arrays(columns, names=_COUNTED.names)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 together: dict[str, list[bytes]] = {}
                 for lang, text in zip(part.column("lang").to_pylist(), encoded(part, "text"), strict=True):
                     together.setdefault(lang, []).append(text)
                 for lang, texts in together.items():
-                    words.setdefault(lang, Counter()).update(b"\n".join(texts).split())
-                    classes[lang] = classes.get(lang, 0) + np.bincount(_classes(_points(b"".join(texts))), minlength=len(CLASSES))
+                    if split := b"\n".join(texts).split():
+                        words.setdefault(lang, Counter()).update(split)
+                    classes[lang] = classes.get(lang, 0) + sum(kinds_of(t).sum(1) for t in texts)
                 if sum(map(len, words.values())) > FLUSH_WORDS:
                     yield hand_on()
         yield hand_on()
@@ -206,7 +212,7 @@ def judge(docs: DataFrame, references: list[Reference]) -> DataFrame:
 
         return apply
 
-    return map_texts(texts_of(docs), "text", _SCHEMA, build)
+    return map_texts(texts_of(docs), "text", _SCHEMA, build, SLICE)
 
 
 def keep_judged(docs: DataFrame, references: list[Reference]) -> DataFrame:
@@ -216,4 +222,4 @@ def keep_judged(docs: DataFrame, references: list[Reference]) -> DataFrame:
         judged = Judge(references)
         return lambda b: b.filter(pa.array(judged(encoded(b, "text"))[6]))
 
-    return map_texts(docs, "text", docs.schema, build)
+    return map_texts(docs, "text", docs.schema, build, SLICE)
