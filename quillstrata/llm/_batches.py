@@ -55,6 +55,7 @@ def map_texts(df: DataFrame, column: str, schema: T.StructType, build: Callable[
         for batch in batches:
             for part in slices(batch, column, limit):
                 yield apply(part)
+        apply = batch = part = None
         give_back()
 
     return df.mapInArrow(run, schema)

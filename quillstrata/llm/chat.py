@@ -2,18 +2,20 @@
 
 A legal conversation is an optional system turn, then user and assistant in turn, user first. Dynamic programming over
 this automaton chooses for each turn to keep it, to merge it into the turn before, to relabel it, or to put an empty turn
-of the missing role in front of it, at the least total cost; among equals the option named first in OPTIONS.
+of the missing role in front of it, at the least total cost; among equals the first state at the ends of stretches, then
+the option named first in OPTIONS.
 
 The cost of a stretch of turns, from each state to each, is a small matrix, and matrices of neighbouring stretches
-multiply (minimum for sum, sum for product). So conversations are cut into stretches of STRETCH turn numbers, the matrices
-are multiplied up in a tree, the states at the ends of each stretch come down again, and each stretch is traced on its
-own: no task holds a whole conversation, however long.
+multiply (minimum for sum, sum for product). So conversations are cut into piles of STRETCH turn numbers, a pile of more
+rows into several stretches, the matrices are multiplied up in a tree, the states at the ends of each stretch come down
+again, and each stretch is traced on its own: no task holds a whole conversation, however long.
 
 The result has a row for each turn, whose `rendered` pieces, put together in order, are the rendered conversation.
 
 Defined cases: exact repetitions of a row are one turn; turns with one number follow by role, then text; a null turn
-comes last; null roles and unknown ones are relabelled (at UNKNOWN, not RELABEL); a null text is empty; rows with a null
-conv_id are one conversation; a conversation of system turns alone gets an empty user turn. Other columns are left aside.
+comes last; null roles and unknown ones are relabelled (at UNKNOWN, not RELABEL); a null text is empty; each row with a
+null conv_id is a conversation of its own; a conversation of system turns alone gets an empty user turn. Long texts stay
+whole; an empty table gives an empty one. Other columns are left aside.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from ..sources.shared import stored
 
@@ -172,7 +175,7 @@ def _product(row: dict) -> Iterable[tuple]:
 
 
 def _root(row: dict) -> Iterable[tuple]:
-    """The at most two stretches below a conversation: that of negative numbers and that of the others."""
+    """What is below a conversation: one node."""
     total = np.array([0, FAR, FAR, FAR], np.int64)
     for part in row["parts"]:
         total = np.minimum((total[:, None] + np.array(part["matrix"], np.int64).reshape(4, 4)).min(0), FAR)
@@ -205,15 +208,19 @@ def repair(conversations: DataFrame) -> DataFrame:
     Order within a conversation: stretch, then at. Rows are gathered for STRETCH turn numbers at a time.
     """
     own = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
-    last = (1 << 62) // STRETCH
-    turns = own.withColumn("key", F.coalesce(F.col("conv_id").cast("string"), F.lit("none"))).withColumn("place", F.coalesce(F.floor(F.col("turn") / STRETCH).cast("long"), F.lit(last)))
-    stretches = stored(turns.groupBy("key", "place").agg(F.min("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("items")))
-    leaf = lambda r: [(r["key"], r["place"], list(matrix_of(tuple(map(role_of, r["roles"])))))]
-    levels = [stored(_rowwise(stretches.select("key", "place", F.col("items.role").alias("roles")), _NODE, leaf))]
-    while levels[-1].where("place not in (-1, 0)").limit(1).count():
+    alone = F.concat(F.lit("none "), F.sha2(F.to_json(F.struct("turn", "role", "text")), 256))
+    turns = own.withColumn("key", F.coalesce(F.col("conv_id").cast("string"), alone)).withColumn("pile", F.coalesce(F.floor(F.col("turn") / STRETCH).cast("long"), F.lit((1 << 62) // STRETCH)))
+    ranked = turns.withColumn("part", F.floor((F.row_number().over(W.partitionBy("key", "pile").orderBy("turn", "role", "text")) - 1) / STRETCH).cast("long"))
+    stretches = stored(ranked.groupBy("key", "pile", "part").agg(F.min("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("items")))
+    leaf = lambda r: [(r["key"], r["pile"], r["part"], list(matrix_of(tuple(map(role_of, r["roles"])))))]
+    leaves = _rowwise(stretches.select("key", "pile", "part", F.col("items.role").alias("roles")), "key string, pile long, part long, matrix array<long>", leaf)
+    leaves = stored(leaves.withColumn("place", F.row_number().over(W.partitionBy("key").orderBy("pile", "part")).cast("long") - 1))
+    levels = [leaves.select("key", "place", "matrix")]
+    while levels[-1].where("place > 0").limit(1).count():
         levels.append(stored(_rowwise(_gathered(levels[-1], "key", "parent"), _NODE, _product)))
     states = _rowwise(_gathered(levels[-1], "key"), _STATES, _root)
     for level in reversed(levels[:-1]):
         above = states.withColumnRenamed("place", "parent")
         states = _rowwise(_gathered(level, "key", "parent").join(above, ["key", "parent"]), _STATES, _children)
-    return _rowwise(stretches.join(states, ["key", "place"]), _ROWS, _turns)
+    placed = leaves.select("key", "pile", "part", "place").join(states, ["key", "place"])
+    return _rowwise(stretches.join(placed, ["key", "pile", "part"]), _ROWS, _turns)

@@ -8,12 +8,12 @@ characters of its language are a dense table, those by its other characters (of
 
 Defined cases: `und` with score 0 if text is null, has no letter, or nothing could be learned; ties go to the first
 language in code-point order. A text longer than STRETCH characters is parsed in stretches of that many, all of them,
-and a phrase ends where a stretch ends. Upper case is folded. Repeated rows get equal results; other columns are left aside.
+and a phrase ends where a stretch ends, in all languages alike. Upper case is folded. Repeated rows get equal results; an
+empty table gives an empty one; other columns are left aside.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,10 +29,13 @@ from .sample import sample_texts
 SAMPLE_DOCS, SAMPLE_CHARS, TRAIN_CHARS = 256, 2048, 24_000
 #: Columns of the dense tables: characters that the language's text lacks, and its most frequent ones.
 DENSE, STRETCH, SHARPNESS = 64, 2048, 8.0
-_LETTER = re.compile(r"[^\W\d_]")
 _SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     """Transitions of the states; state 0 is the start, and a walk from it spells exactly the substrings of codes."""
     step: list[dict[int, int]] = [{}]
@@ -160,7 +163,7 @@ class Parser:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         names, scores = ["und"] * len(texts), np.zeros(len(texts))
-        at = [i for i, t in enumerate(texts) if _LETTER.search(t)] if self.langs else []
+        at = [i for i, t in enumerate(texts) if has_letter(t)] if self.langs else []
         if at:
             h = self.entropies([texts[i].lower() for i in at])
             best = h.argmin(1)
@@ -191,7 +194,7 @@ def fit_texts(samples: dict[str, list[str]]) -> Model:
         if rest := TRAIN_CHARS - len(text):
             text += "".join("\0" + t.lower()[share : share + rest] for t in samples[lang][: 1 + rest // SAMPLE_CHARS] if rest > 0)
         out.append((lang, text[:TRAIN_CHARS]))
-    return Model(tuple(x for x in out if _LETTER.search(x[1])))
+    return Model(tuple(x for x in out if has_letter(x[1])))
 
 
 def fit(docs: DataFrame) -> Model:

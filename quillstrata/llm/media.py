@@ -6,7 +6,9 @@ text_tiles() does the same with texts: their UTF-8 bytes, padded with blanks to
 image 8 pixels wide (8 * 8 * 3 = 192), stored without loss.
 
 Defined cases: a null text is an empty one, of 192 blanks; a null or unreadable image has null columns and its reason in
-`error`. Equal inputs give equal rows; repeated rows stay. Other columns are left aside.
+`error`. Samples of another largest value than 255 or 65535 are scaled to the whole range. Equal inputs give equal rows;
+repeated rows stay; neighbours of equal brightness have the bit 0. A very long text is one tall image. An empty table
+gives an empty one. Other columns are left aside.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ def _netpbm(data: bytes) -> np.ndarray:
     if kind == 1:
         values = np.array([x == 49 for x in re.sub(rb"#[^\n]*\n|\s", b"", data[at:])], np.uint8)
     elif kind in (2, 3):
-        values = np.array(re.sub(rb"#[^\n]*\n", b"", data[at:]).split(), np.uint8 if top < 256 else np.uint16)
+        values = np.array([min(int(x), 1 << 32) for x in re.sub(rb"#[^\n]*\n", b"", data[at:]).split()[:n]], np.int64)
     elif kind == 4:
         row = -(-width // 8)
         values = np.unpackbits(np.frombuffer(data, np.uint8, -1, at + 1)[: row * height])
@@ -65,13 +67,22 @@ def _netpbm(data: bytes) -> np.ndarray:
     if len(values) < n:
         raise MediaError("too few samples")
     values = values[:n].reshape((height, width, channels))
-    return (1 - values) * np.uint8(255) if kind in (1, 4) else values
+    if kind in (1, 4):
+        return (1 - values) * np.uint8(255)
+    full, sample = (255, np.uint8) if top < 256 else (65535, np.uint16)
+    if top == full and kind in (5, 6):
+        return values
+    if not 0 <= values.min() <= values.max() <= top:
+        raise MediaError("a sample above the largest value")
+    return ((values.astype(np.int64) * full * 2 + top) // (2 * top)).astype(sample)  # the whole range, rounded
 
 
 def _bmp(data: bytes) -> np.ndarray:
     number = lambda at, size, signed=False: int.from_bytes(data[at : at + size], "little", signed=signed)
     if len(data) < 54 or number(30, 4) not in (0, 3) or number(28, 2) not in (24, 32):
         raise MediaError("only uncompressed 24- and 32-bit BMP")
+    if number(30, 4) == 3 and [number(54 + 4 * k, 4) for k in range(3)] != [0xFF0000, 0xFF00, 0xFF]:
+        raise MediaError("unusual bit fields")
     start, width, height, channels = number(10, 4), number(18, 4, True), number(22, 4, True), number(28, 2) // 8
     row = (width * channels + 3) // 4 * 4
     if width <= 0 or not height or len(data) < start + row * abs(height):
@@ -167,7 +178,7 @@ def tiles(images: DataFrame, id_column: str, data_column: str, height: int | Non
                 image = np.clip(np.round(area_resize(image, height, width)), 0, 65535).astype(image.dtype)
             tile = write_npy(image)
             return (*map(int, image.shape), tile, difference_hash(read_npy(tile)), None)
-        except ValueError as e:
+        except (ValueError, OverflowError, MemoryError) as e:
             return (None, None, None, None, None, str(e)[:200])
 
     def build():

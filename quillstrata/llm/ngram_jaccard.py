@@ -8,7 +8,8 @@
    share one. If these are all rare, each is a key. Else the rare ones are keys, and the prefix is extended: with at most
    a tokens of x missing in y and b of y in x, k of the first (k - 1)(a + b) + k common tokens are side by side in both;
    so all combinations of k = COMBINED tokens side by side in the first ka + (k - 1)b + k tokens are keys (b is taken
-   one higher, as a may be less than d).
+   one higher, as a may be less than d). Sets so small that this promises nothing (fewer than 20 tokens at 80 %) have
+   their first d + 1 tokens as keys, whatever their class: the condition is the same for both sets of a pair.
 4. Classes that share a key of at most BUCKET classes are compared with each other. In a larger bucket, all are
    compared with one leader; only what isn't yet in one component goes on to further leaders, of which each round
    takes sixteen times as many, so that every pair not yet connected is compared at last.
@@ -17,7 +18,9 @@
 
 Defined cases: null and empty texts, and those without words, have no shingles and are linked with nothing; texts with
 fewer words than a shingle have one. Repeated rows are copies of each other. Rows with a null doc_id take part and have
-the component of their class. Other columns are left aside. Shingles are 64-bit hashes, classes 64-bit sums of them.
+the component of their class. Very long texts have all their shingles. Pairs at the threshold itself link. An empty table
+gives an empty one. Other columns are left aside. Shingles are 64-bit hashes, classes 64-bit sums of them: of n classes,
+n * n / 2^65 pairs are expected to share a name by chance.
 """
 
 from __future__ import annotations
@@ -130,6 +133,8 @@ def keys_of(tokens: np.ndarray, frequent: np.ndarray, share: int) -> tuple[np.nd
     b = max(0, 100 * (n - d) // share - n)
     k = min(COMBINED, n)
     order = np.concatenate([rare, tokens[frequent]])[: k * d + (k - 1) * (b + 1) + k]
+    if (k - 1) * (d + b) + k > n - d:  # too few common tokens for k of them to be side by side in both
+        single = mix(order[: d + 1])
     key = order[: len(order) - k + 1]
     for j in range(1, k):
         key = mix(key * _M1 + mix(order[j : len(order) - k + 1 + j] + _M2))
@@ -137,8 +142,8 @@ def keys_of(tokens: np.ndarray, frequent: np.ndarray, share: int) -> tuple[np.nd
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, v (the class; null if the set is empty) and bins of every document."""
-    schema = T.StructType([T.StructField("doc_id", _L), T.StructField("n", _L), T.StructField("v", _L), T.StructField("bins", _B)])
+    """doc_id, text_key, n, v (the class; null if the set is empty) and bins of every document. docs: doc_id, text and text_key."""
+    schema = T.StructType([T.StructField("doc_id", _L), T.StructField("text_key", _L), T.StructField("n", _L), T.StructField("v", _L), T.StructField("bins", _B)])
 
     def build():
         shingler = Shingler(size)
@@ -147,7 +152,7 @@ def sets(docs: DataFrame, size: int) -> DataFrame:
             found = shingler(encoded(batch, "text"))
             names = iter(classes_of([s for s in found if len(s)]).tolist())
             columns = [pa.array([len(s) for s in found], pa.int64()), pa.array([next(names) if len(s) else None for s in found], pa.int64()), pa.array([bins_of(s) for s in found], pa.binary())]
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=schema.names)
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *columns], names=schema.names)
 
         return apply
 
@@ -341,13 +346,45 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
         taken *= 16
 
 
+def _classified(docs: DataFrame, size: int, share: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows, and of each class v its component_id, the `first` row of its component and the component's rows.
+
+    first: whether doc_id is null, doc_id and text_key; the least of them.
+    """
+    keyed = texts_of(docs).withColumn("text_key", text_key())
+    all_ = stored(sets(keyed, size))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    classes = stored(all_.where("v is not null").groupBy("v").agg(F.min("n").alias("n"), F.min("bins").alias("bins"), F.min("doc_id").alias("least"), F.min(first).alias("first"), F.count("*").alias("rows")))
+    linked = linked_classes(keyed.select("doc_id", "text"), classes.select("v", "n", "bins"), size, share)
+    named = classes.select("v", "least", "first", "rows").join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
+    of = named.groupBy("c").agg(F.min("least").alias("component_id"), F.min("first").alias("first"), F.sum("rows").alias("rows"))
+    return all_, stored(named.select("v", "c").join(of, "c").select("v", "component_id", "first", "rows"))
+
+
+def text_key(column: str = "text") -> F.Column:
+    """Tells the texts of rows with one doc_id apart."""
+    return F.xxhash64(F.col(column).cast("string"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row. size: words of a shingle; share: percents of similarity that link."""
-    docs = texts_of(docs)
-    all_ = stored(sets(docs, size))
-    classes = stored(all_.where("v is not null").groupBy("v").agg(F.min("n").alias("n"), F.min("bins").alias("bins"), F.min("doc_id").alias("least")))
-    linked = linked_classes(docs, classes.select("v", "n", "bins"), size, share)
-    named = classes.select("v", "least").join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
-    least = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    of = stored(named.join(least, "c").select("v", "component_id"))
-    return all_.join(of, "v", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    all_, of = _classified(docs, size, share)
+    found = all_.where("v is not null").join(of.select("v", "component_id"), "v").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.union(all_.where("v is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, size: int = 5, share: int = 80) -> DataFrame:
+    """docs without all rows but the first of each component, with all columns: that of the least doc_id (rows without one come last).
+
+    Rows whose text has no word are in no component and stay. Only the ids and text keys of rows that go are joined with docs.
+    """
+    all_, of = _classified(docs, size, share)
+    members = stored(all_.where("v is not null").join(of.where("rows > 1"), "v").select("doc_id", "text_key", (~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))).alias("goes")).groupBy("doc_id", "text_key").agg(F.max("goes").alias("goes"), F.count("*").alias("rows")))
+    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("m.doc_id")) & (text_key("d.text") == F.col("m.text_key"))
+    join = lambda d, keys, how: d.alias("d").join(keys.select("doc_id", "text_key").alias("m"), same, how).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    out = join(docs, members.where("goes"), "left_anti")
+    again = members.where("not goes and rows > 1")
+    if again.isEmpty():
+        return out
+    once = join(out, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return join(out, again, "left_anti").unionByName(once)

@@ -8,8 +8,8 @@ group is partitioned anew. Every FILLER_EVERYth rest gives its last FILLERS to t
 which even out what whole documents cannot.
 
 Defined cases: null and empty texts are the end id alone; repeated rows are packed once each; an empty table gives no
-pieces; texts longer than a window span several. Other columns are left aside. Words are kept for reuse up to KEPT_WORDS
-a worker, then forgotten: a bound on memory, not on what is packed.
+pieces; texts longer than a window span several; pieces that tie go by doc_id and start. Other columns are left aside. Words are kept for reuse up to KEPT_WORDS
+a task, then forgotten: a bound on memory, not on what is packed.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ from ..sources.shared import cut
 from ._batches import encoded, map_texts, texts_of
 
 CAPACITY, END_ID = 4096, 2
-GROUP_WINDOWS, FILLER_EVERY, FILLERS, LEAST_FILLED = 512, 4, (64, 32, 16, 8, 4, 2, 1, 1), 256
-KEPT_WORDS = 1_200_000
+GROUP_WINDOWS, FILLER_EVERY, FILLERS, LEAST_FILLED = 512, 8, (64, 48, 32, 24, 16), 256
+#: Words kept in a task, and bytes of texts encoded at once.
+KEPT_WORDS, SLICE = 600_000, 2 << 20
 _MARKS = b".,;:!?*$%&#"
 #: A last letter that stays one letter under the model's normal form and lower case: A-Z, and U+00C0 to U+00FF without two signs.
 _LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -105,6 +106,22 @@ def cuts_of(n: int, filler: bool, capacity: int = CAPACITY) -> list[int]:
     return [*out, rest] if rest else out
 
 
+def _library(path: str) -> tuple:
+    """The library's tokenizer, and which ids end a word."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer as Library
+
+    library = Library.from_file(path)
+    vocabulary = library.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return library, ends
+
+
+#: One a worker process and model file.
+_libraries: dict[str, tuple] = {}
+
+
 class Tokenizer:
     """Ids of texts as little-endian unsigned 32-bit integers. White space parts words, each encoded once by the library.
 
@@ -113,14 +130,10 @@ class Tokenizer:
     """
 
     def __init__(self, path: str, kept: int = KEPT_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer as Library
-
-        self.library, self.kept = Library.from_file(path), kept
+        if path not in _libraries:
+            _libraries[path] = _library(path)
+        (self.library, self.ends), self.kept = _libraries[path], kept
         self.known: dict[bytes, bytes] = {}
-        vocabulary = self.library.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, words: list[bytes]) -> None:
         """Words of letters alone go in one text each thousand: the model marks where a word ends. The others go one by one."""
@@ -169,15 +182,12 @@ class Tokenizer:
             gc.enable()
 
 
-_tokenizers: dict[str, Tokenizer] = {}
-
-
 def pieces(docs: DataFrame, path: str) -> DataFrame:
     """The pieces of every document, in a narrow step."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def build():
-        tokenizer = _tokenizers.setdefault(path, Tokenizer(path)) if path not in _tokenizers else _tokenizers[path]
+        tokenizer = Tokenizer(path)
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
@@ -192,11 +202,11 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
 
         return apply
 
-    return map_texts(texts_of(docs), "text", _PIECES, build)
+    return map_texts(texts_of(docs), "text", _PIECES, build, SLICE)
 
 
 def pack(docs: DataFrame, path: str) -> DataFrame:
-    """Pieces with sequence_id and offset. Groups are of bounded size, dealt by a hash of document and start."""
+    """Pieces with sequence_id and offset. Groups are of bounded size, dealt by a hash of document, start and place in the table."""
     found = cut(pieces(docs, path))
     total = found.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (GROUP_WINDOWS * CAPACITY)))
@@ -210,4 +220,6 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
         group["offset"] = group.groupby("sequence_id")["length"].cumsum() - group["length"]
         return group[_PACKED.names]
 
-    return found.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups))).groupBy("_group").applyInPandas(place, _PACKED)
+    # the place in the table parts rows that have one id, or none
+    group = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(groups))
+    return found.withColumn("_group", group).groupBy("_group").applyInPandas(place, _PACKED)

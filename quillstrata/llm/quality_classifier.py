@@ -27,7 +27,7 @@ from .sample import sample_texts
 
 #: Bounds of the training sample: documents of each label, and characters taken of each, at a place that depends on its id.
 SAMPLE_DOCS, SAMPLE_CHARS = 1536, 8192
-DICTIONARY_BYTES, SNIPPET_BYTES, BLOCK_BYTES, LEVEL, LEAST_TEXTS = 262_144, 64, 256, 12, 4
+DICTIONARY_BYTES, SNIPPET_BYTES, BLOCK_BYTES, LEVEL, LEAST_TEXTS = 262_144, 16, 256, 12, 4
 _SCORE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())])
 
 

@@ -7,6 +7,8 @@ Pieces of blanks alone share one rank, below all others: what is left of a run o
 
 Defined cases: null and empty texts have no ids and decode to the empty text. Repeated rows get equal results; other
 columns are left aside. Words are kept up to KEPT_WORDS a worker, then forgotten: a bound on memory, not on what is encoded.
+Of pairs of one rank the leftmost is merged first. A very long word has rounds of its own (bpe.py). An empty table gives
+an empty one.
 """
 
 from __future__ import annotations
@@ -59,12 +61,21 @@ class Model:
             data = f.read()
         self.pieces: list[str] = []
         scores, kinds = [], []
+        trainer: dict = {}
+        normal_form: dict = {}
         for number, value in _fields(data):
-            if number == 1:
+            if number == 2:
+                trainer = dict(_fields(value))
+            elif number == 3:
+                normal_form = dict(_fields(value))
+            elif number == 1:
                 own = dict(_fields(value))
                 self.pieces.append(own[1].decode())
                 scores.append(float(np.frombuffer(own.get(2, b"\0\0\0\0"), "<f4")[0]))
                 kinds.append(own.get(3, _NORMAL))
+        # what this encoder does not do is refused: other kinds of model, character maps, pieces of users, blanks at the end
+        if trainer.get(3, 1) != 2 or trainer.get(24, 0) or normal_form.get(2) or not normal_form.get(3, 1) or normal_form.get(4, 1) or not normal_form.get(5, 1) or not {1, 2, 3, _BYTE} >= set(kinds):
+            raise ValueError("only BPE models that leave the text as it is, put a blank in front, and have no pieces of users")
         size = len(self.pieces)
         normal = [i for i in range(size) if kinds[i] == _NORMAL]
         self.ids = {self.pieces[i]: i for i in normal}
@@ -157,7 +168,7 @@ class Encoder:
 
     def __init__(self, model: Model, kept: int = KEPT_WORDS):
         self.model, self.kept = model, kept
-        self.known: dict[bytes, tuple[bytes, bytes]] = {}
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}  # ids in decimal with a comma after each, and as 32-bit integers
 
     @staticmethod
     def words(text: bytes) -> list[bytes]:
@@ -175,13 +186,13 @@ class Encoder:
             part = words[at : at + AT_ONCE]
             full = b"\0".join([w if w[:1] in (b"\n", b" ") else b" " + w for w in part]).decode().replace(" ", _BLANK).split("\0")
             ids, size = self.model.encode_flat(full if len(full) == len(part) else [(w if w[:1] in (b"\n", b" ") else b" " + w).decode().replace(" ", _BLANK) for w in part])
-            decimal, raw, at_id = [self.model.decimal[i] for i in ids.tolist()], [self.model.raw[i] for i in ids.tolist()], 0
+            decimal, flat, at_id = [self.model.decimal[i] for i in ids.tolist()], ids.astype(np.int32).tobytes(), 0
             for w, n in zip(part, size.tolist(), strict=True):
-                self.known[w] = (b"".join(decimal[at_id : at_id + n]), b"".join(raw[at_id : at_id + n]))
+                self.known[w] = (b"".join(decimal[at_id : at_id + n]), flat[4 * at_id : 4 * (at_id + n)])
                 at_id += n
 
     def __call__(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """Of each text its ids, in decimal with commas between them, and the decoded text."""
+        """Of each text its ids, in decimal with commas between them, and the text that decode() makes of them."""
         split = [self.words(t) if t else [] for t in texts]
         missing = [w for w in dict.fromkeys(w for ws in split for w in ws) if w not in self.known]
         if len(self.known) + len(missing) > self.kept:
@@ -191,7 +202,7 @@ class Encoder:
         out = []
         for ws in split:
             found = [self.known[w] for w in ws]
-            out.append((b"".join([f[0] for f in found])[:-1], b"".join([f[1] for f in found])[1:]))
+            out.append((b"".join([f[0] for f in found])[:-1], self.model.decode(np.frombuffer(b"".join([f[1] for f in found]), np.int32))))
         return out
 
 

@@ -79,6 +79,68 @@ def test_chat_odd_rows(spark):
     assert got == [(None, "user"), (1, "system"), (1, "user")]
 
 
+def best_repairs(roles):
+    """The least cost and the renderings that have it, by trying all; first that of the least end state, and of options in their order."""
+    known = [chat.role_of(r) for r in roles]
+
+    def go(i, state):
+        if i == len(known):
+            return [(chat.ending(state), state, [])] if chat.ending(state) < chat.FAR else []
+        out = []
+        for k, (a, b, cost, option, new, inserted) in enumerate(chat.STEPS[known[i]]):
+            if a == state:
+                out += [(cost + c, end, [(k, option, new, inserted), *way]) for c, end, way in go(i + 1, b)]
+        return out
+
+    def render(way):
+        turns = []
+        for (_, option, new, inserted), text in zip(way, (f"t{i}" for i in range(len(roles))), strict=True):
+            if option == "merge":
+                turns[-1][1] += "\n" + text
+                continue
+            if inserted is not None:
+                turns.append([inserted, None])
+            turns.append([new, text])
+        if turns[-1][0] == 0:
+            turns.append([1, None])
+        return "".join(f"<|{chat.ROLES[r]}|>\n" + (t + "<|end|>\n" if t is not None else "<|end|>\n") for r, t in turns)
+
+    all_ = sorted(go(0, chat.START), key=lambda x: (x[0], x[1], [w[0] for w in x[2]]))
+    return all_[0][0], [render(way) for cost, _, way in all_ if cost == all_[0][0]]
+
+
+@pytest.mark.parametrize("gap", [1, 97, 300])
+def test_chat_renders_the_best_of_all_repairs(spark, gap):
+    """Many turns in one stretch, some in each, and one in each: cost, ties and rendering are those of the whole search."""
+    pool = ["user", "assistant", "system", "bot", "weird", None]
+    rnd = random.Random(gap)
+    cases = [list(c) for n in (1, 2) for c in itertools.product(pool, repeat=n)] + [[rnd.choice(pool) for _ in range(rnd.randint(3, 5))] for _ in range(60)]
+    rows = [(k, gap * i, r, f"t{i}") for k, c in enumerate(cases) for i, r in enumerate(c)]
+    out = chat.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("conv_id", "stretch", "at").collect()
+    whole, cost = defaultdict(str), {}
+    for r in out:
+        whole[r["conv_id"]] += r["rendered"]
+        cost[r["conv_id"]] = r["cost"]
+    for k, c in enumerate(cases):
+        least, ways = best_repairs(c)
+        assert cost[k] == least
+        assert whole[k] in (ways if gap > 1 else ways[:1]), c
+
+
+def test_chat_rows_without_conversation_and_piles_of_one_turn(spark):
+    rows = [(None, 1, "user", f"q{i}") for i in range(700)] + [(1, 5, "user" if i % 2 == 0 else "assistant", f"{i:04d}") for i in range(900)] + [(1, None, "user", f"n{i:04d}") for i in range(600)]
+    rows += [(2, i, "user" if i % 2 == 0 else "assistant", "x" * 2000) for i in range(2000)]
+    out = chat.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(out) == len(rows)
+    alone = [r for r in out if r["conv_id"] is None]
+    assert {(r["cost"], r["rendered"].count("<|end|>")) for r in alone} == {(0, 1)}
+    one = sorted((r for r in out if r["conv_id"] == 1), key=lambda r: (r["stretch"], r["at"]))
+    assert max(r["at"] for r in one) < chat.STRETCH
+    order = [(r["turn"] is None, r["turn"] or 0, r["role"], r["rendered"].replace("<|end|>\n", "").split("\n")[-1]) for r in one]
+    assert [o[:3] for o in order] == sorted(o[:3] for o in order)
+    assert {r["cost"] for r in out if r["conv_id"] == 2} == {0}
+
+
 # 2 quality, 4 language, 7 rules
 
 
@@ -102,6 +164,41 @@ def test_classifier_odd_cases(spark, odd):
     assert quality_classifier.score(odd.limit(0), model).count() == 0
 
 
+def test_classifier_scores_equal_brute_force(spark):
+    """The score again, from the sizes of blocks by zstandard's plain interface and from the curve's formula."""
+    import math
+
+    import zstandard
+
+    good = [f"plain words of text number {i} that say what they mean in sentences {i * 7}" for i in range(30)]
+    bad = [f"buy $$$ {i} now *** click {'!' * (i % 5)} #{i} | | |" for i in range(30)]
+    model = quality_classifier.fit_texts(good, bad)
+    assert len(model.good) == len(model.bad)
+    assert all(g[:16].encode() in model.good for g in good[::2]) and not any(g.encode() in model.good for g in good[1::2])
+    texts = good[1::2] + bad[1::2] + ["é" * 700, "x", "\x00"]
+
+    def size(content, data):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(level=quality_classifier.LEVEL)
+        one = zstandard.ZstdCompressor(dict_data=held, write_content_size=False, write_dict_id=False, write_checksum=False)
+        return sum(len(one.compress(data[i : i + quality_classifier.BLOCK_BYTES])) for i in range(0, len(data), quality_classifier.BLOCK_BYTES))
+
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        a, b = size(model.good, t.encode()), size(model.bad, t.encode())
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-(model.offset + model.slope * (b - a) / (a + b)))))
+    assert min(got[i] for i in range(15)) > 0.5 > max(got[15 + i] for i in range(15))
+
+
+def test_sample_is_bounded_and_takes_stretches_from_everywhere(spark):
+    from quillstrata.llm.sample import sample_texts
+
+    docs = spark.createDataFrame([(i, "".join(chr(0x4E00 + k) for k in range(400))) for i in range(300)], "doc_id long, text string")
+    got = sample_texts(docs.select("doc_id", F.lit("a").alias("by")), docs, "by", 64, 50)
+    assert 30 < len(got) <= 64 and all(len(t) == 50 for _, _, t in got)
+    assert max(ord(t[0]) for _, _, t in got) > 0x4E00 + 250 and [i for _, i, _ in got] != sorted(i for _, i, _ in got)
+
+
 def test_language_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
@@ -159,6 +256,10 @@ def test_language_odd_cases(spark, odd):
     assert all((r["lang_pred"], r["score"]) == ("und", 0.0) for r in rows if r["doc_id"] in (2, 3, 6))
     assert {r["lang_pred"] for r in language_id.identify(odd, language_id.fit_texts({})).collect()} == {"und"}
     assert language_id.fit(odd.limit(0)).texts == ()
+    numbers = spark.createDataFrame([(1, "²½ 12 ٣"), (2, "²½ a")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language_id.identify(numbers, language_id.fit_texts({"en": ["a b c d"]})).orderBy("doc_id").collect()] == ["und", "en"]
+    tie = language_id.fit_texts({"b": ["same text"], "a": ["same text"]})
+    assert language_id.Parser(tie).predict(["same text"])[0] == ["a"]
 
 
 def test_rules_equal_brute_force(spark, docs):
@@ -189,6 +290,56 @@ def test_rules_equal_brute_force(spark, docs):
         assert not (failed and got["kept"])
 
 
+def test_rules_verdict_equals_brute_force(spark):
+    """Distances and verdicts again, text by text, with histograms of Counter and the divergence by its definition."""
+    import math
+    import unicodedata
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    refs = quality_rules.fit(docs)
+
+    def distance(p, q):
+        a, b = sum(p.values()), sum(q.values())
+        total = 0.0
+        for k in {*p, *q}:
+            x, y = p.get(k, 0) / a, q.get(k, 0) / b
+            m = (x + y) / 2
+            total += (x * math.log2(x / m) if x else 0) + (y * math.log2(y / m) if y else 0)
+        return math.sqrt(max(0.0, total / 2))
+
+    def kind(ch):
+        if ch == "\n":
+            return "line"
+        if ch.isspace():
+            return "space"
+        if ch in ".,;:!?'\"()-":
+            return "stop"
+        c = unicodedata.category(ch)
+        return {"Ll": "lower", "Lu": "upper", "Lt": "upper", "Nd": "digit"}.get(c) or ("letter" if c in ("Lo", "Lm", "Mn", "Mc") else "symbol" if c[0] in "PS" else "other")
+
+    own = {r["doc_id"]: r for r in quality_rules.judge(docs, refs).collect()}
+    for r in docs.collect():
+        got, n = own[r["doc_id"]], len(r["text"].encode().split())
+        if not n:
+            continue
+        by_class = min(distance(Counter(map(kind, r["text"])), dict(zip(quality_rules.CLASSES, ref.classes, strict=True))) for ref in refs)
+        by_word = 9.0
+        for ref in refs:
+            common = dict(ref.words)
+            have = Counter(w if w in common else None for w in r["text"].encode().split())
+            by_word = min(by_word, distance(have, {**common, None: ref.total - sum(common.values())}))
+        assert got["class_distance"] == pytest.approx(by_class) and got["word_distance"] == pytest.approx(by_word)
+        strays = by_class > quality_rules.CLASS_LIMIT + quality_rules.CLASS_SLACK / math.sqrt(n) or (n >= quality_rules.WORD_GUARD and by_word > quality_rules.WORD_LIMIT + quality_rules.WORD_SLACK / math.sqrt(n))
+        assert got["kept"] == (not got["base_failed"] and not strays)
+
+
+def test_rules_count_long_texts_by_pieces(monkeypatch):
+    text = ("Ab1 #é😀\n" * 40).encode()
+    whole = quality_rules.kinds_of(text)
+    monkeypatch.setattr(quality_rules, "PIECE", 7)
+    assert (quality_rules.kinds_of(text) == whole).all() and whole.sum() == len(text.decode())
+
+
 def test_rules_odd_cases(spark, odd):
     rows = quality_rules.judge(odd, []).collect()
     assert len(rows) == len(ODD)
@@ -250,6 +401,34 @@ def test_bmp_and_bad_images(spark):
     assert got[1] is None and got[2] and got[3]
 
 
+def test_area_resize_at_broken_ratios():
+    """Each target pixel is the mean of the source weighted by what it covers of each pixel."""
+    image = np.random.default_rng(1).integers(0, 256, (7, 11, 2))
+
+    def shares(n, m):
+        out = np.zeros((m, n))
+        for i in range(m):
+            for j in range(n):
+                out[i, j] = max(0.0, min((i + 1) * n / m, j + 1) - max(i * n / m, j)) * m / n
+        return out
+
+    want = np.einsum("ai,bj,ijc->abc", shares(7, 3), shares(11, 5), image)
+    assert np.allclose(media.area_resize(image, 3, 5), want)
+    grey = np.einsum("ai,bj,ijc->abc", shares(7, 8), shares(11, 9), image).mean(2)
+    bits = "".join("1" if x > 0 else "0" for x in np.round(np.diff(grey, axis=1), 6).ravel())
+    assert media.difference_hash(image) == f"{int(bits, 2):016x}"
+
+
+def test_odd_images_are_refused_or_scaled(spark):
+    assert media.decode(b"P2 3 1 4 0 2 4").ravel().tolist() == [0, 128, 255]
+    assert media.decode(b"P5 1 1 1000 " + (500).to_bytes(2, "big"))[0, 0, 0] == 32768
+    bad = [b"P2 2 1 255 0 300", b"P2 1 1 255 99999999999999999999999", b"P5 1 1 4 \x09", b"P2 99999999999 99999999999 255 1"]
+    masks = b"BM" + b"\0" * 8 + (66).to_bytes(4, "little") + (40).to_bytes(4, "little") + (1).to_bytes(4, "little") + (1).to_bytes(4, "little") + b"\1\0" + (32).to_bytes(2, "little") + (3).to_bytes(4, "little") + b"\0" * 20 + (0xFF).to_bytes(4, "little") + (0xFF00).to_bytes(4, "little") + (0xFF0000).to_bytes(4, "little") + b"\1\2\3\4"
+    d = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate([*bad, masks])], "id long, data binary")
+    assert all(r["error"] and r["tile"] is None for r in media.tiles(d, "id", "data").collect())
+    assert media.tiles(d.limit(0), "id", "data").count() == 0
+
+
 # 5 personal data
 
 
@@ -301,6 +480,46 @@ def test_colliding_surrogates_are_keyed_anew(spark):
     assert len({r["text"] for r in out}) == 26
 
 
+def test_coreference_script_gender_and_check_digits(spark):
+    rows = [(1, "Jane Doe met Mr. Doe and Frau Олена Шевченко; Шевченко is known as Herr Шевченко"), (2, "Mr. 李 pays from GB82 WEST 1234 5698 7654 32 or GB82WEST12345698765432"), (3, "Frau Xandra Quast and Sir Quillon Quast")]
+    rows += [(100 + i, f"Herr {a}{b}{c} wrote") for i, (a, b, c) in enumerate(itertools.product(("Ba", "Ce", "Di", "Fo", "Gu"), ("lan", "mer", "nit", "ros", "tul"), ("berg", "dorf", "feld", "haus", "mann")))]
+    out = {r["doc_id"]: r["text"] for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    words = out[1].replace(";", "").split()
+    assert words[1] == words[4] != "Doe" and words[0] in pii.FEMALE_NAMES
+    assert words[7][-1] == "а" and words[8] == words[-1] and words[8] != "Шевченко" and "а" <= words[8].lower()[0] <= "я"
+    assert "李" not in out[2] and "\u4e00" <= out[2].split()[1][0] <= "\u9fff"
+    iban = out[2].split("from ")[1].replace(" or ", "|").replace(" ", "").split("|")
+    assert iban[0] == iban[1] != "GB82WEST12345698765432"
+    assert int("".join(str(int(ch, 36)) for ch in iban[0][4:] + iban[0][:4])) % 97 == 1
+    female, male = out[3].split()[1], out[3].split()[5]
+    assert female.endswith("a") and male.endswith("o")
+    names = [out[i].split()[1] for i, _ in rows[3:]]
+    assert len(set(names)) == len(names) and not set(names) & {t.split()[1] for _, t in rows[3:]}
+
+
+def test_a_dense_format_keeps_distinct_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(pii, "LATE", 2)
+    rows = [(i, f"call 555-{i:04d} now") for i in range(0, 10_000)] + [(20_000 + i, f"call 556-{i:04d} now") for i in range(0, 10_000, 100)]
+    found = pii.entities(spark.createDataFrame(rows, "doc_id long, text string"))
+    small = found.withColumn("normal", F.substring("normal", 4, 4)).where("doc_id < 10000").select("doc_id", "kind", "normal", F.substring("found", 5, 4).alias("found"))
+    odd = pii.exceptions(small, "k")  # all ten thousand numbers of four digits: no free place
+    made = small.join(odd, ["kind", "normal"], "left") if odd is not None else small.withColumn("attempt", F.lit(None).cast("int"))
+    new = made.withColumn("new", pii.surrogate(F.col("kind"), F.col("found"), F.col("normal"), F.lit("k"), F.coalesce("attempt", F.lit(0))))
+    assert new.select("new").distinct().count() == 10_000
+
+
+def test_surrogates_odd_cases(spark, odd):
+    extra = odd.withColumns({"_found": F.lit("own"), "_odd": F.lit(1), "_pii": F.lit("kept"), "d": F.lit(7)})
+    out = pii.replace(extra, "k", None)
+    assert out.columns == extra.columns
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, (tuple(r) for r in extra.collect())))
+    with pytest.raises(ValueError, match="_pii"):
+        pii.replace(extra, "k")
+    assert pii.replace(odd.limit(0), "k").count() == 0
+    long = spark.createDataFrame([(1, "word " * 200_000 + "a@b.example.com"), (1, "a@b.example.com"), (None, "a@b.example.com")], "doc_id long, text string")
+    assert len({r["text"].split()[-1] for r in pii.replace(long, "k").collect()}) == 1
+
+
 # 6 near duplicates
 
 
@@ -351,6 +570,47 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, size, share):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
 
 
+def test_short_texts_of_frequent_shingles(spark, monkeypatch):
+    """Groups of copies make all shingles frequent; sets of 5 to 20 tokens then differ by one or two of them."""
+    monkeypatch.setattr(ngram_jaccard, "FREQUENT_FROM", 2)
+    rnd, rows = random.Random(8), []
+    for k in range(40):
+        words = [f"k{k}w{i}" for i in range(rnd.randint(9, 26))]
+        cut = rnd.randrange(3)
+        other = words[cut:] if rnd.random() < 0.5 else [*words[:-1], "else"] if rnd.random() < 0.5 else [*words, "more"]
+        rows += [" ".join(words)] * 4 + [" ".join(other)] * 4
+    rows = list(enumerate(rows))
+    found = ngram_jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(rows, 5, 80)
+
+
+def test_small_sets_share_a_key_whatever_they_miss():
+    rnd = random.Random(9)
+    for share in (80, 90):
+        for union in range(2, 40):
+            for missing in range(0, union * (100 - share) // 100 + 1):
+                for _ in range(8):
+                    tokens = np.sort(np.array(rnd.sample(range(1, 10**6), union), np.uint64))
+                    out = rnd.sample(range(union), missing)
+                    split = rnd.randint(0, missing)
+                    x, y = (np.delete(tokens, o) for o in (out[:split], out[split:]))
+                    if min(len(x), len(y)):
+                        rare = {int(t): rnd.random() < 0.15 for t in tokens}
+                        a, b = (set(ngram_jaccard.keys_of(s, np.array([not rare[int(t)] for t in s]), share)[0].tolist()) for s in (x, y))
+                        assert a & b, (share, union, missing, split)
+
+
+def test_one_row_of_each_component_stays(spark):
+    text, other = "one two three four five six seven", "quite other words that are in one row alone"
+    rows = [(3, text, "a"), (5, text, "b"), (5, other, "c"), (None, text, "d"), (None, other + " here again", "e"), (7, "", "f"), (8, None, "g"), (7, "", "f"), (9, text, "h"), (3, text, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_key string")
+    got = ngram_jaccard.keep_one(docs)
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted([(3, text), (5, other), (None, other + " here again"), (7, ""), (7, ""), (8, None)], key=str)
+    assert ngram_jaccard.keep_one(docs.limit(0)).count() == 0
+
+
 def test_near_duplicates_odd_cases(spark, odd):
     rows = ngram_jaccard.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)
@@ -413,6 +673,15 @@ def test_packing_odd_cases(spark, odd):
     assert packing.pack(odd.limit(0), public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def test_rows_without_id_are_dealt_to_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_WINDOWS", 1)
+    rows = [(None, f"word{i} " * 40) for i in range(800)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json")).toPandas()
+    groups = out["sequence_id"].to_numpy() >> 32
+    assert len(np.unique(groups)) > 8 and np.bincount(groups).max() < 0.3 * len(out)
+    assert out.groupby("sequence_id")["length"].sum().max() <= 4096 and (out["start"] == 0).sum() == len(rows)
+
+
 # 9 pages
 
 
@@ -517,5 +786,44 @@ def test_merge_rounds_equal_one_merge_at_a_time():
             w[i : i + 2] = [pairs[w[i], w[i + 1]][1]]
         return w
 
-    symbols, word = table.merge(np.array([s for w in words for s in w], np.int32), np.repeat(np.arange(len(words)), [len(w) for w in words]))
-    assert [symbols[word == k].tolist() for k in range(len(words))] == [slow(w) for w in words]
+    for long in (2048, 3):
+        bpe.LONG = long
+        try:
+            symbols, word = table.merge(np.array([s for w in words for s in w], np.int32), np.repeat(np.arange(len(words)), [len(w) for w in words]))
+        finally:
+            bpe.LONG = 2048
+        assert [symbols[word == k].tolist() for k in range(len(words))] == [slow(w) for w in words]
+
+
+def test_long_words_equal_the_library_and_end_soon():
+    import time
+
+    import sentencepiece
+
+    from quillstrata.llm import sentencepiece_bpe
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, own = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_bpe.Encoder(sentencepiece_bpe.Model(path))
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice(letters) for _ in range(n)) for letters, n in (("etaoinshrdlu", 60_000), ("日本語aé", 20_000), ("a", 50_000), ("ab", 9_000), ("ing", 9_000))]
+    began = time.time()
+    got = own([t.encode() for t in texts])
+    assert time.time() - began < 60
+    for t, (ids, decoded) in zip(texts, got, strict=True):
+        want = library.encode(t)
+        assert ids.decode() == ",".join(map(str, want)) and decoded.decode() == library.decode(want)
+
+
+def test_models_of_other_kinds_are_refused(tmp_path):
+    import sentencepiece
+
+    from quillstrata.llm import sentencepiece_bpe
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        whole = f.read()
+    # a protocol buffer's later fields override: the normaliser's flag for extra blanks, and a piece of a user
+    for more in (bytes([0x1A, 2, 0x20, 1]), bytes([0x0A, 5, 0x0A, 1, 0x7E, 0x18, 4])):
+        (tmp_path / "m.model").write_bytes(whole + more)
+        with pytest.raises(ValueError, match="BPE"):
+            sentencepiece_bpe.Model(str(tmp_path / "m.model"))
+    assert sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")).get_piece_size() == 32000
