@@ -41,9 +41,16 @@ def typed_powers(text: Column) -> Column:
     return F.regexp_replace(text, r"\b([0-9]{1,4}(?:\.[0-9]{1,6})?) ?[x×] ?10\^?([-+]?[1-9][0-9]?)\b", r"\$$1 \\times 10^{$2}\$")
 
 
-def escape_lines(text: Column) -> Column:
-    """HTM12: signs that Markdown would read at the start of a line."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?m)^(#{1,6} |[-*+>] |\|)", r"\\$1"), r"(?m)^([0-9]{1,9})([.)] )", r"$1\\$2")
+# What Markdown would read as markup, anywhere and at the start of a line, and what stands for it.
+ESCAPED_ANYWHERE = ((r"\\(?=[!-/:-@\[-`{-~])", r"\\\\"), (r"([*`$])", r"\\$1"), (r"(?<![0-9A-Za-z\u0b00-\u0b7f])_|_(?![0-9A-Za-z\u0b00-\u0b7f])", r"\\_"), (r"<(?=[A-Za-z/!?])", r"\\<"), (r"\](?=[(\[])", r"\\]"), (r"~(?=~)", r"\\~"))
+ESCAPED_LINE_STARTS = ((r"(?m)^(#{1,6})(?=\s|$)", r"\\$1"), (r"(?m)^([>|])", r"\\$1"), (r"(?m)^([-+])(?=\s|$)", r"\\$1"), (r"(?m)^([0-9]{1,9})([.)])(?=\s|$)", r"$1\\$2"), (r"(?m)^([=-])(?=[=-]*[ \t]*$)", r"\\$1"))
+
+
+def escape_markdown(text: Column, line_starts: bool = True) -> Column:
+    """HTM12."""
+    for pattern, to in ESCAPED_ANYWHERE + (ESCAPED_LINE_STARTS if line_starts else ()):
+        text = F.regexp_replace(text, pattern, to)
+    return text
 
 
 def split_headings(text: Column) -> Column:

@@ -34,11 +34,6 @@ def htm11(t):
     return made.select("p_partkey", H.typed_powers(F.col("s")).alias("formula"))
 
 
-@query("htm12_escape", "SELECT p_partkey, '\\# ' || p_name AS escaped FROM part".replace("\\\\", "\\"))
-def htm12(t):
-    return t.part.select("p_partkey", H.escape_lines(F.concat(F.lit("# "), "p_name")).alias("escaped"))
-
-
 @query("htm13_split_headings", "SELECT p_partkey, '## ' || p_name AS first, '=no' AS second FROM part")
 def htm13(t):
     made = t.part.select("p_partkey", H.split_headings(F.concat(F.lit("== "), "p_name", F.lit(" ==\n=no"))).alias("a"))
@@ -153,11 +148,3 @@ def str10(t):
     before = pinned.count()
     t.labels.select("doc_id").write.mode("append").parquet(path)
     return pinned.agg(N("pinned")).select(F.lit(before).cast("long").alias("before"), "pinned")
-
-
-@query("htm17_orphan_headings", f"WITH b AS (SELECT doc_id, unnest(range(len(l))) AS para, length(unnest(l)) % 4 AS level FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)), n AS (SELECT *, lead(level) OVER (PARTITION BY doc_id ORDER BY para) AS next FROM b) SELECT doc_id, count(*) FILTER (WHERE level > 0 AND (next IS NULL OR (next > 0 AND next <= level)))::BIGINT AS orphans FROM n GROUP BY doc_id")
-def htm17(t):
-    """Headings directly followed by one of their level or above, or by nothing."""
-    b = lines(t).select("doc_id", "para", F.pmod(F.length("line"), F.lit(4)).alias("level"))
-    following = b.withColumn("next", F.lead("level").over(W.partitionBy("doc_id").orderBy("para")))
-    return following.groupBy("doc_id").agg(F.count_if((F.col("level") > 0) & (F.col("next").isNull() | ((F.col("next") > 0) & (F.col("next") <= F.col("level"))))).alias("orphans"))

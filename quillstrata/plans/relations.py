@@ -277,16 +277,6 @@ def win5(t):
     return rows.select("o_orderkey").orderBy("o_orderkey").limit(20).join(F.broadcast(rows.agg(F.count("*").alias("n"))))
 
 
-@query("win6_headings")
-def win6(t):
-    """A heading of level m survives if content comes before the next heading of level m or above."""
-    b = lines(t).select("doc_id", "para", F.pmod(F.length("line"), F.lit(4)).alias("level"))
-    own = W.partitionBy("doc_id").orderBy("para").rowsBetween(1, W.unboundedFollowing)
-    content = F.min(F.when(F.col("level") == 0, F.col("para"))).over(own)
-    closes = F.coalesce(*[F.when(F.col("level") == m, F.min(F.when(F.col("level").between(1, m), F.col("para"))).over(own)) for m in (1, 2, 3)])
-    return b.withColumn("content", content).withColumn("closes", closes).withColumn("survives", (F.col("level") == 0) | (F.col("content") < F.coalesce("closes", F.lit(1 << 30)))).groupBy("doc_id").agg(F.count_if(F.coalesce("survives", F.lit(False))).alias("n"))
-
-
 @query("win7_neighbours", "SELECT o_orderkey, lag(o_orderkey) OVER w AS prev, lead(o_orderkey) OVER w AS next FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)")
 def win7(t):
     w = W.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from .shared import stored
 
 CORRUPT = "_corrupt_record"
 
@@ -27,7 +26,7 @@ def read_labels(spark: SparkSession, path: str, schema: str, lists: list[str]) -
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """SRC17: events of an append-only log, and its bad lines (a half-written tail among them)."""
     kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path).cache()
+    rows = stored(spark.read.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
     return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
@@ -47,74 +46,93 @@ def read_history_xml(spark: SparkSession, path: str) -> DataFrame:
     return r.select("page", F.col("r.id").alias("rev"), F.col("r.parentid").alias("parent"), F.col("r.timestamp").alias("ts"), user.alias("user"), F.col("r.contributor.id").alias("uid"), F.col("r.text._bytes").alias("bytes"))
 
 
-_TUPLE_ITEM = re.compile(r"'((?:[^'\\]|\\.|'')*)'|(NULL)|(-?\d+\.\d+(?:[eE][-+]?\d+)?)|(-?\d+)", re.S)
-_ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "0": "\0", "Z": "\x1a"}
-
-
-def sql_tuples(line: str, columns: int) -> list[tuple]:
-    """SRC8: rows of one INSERT statement; a row of another length is an error."""
-    at, out = line.find("VALUES") + 6, []
-    while (open_ := line.find("(", at)) >= 0:
-        at, row = open_ + 1, []
-        while True:
-            m = _TUPLE_ITEM.match(line, at)
-            if not m:
-                raise ValueError(f"no value at {at}")
-            text, null, real, whole = m.groups()
-            row.append(None if null else float(real) if real else int(whole) if whole else re.sub(r"\\(.)|''", lambda e: "'" if e[0] == "''" else _ESCAPES.get(e[1], e[1]), text, flags=re.S))
-            at = m.end()
-            if line[at] == ")":
-                at += 1
-                break
-            at += 1
-        if len(row) != columns:
-            raise ValueError(f"{len(row)} values for {columns} columns")
-        out.append(tuple(row))
-    return out
+# What a backslash and a letter stand for in the server's string literals; other letters stand for themselves.
+_ESCAPES = {"0": "\0", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a", "%": "\\%", "_": "\\_"}
 
 
-class SqlDump(DataSource):
-    """SRC8: a MySQL dump as a data source; options path and, for its columns, the schema."""
+def _literal(text: str, at: int) -> tuple[str, int]:
+    """The string whose first character is at `at`, and the place after its closing quote. Two quotes are one."""
+    out = []
+    while True:
+        quote, back = text.find("'", at), text.find("\\", at)
+        if quote < 0:
+            raise ValueError(f"no end of the string at {at}")
+        if 0 <= back < quote:
+            out += [text[at:back], _ESCAPES.get(text[back + 1], text[back + 1])]
+            at = back + 2
+        elif text[quote + 1 : quote + 2] == "'":
+            out += [text[at:quote], "'"]
+            at = quote + 2
+        else:
+            return "".join([*out, text[at:quote]]), quote + 1
 
-    @classmethod
-    def name(cls) -> str:
-        return "mysqldump"
 
-    def schema(self) -> str:
-        return "line string"
+def _plain(word: str) -> int | float | str | None:
+    """A value without quotes: NULL, a whole number, another number; what is none of these is refused."""
+    if word.upper() == "NULL":
+        return None
+    return int(word) if word.lstrip("+-").isdigit() else float(word)
 
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _SqlDumpReader(self.options["path"], schema)
 
+def sql_tuples(statement: str, columns: int) -> list[tuple]:
+    """SRC8: rows of one INSERT statement; a row of another length is an error."""
+    out: list[tuple] = []
+    row: list | None = None
+    at = statement.index("VALUES") + len("VALUES")
+    while at < len(statement):
+        ch = statement[at]
+        if row is None:
+            if ch == "(":
+                row = []
+            elif ch not in ", ;\n":
+                raise ValueError(f"{ch!r} between rows at {at}")
+            at += 1
+        elif ch == "'":
+            value, at = _literal(statement, at + 1)
+            row.append(value)
+        elif ch == ")":
+            if len(row) != columns:
+                raise ValueError(f"{len(row)} values for {columns} columns")
+            out.append(tuple(row))
+            row, at = None, at + 1
+        elif ch in ", ":
+            at += 1
+        else:
+            end = min((e for e in (statement.find(",", at), statement.find(")", at)) if e >= 0), default=len(statement))
+            row.append(_plain(statement[at:end].strip()))
+            at = end
+    if row is not None:
+        raise ValueError("the statement ends within a row")
+    return out
 
-class _SqlDumpReader(DataSourceReader):
-    def __init__(self, path: str, schema: T.StructType):
-        self.path, self.kinds = path, schema
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(0)]
+#: Kinds of columns by what their declared type begins with; all others are strings.
+_COLUMN_KINDS = ((("bigint", "int", "mediumint", "smallint", "tinyint"), "bigint"), (("double", "float", "decimal", "numeric", "real"), "double"))
 
-    def read(self, partition: InputPartition):
-        import gzip
 
-        with (gzip.open if self.path.endswith(".gz") else open)(self.path, "rt", encoding="utf-8", errors="replace") as f:
-            for line in f:
-                if line.startswith("INSERT INTO"):
-                    yield from sql_tuples(line, len(self.kinds.fields))
+def sql_schema(spark: SparkSession, path: str) -> str:
+    """SRC8: names and kinds of the columns from the dump's CREATE TABLE."""
+    declared = r"^\s+`([^`]+)`\s+([A-Za-z]+)"
+    lines = spark.read.text(path).where(F.col("value").rlike(declared)).select(F.monotonically_increasing_id().alias("i"), F.regexp_extract("value", declared, 1).alias("name"), F.lower(F.regexp_extract("value", declared, 2)).alias("type"))
+    rows = sorted(lines.collect())
+    if not rows:
+        raise ValueError("the dump declares no columns")
+    return ", ".join(f"`{r['name']}` " + next((kind for types, kind in _COLUMN_KINDS if r["type"] in types), "string") for r in rows)
 
 
-def read_sql_dump(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """SRC8 over any store that Spark reads: statements as lines, their tuples by a UDF in Arrow batches."""
+def read_sql_dump(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """SRC8 over any store that Spark reads: statements as lines, their tuples in Arrow batches; without a schema the dump's own."""
     import pandas as pd
 
-    kinds = T._parse_datatype_string(schema)
+    kinds = T._parse_datatype_string(schema or sql_schema(spark, path))
     names = [f.name for f in kinds.fields]
 
     def rows(batches):
         for batch in batches:
-            yield pd.DataFrame([r for line in batch["value"] for r in sql_tuples(line, len(names))], columns=names)
+            for line in batch["value"]:
+                yield pd.DataFrame(sql_tuples(line, len(names)), columns=names)
 
-    return spark.read.text(path).where(F.col("value").startswith("INSERT INTO")).mapInPandas(rows, kinds)
+    return spark.read.text(path).where(F.col("value").startswith("INSERT INTO")).select("value").mapInPandas(rows, kinds)
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
@@ -153,25 +171,51 @@ def append_events(df: DataFrame, path: str) -> None:
 
 
 def work_batches(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """SNK9: numbered batches of about equal size, dealt by ranges of the key, so that no window spans all rows."""
-    n = rows.count()
-    if not n:
-        return rows.withColumn("batch", F.lit(0).cast("long"))
-    ranged = rows.repartitionByRange(max(1, -(-n // (size * 64))), key).withColumn("_p", F.spark_partition_id())
+    """SNK9: numbered batches of about equal size, dealt by ranges of the key, so that no window spans all rows.
+
+    The ranged rows are written once, each with its range, so that counts and numbers speak of the same ranges, whose
+    number is that of the session's shuffle partitions: the counts of ranges are a bounded broadcast.
+    """
     from pyspark.sql import Window as W
 
+    if rows.isEmpty():
+        return rows.withColumn("batch", F.lit(0).cast("long"))
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(rows.repartitionByRange(ranges, key).withColumn("_p", F.spark_partition_id()))
     counts = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
     before = counts.select("_p", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_before"))
     numbered = ranged.join(F.broadcast(before), "_p").withColumn("_k", F.row_number().over(W.partitionBy("_p").orderBy(key)))
     return numbered.withColumn("batch", F.floor((F.col("_before") + F.col("_k") - 1) / size).cast("long")).drop("_p", "_k", "_before")
 
 
+def file_names(rows: DataFrame, key: str, title: str, most: int = 180) -> DataFrame:
+    """SNK4: rows with `name`: the title without signs that file systems refuse, of `most` bytes of UTF-8 at most with its ending, unique without regard to case."""
+    safe = F.trim(F.regexp_replace(F.regexp_replace(title, r"[\\/:*?\"<>|\x00-\x1f]+", "_"), r"^[. ]+|[. ]+$", ""))
+    tail = F.concat(F.lit(" "), F.col(key).cast("string"), F.lit(".md"))
+    room = F.lit(most) - F.octet_length(tail)
+    # whole characters as long as they fit
+    start = F.struct(F.lit("").alias("text"), F.lit(True).alias("open"))
+
+    def add(a: Column, ch: Column) -> Column:
+        fits = a["open"] & (F.octet_length(a["text"]) + F.octet_length(ch) <= room)
+        return F.struct(F.when(fits, F.concat(a["text"], ch)).otherwise(a["text"]).alias("text"), fits.alias("open"))
+
+    short = F.when(F.octet_length(safe) <= room, safe).otherwise(F.rtrim(F.aggregate(F.split(F.substring(safe, 1, most), ""), start, add, lambda a: a["text"])))
+    named = rows.withColumn("_s", F.when(short == "", "_").otherwise(short)).withColumn("_l", F.lower("_s"))
+    first = named.groupBy("_l").agg(F.min(key).alias("_first"))
+    return named.join(first, "_l").withColumn("name", F.concat("_s", F.when(F.col(key) == F.col("_first"), ".md").otherwise(tail))).select(*rows.columns, "name")
+
+
 def markdown_files(rows: DataFrame, key: str, title: str, text: str) -> DataFrame:
-    """SNK4: name and content of a file for each row: a safe name of 180 bytes at most, unique without regard to case."""
-    safe = F.substring(F.trim(F.regexp_replace(title, r"[\\/:*?\"<>|\x00-\x1f]+", "_")), 1, 60)
-    first = rows.groupBy(F.lower(safe).alias("_l")).agg(F.min(key).alias("_first"))
-    named = rows.withColumn("_l", F.lower(safe)).join(first, "_l").withColumn("name", F.concat(safe, F.when(F.col(key) == F.col("_first"), "").otherwise(F.concat(F.lit(" "), F.col(key).cast("string"))), F.lit(".md")))
-    return named.select(key, "name", F.concat(F.lit("---\nid: "), F.col(key).cast("string"), F.lit("\ntitle: "), F.to_json(F.struct(F.col(title).alias("t"))), F.lit("\n---\n\n"), F.col(text)).alias("content"))
+    """SNK4: name and content, with a head in YAML, of a file for each row."""
+    named = file_names(rows, key, title)
+    head = F.concat(F.lit("---\nid: "), F.col(key).cast("string"), F.lit("\ntitle: "), F.regexp_extract(F.to_json(F.struct(F.col(title).alias("t"))), r'(?s)^\{"t":(.*)\}$', 1), F.lit("\n---\n\n"))
+    return named.select(key, "name", F.concat(head, F.col(text)).alias("content"))
+
+
+def stale_files(there: DataFrame, wanted: DataFrame) -> DataFrame:
+    """SNK4: names of files that no row asks for any more."""
+    return there.select("name").join(wanted.select("name"), "name", "left_anti")
 
 
 def content_state(df: DataFrame) -> tuple[int, int]:
@@ -181,7 +225,10 @@ def content_state(df: DataFrame) -> tuple[int, int]:
 
 
 def markdown_table(df: DataFrame, most: int = 1000) -> str:
-    """SNK6: a small result as a Markdown table."""
+    """SNK6: a small result as a Markdown table; a larger one is refused."""
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
-    rows = [df.columns, ["---"] * len(df.columns), *[[cell(v) for v in r] for r in df.limit(most).collect()]]
+    found = df.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rows are no report")
+    rows = [df.columns, ["---"] * len(df.columns), *[[cell(v) for v in r] for r in found]]
     return "\n".join("| " + " | ".join(r) + " |" for r in rows)

@@ -4,17 +4,27 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstrata.functions import text as X
-from quillstrata.functions.markdown import blocks_of, grid
+from quillstrata.functions.markdown import Block, blocks_of, cells, grid, unwanted_template, with_bounded_indent
 from quillstrata.operators import browse as B
 from quillstrata.plans.filters import interleave, shards
 from quillstrata.plans.relations import near_copies, percentile_rank, restricted, walk
 from quillstrata.sources import files as R
 
 
+SHELF = "shelf string, `no. of \"pages\"` int, heavy boolean, price double, topics array<string>, bought string, id int"
+
+
 @pytest.fixture(scope="module")
-def rows(spark):
-    data = [(1, "Überblick", 10, 0.5, True, "x", ["a", "b"], "plain", "2024-01-01", 1), (2, "it's \"q\"'; DROP TABLE t", 20, None, None, None, [], "n'; --", "2024-06-01", None), (3, "third", 30, 0.9, False, "y", ["b", None], None, "2025-01-01", 3)]
-    return spark.createDataFrame(data, "id long, title string, words long, ratio double, flag boolean, cat string, tags array<string>, note string, ts string, `we\"ird.col` long")
+def books(spark):
+    """A shelf with nulls in most columns, a column whose name needs quotes, and values that look like SQL and like a pattern."""
+    data = [
+        ("north", 310, False, None, ["tides", "birds"], "2019-03-02", 11),
+        (None, 95, None, 7.25, [], None, 12),
+        ("x' OR ''='", 0, True, 41.0, None, "2021-11-30", 13),
+        ("NORTH%", None, True, 7.25, ["Birds", None], "2021-12-01", 14),
+        ("çédille", 310, None, -1.0, ["tides"], "", 15),
+    ]
+    return spark.createDataFrame(data, SHELF)
 
 
 def ids(df):
@@ -24,33 +34,35 @@ def ids(df):
 @pytest.mark.parametrize(
     ("items", "want"),
     [
-        ([("is.flag", "true")], [1]),
-        ([("is.flag", "false")], [3]),
-        ([("min.words", "20")], [2, 3]),
-        ([("max.ts", "2024-12-31")], [1, 2]),
-        ([("in.cat", "x"), ("in.cat", "__null__")], [1, 2]),
-        ([("any.tags", "b")], [1, 3]),
-        ([("any.tags", "zz")], []),
-        ([("has.title", "DROP")], [2]),
-        ([("null.ratio", "1")], [2]),
-        ([("null.ratio", "0")], [1, 3]),
-        ([('min.we"ird.col', "2")], [3]),
-        ([("min.words", "")], [1, 2, 3]),
+        ([("is.heavy", "true")], [13, 14]),
+        ([("is.heavy", "false")], [11]),
+        ([('min.no. of "pages"', "95"), ('max.no. of "pages"', "200")], [12]),
+        ([("min.bought", "2021")], [13, 14]),
+        ([("max.price", "7.25"), ("min.price", "0")], [12, 14]),
+        ([("in.shelf", "north"), ("in.shelf", "__null__")], [11, 12]),
+        ([("in.shelf", "x' OR ''='")], [13]),
+        ([("any.topics", "birds"), ("any.topics", "Birds")], [11, 14]),
+        ([("any.topics", "nothing")], []),
+        ([("has.shelf", "north%")], [14]),
+        ([("has.topics", "BIRD")], [11, 14]),
+        ([("null.price", "1")], [11]),
+        ([("null.topics", "0")], [11, 12, 14, 15]),
+        ([("min.price", ""), ("any.topics", "")], [11, 12, 13, 14, 15]),
     ],
 )
-def test_filters(rows, items, want):
-    assert ids(B.filters(rows, items)) == want
+def test_filters(books, items, want):
+    assert ids(B.filters(books, items)) == want
 
 
-@pytest.mark.parametrize("items", [[("is.nope", "true")], [("is.words", "true")], [("min.words", "x")], [("min.words", "nan")], [("any.title", "a")], [("null.ratio", "2")], [("is.flag", "maybe")]])
-def test_bad_filters_are_refused(rows, items):
+@pytest.mark.parametrize("items", [[("is.colour", "true")], [("is.price", "true")], [("max.price", "cheap")], [("max.price", "NaN")], [("any.shelf", "north")], [("null.price", "maybe")], [("is.heavy", "1")]])
+def test_bad_filters_are_refused(books, items):
     with pytest.raises(B.BadFilter):
-        B.filters(rows, items)
+        B.filters(books, items)
 
 
-def test_nulls_sort_last_both_ways(rows):
-    assert [r["id"] for r in B.ordered(rows, "ratio").collect()] == [1, 3, 2]
-    assert [r["id"] for r in B.ordered(rows, "ratio", True).collect()] == [3, 1, 2]
+def test_nulls_sort_last_both_ways(books):
+    assert [r["id"] for r in B.ordered(books, "price").collect()] == [15, 12, 14, 13, 11]
+    assert [r["id"] for r in B.ordered(books, "price", True).collect()] == [13, 12, 14, 15, 11]
 
 
 @pytest.mark.parametrize(("page", "size"), [(0, 10), (1, 0), (1, 501)])
@@ -121,9 +133,29 @@ def test_shards_of_ties(spark):
 
 
 def test_sql_tuples():
-    assert R.sql_tuples(r"INSERT INTO `t` VALUES (1,'it\'s; (x)',NULL),(2,'a''b\n',-1.5e3);", 3) == [(1, "it's; (x)", None), (2, "a'b\n", -1500.0)]
-    with pytest.raises(ValueError, match="values"):
-        R.sql_tuples("INSERT INTO `t` VALUES (1,2);", 3)
+    assert R.sql_tuples(r"INSERT INTO `t` VALUES (7,'say \"a\"; (b), \\ and \b',NULL),(-8,'O''Hara\Z\%',2.5e-3);", 3) == [(7, 'say "a"; (b), \\ and \b', None), (-8, "O'Hara\x1a\\%", 0.0025)]
+    assert R.sql_tuples("INSERT INTO `t` (`a`) VALUES ('');", 1) == [("",)]
+    for bad in ("INSERT INTO `t` VALUES (1,2);", "INSERT INTO `t` VALUES (1,2,'x", "INSERT INTO `t` VALUES (1,2,3", "INSERT INTO `t` VALUES (1,2,what);", "INSERT INTO `t` VALUES (1,2,3) x (4,5,6);"):
+        with pytest.raises(ValueError):
+            R.sql_tuples(bad, 3)
+
+
+def test_columns_of_a_dump_come_from_its_own_statement(spark, tmp_path):
+    (tmp_path / "d.sql").write_text("-- a dump\nCREATE TABLE `t` (\n  `id` int(10) unsigned NOT NULL,\n  `share` decimal(5,2) DEFAULT NULL,\n  `name` varbinary(255) NOT NULL,\n  PRIMARY KEY (`id`)\n);\nINSERT INTO `t` VALUES (1,0.5,'a'),(2,NULL,'b');\nINSERT INTO `t` VALUES (3,1,'c\\'d');\n")
+    got = R.read_sql_dump(spark, str(tmp_path / "d.sql"))
+    assert got.schema.simpleString() == "struct<id:bigint,share:double,name:string>"
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 0.5, "a"), (2, None, "b"), (3, 1.0, "c'd")]
+
+
+def test_file_names_are_safe_bounded_and_unique(spark):
+    titles = ["a/b: c?", "A/B: C?", "ଓ" * 100, "ଓ" * 101, "...", "", "x" * 300, " y. "]
+    rows = spark.createDataFrame(list(enumerate(titles)), "id long, title string")
+    names = {r["id"]: r["name"] for r in R.file_names(rows, "id", "title").collect()}
+    assert len({n.lower() for n in names.values()}) == len(titles)
+    assert all(len(n.encode()) <= 180 and n.endswith(".md") and not set(n) & set('\\/:*?"<>|') and "\ufffd" not in n for n in names.values())
+    assert names[0] == "a_b_ c_.md" and names[1] == "A_B_ C_ 1.md" and names[7] == "y.md"
+    wanted = spark.createDataFrame([(n,) for n in list(names.values())[:3]], "name string")
+    assert R.stale_files(spark.createDataFrame([(n,) for n in names.values()], "name string"), wanted).count() == len(names) - 3
 
 
 def test_log_keeps_bad_lines_apart(spark, tmp_path):
@@ -135,11 +167,49 @@ def test_log_keeps_bad_lines_apart(spark, tmp_path):
     assert bad.count() == 1
 
 
+def md(html):
+    return [b.line for b in blocks_of(html)]
+
+
 def test_html_blocks():
-    got = [(b["kind"], b["prefix"] + b["text"]) for b in blocks_of("<h2>T</h2><p>a <b>b</b><p>c<ul><li>x<li>y</ul><nav>no</nav><table><tr><td rowspan=2>r<td>1<tr><td>2</table><script>z</script># d")]
-    assert got == [("h", "## T"), ("p", "a b"), ("p", "c"), ("li", "- x"), ("li", "- y"), ("t", "| r | 1 |\n| --- | --- |\n| r | 2 |"), ("p", "\\# d")]
-    assert blocks_of("") == []
-    assert grid([[("a", 1, 1)]]) is None
+    assert md("<h2>T</h2><p>a <b>b</b><p>c<ul><li>x<li>y</ul><nav>no</nav><table class=wikitable><tr><td rowspan=2>r<td>1<tr><td>2</table><script>z</script># d") == ["## T", "a b", "c", "- x", "- y", "| r | 1 |\n|---|---|\n| r | 2 |", "\\# d"]
+    assert md("") == md("<p>  </p>") == md("<h2>only a heading</h2>") == md("<!-- c --><p>।</p>") == []
+    assert md("<p>a<br>- b<br>c</p>") == ["a\n\\- b\nc"]
+
+
+def test_html_sections_and_templates():
+    assert md("<section><h2>A</h2><p>x</p><section><h3>See also</h3><ul><li>y</ul></section></section>") == ["## A", "x"]
+    assert md("<h2>Notes</h2><p>x</p><h3>B</h3><p>y</p><h2>C</h2><p>z</p>") == ["## C", "z"]
+    assert md("<h3>B</h3><h2>C</h2><h3>D</h3><p>z</p><h3>E</h3>") == ["## C", "### D", "z"]
+    names = {"webarchive": True, "cleanup list": True, "geo-stub": True, "stub": True, "maine": False, "ipac-en": True, "info box": False, "for": True, "fore": False}
+    assert {n: unwanted_template(n) for n in names} == names
+    made = "<span about='#t' typeof='mw:Transclusion' data-mw='{}'>Template:X</span><i about='#t'>more</i>"
+    assert md(f"<p>a {made} b <strong class='error'>Error: c</strong></p>") == ["a b"]
+    assert md("<p>a <span typeof='mw:Transclusion' data-mw='nonsense'>kept</span></p>") == ["a kept"]
+
+
+def test_html_lists():
+    assert md("<ul><li><ul><li>a</ul><li>b<ol><li>c<li>d</ol>e</ul>") == ["- a", "- b", "  1. c", "  2. d", "  e"]
+    assert md("<ol>" + "<li>x" * 10 + "<ul><li>y</ul></ol>")[-1] == "    - y"
+    assert md("<ul><li>ଓଡ଼ିଆ ପାଠ <a rel='mw:ExtLink'>x</a><li><a rel='mw:ExtLink'>English</a></ul>") == ["- ଓଡ଼ିଆ ପାଠ x"]
+    stranded = [Block("item", "a", 1, "- "), Block("item", "b", 3, "      - ")]
+    assert [b.line for b in with_bounded_indent(stranded)] == ["- a", "  - b"]
+
+
+def test_table_cells():
+    at = cells([[("a", 3, 1), ("b", 1, 2)], [("c", 2, 1)], [("d", 9, 1)]])
+    assert at == {(0, 0): "a", (1, 0): "a", (2, 0): "a", (0, 1): "b", (0, 2): "", (1, 1): "c", (2, 1): "c", (2, 2): "d"}
+    assert grid([[("a", 1, 1)]]) is None and grid([[("a", 1, 1)], [("", 1, 1)]]) is None
+    assert grid([[("h", 1, 1), ("empty", 1, 1), ("k", 1, 1)], [("1", 1, 1), ("", 1, 1), ("2", 1, 1)]]) == "| h | k |\n|---|---|\n| 1 | 2 |"
+    wide = md("<table class=wikitable><tr><td colspan=900>a<td>b<tr><td>c<td>d</table>")
+    assert wide == ["| a |  |\n|---|---|\n| c | d |"]
+
+
+def test_formulas():
+    assert md("<p>x<sup>2</sup> and 10<sup>-7</sup> m, 5.15×10<sup>18</sup>, CO<sub>2</sub>, T<sub>max</sub><sup>+</sup></p>") == ["x$^2$ and $10^{-7}$ m, $5.15 \\times 10^{18}$, CO$_2$, T$_{\\mathrm{max}}^+$"]
+    assert md("<p>a<sup>not a number</sup></p>") == ["anot a number"]
+    assert md("<p>so <span class='mwe-math-element'><math alttext='{\\displaystyle y_1}'></math></span> is * it</p>") == ["so $y_1$ is \\* it"]
+    assert md("<p><span typeof='mw:Extension/chem' data-mw='{\"body\":{\"extsrc\":\"H2O\"},\"attrs\":{\"display\":\"block\"}}'></span> x</p>") == ["$$\\ce{H2O}$$ x"]
 
 
 def test_entry(spark):
