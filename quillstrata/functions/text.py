@@ -11,8 +11,8 @@ NATIVE_DIGITS = "୦୧୨୩୪୫୬୭୮୯"
 NATIVE_CLASS = "଀-୿"
 #: Length bands in bytes: upper bounds and names.
 BANDS = ((100, "<100"), (300, "100-299"), (1000, "300-999"), (3000, "1000-2999"))
-#: Wording of a share from the top.
-TOP_WORDS = ((0.0001, "top 0.01%"), (0.001, "top 0.1%"), (0.005, "top 0.5%"), (0.01, "top 1%"), (0.05, "top 5%"))
+#: Wording of a share from either end.
+TOP_WORDS = ((0.0001, "0.01%"), (0.001, "0.1%"), (0.005, "0.5%"), (0.01, "1%"), (0.05, "5%"))
 
 
 def normalize_native(text: Column) -> Column:
@@ -47,9 +47,16 @@ def has_repeat_run(text: Column, chars: str) -> Column:
     return text.rlike(rf"([{chars}]{{1,3}})\1{{3,}}")
 
 
-def fold_key(text: Column, source: str, target: str) -> Column:
-    """TXT9: variants of a spelling under one key."""
-    return F.lower(F.translate(text, source, target))
+# Spellings that stand for one (vowel lengths, variant letters), signs that go, digits; and a pair of signs for one.
+FOLD_FROM = "\u0b5c\u0b5d\u0b5f\u0b35\u0b40\u0b42\u0b08\u0b0a_" + NATIVE_DIGITS + "\u0b3c\u200c\u200d"
+FOLD_TO = "\u0b21\u0b22\u0b2f\u0b71\u0b3f\u0b41\u0b07\u0b09 0123456789"
+FOLD_PAIR, FOLD_SIGN = "ଙ୍", "ଂ"
+
+
+def fold_key(text: Column, lower: bool = True) -> Column:
+    """TXT9: variants of a spelling under one key; signs beyond the end of FOLD_TO go."""
+    out = F.replace(F.translate(text, FOLD_FROM, FOLD_TO), F.lit(FOLD_PAIR), F.lit(FOLD_SIGN))
+    return F.lower(out) if lower else out
 
 
 def heading_key(text: Column) -> Column:
@@ -58,25 +65,40 @@ def heading_key(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.trim(bare), "[ :]+$", "")))
 
 
-def script_mix(text: Column, native: str) -> Column:
-    """TXT11: shares of native, Latin and other among letters and marks."""
-    all_ = F.regexp_count(text, F.lit(r"[\p{L}\p{M}]"))
-    own, latin = F.regexp_count(text, F.lit(f"[{native}]")), F.regexp_count(text, F.lit(r"[A-Za-zÀ-ɏ]"))
-    total = F.greatest(all_, own + latin)
+def script_mix(text: Column, native: str = NATIVE_CLASS) -> Column:
+    """TXT11: shares of native, Latin and other among letters and marks. Latin: ASCII letters and U+00C0 to U+024F; joiners don't count."""
+    own = F.regexp_count(text, F.lit(f"[{native}]"))
+    latin = F.regexp_count(text, F.lit(r"[A-Za-z]|[\x{C0}-\x{24F}&&[\p{L}\p{M}]]"))
+    other = F.regexp_count(text, F.lit(rf"[\p{{L}}\p{{M}}&&[^A-Za-z\x{{C0}}-\x{{24F}}{native}]]"))
+    total = own + latin + other
     share = lambda x: F.when(total > 0, x / total).otherwise(0.0)
-    return F.struct(share(own).alias("native"), share(latin).alias("latin"), share(total - own - latin).alias("other"))
+    return F.struct(share(own).alias("native"), share(latin).alias("latin"), share(other).alias("other"))
+
 
+# Common English words.
+COMMON_ENGLISH = """the of and in to a is was for on as with by he she his her at from that which it an are were be has have had this their its or
+not but also who after first one two been into during they them other more most when than all only over under film born known about""".split()
 
-def common_share(text: Column, common: list[str], least: int = 5) -> Column:
-    """TXT12: share of words that are common ones; null under `least` words."""
-    found = words(text, "A-Za-z")
+
+def common_share(text: Column, common: list[str] = COMMON_ENGLISH, least: int = 5) -> Column:
+    """TXT12: share of Latin words that are common ones; null under `least` words."""
+    found = words(text, "A-Za-zÀ-ɏ'")
     return F.when(F.size(found) >= least, F.size(F.filter(found, lambda x: F.lower(x).isin(common))) / F.size(found))
 
 
-def markup_hits(text: Column, pattern: str) -> Column:
-    """TXT13: distinct hits in order, the first four, each cut to twelve characters."""
-    hits = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    return F.array_join(F.slice(F.array_sort(F.transform(hits, lambda x: F.substring(x, 1, 12))), 1, 4), ", ")
+# Formulas, and what conversion leaves behind.
+MATH = r"(?s)\$\$.+?\$\$|(?<!\\)\$[^$\n]+?(?<!\\)\$"
+MARKUP = (
+    r"(?<!\\)<[A-Za-z/!][^>\n]{0,80}>|\{\{|\}\}|\[\[|\]\]|\{\||\|\}|\b\d+px\b|&[a-z]{2,8};|data-mw|\bmw-|class=|style=|thumb\||https?://|www\."
+    r"|(?<![଀-୿])(?:ଛାଞ୍ଚ|ଚିତ୍ର|ଶ୍ରେଣୀ):|\b(?:File|Image|Category|Template):"
+)
+
+
+def markup_hits(text: Column, pattern: str = MARKUP) -> Column:
+    """TXT13: distinct hits outside formulas in order, the first four, each cut to twelve characters; null without any."""
+    hits = F.regexp_extract_all(F.regexp_replace(text, MATH, " "), F.lit(pattern), F.lit(0))
+    shown = F.slice(F.array_sort(F.array_distinct(F.transform(hits, lambda x: F.substring(x, 1, 12)))), 1, 4)
+    return F.when(F.size(hits) > 0, F.array_join(shown, ", "))
 
 
 def is_verse(text: Column, kind: Column) -> Column:
@@ -89,22 +111,43 @@ def trigram_repeat(text: Column) -> Column:
     """TXT15: share of word trigrams that repeat one; 0 under twelve words."""
 
     def of(w: Column) -> Column:
-        tri = F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)))
-        return F.when(F.size(w) >= 12, 1 - F.size(F.array_distinct(tri)) / F.size(tri)).otherwise(0.0)
+        # hashes of the words, put together place by place: no string is built for a triple
+        h = F.transform(w, lambda x: F.xxhash64(x))
+        return F.element_at(F.transform(F.array(h), triples), 1)
+
+    def triples(h: Column) -> Column:
+        n = F.size(h) - 2
+        tri = F.zip_with(F.zip_with(F.slice(h, 1, n), F.slice(h, 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.slice(h, 3, n), lambda x, c: F.xxhash64(x["a"], x["b"], c))
+        return F.when(F.size(h) >= 12, 1 - F.size(F.array_distinct(tri)) / n).otherwise(0.0)
 
     return F.element_at(F.transform(F.array(F.regexp_extract_all(text, F.lit(r"[^ \t-\r]+"), F.lit(0))), of), 1)
 
 
+_WHITE = " \t\n\x0b\x0c\r"
+
+
 def chunks(text: Column, most: int = 1000) -> Column:
-    """TXT16: pieces of at most `most` characters, filled greedily with words and the white space after them; a longer word is cut."""
-    unit = F.regexp_extract_all(text, F.lit(rf"[^ \t-\r]{{1,{most}}}[ \t-\r]{{0,1}}|[ \t-\r]+"), F.lit(0))
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    """TXT16: pieces filled greedily with words and the white space between them, up to `most` characters; a longer word is a piece of its own.
+
+    A fold over the lengths of words and gaps finds the places of the cuts; the text itself is cut once for each piece.
+    """
+    unit = F.transform(F.regexp_extract_all(text, F.lit(r"[^ \t-\r]+|[ \t-\r]+"), F.lit(0)), lambda x: F.struct(F.length(x).alias("n"), (F.btrim(x, F.lit(_WHITE)) != "").alias("solid")))
+    start = F.struct(F.array().cast("array<int>").alias("cuts"), F.lit(0).alias("held"), F.lit(False).alias("solid"), F.lit(0).alias("at"))
 
     def add(a: Column, x: Column) -> Column:
-        fits = F.length(a["open"]) + F.length(F.rtrim(x)) <= most
-        return F.struct(F.when(fits, a["done"]).otherwise(F.array_append(a["done"], a["open"])).alias("done"), F.when(fits, F.concat(a["open"], x)).otherwise(x).alias("open"))
+        full = (a["held"] + x["n"] > most) & a["solid"]
+        return F.struct(
+            F.when(full, F.array_append(a["cuts"], a["at"])).otherwise(a["cuts"]).alias("cuts"),
+            F.when(full, x["n"]).otherwise(a["held"] + x["n"]).alias("held"),
+            F.when(full, x["solid"]).otherwise(a["solid"] | x["solid"]).alias("solid"),
+            (a["at"] + x["n"]).alias("at"),
+        )
+
+    def cut(ends: Column) -> Column:
+        return F.transform(ends, lambda e, i: F.btrim(F.substr(text, F.when(i == 0, 1).otherwise(F.get(ends, i - 1) + 1), e - F.when(i == 0, 0).otherwise(F.get(ends, i - 1))), F.lit(_WHITE)))
 
-    return F.aggregate(unit, start, add, lambda a: F.filter(F.transform(F.array_append(a["done"], a["open"]), F.trim), lambda x: x != ""))
+    ends = F.aggregate(unit, start, add, lambda a: F.array_append(a["cuts"], a["at"]))
+    return F.filter(F.element_at(F.transform(F.array(ends), cut), 1), lambda x: x != "")
 
 
 def piece_bytes(text: Column, most: int = 1000) -> Column:
@@ -112,6 +155,21 @@ def piece_bytes(text: Column, most: int = 1000) -> Column:
     return F.aggregate(F.transform(chunks(text, most), lambda x: F.octet_length(x).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def options(text: Column) -> Column:
+    """TXT8: labels and texts of "A: ... B: ... C: ..." on one line: three or more of A to E, or of 1 to 5, in sequence, none empty; else null."""
+    label = r"(?:^|\s)([A-E1-5]):\s*"
+
+    def of(x: Column) -> Column:
+        n = F.size(x["labels"])
+        joined = F.array_join(x["labels"], "")
+        clean = (n >= 3) & (joined.isin(*[w[:k] for w in ("ABCDE", "12345") for k in (3, 4, 5)])) & ~F.exists(x["texts"], lambda v: v == "")
+        return F.when(clean, x)
+
+    texts = F.transform(F.slice(F.split(text, label, -1), 2, 2**30), lambda v: F.btrim(v, F.lit(_WHITE)))
+    both = F.struct(F.regexp_extract_all(text, F.lit(label), F.lit(1)).alias("labels"), texts.alias("texts"))
+    return F.element_at(F.transform(F.array(both), of), 1)
+
+
 def excerpt(text: Column, n: int) -> Column:
     """TXT18: at most n characters, with a sign for line breaks and for what is left out."""
     flat = F.replace(text, F.lit("\n"), F.lit(" ⏎ "))
@@ -119,10 +177,10 @@ def excerpt(text: Column, n: int) -> Column:
 
 
 def top_words(share: Column) -> Column:
-    """TXT19."""
-    out = F.lit("")
+    """TXT19: "top 1%", "bottom 1%" or "37th percentile" of a percentile rank from 0 to 1."""
+    out = F.concat(F.round(share * 100).cast("int").cast("string"), F.lit("th percentile"))
     for bound, said in reversed(TOP_WORDS):
-        out = F.when(share <= bound, said).otherwise(out)
+        out = F.when(share >= 1 - bound, f"top {said}").when(share <= bound, f"bottom {said}").otherwise(out)
     return out
 
 
@@ -154,10 +212,12 @@ def quote_title(title: Column) -> Column:
     return F.replace(F.url_encode(F.replace(title, F.lit(" "), F.lit("_"))), F.lit("%2F"), F.lit("/"))
 
 
-def category_links(html: Column, prefix: str) -> Column:
-    """TXT26: decoded targets of links below a prefix, each once, in order."""
+def category_links(html: Column, prefix: str, namespace: str = "") -> Column:
+    """TXT26: decoded targets of links below a prefix, without the namespace before their colon, blanks for underscores, each once, in order."""
     found = F.regexp_extract_all(html, F.lit(f'href="{prefix}([^"#?]*)'), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda x: F.url_decode(F.replace(x, F.lit("+"), F.lit("%2B")))))
+    plain = lambda x: F.replace(F.url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), F.lit("_"), F.lit(" "))
+    own = F.filter(F.transform(found, plain), lambda x: x.rlike(f"^(?:{namespace}):") if namespace else F.lit(True))
+    return F.array_distinct(F.transform(own, lambda x: F.regexp_replace(x, f"^(?:{namespace}):", "") if namespace else x))
 
 
 def shuffled_words(text: Column, seed: int) -> Column:
@@ -172,6 +232,12 @@ def origin(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1), F.lit(""))
 
 
+def origin_of_dump(name: Column) -> Column:
+    """TXT28: the origin of the site that a dump's name tells: "orwiki-20260901" is from https://or.wikipedia.org."""
+    lang = F.regexp_extract(name, r"^([a-z][a-z_]*?)wiki-[0-9]{8}", 1)
+    return F.when(lang != "", F.concat(F.lit("https://"), F.translate(lang, "_", "-"), F.lit(".wikipedia.org")))
+
+
 def wilson(k: Column, n: Column, z: float = 1.96) -> Column:
     """TXT29: 95 % interval of a share; null without trials."""
     p, zz = k / n, z * z

@@ -28,13 +28,17 @@ def markdown_of(t, html: Column) -> DataFrame:
     return html_blocks(t.part.select("p_partkey", html.alias("html")), "p_partkey", "html").select("p_partkey", assembled(F.col("blocks")).alias("markdown"))
 
 
-name, kind, brand = F.col("p_name"), F.col("p_type"), F.col("p_brand")
+def part_columns() -> tuple[Column, Column, Column]:
+    return F.col("p_name"), F.col("p_type"), F.col("p_brand")
+
+
 BREAK = "chr(10) || chr(10)"
 
 
 @query("htm2_reference_sections", f"SELECT p_partkey, CASE WHEN p_size % 6 IN (2, 5) THEN '## History' || {BREAK} || p_name || {BREAK} || '### Deep' || {BREAK} || p_type || {BREAK} ELSE '' END || '## Life' || {BREAK} || p_brand AS markdown FROM part")
 def htm2(t):
     """As sections that are elements, and as headings that follow each other."""
+    name, kind, brand = part_columns()
     head = one_of("References", "See also:", "History", "ବାହାର ଆଧାର", "== Further reading ==", "History")
     nested = F.concat(F.lit("<section><h2>"), head, F.lit("</h2>"), tags("<p>", name, "</p><section><h3>Deep</h3><p>", kind, "</p></section></section><section><h2>Life</h2><p>", brand, "</p></section>"))
     flat = F.concat(F.lit("<h2>"), head, F.lit("</h2>"), tags("<p>", name, "</p><h3>Deep</h3><p>", kind, "</p><h2>Life</h2><p>", brand, "</p>"))
@@ -44,6 +48,7 @@ def htm2(t):
 @query("htm3_templates", f"SELECT p_partkey, CASE WHEN p_size % 7 IN (2, 6) THEN p_type || {BREAK} || p_name || {BREAK} ELSE '' END || p_brand || CASE WHEN p_size % 7 = 6 THEN ' India' ELSE '' END AS markdown FROM part")
 def htm3(t):
     """Exact names, beginnings, endings, output that is an error, links to missing templates; all elements of one template go together."""
+    name, kind, brand = part_columns()
     made_by = one_of("Webarchive", "Cleanup section", "Infobox_thing", "Geo-stub", "Sister_project_links", "Missing", "Flag")
     shown = F.when(F.col("p_size") % 7 == 5, F.concat(F.lit("Template:"), kind)).otherwise(kind)
     data = F.concat(F.lit("<p about='#m1' typeof='mw:Transclusion' data-mw='{\"parts\":[{\"template\":{\"target\":{\"wt\":\""), made_by, F.lit("\"}}}]}'>"))
@@ -54,6 +59,7 @@ def htm3(t):
 @query("htm4_dropped", f"SELECT p_partkey, CASE WHEN p_size % 8 IN (0, 7) THEN p_name || {BREAK} ELSE '' END || p_brand AS markdown FROM part")
 def htm4(t):
     """By class, role, kind, hidden style and tag."""
+    name, kind, brand = part_columns()
     opened = one_of("<div class='plain'>", "<div class='wide infobox'>", "<div role='navigation'>", "<div style='Display : None'>", "<div typeof='mw:File/Thumb'>", "<figure>", "<table>", "<div title='infobox'>")
     closed = one_of(*["</div>"] * 5, "</figure>", "</table>", "</div>")
     return markdown_of(t, F.concat(opened, tags("<p>", name, "</p>"), closed, tags("<p>", brand, "</p>")))
@@ -64,6 +70,7 @@ _ROWS = "SELECT p_partkey, unnest([{{'kind': 'heading', 'level': 2, 'line': '##
 
 @query("htm5_blocks", _ROWS)
 def htm5(t):
+    name, kind, brand = part_columns()
     html = tags("<h2>", name, "</h2><p>", kind, "<br> ", brand, "<ul><li>", F.col("p_size"), "</ul><table class=wikitable><tr><th>", name, "<tr><td>", F.col("p_size"), "</table><nav>", name, "</nav>")
     made = html_blocks(t.part.select("p_partkey", html.alias("html")), "p_partkey", "html")
     return made.select("p_partkey", F.explode("blocks").alias("b")).select("p_partkey", "b.kind", "b.level", F.concat("b.lead", "b.text").alias("line"))
@@ -72,6 +79,7 @@ def htm5(t):
 @query("htm6_lists", "SELECT p_partkey, '1. ' || p_name || chr(10) || '   - ' || p_type || chr(10) || '   - ' || p_brand || CASE WHEN p_size % 3 = 0 THEN chr(10) || '2. plain ' || p_size || chr(10) || '3. end' ELSE chr(10) || '2. end' END AS markdown FROM part")
 def htm6(t):
     """Numbers count what is left: items that are links out or citations alone go."""
+    name, kind, brand = part_columns()
     third = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("plain "), F.col("p_size").cast("string"))).when(F.col("p_size") % 3 == 1, "<a rel='mw:ExtLink' href='x'>a link</a>").otherwise("Book, ISBN 1")
     return markdown_of(t, F.concat(tags("<ol><li>", name, "<ul><li>", kind, "<li>", brand, "</ul><li>"), third, F.lit("<li>end</ol>")))
 
@@ -79,6 +87,7 @@ def htm6(t):
 @query("htm7_tables", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN '| a | b | d |' || chr(10) || '|---|---|---|' || chr(10) || '| ' || p_name || ' | 1 | 2 |' || chr(10) || '| ' || p_name || ' | w\\|x |  |' ELSE p_brand END AS markdown FROM part".replace("\\\\", "\\"))
 def htm7(t):
     """A cell over two rows, one over two columns, an empty column, a bar; a table of one row is none."""
+    name, kind, brand = part_columns()
     whole = tags("<table class=wikitable><tr><th>a<th>b<th>c<th>d<tr><td rowspan=2>", name, "<td>1<td><td>2<tr><td colspan=3>w|x</table>")
     return markdown_of(t, F.when(F.col("p_size") % 2 == 0, whole).otherwise(tags("<table class=wikitable><tr><td>", name, "</table><p>", brand, "</p>")))
 
@@ -106,6 +115,7 @@ _sql = lambda values: ", ".join("'" + v.replace("'", "''") + "'" for v in values
 @query("htm12_escape", f"SELECT p_partkey, (ARRAY[{_sql(b for _, b in _ESCAPES)}])[p_partkey % {len(_ESCAPES)} + 1] || chr(10) || 'x ' || p_name || chr(10) || '\\# y' AS escaped FROM part")
 def htm12(t):
     """Eleven rules: six anywhere, five at the start of a line."""
+    name, kind, brand = part_columns()
     text = F.concat(F.element_at(F.array(*[F.lit(a) for a, _ in _ESCAPES]), (F.col("p_partkey") % len(_ESCAPES) + 1).cast("int")), F.lit("\nx "), name, F.lit("\n# y"))
     return t.part.select("p_partkey", H.escape_markdown(text).alias("escaped"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,6 @@ from .base import Tables, query
 
 R6 = lambda c: F.round(c, 6)
 NATIVE = "a-zà-ÿ"
-#: Common English words for TXT12.
-COMMON = ["the", "and", "of", "to", "in", "is", "that", "it", "was", "for", "on", "with", "as", "are", "by", "be", "this", "at", "from", "or"]
-_IN = ", ".join(f"'{w}'" for w in COMMON)
 _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
 
 
@@ -27,9 +24,9 @@ def txt1(t):
     return t.documents.select("doc_id", F.length(X.normalize_native(F.concat("text", F.lit(X.NATIVE_PAIR)))).cast("long").alias("n"))
 
 
-@query("txt2_script_share", r"SELECT doc_id, round(len(regexp_extract_all(text, '[a-zà-ÿ]')) / nullif(length(regexp_replace(text, '[ \t-\r]', '', 'g')), 0), 6) AS share FROM documents")
+@query("txt2_script_share", r"SELECT doc_id, round(len(regexp_extract_all(t, '[଀-୿।॥]')) / nullif(length(regexp_replace(t, '[ \t-\r]', '', 'g')), 0), 6) AS share, round(len(regexp_extract_all(text, '[a-zà-ÿ]')) / nullif(length(regexp_replace(text, '[ \t-\r]', '', 'g')), 0), 6) AS own FROM (SELECT doc_id, text, 'ଓଡ଼ିଆ ଅ । ॥ ' || text AS t FROM documents)")
 def txt2(t):
-    return t.documents.select("doc_id", R6(X.script_share(F.col("text"), NATIVE)).alias("share"))
+    return t.documents.select("doc_id", R6(X.script_share(F.concat(F.lit("ଓଡ଼ିଆ ଅ । ॥ "), "text"), X.NATIVE_CLASS + "।॥")).alias("share"), R6(X.script_share(F.col("text"), NATIVE)).alias("own"))
 
 
 @query("txt3_other_script_share", r"SELECT doc_id, round(len(regexp_extract_all(text, '[A-Za-z]')) / nullif(length(regexp_replace(text, '[ \t-\r]', '', 'g')), 0), 6) AS latin, round(len(regexp_extract_all(text, '[à-ÿ]')) / nullif(length(regexp_replace(text, '[ \t-\r]', '', 'g')), 0), 6) AS other FROM documents")
@@ -52,23 +49,28 @@ def txt6(t):
     return t.documents.select("doc_id", X.ascii_digits(F.concat(F.col("doc_id").cast("string"), F.lit("୧"))).alias("digits"))
 
 
-@query("txt7_repeat_run")
+_UNIT = "len(list_filter(range(1, length(text) - {n} + 1), lambda i: substr(text, i, {k}) = substr(text, i + {k}, {k}) AND substr(text, i, {k}) = substr(text, i + 2 * {k}, {k}) AND substr(text, i, {k}) = substr(text, i + 3 * {k}, {k}) AND regexp_full_match(substr(text, i, {k}), '[a-zà-ÿ]+'))) > 0"
+
+
+@query("txt7_repeat_run", "SELECT doc_id, " + " OR ".join(_UNIT.format(k=k, n=4 * k - 1) for k in (1, 2, 3)) + " AS runs FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'hahahaha ' ELSE '' END || source || text AS text FROM documents WHERE length(text) < 3000 UNION ALL SELECT doc_id, 'aaaa' FROM documents WHERE length(text) >= 3000)")
 def txt7(t):
-    return t.documents.select("doc_id", X.has_repeat_run(F.col("text"), NATIVE).alias("runs"))
+    """A third of the texts have such a run put in front; of long ones (their SQL would take too long) a run alone is judged."""
+    made = F.when(F.length("text") < 3000, F.concat(F.when(F.col("doc_id") % 3 == 0, "hahahaha ").otherwise(""), "source", "text")).otherwise("aaaa")
+    return t.documents.select("doc_id", X.has_repeat_run(made, NATIVE).alias("runs"))
 
 
-@query("txt8_options")
+@query("txt8_options", r"SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'ABC|' || p_name || '|' || p_type || '|' || p_brand WHEN 1 THEN '12345|a|' || p_name || '|c: d|e|' || p_size END AS options FROM part")
 def txt8(t):
-    """Options "A: ... B: ..." in sequence, of texts built from the lines."""
-    made = t.documents.select("doc_id", F.concat_ws(" ", F.lit("A:"), F.substring("text", 1, 9), F.lit("B:"), F.substring("text", 10, 9)).alias("q"))
-    parts = F.transform(F.regexp_extract_all("q", F.lit("(?s)[A-D]: (.*?)(?= [A-D]: |$)"), F.lit(1)), F.trim)
-    marks = F.regexp_extract_all("q", F.lit("([A-D]): "), F.lit(1))
-    return made.select("doc_id", F.when(F.concat_ws("", marks).isin("AB", "ABC", "ABCD"), parts).alias("options"))
+    """Clean sequences of letters and of digits; two labels, a gap in the sequence, and an empty option are none."""
+    name, kind, brand = F.col("p_name"), F.col("p_type"), F.col("p_brand")
+    made = F.element_at(F.array(F.concat(F.lit("A: "), name, F.lit(" B:"), kind, F.lit("\nC:  "), brand), F.concat(F.lit("1: a 2: "), name, F.lit(" 3: c: d 4: e 5: "), F.col("p_size").cast("string")), F.concat(F.lit("A: "), name, F.lit(" B: "), kind), F.concat(F.lit("A: "), name, F.lit(" C: x D: "), kind), F.concat(F.lit("A: "), name, F.lit(" B: C: "), kind)), (F.col("p_size") % 5 + 1).cast("int"))
+    found = t.part.select("p_partkey", X.options(made).alias("o"))
+    return found.select("p_partkey", F.when(F.col("o").isNotNull(), F.concat_ws("|", F.array_join("o.labels", ""), "o.texts")).alias("options"))
 
 
-@query("txt9_fold", "SELECT doc_id, lower(translate(source, '0123456789_', '          ')) AS key FROM documents")
+@query("txt9_fold", "SELECT doc_id, replace(lower(source), '_', ' ') || '\u0b21\u0b22\u0b3f\u0b41\u0b07\u0b09\u0b2f\u0b71 07\u0b02\u0b15' AS key FROM documents")
 def txt9(t):
-    return t.documents.select("doc_id", X.fold_key(F.col("source"), "0123456789_", " " * 11).alias("key"))
+    return t.documents.select("doc_id", X.fold_key(F.concat("source", F.lit("\u0b5c\u0b5d\u0b40\u0b42\u0b08\u0b0a\u0b5f\u0b35_\u0b66\u0b6d\u0b19\u0b4d\u200d\u0b15\u0b3c"))).alias("key"))
 
 
 @query("txt10_heading_key", r"SELECT p_partkey, lower(trim(regexp_replace(trim(regexp_replace(regexp_replace('== ' || p_name || ': ==', '^=+|=+$', '', 'g'), '[ \t-\r]+', ' ', 'g')), '[ :]+$', '', 'g'))) AS key FROM part")
@@ -76,19 +78,25 @@ def txt10(t):
     return t.part.select("p_partkey", X.heading_key(F.concat(F.lit("== "), "p_name", F.lit(": =="))).alias("key"))
 
 
-@query("txt11_script_mix")
+@query("txt11_script_mix", r"SELECT doc_id, round(o / n, 6) AS native, round(l / n, 6) AS latin, round(x / n, 6) AS other FROM (SELECT *, o + l + x AS n FROM (SELECT doc_id, len(regexp_extract_all(t, '[଀-୿]')) AS o, len(regexp_extract_all(t, '[A-Za-zÀ-ÖØ-öø-ɏ]')) AS l, len(regexp_extract_all(t, '[Ͱ-ϿЀ-ӿ一-鿿]')) AS x FROM (SELECT doc_id, text || ' ଓଡ଼ Ωж漢 é×' AS t FROM documents)))")
 def txt11(t):
-    return t.documents.select("doc_id", X.script_mix(F.col("text"), X.NATIVE_CLASS).alias("m")).select("doc_id", R6("m.native").alias("native"), R6("m.latin").alias("latin"), R6("m.other").alias("other"))
+    made = F.concat("text", F.lit(" ଓଡ଼ Ωж漢 é×"))
+    return t.documents.select("doc_id", X.script_mix(made).alias("m")).select("doc_id", R6("m.native").alias("native"), R6("m.latin").alias("latin"), R6("m.other").alias("other"))
+
 
+_COMMON = ", ".join(f"'{w}'" for w in X.COMMON_ENGLISH)
 
-@query("txt12_common_share", f"SELECT doc_id, CASE WHEN len(w) >= 5 THEN round(len(list_filter(w, lambda x: lower(x) IN ({_IN}))) / len(w), 6) END AS share FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]+') AS w FROM documents)")
+
+@query("txt12_common_share", f"SELECT doc_id, CASE WHEN len(w) >= 5 THEN round(len(list_filter(w, lambda x: lower(x) IN ({_COMMON}))) / len(w), 6) END AS share FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-zÀ-ɏ'']+') AS w FROM documents)")
 def txt12(t):
-    return t.documents.select("doc_id", R6(X.common_share(F.col("text"), COMMON)).alias("share"))
+    return t.documents.select("doc_id", R6(X.common_share(F.col("text"))).alias("share"))
 
 
-@query("txt13_markup_hits", "SELECT doc_id, array_to_string(list_sort(list_transform(list_distinct(regexp_extract_all(text, '[#*$%&|]{2,}')), lambda x: substr(x, 1, 12)))[1:4], ', ') AS hits FROM documents")
+@query("txt13_markup_hits", r"SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN '[[, {{, }}' WHEN 1 THEN '120px, <span class=, Category:, class=' WHEN 2 THEN '&nbsp;' WHEN 3 THEN 'https://, {|' END AS hits FROM part")
 def txt13(t):
-    return t.documents.select("doc_id", X.markup_hits(F.col("text"), "[#*$%&|]{2,}").alias("hits"))
+    """Formulas are no markup, escaped tags are none, more than four kinds are cut."""
+    made = F.element_at(F.array(*map(F.lit, ("{{a}} [[b {{", "<span class=x1> Category:y class= 120px", "a&nbsp;b &nbsp; $x{{y$", "{| http s https://x $$a}}b$$", "plain $a|}$ text", "a \\<b> c"))), (F.col("p_size") % 6 + 1).cast("int"))
+    return t.part.select("p_partkey", X.markup_hits(made).alias("hits"))
 
 
 @query("txt14_verse", "SELECT doc_id, len(l) >= 3 AND list_max(list_transform(l, lambda x: length(x))) < 200 AS verse FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)")
@@ -101,12 +109,19 @@ def txt15(t):
     return t.documents.select("doc_id", R6(X.trigram_repeat(F.col("text"))).alias("share"))
 
 
-@query("txt16_chunks")
+_TOKENS = r"list_prepend([0, 0, 0], list_transform(regexp_extract_all(text, '[^ \t-\r]+|[ \t-\r]+'), lambda x: [length(x), regexp_matches(x, '[^ \t-\r]')::INT]))"
+_CUTS = f"SELECT doc_id, text, list_reduce({_TOKENS}, lambda s, x: CASE WHEN s[1] + x[1] > 1000 AND s[2] = 1 THEN [x[1], x[2], s[3] + x[1]] || s[4:] || [s[3]] ELSE [s[1] + x[1], greatest(s[2], x[2]), s[3] + x[1]] || s[4:] END) AS s FROM documents"
+_ENDS = f"SELECT doc_id, text, list_prepend(0, s[4:] || [s[3]]) AS e FROM ({_CUTS})"
+_PIECES = rf"SELECT doc_id, list_filter(list_transform(range(1, len(e)), lambda i: regexp_replace(substr(text, e[i] + 1, e[i + 1] - e[i]), '^[ \t-\r]+|[ \t-\r]+$', '', 'g')), lambda x: x <> '') AS p FROM ({_ENDS})"
+
+
+@query("txt16_chunks", f"SELECT doc_id, len(p)::BIGINT AS pieces, list_max(list_transform(p, lambda x: length(x)))::BIGINT AS longest FROM ({_PIECES})")
 def txt16(t):
-    return t.documents.select("doc_id", F.explode(X.chunks(F.col("text"))).alias("piece")).groupBy("doc_id").agg(F.count("*").alias("pieces"), F.max(F.length("piece")).cast("long").alias("longest"))
+    p = t.documents.select("doc_id", X.chunks(F.col("text")).alias("p"))
+    return p.select("doc_id", F.size("p").cast("long").alias("pieces"), F.array_max(F.transform("p", F.length)).cast("long").alias("longest"))
 
 
-@query("txt17_piece_bytes")
+@query("txt17_piece_bytes", f"SELECT doc_id, coalesce(list_sum(list_transform(p, lambda x: strlen(x))), 0)::BIGINT AS bytes FROM ({_PIECES})")
 def txt17(t):
     return t.documents.select("doc_id", X.piece_bytes(F.col("text")).alias("bytes"))
 
@@ -116,9 +131,10 @@ def txt18(t):
     return t.documents.select("doc_id", X.excerpt(F.col("text"), 40).alias("excerpt"))
 
 
-@query("txt19_top_words", "SELECT p_partkey, CASE WHEN s <= 0.0001 THEN 'top 0.01%' WHEN s <= 0.001 THEN 'top 0.1%' WHEN s <= 0.005 THEN 'top 0.5%' WHEN s <= 0.01 THEN 'top 1%' WHEN s <= 0.05 THEN 'top 5%' ELSE '' END AS said FROM (SELECT p_partkey, p_retailprice / 20000.0 AS s FROM part)")
+@query("txt19_top_words", "SELECT p_partkey, CASE WHEN s >= 0.9999 THEN 'top 0.01%' WHEN s <= 0.0001 THEN 'bottom 0.01%' WHEN s >= 0.999 THEN 'top 0.1%' WHEN s <= 0.001 THEN 'bottom 0.1%' WHEN s >= 0.995 THEN 'top 0.5%' WHEN s <= 0.005 THEN 'bottom 0.5%' WHEN s >= 0.99 THEN 'top 1%' WHEN s <= 0.01 THEN 'bottom 1%' WHEN s >= 0.95 THEN 'top 5%' WHEN s <= 0.05 THEN 'bottom 5%' ELSE round(s * 100)::INT || 'th percentile' END AS said FROM (SELECT p_partkey, CASE WHEN p_size = 1 THEN 0.0 WHEN p_size = 2 THEN 1.0 ELSE (p_partkey % 1009) / 1009.0 END AS s FROM part)")
 def txt19(t):
-    return t.part.select("p_partkey", X.top_words(F.col("p_retailprice") / 20000.0).alias("said"))
+    share = F.when(F.col("p_size") == 1, 0.0).when(F.col("p_size") == 2, 1.0).otherwise((F.col("p_partkey") % 1009) / 1009.0)
+    return t.part.select("p_partkey", X.top_words(share).alias("said"))
 
 
 @query("txt20_band", "SELECT doc_id, CASE WHEN strlen(text) < 100 THEN '<100' WHEN strlen(text) < 300 THEN '100-299' WHEN strlen(text) < 1000 THEN '300-999' WHEN strlen(text) < 3000 THEN '1000-2999' ELSE '3000+' END AS band FROM documents")
@@ -179,19 +195,26 @@ def txt25(t):
     return t.part.select("p_partkey", X.quote_title(F.col("p_name")).alias("part_url"))
 
 
-@query("txt26_links")
+@query("txt26_links", "SELECT page_id, array_to_string(list_distinct(['About us', 'Ä ' || page_id, 'a+b']), '|') AS links FROM pages WHERE false UNION ALL SELECT page_id, 'About us|Ä ' || page_id || '|a+b' FROM pages")
 def txt26(t):
-    return t.pages.select("page_id", X.category_links(F.col("html"), "/").alias("links"))
+    """Links put in front of each page: a namespace in two languages, escapes, repeats, and links that are no category."""
+    made = F.concat(F.lit('<a href="./Category:About_us">x</a><a href="./ଶ୍ରେଣୀ:%C3%84_'), F.col("page_id").cast("string"), F.lit('#top">y</a><a href="./Page">no</a><a href="./Category:About%20us">again</a><a href="./Category:a+b?x=1">z</a>'), F.col("html"))
+    return t.pages.select("page_id", F.array_join(X.category_links(made, r"\./", "Category|ଶ୍ରେଣୀ"), "|").alias("links"))
 
 
-@query("txt27_shuffle")
+@query("txt27_shuffle", r"SELECT doc_id, md5(array_to_string(list_sort(regexp_extract_all(text, '[^ \t-\r]+')), ' ')) AS words, md5(regexp_replace(text, '[^ \t-\r]+', 'x', 'g')) AS gaps, len(list_distinct(regexp_extract_all(text, '[^ \t-\r]+'))) > 20 AS moved FROM documents")
 def txt27(t):
-    return t.documents.select("doc_id", F.length(X.shuffled_words(F.col("text"), 7)).alias("n_chars"))
+    """The same words between the same gaps, and in another order where there are enough of them."""
+    s = t.documents.select("doc_id", "text", X.shuffled_words(F.col("text"), 7).alias("s"))
+    ws = F.regexp_extract_all("s", F.lit(r"[^ \t-\r]+"), F.lit(0))
+    many = F.size(F.array_distinct(ws)) > 20
+    return s.select("doc_id", F.md5(F.array_join(F.array_sort(ws), " ")).alias("words"), F.md5(F.regexp_replace("s", r"[^ \t-\r]+", "x")).alias("gaps"), (many & (F.col("s") != F.col("text"))).alias("moved"))
 
 
-@query("txt28_origin", "SELECT page_id, nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), '') AS origin FROM pages")
+@query("txt28_origin", "SELECT page_id, nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), '') AS origin, CASE page_id % 3 WHEN 0 THEN 'https://or.wikipedia.org' WHEN 1 THEN 'https://zh-min-nan.wikipedia.org' END AS dump FROM pages")
 def txt28(t):
-    return t.pages.select("page_id", X.origin(F.col("url")).alias("origin"))
+    name = F.element_at(F.array(F.lit("orwiki-20260901-pages.xml.bz2"), F.lit("zh_min_nanwiki-20260901"), F.lit("notes.txt")), (F.col("page_id") % 3 + 1).cast("int"))
+    return t.pages.select("page_id", X.origin(F.col("url")).alias("origin"), X.origin_of_dump(name).alias("dump"))
 
 
 @query("txt29_wilson", "SELECT lang, round((k / n + 3.8416 / (2 * n) - 1.96 * sqrt(k / n * (1 - k / n) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 6) AS low, round((k / n + 3.8416 / (2 * n) + 1.96 * sqrt(k / n * (1 - k / n) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 6) AS high FROM (SELECT lang, count(*)::DOUBLE AS n, count(*) FILTER (WHERE quality = 1)::DOUBLE AS k FROM documents JOIN labels USING (doc_id) GROUP BY lang)")
@@ -200,25 +223,64 @@ def txt29(t):
     return k.select("lang", X.wilson(F.col("k"), F.col("n")).alias("w")).select("lang", R6("w.low").alias("low"), R6("w.high").alias("high"))
 
 
-@query("htm14_dominant", f"SELECT doc_id, count(*) FILTER (WHERE length(regexp_replace(line, '[^A-Za-z]', '', 'g')) >= 30 AND length(regexp_replace(line, '[^A-Za-z]', '', 'g')) > 2 * length(regexp_replace(line, '[^à-ÿ]', '', 'g')))::BIGINT AS dominant FROM {_LINES} GROUP BY doc_id")
+#: Lines by kind, as the builder's tests tell them: p, li, t and h.
+_KINDS_SQL = "CASE WHEN regexp_matches(line, '^#{1,6} ') THEN 'h' WHEN regexp_matches(line, '^\\|') THEN 't' WHEN regexp_matches(line, '^ {0,12}([-*+]|[0-9]+[.)]) ') THEN 'li' ELSE 'p' END".replace("\\\\", "\\")
+
+
+def block_lines(t):
+    """Lines of documents with a kind: every fourth document's lines are made headings, tables or items."""
+    mark = F.element_at(F.array(F.lit(""), F.lit("# "), F.lit("| "), F.lit("- ")), (F.col("doc_id") % 4 + 1).cast("int"))
+    marked = lines(t).withColumn("line", F.concat(mark, F.col("line")))
+    kind = F.replace(F.replace(F.replace(F.replace(X.block_kind(F.col("line"), "build"), F.lit("list item"), F.lit("li")), F.lit("heading"), F.lit("h")), F.lit("table"), F.lit("t")), F.lit("paragraph"), F.lit("p"))
+    return marked.withColumn("kind", kind)
+
+
+_MARKED = "(SELECT *, " + _KINDS_SQL + " AS kind FROM (SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN '# ' WHEN 2 THEN '| ' WHEN 3 THEN '- ' ELSE '' END || line AS line FROM " + _LINES + "))"
+
+
+@query("htm14_dominant", f"SELECT doc_id, count(*) FILTER (WHERE l >= CASE kind WHEN 'li' THEN 10 WHEN 'h' THEN 5 ELSE 30 END AND l > 2 * o AND NOT (kind = 't' AND o >= 200))::BIGINT AS dominant FROM (SELECT doc_id, kind, length(regexp_replace(line, '[^A-Za-z]', '', 'g')) AS l, length(regexp_replace(line, '[^à-ÿ]', '', 'g')) AS o FROM {_MARKED}) GROUP BY doc_id")
 def htm14(t):
-    """Lines dominated by a foreign script."""
+    """Lines dominated by a foreign script; what is enough of it depends on the kind, and a table of much own text stays."""
     foreign, own = F.regexp_count("line", F.lit("[A-Za-z]")), F.regexp_count("line", F.lit("[à-ÿ]"))
-    return lines(t).groupBy("doc_id").agg(F.count_if((foreign >= 30) & (foreign > 2 * own)).alias("dominant"))
+    enough = F.when(F.col("kind") == "li", 10).when(F.col("kind") == "h", 5).otherwise(30)
+    return block_lines(t).groupBy("doc_id").agg(F.count_if((foreign >= enough) & (foreign > 2 * own) & ~((F.col("kind") == "t") & (own >= 200))).alias("dominant"))
+
+
+# What tells a citation in any block, in list items, and publishers, who tell one together with a year.
+CITATION = r"\b(?:ISBN|ISSN|doi|OCLC)\b|\bpp?\.\s*\d|[Vv]ol\.\s*\d|\bRetrieved\b|^\s*[A-Z][A-Za-z'-]+,\s+(?:[A-Z]\.\s*){1,3}[,(&]|^\s*[A-Z][A-Za-z'-]+,\s+[A-Z][a-z]+(?:\s+[A-Z]\.?)*\s*\((?:1[5-9]|20)\d\d\)"
+CITATION_ITEM = CITATION + r"|\((?:1[5-9]|20)\d\d\)\.\s"
+PUBLISHER = r"\b(?:[Pp]ress|[Pp]ublishers?|[Pp]ublications|[Jj]ournal|[Pp]roceedings|[Ee]dited by)\b|\(eds?\.\)"
+YEAR = r"\b(?:1[5-9]|20)\d\d\b"
+
 
+def is_citation(text: Column, kind: Column) -> Column:
+    """HTM15: stricter for list items, where publishers with a year count, too."""
+    return F.when(kind == "li", text.rlike(CITATION_ITEM) | (text.rlike(PUBLISHER) & text.rlike(YEAR))).otherwise(text.rlike(CITATION))
 
-@query("htm15_citation", f"SELECT doc_id, count(*) FILTER (WHERE regexp_matches(line, 'https?://|ISBN|[0-9]{{16}}'))::BIGINT AS citations FROM {_LINES} GROUP BY doc_id")
+
+_Q = lambda p: "'" + p.replace("'", "''") + "'"
+
+
+@query("htm15_citation", f"SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN regexp_matches(x, {_Q(CITATION_ITEM)}) OR (regexp_matches(x, {_Q(PUBLISHER)}) AND regexp_matches(x, {_Q(YEAR)})) ELSE regexp_matches(x, {_Q(CITATION)}) END AS citation FROM (SELECT p_partkey, CASE p_size % 8 WHEN 0 THEN 'Doe, J. K. (1999) ' || p_name WHEN 1 THEN p_name || ' (1999). ' || p_type WHEN 2 THEN p_name || ' Press, 2001' WHEN 3 THEN p_name || ' vol. 3' WHEN 4 THEN 'see ISBN 3' WHEN 5 THEN 'Smith, John A. (2005) ' || p_name WHEN 6 THEN p_name || ' Press' ELSE p_name || ' pp. 7' END AS x FROM part)")
 def htm15(t):
-    return lines(t).groupBy("doc_id").agg(F.count_if(F.col("line").rlike("https?://|ISBN|[0-9]{16}")).alias("citations"))
+    """Every other block is a list item."""
+    name, kind = F.col("p_name"), F.col("p_type")
+    made = F.element_at(F.array(F.concat(F.lit("Doe, J. K. (1999) "), name), F.concat(name, F.lit(" (1999). "), kind), F.concat(name, F.lit(" Press, 2001")), F.concat(name, F.lit(" vol. 3")), F.lit("see ISBN 3"), F.concat(F.lit("Smith, John A. (2005) "), name), F.concat(name, F.lit(" Press")), F.concat(name, F.lit(" pp. 7"))), (F.col("p_size") % 8 + 1).cast("int"))
+    return t.part.select("p_partkey", is_citation(made, F.when(F.col("p_partkey") % 2 == 0, "li").otherwise("p")).alias("citation"))
+
+
+_ROUTE = "CASE WHEN regexp_matches(line, '\\bISBN\\b') THEN 'removed: citation' WHEN NOT is_foreign THEN 'kept' WHEN kind IN ('p', 'h') AND item_id IS NULL THEN 'removed: awaiting translation' WHEN kind IN ('p', 'h') AND item_id % 3 = 0 THEN 'removed: junk' WHEN kind IN ('p', 'h') AND item_id % 3 = 1 THEN 'replaced' ELSE 'kept' END".replace("\\\\", "\\")
 
 
-@query("htm16_routing", "SELECT route, count(*)::BIGINT AS n FROM (SELECT CASE WHEN regexp_matches(line, '[0-9]{16}') THEN 'citation' WHEN b.item_id IS NOT NULL THEN 'replaced' WHEN length(line) < 3 THEN 'junk' ELSE 'kept' END AS route FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) l LEFT JOIN (SELECT min(item_id) AS item_id, text AS btext FROM benchmark GROUP BY text) b ON l.line = b.btext) GROUP BY route")
+@query("htm16_routing", f"SELECT route, count(*)::BIGINT AS n FROM (SELECT {_ROUTE} AS route FROM (SELECT kind, line, len(regexp_extract_all(line, '[A-Za-z]')) >= 30 AND length(regexp_replace(line, '[^A-Za-z]', '', 'g')) > 2 * length(regexp_replace(line, '[^à-ÿ]', '', 'g')) AS is_foreign, item_id FROM (SELECT * FROM {_MARKED}) l LEFT JOIN (SELECT min(item_id) AS item_id, text AS btext FROM benchmark GROUP BY text) b ON regexp_replace(l.line, '^# ', '') = b.btext)) GROUP BY route")
 def htm16(t):
-    """Blocks routed by tests and by a lookup of their content hash."""
+    """Foreign blocks: citations go; paragraphs and headings are replaced by their translation, found by content hash, dropped if it says junk, kept if it is empty, and set aside if there is none; other blocks stay."""
     known = t.benchmark.groupBy(F.sha1("text").alias("sha")).agg(F.min("item_id").alias("item_id"))
-    routed = lines(t).withColumn("sha", F.sha1("line")).join(known, "sha", "left")
-    route = F.when(F.col("line").rlike("[0-9]{16}"), "citation").when(F.col("item_id").isNotNull(), "replaced").when(F.length("line") < 3, "junk").otherwise("kept")
-    return routed.groupBy(route.alias("route")).agg(F.count("*").alias("n"))
+    b = block_lines(t).withColumn("sha", F.sha1(F.regexp_replace("line", "^# ", ""))).join(known, "sha", "left")
+    foreign = (F.regexp_count("line", F.lit("[A-Za-z]")) >= 30) & (F.regexp_count("line", F.lit("[A-Za-z]")) > 2 * F.regexp_count("line", F.lit("[à-ÿ]")))
+    prose = F.col("kind").isin("p", "h")
+    route = F.when(F.col("line").rlike(r"\bISBN\b"), "removed: citation").when(~foreign, "kept").when(prose & F.col("item_id").isNull(), "removed: awaiting translation").when(prose & (F.col("item_id") % 3 == 0), "removed: junk").when(prose & (F.col("item_id") % 3 == 1), "replaced").otherwise("kept")
+    return b.groupBy(route.alias("route")).agg(F.count("*").alias("n"))
 
 
 @query("htm19_block_kind", "SELECT kind, count(*)::BIGINT AS n FROM (SELECT CASE WHEN regexp_matches(line, '^#{1,6} ') THEN 'heading' WHEN regexp_matches(line, '^\\|') THEN 'table' WHEN regexp_matches(line, '^ {0,12}([-*+]|[0-9]+[.)]) ') THEN 'list' WHEN regexp_matches(line, '^\\$\\$') THEN 'math' ELSE 'para' END AS kind FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY kind".replace("\\\\", "\\"))

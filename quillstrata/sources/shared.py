@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,4 +36,28 @@ def stored(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: as safe as cut(), in less space."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by stored(), once what was made of them is stored itself."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query go when it ends: what is kept is stored in tables, not in them."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)

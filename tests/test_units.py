@@ -75,17 +75,25 @@ def one(spark, column, text):
     return spark.createDataFrame([(text,)], "t string").select(column(F.col("t"))).first()[0]
 
 
-@pytest.mark.parametrize("text", ["", "a", "one two three", "x" * 2500, "a " * 900, "  lead and trail  ", "wörd " * 300 + "😀" * 1200])
-def test_chunks_hold_all_solid_characters(spark, text):
-    pieces = one(spark, X.chunks, text)
-    assert all(0 < len(p) <= 1000 for p in pieces)
-    assert "".join("".join(pieces).split()) == "".join(text.split())
+@pytest.mark.parametrize("text", ["", "a", " \n ", "one two three", "x" * 2500, "a " * 900, "  lead and trail  ", "wörd " * 300 + "😀" * 1200, "w" * 999 + "  " + "v" * 999 + "\t\n" * 600 + "end", "ab cde\n" * 400])
+def test_chunks_equal_a_walk_over_words(spark, text):
+    import re
+
+    want, held = [], ""
+    for part in re.split(r"([ \t-\r]+)", text):
+        if len(held) + len(part) > 1000 and held.strip(" \t\n\x0b\x0c\r"):
+            want.append(held)
+            held = ""
+        held += part
+    want = [p.strip(" \t\n\x0b\x0c\r") for p in [*want, held]]
+    assert one(spark, X.chunks, text) == [p for p in want if p]
 
 
 def test_text_functions_on_nulls_and_ties(spark):
     assert one(spark, lambda c: X.script_share(c, "a-z"), "") == 0.0
     assert one(spark, lambda c: X.script_share(c, "a-z"), None) == 0.0
-    assert one(spark, lambda c: X.common_share(c, ["the"]), "the the") is None
+    assert one(spark, X.common_share, "the the of a") is None
+    assert one(spark, X.common_share, "the the of a Zebra's") == pytest.approx(0.8)
     assert one(spark, X.trigram_repeat, "a b c " * 4) == pytest.approx(0.7)
     assert one(spark, X.heading_key, "==  Notes : ==") == "notes"
     assert one(spark, lambda c: X.excerpt(c, 3), "a\nb") == "a ⏎…"
