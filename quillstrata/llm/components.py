@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import stored
+from ..sources.shared import discard, stored
 
-#: The number of rounds grows with the logarithm of the graph's diameter; this many would do for any table.
-ROUNDS = 60
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     hung = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("c")).distinct())
     before = None
-    for _ in range(ROUNDS):
+    while True:  # the number of rounds grows with the logarithm of the graph's diameter
         state = tuple(hung.agg(F.count("*"), F.sum(F.xxhash64("v", "c").cast("decimal(38,0)"))).first())
         if state == before or not state[0]:
             return hung
@@ -28,5 +26,5 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("v").agg(F.least(F.min("c"), F.first("v")).alias("m"))
         far = both.join(least, "v").where("c > v").select(F.col("c").alias("v"), F.col("m").alias("c")).where("v <> c").distinct()
         near = far.groupBy("v").agg(F.min("c").alias("m"))
-        hung = stored(far.join(near, "v").select(F.col("c").alias("v"), F.col("m").alias("c")).where("v <> c").union(near.select("v", F.col("m").alias("c"))).distinct())
-    raise RuntimeError("the components did not settle")
+        gone, hung = hung, stored(far.join(near, "v").select(F.col("c").alias("v"), F.col("m").alias("c")).where("v <> c").union(near.select("v", F.col("m").alias("c"))).distinct())
+        discard(gone)

@@ -36,12 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.shared import stored
+from ..sources.shared import discard, short_lived_shuffles, stored
 from ._batches import encoded, map_texts, slices, texts_of
 from .components import components
 
 FREQUENT_FROM, FREQUENT_MOST, BUCKET, COMBINED = 32, 1_000_000, 32, 4
-BINS, COUNT_TOKENS, BLOOM_BITS, SLICE = 64, 2_000_000, 26, 4 << 20
+#: Keys of large buckets that may be broadcast.
+FEW_KEYS = 100_000
+BINS, COUNT_TOKENS, BLOOM_LEAST, BLOOM_MOST, SLICE = 64, 2_000_000, 26, 30, 4 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _L, _B = T.LongType(), T.BinaryType()
 
@@ -213,8 +215,8 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, size: int, share: int, names: np.ndarray) -> DataFrame:
-    """key, v, n, r and p (see keys_of): the keys of every document's class."""
-    schema = T.StructType([T.StructField(c, _L) for c in ("key", "v", "n", "r", "p")])
+    """key, v, m (n in the upper, r in the lower half) and p (see keys_of): the keys of every document's class."""
+    schema = T.StructType([T.StructField(c, _L) for c in ("key", "v", "m", "p")])
     held = docs.sparkSession.sparkContext.broadcast(names)
 
     def build():
@@ -227,7 +229,7 @@ def _entries(docs: DataFrame, size: int, share: int, names: np.ndarray) -> DataF
             keys = [keys_of(s, m, share) for s, m in zip(found, marks, strict=True)]
             sizes = [len(k[0]) for k in keys]
             key, rare, before = (np.concatenate(x) for x in zip(*keys, strict=True)) if keys else [np.zeros(0, np.int64)] * 3
-            columns = [key.view(np.int64), np.repeat(classes_of(found), sizes), np.repeat(np.array([len(s) for s in found], np.int64), sizes), rare, before.view(np.int64)]
+            columns = [key.view(np.int64), np.repeat(classes_of(found), sizes), np.repeat(np.array([len(s) for s in found], np.int64), sizes) << 32 | rare, before.view(np.int64)]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=schema.names)
 
         return apply
@@ -254,11 +256,12 @@ def _near(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """v and tokens of the classes in wanted (v), and of a few others, by one pass over the texts.
 
-    One bit for each class that is wanted makes a filter of fixed size, whose false hits do no harm.
+    A few bits for each class that is wanted, up to 2^BLOOM_MOST of them, make a bounded filter, whose false hits do no harm.
     """
-    place = F.expr(f"shiftrightunsigned(v, {64 - BLOOM_BITS})")
-    words = wanted.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(v, {64 - BLOOM_BITS}) & 31 as int))")).alias("bits")).toPandas()
-    mask = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
+    bits_of_filter = min(BLOOM_MOST, max(BLOOM_LEAST, wanted.count().bit_length() + 4))
+    place = F.expr(f"shiftrightunsigned(v, {64 - bits_of_filter})")
+    words = wanted.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(v, {64 - bits_of_filter}) & 31 as int))")).alias("bits")).toPandas()
+    mask = np.zeros(1 << (bits_of_filter - 5), np.uint32)
     if len(words):
         mask[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     held = docs.sparkSession.sparkContext.broadcast(mask)
@@ -270,7 +273,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [s for s in shingler(encoded(batch, "text")) if len(s)]
             names = classes_of(found)
-            at = names.view(np.uint64) >> np.uint64(64 - BLOOM_BITS)
+            at = names.view(np.uint64) >> np.uint64(64 - bits_of_filter)
             hit = (held.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1)
             rows = {int(names[i]): found[i].tobytes() for i in np.flatnonzero(hit)}
             return pa.RecordBatch.from_arrays([pa.array(rows.keys(), pa.int64()), pa.array(rows.values(), pa.binary())], names=schema.names)
@@ -301,15 +304,21 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
     total = classes.agg(F.sum("n")).first()[0] or 0
     entries = stored(_entries(docs, size, share, frequent_names(docs, size, total)))
     shared = entries.groupBy("key").agg(F.min("v").alias("_a"), F.max("v").alias("_b")).where("_a <> _b").select("key")
-    multi = stored(entries.join(shared, "key").distinct())
-    multi = stored(multi.join(multi.groupBy("key").agg(F.count("*").alias("held")), "key"))
-    cold, hot = multi.where(F.col("held") <= BUCKET), multi.where(F.col("held") > BUCKET)
+    # the keys of two classes or more; copies of a document have one row
+    multi = stored(entries.select("key", "v", "m").join(shared, "key").groupBy("key", "v").agg(F.min("m").alias("m")))
+    large = stored(multi.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > BUCKET))
+    few = F.broadcast(large) if large.limit(FEW_KEYS + 1).count() <= FEW_KEYS else large
+    cold = multi.join(few.select("key"), "key", "left_anti")
+    hot = stored(entries.join(few, "key").groupBy("key", "v").agg(F.min("m").alias("m"), F.min("p").alias("p"), F.min("held").alias("held")))
+    discard(entries)
     # a class with combinations has all its rare tokens among its keys: two that link either share one, and are compared for that, or have all others in common at most
-    common = F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
-    fits = 100 * common >= share * (F.col("na") + F.col("nb") - common)
-    left = lambda d, *more: d.select("key", F.col("v").alias("a"), *[F.col(c).alias(f"{c}a") for c in ("n", "r", "p", *more)])
-    right = lambda d, *more: d.select("key", F.col("v").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("n", "r", "p", *more)])
+    n, r = (lambda m: F.shiftright(m, 32)), (lambda m: F.col(m).bitwiseAND(F.lit(0xFFFFFFFF)))
+    common = F.least(n("ma") - r("ma"), n("mb") - r("mb"))
+    fits = 100 * common >= share * (n("ma") + n("mb") - common)
+    left = lambda d, *more: d.select("key", F.col("v").alias("a"), *[F.col(c).alias(f"{c}a") for c in ("m", *more)])
+    right = lambda d, *more: d.select("key", F.col("v").alias("b"), *[F.col(c).alias(f"{c}b") for c in ("m", *more)])
     near = _near(left(cold).join(right(cold), "key").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct(), classes, share)
+    discard(multi)
     if near.isEmpty() and hot.isEmpty():
         return components(near)
     wanted = near.select(F.col("a").alias("v")).union(near.select(F.col("b").alias("v"))).union(hot.select("v")).distinct()
@@ -328,22 +337,25 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
         open_ = marked.groupBy("key").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b").select("key")
         entries = stored(marked.join(open_, "key"))
         if entries.isEmpty():
-            return linked
+            break
         if tested is None:
             lead = entries.join(leaders, "key").where("v = a").drop("a")
         else:
             lead = entries.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) * F.col("held") < F.lit(taken * (1 << 30)).cast("long"))
         # of the keys that a pair shares side by side, the first one stands for all
-        to = left(lead, "c").join(right(entries, "c"), "key").where((F.col("ca") != F.col("cb")) & ((F.col("pa") != F.col("pb")) | (F.col("pa") == 0)) & fits)
+        to = left(lead, "p", "c").join(right(entries, "p", "c"), "key").where((F.col("ca") != F.col("cb")) & ((F.col("pa") != F.col("pb")) | (F.col("pa") == 0)) & fits)
         pairs = to.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.union(pairs)
         new = _verified(_near(pairs, classes, share), tokens, share)
         if not new.isEmpty():
             linked = components(linked.select(F.col("v").alias("a"), F.col("c").alias("b")).union(new))
+        discard(entries)
         if taken >= largest:
-            return linked
+            break
         taken *= 16
+    discard(hot, tokens)
+    return linked
 
 
 def _classified(docs: DataFrame, size: int, share: int) -> tuple[DataFrame, DataFrame]:
@@ -351,14 +363,20 @@ def _classified(docs: DataFrame, size: int, share: int) -> tuple[DataFrame, Data
 
     first: whether doc_id is null, doc_id and text_key; the least of them.
     """
-    keyed = texts_of(docs).withColumn("text_key", text_key())
+    with short_lived_shuffles(docs.sparkSession):
+        return _classified_now(texts_of(docs).withColumn("text_key", text_key()), size, share)
+
+
+def _classified_now(keyed: DataFrame, size: int, share: int) -> tuple[DataFrame, DataFrame]:
     all_ = stored(sets(keyed, size))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     classes = stored(all_.where("v is not null").groupBy("v").agg(F.min("n").alias("n"), F.min("bins").alias("bins"), F.min("doc_id").alias("least"), F.min(first).alias("first"), F.count("*").alias("rows")))
     linked = linked_classes(keyed.select("doc_id", "text"), classes.select("v", "n", "bins"), size, share)
     named = classes.select("v", "least", "first", "rows").join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
     of = named.groupBy("c").agg(F.min("least").alias("component_id"), F.min("first").alias("first"), F.sum("rows").alias("rows"))
-    return all_, stored(named.select("v", "c").join(of, "c").select("v", "component_id", "first", "rows"))
+    out = stored(named.select("v", "c").join(of, "c").select("v", "component_id", "first", "rows"))
+    discard(classes)
+    return all_, out
 
 
 def text_key(column: str = "text") -> F.Column:
