@@ -243,32 +243,39 @@ def _address(text: Column, key: Column, attempt: Column) -> Column:
     return let(state, lambda v: F.concat_ws(".", *[x.cast("string") for x in (F.floor(v["l"] / 256), v["l"] % 256, F.floor(v["r"] / 256), v["r"] % 256)]))
 
 
-def _syllables(word: Column, digest: Column, attempt: Column, least: int = 4) -> Column:
-    """A name of `least` syllables in the word's script, of more from the second attempt on; two are enough where a sign is a syllable."""
+def _words(names: tuple[str, ...]) -> Column:
+    """A constant array, in one node of the plan."""
+    return F.split(F.lit(" ".join(names)), " ")
 
-    def of(held: Column) -> Column:
-        pick = lambda names, k: F.element_at(F.array(*map(F.lit, names)), (1 + F.conv(F.substring(held, 1 + 4 * k, 4), 16, 10).cast("int") % len(names)).cast("int"))
-        spell = lambda names, n: F.initcap(F.concat(*[pick(names, k) for k in range(n)], F.when(attempt > 0, pick(names, n)).otherwise(""), F.when(attempt > 2, F.concat(pick(names, n + 1), pick(names, n + 2))).otherwise("")))
-        return (
-            F.when(word.rlike(r"\p{IsCyrillic}"), spell(CYRILLIC_SYLLABLES, least))
-            .when(word.rlike(r"\p{IsGreek}"), spell(GREEK_SYLLABLES, least))
-            .when(word.rlike(r"\p{IsHan}|\p{IsHiragana}|\p{IsKatakana}|\p{IsHangul}"), spell(HAN_SYLLABLES, 2))
-            .when(word.rlike(r"\p{IsDevanagari}"), spell(DEVANAGARI_SYLLABLES, least - 1))
-            .when(word.rlike(r"\p{IsArabic}"), spell(ARABIC_SYLLABLES, least - 1))
-            .otherwise(spell(LATIN_SYLLABLES, least))
-        )
 
-    return let(digest, of)
+def _syllables(word: Column, digest: Column, attempt: Column, least: int = 4) -> Column:
+    """A name of `least` syllables in the word's script, of more from the second attempt on; fewer are enough where a sign is a syllable."""
+
+    def spelled(x: Column) -> Column:
+        pick = lambda k: F.element_at(x["names"], (1 + F.conv(F.substr(x["digest"], 1 + 4 * k, F.lit(4)), 16, 10).cast("int") % F.size(x["names"])).cast("int"))
+        return F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), x["n"] - 1), pick), ""))
+
+    han, few = word.rlike(r"\p{IsHan}|\p{IsHiragana}|\p{IsKatakana}|\p{IsHangul}"), word.rlike(r"\p{IsDevanagari}|\p{IsArabic}")
+    names = (
+        F.when(word.rlike(r"\p{IsLatin}"), _words(LATIN_SYLLABLES))
+        .when(word.rlike(r"\p{IsCyrillic}"), _words(CYRILLIC_SYLLABLES))
+        .when(word.rlike(r"\p{IsGreek}"), _words(GREEK_SYLLABLES))
+        .when(han, _words(HAN_SYLLABLES))
+        .when(word.rlike(r"\p{IsDevanagari}"), _words(DEVANAGARI_SYLLABLES))
+        .when(word.rlike(r"\p{IsArabic}"), _words(ARABIC_SYLLABLES))
+        .otherwise(_words(LATIN_SYLLABLES))
+    )
+    n = F.when(han, 2).when(few, least - 1).otherwise(least) + F.when(attempt > 2, 3).when(attempt > 0, 1).otherwise(0)
+    return let(F.struct(names.alias("names"), n.alias("n"), digest.alias("digest")), spelled)
 
 
 def _given(name: Column, key: Column, seed: str) -> Column:
-    """A given name of the same gender: the list shifted by a keyed step, so that two names stay two."""
-    out = None
+    """A given name of the same gender: the list shifted by a keyed step, so that two names stay two; null if it isn't listed."""
+    out = F.lit(None).cast("string")
     for names in (MALE_NAMES, FEMALE_NAMES):
-        listed = F.array(*map(F.lit, names))
         step = 1 + _number(_hash(key, F.lit(seed))) % (len(names) - 1)
-        moved = F.element_at(listed, (1 + (F.array_position(listed, name) - 1 + step) % len(names)).cast("int"))
-        out = F.when(F.array_contains(listed, name), moved) if out is None else out.when(F.array_contains(listed, name), moved)
+        place = F.array_position(_words(names), name)
+        out = F.coalesce(out, F.when(place > 0, F.element_at(_words(names), (1 + (place - 1 + step) % len(names)).cast("int"))))
     return out
 
 
