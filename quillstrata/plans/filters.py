@@ -157,14 +157,6 @@ def flt20(t):
     return lines(t).where(F.col("line").rlike("[0-9]{16}")).join(t.labels, "doc_id", "left_semi").select("doc_id", F.col("para").cast("int").alias("para"))
 
 
-_LATEST = "(SELECT user_id, max_by(event_type, event_id) AS verdict, max(event_id) AS event_id FROM events GROUP BY user_id)"
-
-
-@query("flt21_decisions", f"SELECT user_id, verdict FROM {_LATEST} WHERE verdict IN ('purchase', 'click')")
-def flt21(t):
-    return t.events.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("verdict")).where(F.col("verdict").isin("purchase", "click"))
-
-
 @query("prj1_pick", "SELECT doc_id, upper(lang) AS lang, source, n_chars FROM documents")
 def prj1(t):
     return t.documents.withColumns({"lang": F.upper("lang")}).drop("text").select("doc_id", "lang", "source", "n_chars")

@@ -10,7 +10,7 @@ from ..sources import files as R
 from .base import query
 from .files import place, written
 from .filters import CASCADE_SQL, cascade
-from .relations import latest_events, set1
+from .relations import latest_events, partition_check
 from .text import lines
 
 N = lambda name="n": F.count("*").alias(name)
@@ -67,17 +67,12 @@ def api9(t):
     return out.groupBy(F.regexp_replace("reason", " of [0-9]+$", "").alias("reason")).agg(N(), F.count("l").alias("labelled"))
 
 
-@query("api10_annotation_status", "SELECT count(l.doc_id)::BIGINT AS matched, (count(*) - count(l.doc_id))::BIGINT AS missing, count(*) FILTER (WHERE l.doc_id % 5 = 0)::BIGINT AS stale FROM documents LEFT JOIN labels l USING (doc_id)")
-def api10(t):
-    """Stale: a fifth of the annotation carries another text's hash."""
-    ann = t.documents.join(t.labels, "doc_id").select("doc_id", F.when(F.col("doc_id") % 5 == 0, F.sha1(F.concat("text", F.lit("!")))).otherwise(F.sha1("text")).alias("sha"))
-    both = t.documents.select("doc_id", F.sha1("text").alias("now")).join(ann, "doc_id", "left")
-    return both.agg(F.count("sha").alias("matched"), (F.count("*") - F.count("sha")).alias("missing"), F.count_if(F.col("sha") != F.col("now")).alias("stale"))
-
-
-@query("qc3_consistency", f"WITH c AS ({CASCADE_SQL}) SELECT count(*)::BIGINT AS ids, count(*) FILTER (WHERE reason IS NULL)::BIGINT AS kept, count(*) FILTER (WHERE reason IS NOT NULL)::BIGINT AS excluded, 0::BIGINT AS repeated, 0::BIGINT AS strangers FROM c")
+@query("qc3_consistency", f"WITH c AS ({CASCADE_SQL}), l AS (SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id) SELECT (SELECT count(*) FROM documents)::BIGINT AS ids, count(*) FILTER (WHERE reason IS NULL)::BIGINT AS kept, count(*) FILTER (WHERE reason IS NOT NULL)::BIGINT AS excluded, (SELECT count(*) FROM l WHERE n > 1)::BIGINT AS repeated, (SELECT count(*) FROM l WHERE doc_id NOT IN (SELECT doc_id FROM documents))::BIGINT AS strangers, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l))::BIGINT AS lost FROM c")
 def qc3(t):
-    return set1(t)
+    """The lists of a finished build, written as files and read again."""
+    c = cascade(t.documents)
+    kept, out = (R.read_json_lines(t.spark, written(t, c.where(p).select("doc_id")), "doc_id long") for p in ("reason is null", "reason is not null"))
+    return partition_check(t.documents, kept, out, "doc_id")
 
 
 @query("src13_discover", "SELECT 'documents' AS name, true AS is_corpus, true AS is_annotation UNION ALL SELECT 'labels', false, true UNION ALL SELECT 'pages', false, false")
@@ -132,13 +127,6 @@ def str6(t):
     return made.join(now, "cache").select("cache", (F.col("source") != F.col("now")).alias("stale"))
 
 
-@query("str8_plan_token", "SELECT doc_id, sha1(text) AS seen, true AS current FROM documents WHERE doc_id % 10 = 0")
-def str8(t):
-    """Decisions carry the hash of the text that was seen; they hold while the text is the same."""
-    plan = t.documents.where("doc_id % 10 = 0").select("doc_id", F.sha1("text").alias("seen"))
-    return plan.join(t.documents.select("doc_id", F.sha1("text").alias("now")), "doc_id").select("doc_id", "seen", (F.col("seen") == F.col("now")).alias("current"))
-
-
 @query("str10_snapshot", "SELECT count(*)::BIGINT AS before, count(*)::BIGINT AS pinned FROM labels")
 def str10(t):
     """A snapshot stays what it was when files are added beside it: its files are listed once."""

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.text import block_kind
+from ..operators.ranks import percentile_rank, robust_spread
+from ..sources.shared import stored
 from .base import query
 from .filters import CASCADE_SQL, cascade
 from .text import lines
@@ -116,17 +119,34 @@ def jon13(t):
 
 
 def bigrams(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Distinct word pairs of each row, digits masked."""
-    w = F.split(F.lower(F.regexp_replace(text, "[0-9]", "0")), r"[ \t-\r]+")
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
+    """key, gram: hashes of the distinct word pairs of each row, digits masked."""
+    w = F.transform(F.split(F.lower(F.regexp_replace(text, "[0-9]", "0")), r"[ \t-\r]+"), lambda x: F.xxhash64(x))
+    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.xxhash64(a, b))
     return rows.select(key, w.alias("w")).where(F.size("w") >= 2).select(key, F.explode(F.array_distinct(pairs)).alias("gram"))
 
 
 def near_copies(probe: DataFrame, pool: DataFrame, least: float = 0.5) -> DataFrame:
-    """JON14: probe rows p and pool rows q whose bigram sets have a Jaccard of `least` or more. A filter on the probe side comes before; only shared grams meet."""
-    np_, nq = probe.groupBy("p").agg(F.count("*").alias("np")), pool.groupBy("q").agg(F.count("*").alias("nq"))
-    both = probe.join(pool, "gram").groupBy("p", "q").agg(F.count("*").alias("c"))
-    j = both.join(np_, "p").join(nq, "q").withColumn("jaccard", F.col("c") / (F.col("np") + F.col("nq") - F.col("c")))
+    """JON14, DUP4: probe rows p and pool rows q whose bigram sets have a Jaccard of `least` or more.
+
+    Sets are ordered by how many rows hold a gram, the rarest first. Two sets that are alike enough share one of their first
+    n - least * n + 1 grams, so that only these meet; sizes rule pairs out, and whole sets decide. A gram that many rows hold
+    comes into a prefix only where nothing rarer is left.
+    """
+    common = probe.select("gram").union(pool.select("gram")).groupBy("gram").agg(F.count("*").alias("_df"))
+
+    def ranked(rows: DataFrame, key: str) -> DataFrame:
+        listed = rows.join(common, "gram").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_df", "gram"))).alias("_g"))
+        return listed.select(key, F.transform("_g", lambda x: x["gram"]).alias(f"_{key}"))
+
+    def prefix(sets: DataFrame, key: str) -> DataFrame:
+        n = F.size(f"_{key}")
+        return sets.select(key, n.alias(f"n{key}"), F.explode(F.slice(f"_{key}", 1, n - F.ceil(n * least).cast("int") + 1)).alias("gram"))
+
+    p, q = stored(ranked(probe, "p")), stored(ranked(pool, "q"))
+    sizes = (F.col("np") >= F.col("nq") * least) & (F.col("nq") >= F.col("np") * least)
+    met = prefix(p, "p").join(prefix(q, "q"), "gram").where(sizes).select("p", "q").distinct()
+    both = met.join(p, "p").join(q, "q").withColumn("_c", F.size(F.array_intersect("_p", "_q")))
+    j = both.withColumn("jaccard", F.col("_c") / (F.size("_p") + F.size("_q") - F.col("_c")))
     return j.where(F.col("jaccard") >= least).select("p", "q", F.round("jaccard", 6).alias("jaccard"))
 
 
@@ -188,17 +208,25 @@ def jon22(t):
     return t.customer.join(listed, "c_custkey", "left").select("c_custkey", (F.col("_l").isNotNull() | F.col("c_name").rlike("7$")).alias("bot"))
 
 
-@query("set1_consistency", f"WITH c AS ({CASCADE_SQL}) SELECT count(*)::BIGINT AS ids, count(*) FILTER (WHERE reason IS NULL)::BIGINT AS kept, count(*) FILTER (WHERE reason IS NOT NULL)::BIGINT AS excluded, 0::BIGINT AS repeated, 0::BIGINT AS strangers FROM c")
+def partition_check(ids: DataFrame, kept: DataFrame, out: DataFrame, key: str) -> DataFrame:
+    """SET1: ids, kept, excluded, repeated (ids listed more than once, in one or in both), strangers (listed, but no ids) and lost (ids that neither lists), by one aggregate of tagged rows."""
+    tagged = ids.select(key, F.lit("i").alias("_t")).union(kept.select(key, F.lit("k"))).union(out.select(key, F.lit("o")))
+    of = tagged.groupBy(key).agg(*[F.count_if(F.col("_t") == x).alias(x) for x in "iko"])
+    listed = F.col("k") + F.col("o")
+    return of.agg(F.count_if(F.col("i") > 0).alias("ids"), F.coalesce(F.sum("k"), F.lit(0)).alias("kept"), F.coalesce(F.sum("o"), F.lit(0)).alias("excluded"), F.count_if(listed > 1).alias("repeated"), F.count_if((listed > 0) & (F.col("i") == 0)).alias("strangers"), F.count_if((listed == 0) & (F.col("i") > 0)).alias("lost"))
+
+
+_SPLIT = f"WITH c AS ({CASCADE_SQL}), k AS (SELECT doc_id FROM c WHERE reason IS NULL AND doc_id % 13 <> 5 UNION ALL SELECT doc_id FROM c WHERE reason IS NULL AND doc_id % 17 = 3), o AS (SELECT CASE WHEN doc_id % 7 = 2 THEN doc_id + 100000000 ELSE doc_id END AS doc_id FROM c WHERE reason IS NOT NULL UNION ALL SELECT doc_id FROM c WHERE reason IS NULL AND doc_id % 19 = 4), l AS (SELECT doc_id, count(*) AS n FROM (SELECT * FROM k UNION ALL SELECT * FROM o) GROUP BY doc_id)"
+
+
+@query("set1_consistency", _SPLIT + " SELECT (SELECT count(*) FROM c)::BIGINT AS ids, (SELECT count(*) FROM k)::BIGINT AS kept, (SELECT count(*) FROM o)::BIGINT AS excluded, (SELECT count(*) FROM l WHERE n > 1)::BIGINT AS repeated, (SELECT count(*) FROM l WHERE doc_id NOT IN (SELECT doc_id FROM c))::BIGINT AS strangers, (SELECT count(*) FROM c WHERE doc_id NOT IN (SELECT doc_id FROM l))::BIGINT AS lost")
 def set1(t):
-    """Kept and excluded partition the input."""
+    """A cascade whose lists were damaged: ids left out, listed twice, on both sides, and unknown ones."""
     c = cascade(t.documents)
-    ids, kept, out = t.documents.select("doc_id"), c.where("reason is null").select("doc_id"), c.where("reason is not null").select("doc_id")
-    both = kept.union(out)
-    counts = [ids.agg(F.count("*").alias("ids")), kept.agg(F.count("*").alias("kept")), out.agg(F.count("*").alias("excluded")), both.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("repeated")), both.exceptAll(ids).agg(F.count("*").alias("strangers"))]
-    whole = counts[0]
-    for one in counts[1:]:
-        whole = whole.crossJoin(F.broadcast(one))
-    return whole
+    good, bad = c.where("reason is null"), c.where("reason is not null")
+    kept = good.where("doc_id % 13 <> 5").select("doc_id").union(good.where("doc_id % 17 = 3").select("doc_id"))
+    out = bad.select(F.when(F.col("doc_id") % 7 == 2, F.col("doc_id") + 100_000_000).otherwise(F.col("doc_id")).alias("doc_id")).union(good.where("doc_id % 19 = 4").select("doc_id"))
+    return partition_check(t.documents, kept, out, "doc_id")
 
 
 @query("set2_union", "SELECT doc_id, 'store' AS of FROM labels UNION ALL SELECT doc_id, 'new' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -228,9 +256,9 @@ def set6(t):
     return a.exceptAll(b).union(b.exceptAll(a))
 
 
-@query("set7_contained", "SELECT doc_id, len(list_filter(list_distinct(regexp_extract_all(text[1:200], '[0-9]')), lambda x: NOT contains(doc_id::VARCHAR, x))) = 0 AS contained FROM documents")
+@query("set7_contained", "SELECT doc_id, len(list_filter(list_distinct(regexp_extract_all(text, '[0-9]')), lambda x: NOT contains(doc_id::VARCHAR, x))) = 0 AS contained FROM documents")
 def set7(t):
-    a = F.array_distinct(F.regexp_extract_all(F.substring("text", 1, 200), F.lit("[0-9]"), F.lit(0)))
+    a = F.array_distinct(F.regexp_extract_all(F.col("text"), F.lit("[0-9]"), F.lit(0)))
     return t.documents.select("doc_id", (F.size(F.array_except(a, F.split(F.col("doc_id").cast("string"), ""))) == 0).alias("contained"))
 
 
@@ -249,15 +277,6 @@ def win2(t):
     return first_per_key(t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber"), ["l_orderkey"], ["l_partkey", "l_linenumber"])
 
 
-def percentile_rank(rows: DataFrame, group: list[str], value: str, name: str = "pct") -> DataFrame:
-    """WIN3: mean rank of ties over the number of rows, null for null. Ranks come from counts of distinct values, so no window holds a group's rows."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_c"))
-    w = W.partitionBy(*group)
-    below = F.sum("_c").over(w.orderBy(value).rowsBetween(W.unboundedPreceding, -1))
-    ranked = counts.withColumn(name, (F.coalesce(below, F.lit(0)) + (F.col("_c") + 1) / 2) / F.sum("_c").over(w)).drop("_c")
-    return rows.join(ranked, [*group, value], "left")
-
-
 @query("win3_percentile", "SELECT p_partkey, round((rank() OVER (PARTITION BY p_brand ORDER BY p_size) + (count(*) OVER (PARTITION BY p_brand, p_size) - 1) / 2) / count(*) OVER (PARTITION BY p_brand), 6) AS pct FROM part")
 def win3(t):
     return percentile_rank(t.part.select("p_partkey", "p_brand", "p_size"), ["p_brand"], "p_size").select("p_partkey", F.round("pct", 6).alias("pct"))
@@ -265,10 +284,8 @@ def win3(t):
 
 @query("win4_median_mad", "WITH m AS (SELECT p_partkey, p_brand, p_size, median(p_size) OVER (PARTITION BY p_brand) AS med FROM part) SELECT p_partkey, round(med, 6) AS med, round(median(abs(p_size - med)) OVER (PARTITION BY p_brand), 6) AS mad FROM m")
 def win4(t):
-    med = t.part.groupBy("p_brand").agg(F.median("p_size").alias("med"))
-    rows = t.part.join(med, "p_brand")
-    mad = rows.groupBy("p_brand").agg(F.median(F.abs(F.col("p_size") - F.col("med"))).alias("mad"))
-    return rows.join(mad, "p_brand").select("p_partkey", F.round("med", 6).alias("med"), F.round("mad", 6).alias("mad"))
+    s = robust_spread(t.part, ["p_brand"], "p_size", 1.0)
+    return t.part.join(s, "p_brand").select("p_partkey", F.round("med", 6).alias("med"), F.round("spread", 6).alias("mad"))
 
 
 @query("win5_total", "SELECT o_orderkey, count(*) OVER ()::BIGINT AS n FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderkey LIMIT 20")
@@ -334,16 +351,26 @@ def dup2(t):
 _MASKED = "SELECT doc_id, line, substr(sha1(regexp_replace(line, '[0-9]+', '#', 'g')), 1, 16) AS key FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(line) > 0"
 
 
-def repeated_groups(rows: DataFrame, line: str, doc: str, least: int = 2) -> DataFrame:
-    """DUP3, AGG4: lines alike but for their digits, in `least` documents or more."""
-    norm = F.regexp_replace(line, "[0-9]+", "#")
-    keyed = rows.select(doc, line, norm.alias("norm"), F.substring(F.sha1(norm), 1, 16).alias("key"))
-    return keyed.groupBy("key").agg(F.min("norm").alias("norm"), F.count("*").alias("paragraphs"), F.count_distinct(doc).alias("articles"), F.floor(F.avg(F.length(line))).cast("long").alias("chars"), F.count_distinct(line).alias("variants")).where(F.col("articles") >= least)
+def repeated_groups(rows: DataFrame, line: str, doc: str, least: int = 2, norm: bool = False) -> DataFrame:
+    """DUP3, AGG4: lines alike but for their digits, in `least` documents or more: key, counts, mean length and the most frequent kind.
+
+    Two aggregates with one distinct column each, of hashes, so that no row is doubled and no line is shuffled; with `norm`
+    the masked line of the groups that are left comes from another pass.
+    """
+    masked = F.regexp_replace(line, "[0-9]+", "#")
+    keyed = rows.select(doc, F.substring(F.sha1(masked), 1, 16).alias("key"), F.xxhash64(line).alias("_h"), F.length(line).alias("_n"), block_kind(F.col(line)).alias("_kind"))
+    of_doc = keyed.groupBy("key", doc, "_h", "_kind").agg(F.count("*").alias("_c"), F.sum("_n").alias("_n"))
+    articles = of_doc.groupBy("key").agg(F.sum("_c").alias("paragraphs"), F.count_distinct(doc).alias("articles"), F.floor(F.sum("_n") / F.sum("_c")).cast("long").alias("chars")).where(F.col("articles") >= least)
+    variants = of_doc.groupBy("key", "_h", "_kind").agg(F.sum("_c").alias("_c")).groupBy("key", "_kind").agg(F.count("*").alias("_v"), F.sum("_c").alias("_c")).groupBy("key").agg(F.sum("_v").alias("variants"), F.min_by("_kind", F.struct(-F.col("_c"), "_kind")).alias("kind"))
+    out = articles.join(variants, "key").select("key", "paragraphs", "articles", "variants", "chars", "kind")
+    if norm:
+        out = rows.select(masked.alias("norm"), F.substring(F.sha1(masked), 1, 16).alias("key")).join(out.select("key"), "key", "left_semi").groupBy("key").agg(F.min("norm").alias("norm")).join(out, "key")
+    return out
 
 
 @query("dup3_masked_groups", f"SELECT key, min(regexp_replace(line, '[0-9]+', '#', 'g')) AS norm, count(*)::BIGINT AS paragraphs, count(DISTINCT doc_id)::BIGINT AS articles, floor(avg(length(line)))::BIGINT AS chars, count(DISTINCT line)::BIGINT AS variants FROM ({_MASKED}) GROUP BY key HAVING count(DISTINCT doc_id) >= 2")
 def dup3(t):
-    return repeated_groups(lines(t).where(F.length("line") > 0), "line", "doc_id")
+    return repeated_groups(lines(t).where(F.length("line") > 0), "line", "doc_id", norm=True).drop("kind")
 
 
 @query("dup4_near", f"WITH p AS {_P}, n AS (SELECT item_id, count(*) AS n FROM p GROUP BY 1) SELECT a.item_id AS p, b.item_id AS q, round(count(*) / (any_value(x.n) + any_value(y.n) - count(*)), 6) AS jaccard FROM p a JOIN p b USING (gram) JOIN n x ON x.item_id = a.item_id JOIN n y ON y.item_id = b.item_id WHERE a.item_id < b.item_id GROUP BY ALL HAVING count(*) / (any_value(x.n) + any_value(y.n) - count(*)) >= 0.05")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import convert, files, filters, measures, more, relations, text
+from .plans import convert, files, filters, measures, more, relations, reviews, text
 from .plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "convert", "files", "filters", "flagship", "measures", "more", "relations", "text"]
+__all__ = ["ORACLES", "QUERIES", "convert", "files", "filters", "flagship", "measures", "more", "relations", "reviews", "text"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ from quillstrata.functions import text as X
 from quillstrata.functions.markdown import Block, blocks_of, cells, grid, unwanted_template, with_bounded_indent
 from quillstrata.operators import browse as B
 from quillstrata.plans.filters import interleave, shards
-from quillstrata.plans.relations import near_copies, percentile_rank, restricted, walk
+from quillstrata.operators.ranks import percentile_rank
+from quillstrata.plans.relations import near_copies, restricted, walk
 from quillstrata.sources import files as R
 
 
