@@ -737,6 +737,86 @@ def test_an_article_on_many_pages_is_no_template(spark):
     assert all("The same article" in t for t in texts)
 
 
+class PlainTree:
+    """A page by the standard library's parser, for well-formed pages: what each path says and which children it has, as texts and lists."""
+
+    def __init__(self, html):
+        from html.parser import HTMLParser
+
+        tree = self
+        self.nodes = defaultdict(lambda: [[], []])  # path -> texts, children
+
+        class Walk(HTMLParser):
+            def __init__(self):
+                super().__init__()
+                self.open = []
+
+            def handle_starttag(self, tag, attrs):
+                name = dict(attrs).get("class", "")
+                path = (*(self.open[-1] if self.open else ()), f"{tag}.{name}")
+                if self.open:
+                    tree.nodes[self.open[-1]][1].append(path)
+                self.open.append(path)
+
+            def handle_endtag(self, tag):
+                self.open.pop()
+
+            def handle_data(self, data):
+                if data.strip():
+                    for path in self.open:
+                        tree.nodes[path][0].append((self.open[-1], data))
+
+        Walk().feed(html)
+
+
+def test_style_tree_equals_plain_counts(spark):
+    import math
+
+    rnd, pages = random.Random(3), []
+    for i in range(40):
+        items = "".join(f"<li>{rnd.choice(['Home', 'News', 'Shop'])}</li>" for _ in range(rnd.randint(1, 3)))
+        body = "".join(f"<p>{rnd.randint(0, 9)}</p>" if rnd.random() < 0.7 else f"<ul><li>{i}</li></ul>" for _ in range(rnd.randint(1, 3)))
+        pages.append((f"h{i % 2}", f"<html><body><div class='top'><ul>{items}</ul></div><div class='text'>{body}</div><div class='end'>Same</div></body></html>"))
+    pages += pages[:9]  # copies count once
+    got = Counter()
+    for r in site_style.style_tree(spark.createDataFrame(pages, "host string, html string")).collect():
+        got[r["host"], r["pages"], round(r["presentation"], 9), round(r["content"], 9), round(r["importance"], 9)] += 1
+    want = Counter()
+    for host in ("h0", "h1"):
+        nodes = defaultdict(list)
+        for html in {h for k, h in pages if k == host}:
+            for path, (texts, kids) in PlainTree(html).nodes.items():
+                if texts:
+                    nodes[path].append((tuple(sorted(texts)), tuple(kids)))
+        for seen in nodes.values():
+            n = len(seen)
+
+            def entropy(k, seen=seen, n=n):
+                return sum(-c / n * math.log(c / n, n) for c in Counter(x[k] for x in seen).values()) if n > 1 else 1.0
+
+            damp = site_style.DAMPING ** len({x[1] for x in seen})
+            want[host, n, round(entropy(1), 9) + 0.0, round(entropy(0), 9) + 0.0, round((1 - damp) * entropy(1) + damp * entropy(0), 9) + 0.0] += 1
+    assert got == want
+
+
+@pytest.mark.parametrize("html", ["<a" * 20_000, "<a" * 20_000 + ">", '<a "' * 20_000, "<!" * 20_000, "<div>" * 20_000 + "x", "<b>" * 20_000 + "<p>x", "</x>" * 20_000, "<script" * 20_000, "<ul>" * 5000 + "<li>a" * 5000])
+def test_broken_pages_end_soon(html):
+    import time
+
+    began = time.time()
+    site_style.Page(html).said()
+    assert time.time() - began < 5
+
+
+def test_pages_odd_cases(spark):
+    schema = "page_id long, url string, html string, host string, text string"
+    assert site_style.extract(spark.createDataFrame([], schema)).count() == 0
+    long = "<p>" + "word " * 300_000 + "</p>"
+    rows = [(1, "http://a/x", "<p>one</p>", "clash", "t"), (1, "http://a/x", "<p>one</p>", "clash", "t"), (None, None, long, None, None), (3, "nonsense", None, None, None), (4, "http://a/y", "<![CDATA[ <b>no ]]><p>\ud83d? \u00a0 x</p>".encode("utf-8", "replace").decode(), None, None)]
+    got = sorted(((r["page_id"] or 0, r["n_chars"]) for r in site_style.extract(spark.createDataFrame(rows, schema)).collect()))
+    assert got == [(0, 5 * 300_000 - 1), (1, 3), (1, 3), (3, 0), (4, 4)]
+
+
 # 10 sentencepiece
 
 
