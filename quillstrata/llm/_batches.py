@@ -7,11 +7,21 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 8 << 20
+#: Bytes of an Arrow batch between Spark and its Python workers: both sides hold a few of them for each core.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on Arrow batches (64 MB if it wasn't set) to BATCH_BYTES; rows longer than that have a batch of their own."""
+    held = spark.conf.get(BATCH_SETTING, "64m").lower()
+    unit = {"b": 0, "k": 10, "m": 20, "g": 30}.get(held[-1])
+    if (int(held[:-1]) << unit if unit is not None else int(held)) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -50,6 +60,8 @@ def give_back() -> None:
 def map_texts(df: DataFrame, column: str, schema: T.StructType, build: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], limit: int = SLICE_BYTES) -> DataFrame:
     """df in slices through build()(slice); build runs once a task, on the executor."""
 
+    bounded_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = build()
         for batch in batches:

@@ -37,13 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.shared import discard, short_lived_shuffles, stored
-from ._batches import encoded, map_texts, slices, texts_of
+from ._batches import bounded_batches, encoded, give_back, map_texts, slices, texts_of
 from .components import components
 
 FREQUENT_FROM, FREQUENT_MOST, BUCKET, COMBINED = 32, 1_000_000, 32, 4
 #: Keys of large buckets that may be broadcast.
 FEW_KEYS = 100_000
-BINS, COUNT_TOKENS, BLOOM_LEAST, BLOOM_MOST, SLICE = 64, 2_000_000, 26, 30, 4 << 20
+BINS, COUNT_TOKENS, BLOOM_LEAST, BLOOM_MOST, SLICE = 64, 1_000_000, 26, 30, 2 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _L, _B = T.LongType(), T.BinaryType()
 
@@ -56,19 +56,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted sets of hashed shingles; the hashes of words are kept up to `kept`, then forgotten."""
+    """Sorted sets of hashed shingles."""
 
-    def __init__(self, size: int, kept: int = 300_000):
-        self.size, self.kept = size, kept
-        self.known: dict[bytes, int] = {}
+    def __init__(self, size: int):
+        self.size = size
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.lower().split() for t in texts]
-        if len(self.known) > self.kept:
-            self.known.clear()
-        known = self.known
-        for w in set().union(*split).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        known = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*split)}
         n = [len(ws) for ws in split]
         h = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.uint64, sum(n))
         k, out, at = self.size, [], 0
@@ -167,7 +162,7 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
     Tasks count the tokens of COUNT_TOKENS at a time and deal names and counts out in packed arrays, so that a token in a
     third of all rows is one entry of each; the number of dealt parts grows with the number of tokens.
     """
-    parts = max(8, -(-tokens // COUNT_TOKENS))
+    parts = max(8, -(-tokens // (2 * COUNT_TOKENS)))
     schema = T.StructType([T.StructField("part", _L), T.StructField("names", _B), T.StructField("counts", _B)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,13 +187,17 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
                     yield deal()
                     held, n = [], 0
         yield deal()
+        held = []
+        give_back()
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         names = np.concatenate([np.frombuffer(x, np.uint32) for x in group["names"]])
         counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"]]).astype(np.int64)
-        kinds, place = np.unique(names, return_inverse=True)
-        total = np.bincount(place, weights=counts).astype(np.int64)
-        return pd.DataFrame({"name": kinds[total > FREQUENT_FROM].astype(np.int64), "n": total[total > FREQUENT_FROM]})
+        order = np.argsort(names, kind="stable")
+        names, counts = names[order], counts[order]
+        first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+        total = np.add.reduceat(counts, first)
+        return pd.DataFrame({"name": names[first][total > FREQUENT_FROM].astype(np.int64), "n": total[total > FREQUENT_FROM]})
 
     counted = stored(docs.mapInArrow(count, schema).groupBy("part").applyInPandas(add, "name long, n long"))
     # powers of two, from above, as long as all tokens of them fit
@@ -295,6 +294,8 @@ def _verified(near: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= share * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        batch = x = y = None
+        give_back()
 
     return stored(joined.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
 
@@ -363,6 +364,7 @@ def _classified(docs: DataFrame, size: int, share: int) -> tuple[DataFrame, Data
 
     first: whether doc_id is null, doc_id and text_key; the least of them.
     """
+    bounded_batches(docs.sparkSession)
     with short_lived_shuffles(docs.sparkSession):
         return _classified_now(texts_of(docs).withColumn("text_key", text_key()), size, share)
 

@@ -27,12 +27,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ..sources.shared import stored
-from ._batches import encoded, map_texts, slices, texts_of
+from ._batches import bounded_batches, encoded, give_back, map_texts, slices, texts_of
 
 MIN_WORDS, WORD_GUARD, COMMON_WORDS = 50, 80, 48
 CLASS_LIMIT, CLASS_SLACK, WORD_LIMIT, WORD_SLACK = 0.20, 0.5, 0.30, 1.0
 #: Words that a task counts before it hands the counts on.
-FLUSH_WORDS = 200_000
+FLUSH_WORDS = 150_000
 #: Bytes of texts judged at once, and code points counted at once: each core has a worker, whose memory they bound.
 SLICE, PIECE = 1 << 20, 1 << 20
 #: Places that the words of one language are dealt to when the most frequent ones are looked for.
@@ -183,7 +183,9 @@ def fit(docs: DataFrame) -> list[Reference]:
                 if sum(map(len, words.values())) > FLUSH_WORDS:
                     yield hand_on()
         yield hand_on()
+        give_back()
 
+    bounded_batches(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counted = known.mapInArrow(count, _COUNTED)
     sums = stored(counted.groupBy("lang", "word", "class").agg(F.sum("n").alias("n")))
