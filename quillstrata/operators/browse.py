@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import count_pattern, count_substring
+from ..sources.shared import stored
 
 MAX_PAGE = 500
 NULL_ITEM = "__null__"
@@ -108,18 +109,40 @@ def paging(page: int, size: int, most: int = MAX_PAGE) -> tuple[int, int]:
     return (page - 1) * size, size
 
 
+def snippet(text: Column, search: Search, around: int = 70) -> Column:
+    """The first hit with what is around it, on one line; null without a hit."""
+    flat = F.replace(text, F.lit("\n"), F.lit(" "))
+    if search.mode == "regex":
+        pattern = ("(?is)" if search.ignore_case else "(?s)") + f".{{0,{around}}}?(?:{search.needle}).{{0,{around}}}"
+        return F.nullif(F.regexp_extract(flat, pattern, 0), F.lit(""))
+    at = F.instr(F.lower(flat), search.needle.lower()) if search.ignore_case else F.instr(flat, search.needle)
+    start = F.greatest(F.lit(1), at - around)
+    return F.when(at > 0, F.substr(flat, start, at - start + len(search.needle) + around))
+
+
 def browse(df: DataFrame, items: Iterable[tuple[str, str]], title: str, text: str, tie: str) -> DataFrame:
-    """API1: one page, with the totals of the whole result beside its rows; totals are one aggregate row joined on, not a window over all rows."""
+    """API1: one page with snippets, and the totals of the whole result beside its rows.
+
+    Texts are searched once: key, sort value and matches of the rows that are left are stored, and totals and page come from
+    these few columns. The rows of the page, MAX_PAGE at most, are then read by their keys.
+    """
     items = list(items)
     own = dict(items)
+    search = Search(own["text"], own.get("mode", "substr"), own.get("icase", "1") == "1") if own.get("text") else None
+    sort = own.get("sort", "_matches" if search else tie)
+    descending = own.get("dir", "desc" if sort == "_matches" else "asc") == "desc"
+    offset, limit = paging(int(own.get("page", 1)), int(own.get("size", 50)))
     out = filters(df, items)
     if own.get("q"):
         out = out.where(F.contains(F.lower(F.col(title)), F.lower(F.lit(own["q"]))))
-    searched = bool(own.get("text"))
-    if searched:
-        out = out.withColumn("_matches", Search(own["text"], own.get("mode", "substr"), own.get("icase", "1") == "1").matches(F.col(text))).where("_matches > 0")
-    totals = out.agg(F.count("*").alias("_rows"), *([F.sum("_matches").alias("_total")] if searched else []))
-    sort = own.get("sort", "_matches" if searched else tie)
-    offset, limit = paging(int(own.get("page", 1)), int(own.get("size", 50)))
-    page = ordered(out, sort, own.get("dir", "desc" if sort == "_matches" else "asc") == "desc", tie).offset(offset).limit(limit)
-    return page.join(F.broadcast(totals))
+    if search:
+        out = out.withColumn("_matches", search.matches(F.col(text))).where("_matches > 0")
+    column_of(out, sort, "null")
+    found = stored(out.select(F.col(tie).alias("_key"), F.col(sort).alias("_sort"), *(["_matches"] if search else [])))
+    totals = found.agg(F.count("*").alias("_rows"), *([F.sum("_matches").alias("_total")] if search else []))
+    page = ordered(found, "_sort", descending, "_key").offset(offset).limit(limit)
+    keys = [r["_key"] for r in page.select("_key").collect()]
+    rows = df.where(F.col(tie).isin(keys)).join(F.broadcast(found.where(F.col("_key").isin(keys))), F.col(tie) == F.col("_key"))
+    if search:
+        rows = rows.withColumn("_snippet", snippet(F.col(text), search))
+    return ordered(rows, "_sort", descending, tie).drop("_key", "_sort").join(F.broadcast(totals))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,9 +53,12 @@ def flt7(t):
     return t.part.where(F.contains(F.lower("p_name"), F.lit("e"))).select("p_partkey")
 
 
-@query("flt8_text", "SELECT doc_id, ((length(text) - length(replace(lower(text), 'token', ''))) // 5)::BIGINT AS n FROM documents WHERE contains(lower(text), 'token')")
+@query("flt8_text", "SELECT doc_id, ((length(text) - length(replace(lower(text), 'token', ''))) // 5)::BIGINT AS n, len(regexp_extract_all(text, '[0-9]{4}-[A-Z]?'))::BIGINT AS pattern, len(regexp_extract_all(text, '(?i)the [a-f]'))::BIGINT AS any_case FROM documents WHERE contains(lower(text), 'token')")
 def flt8(t):
-    return t.documents.select("doc_id", B.Search("token").matches(F.col("text")).alias("n")).where("n > 0")
+    """Substrings, a pattern, and one without regard to case."""
+    text = F.col("text")
+    rows = t.documents.select("doc_id", B.Search("token").matches(text).alias("n"), B.Search("[0-9]{4}-[A-Z]?", "regex", False).matches(text).alias("pattern"), B.Search("the [a-f]", "regex").matches(text).alias("any_case"))
+    return rows.where("n > 0")
 
 
 @query("flt9_pattern", "SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE sha1(regexp_replace(line, '[0-9]+', '#', 'g')) IN (SELECT sha1(regexp_replace(line, '[0-9]+', '#', 'g')) AS k FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(line) > 0 GROUP BY k HAVING count(DISTINCT doc_id) >= 5)")
@@ -65,17 +68,16 @@ def flt9(t):
     return keyed.join(groups, "k", "left_semi").select("doc_id").distinct()
 
 
-@query("flt10_whitelist")
+@query("flt10_whitelist", "SELECT * FROM (VALUES ('is.nothing=true', 'refused'), ('is.p_size=true', 'refused'), ('min.p_size=x', 'refused'), ('min.p_size=nan', 'refused'), ('in.p_name`; drop=a', 'refused'), ('any.p_name=a', 'refused')) v(item, verdict) UNION ALL SELECT 'min.p_size=25', count(*)::VARCHAR FROM part WHERE p_size >= 25 UNION ALL SELECT 'has.p_name=' || chr(39) || ';--', count(*)::VARCHAR FROM part WHERE contains(lower(p_name), chr(39) || ';--')")
 def flt10(t):
-    """Filters on columns that aren't there, or of the wrong kind, are refused."""
+    """Columns that aren't there, wrong kinds and bad values are refused; values are bound, whatever is in them."""
     said = []
-    for items in ([("is.nothing", "true")], [("is.p_size", "true")], [("min.p_size", "x")], [("min.p_size", "nan")], [("in.p_name`; drop", "a")]):
+    for item in ("is.nothing=true", "is.p_size=true", "min.p_size=x", "min.p_size=nan", "in.p_name`; drop=a", "any.p_name=a", "min.p_size=25", "has.p_name=';--"):
         try:
-            B.filters(t.part, items)
-            said.append((str(items), "taken"))
+            said.append((item, str(B.filters(t.part, [tuple(item.split("=", 1))]).count())))
         except B.BadFilter:
-            said.append((str(items), "refused"))
-    return t.spark.createDataFrame(said, "items string, verdict string")
+            said.append((item, "refused"))
+    return t.spark.createDataFrame(said, "item string, verdict string")
 
 
 @query("flt11_combine", _PART + "p_size IN (1, 2, 3) AND p_size <= 2")
@@ -83,10 +85,23 @@ def flt11(t):
     return B.filters(t.part, [("in.p_size", "1"), ("in.p_size", "2"), ("in.p_size", "3"), ("max.p_size", "9"), ("max.p_size", "2"), ("min.p_size", "")]).select("p_partkey")
 
 
-@query("flt12_visible", "SELECT p_partkey FROM part WHERE NOT regexp_matches(p_type, 'BRASS|STEEL') AND p_brand NOT IN (SELECT p_brand FROM part GROUP BY p_brand HAVING count(*) < 5)")
+#: Beginnings of names that keep house rather than tell a subject.
+MAINTENANCE = ["articles?", "all ", "cs1", "pages?", "use ", "webarchive", "stub categories", "lists of", "user ", "cite", "unsourced", "orphan", "hidden", "tracking", "maintenance"]
+
+
+def visible(name: Column, hidden: Column, native: str, topical: str, maintenance: list[str] = MAINTENANCE) -> Column:
+    """FLT12: not hidden, not housekeeping, and not without the corpus's script unless it names a subject."""
+    return ~hidden & ~name.rlike("(?i)^(?:" + "|".join(maintenance) + ")") & (name.rlike(native) | name.rlike(topical))
+
+
+@query("flt12_visible", "SELECT p_partkey, name FROM (SELECT p_partkey, p_brand, CASE p_partkey % 6 WHEN 0 THEN 'Articles of ' || p_name WHEN 1 THEN 'ଓଡ଼ିଆ ' || p_name WHEN 2 THEN 'hidden ଓ' WHEN 3 THEN 'Physics ' || p_type ELSE p_type END AS name FROM part) WHERE NOT regexp_matches(name, '(?i)^(articles?|hidden)') AND (regexp_matches(name, '[ଅ-୿]') OR regexp_matches(name, 'Physics|TIN$')) AND p_brand NOT IN (SELECT p_brand FROM part GROUP BY p_brand HAVING max(p_size) > 48)")
 def flt12(t):
-    hidden = t.part.groupBy("p_brand").agg(F.count("*").alias("n")).where("n < 5")
-    return t.part.where(~F.col("p_type").rlike("BRASS|STEEL")).join(hidden, "p_brand", "left_anti").select("p_partkey")
+    """Names that are hidden by a list, that keep house, that are foreign, and foreign ones of a subject."""
+    k, name = F.col("p_partkey") % 6, F.col("p_name")
+    made = F.when(k == 0, F.concat(F.lit("Articles of "), name)).when(k == 1, F.concat(F.lit("ଓଡ଼ିଆ "), name)).when(k == 2, "hidden ଓ").when(k == 3, F.concat(F.lit("Physics "), "p_type")).otherwise(F.col("p_type"))
+    listed = t.part.groupBy("p_brand").agg(F.max("p_size").alias("m")).where("m > 48").select("p_brand", F.lit(True).alias("_hidden"))
+    rows = t.part.select("p_partkey", "p_brand", made.alias("name")).join(listed, "p_brand", "left")
+    return rows.where(visible(F.col("name"), F.coalesce("_hidden", F.lit(False)), "[ଅ-୿]", "Physics|TIN$")).select("p_partkey", "name")
 
 
 @query("flt13_least", r"SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[^ \t-\r]+')) >= 5 AND length(text) >= 30")
@@ -102,9 +117,25 @@ def flt14(t):
     return rows.where((F.col("left") < 25) & (F.col("gone") >= 20 * F.greatest("left", F.lit(1)))).select("doc_id")
 
 
-@query("flt15_boilerplate", "SELECT p_partkey, CASE WHEN regexp_full_match(p_brand, 'Brand#1[0-9]*') THEN 'year' WHEN regexp_full_match(p_type, '.*TIN') AND p_size < 25 THEN 'list' END AS reason FROM part")
+# Titles of pages of years, of days and of films of a year.
+MONTHS = "(?:ଜାନୁଆରୀ|ଫେବୃଆରୀ|ମାର୍ଚ୍ଚ|ଅପ୍ରେଲ|ମଇ|ଜୁନ|ଜୁଲାଇ|ଅଗଷ୍ଟ|ସେପ୍ଟେମ୍ବର|ଅକ୍ଟୋବର|ନଭେମ୍ବର|ଡିସେମ୍ବର)"
+YEAR_TITLE = r"[0-9]+(?:\s*(?:ଖ୍ରୀଷ୍ଟପୂର୍ବ|ଖ୍ରୀ\.?\s*ପୂ\.?))?(?:\s*\(ମସିହା\))?"
+DATE_TITLE = rf"[0-9]{{1,2}}\s*{MONTHS}|{MONTHS}\s*[0-9]{{1,2}}"
+FILM_TITLE = r"[0-9]{4}ର ଓଡ଼ିଆ (?:କଥାଚିତ୍ର|ଚଳଚ୍ଚିତ୍ର|ସିନେମା)"
+FREE_WORDS = 25
+
+
+def boilerplate(title: Column, free_words: Column) -> Column:
+    """FLT15: why a page is a frame alone: a page of a year, or one of a day or of a year's films that says little; the whole title counts."""
+    whole = lambda p: title.rlike(rf"\A(?:{p})\z")
+    return F.when(whole(YEAR_TITLE), "year page").when(whole(DATE_TITLE) & (free_words < FREE_WORDS), "date page without events").when(whole(FILM_TITLE) & (free_words < FREE_WORDS), "empty list page")
+
+
+@query("flt15_boilerplate", "SELECT p_partkey, CASE WHEN p_partkey % 8 IN (0, 1) THEN 'year page' WHEN p_partkey % 8 IN (2, 3) AND p_size < 25 THEN 'date page without events' WHEN p_partkey % 8 = 4 AND p_size < 25 THEN 'empty list page' END AS reason FROM part")
 def flt15(t):
-    return t.part.select("p_partkey", F.when(F.col("p_brand").rlike("^(?:Brand#1[0-9]*)$"), "year").when(F.col("p_type").rlike("^(?:.*TIN)$") & (F.col("p_size") < 25), "list").alias("reason"))
+    n = F.col("p_size").cast("string")
+    made = F.element_at(F.array(n, F.concat(n, F.lit(" ଖ୍ରୀ. ପୂ. (ମସିହା)")), F.concat(n, F.lit(" ମଇ")), F.concat(F.lit("ଡିସେମ୍ବର "), n), F.lit("1999ର ଓଡ଼ିଆ ସିନେମା"), F.concat(n, F.lit(" ଲୋକ")), F.concat(F.lit("ମଇ "), n, F.lit(" x")), F.lit("1999ର ଓଡ଼ିଆ ସିନେମା ଘର")), (F.col("p_partkey") % 8 + 1).cast("int"))
+    return t.part.select("p_partkey", boilerplate(made, F.col("p_size")).alias("reason"))
 
 
 CASCADE_SQL = r"""
@@ -135,16 +166,31 @@ def flt17(t):
     return t.documents.withColumn("kind", kind).where(F.octet_length("text") >= F.when(F.col("kind") == "table", 200).otherwise(100)).select("doc_id", "kind")
 
 
-@query("flt18_pairs", "WITH p AS (SELECT conv_id, turn, text AS a, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations), r AS (SELECT *, CASE WHEN b IS NULL THEN 'alone' WHEN a = b THEN 'same' WHEN regexp_matches(a, '[0-9]{16}') THEN 'residue' END AS reason FROM p), n AS (SELECT *, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY reason, a, b ORDER BY conv_id, turn) END AS rn FROM r) SELECT coalesce(reason, CASE WHEN rn > 1 THEN 'duplicate' ELSE 'kept' END) AS verdict, count(*)::BIGINT AS n FROM n GROUP BY 1")
+def training_pairs(pairs: DataFrame, native: str, order: list[str]) -> DataFrame:
+    """FLT18: pairs (source, target, kept_as_is, junk, checks) with verdict: the first rule that they fail, or kept. Of equal pairs the first in order is kept.
+
+    Escapes are taken off the source outside formulas, digits of the target become ASCII.
+    """
+    plain = F.trim(F.regexp_replace("source", r"(\$[^$\n]+\$)|\\([!-/:-@\[-`{-~])", "$1$2"))
+    p = pairs.withColumns({"_a": plain, "_b": F.trim(F.translate(F.coalesce("target", F.lit("")), "୦୧୨୩୪୫୬୭୮୯", "0123456789"))})
+    failed = F.when(F.col("junk") | F.col("kept_as_is"), "junk or kept as it is").when(F.coalesce(F.size("checks"), F.lit(0)).isin(0, -1) | F.exists("checks", lambda c: ~c), "failed a check").when(F.col("_a").rlike(native), "own script in the source").when((F.col("_b") == "") | (F.col("_a") == F.col("_b")), "the same on both sides").when(F.contains("_a", F.lit("|")) | F.contains("_a", F.lit("{{")), "residue")
+    p = p.withColumn("_failed", failed).withColumn("_pair", F.sha2(F.concat_ws("\x1f", "_a", "_b"), 256))
+    first = p.where("_failed is null").groupBy("_pair").agg(F.min(F.struct(*order)).alias("_first"))
+    return p.join(first, "_pair", "left").select(*pairs.columns, F.coalesce("_failed", F.when(F.struct(*order) == F.col("_first"), "kept").otherwise("duplicate")).alias("verdict"))
+
+
+_V = "CASE WHEN junk OR asis THEN 'junk or kept as it is' WHEN NOT ok THEN 'failed a check' WHEN regexp_matches(a, '[à-ÿ]') THEN 'own script in the source' WHEN b = '' OR a = b THEN 'the same on both sides' WHEN contains(a, '|') OR contains(a, '{{') THEN 'residue' END"
+
+
+@query("flt18_pairs", f"SELECT verdict, count(*)::BIGINT AS n FROM (SELECT coalesce(v, CASE WHEN row_number() OVER (PARTITION BY v, a, b ORDER BY conv_id, turn) = 1 THEN 'kept' ELSE 'duplicate' END) AS verdict FROM (SELECT *, {_V} AS v FROM (SELECT conv_id, turn, trim(s) AS a, trim(coalesce(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), '')) AS b, conv_id % 11 = 3 AS junk, conv_id % 13 = 5 AS asis, conv_id % 7 <> 2 AS ok FROM (SELECT *, CASE WHEN conv_id % 5 = 1 THEN '* same' ELSE text END AS s FROM conversations)))) GROUP BY verdict")
 def flt18(t):
-    """Training pairs with the first rule that each fails."""
+    """Training pairs with the first rule that each fails; a fifth of the sources are equal but for an escape."""
     from pyspark.sql import Window as W
 
-    p = t.conversations.select("conv_id", "turn", F.col("text").alias("a"), F.lead("text").over(W.partitionBy("conv_id").orderBy("turn")).alias("b"))
-    r = p.withColumn("reason", F.when(F.col("b").isNull(), "alone").when(F.col("a") == F.col("b"), "same").when(F.col("a").rlike("[0-9]{16}"), "residue"))
-    first = r.where("reason is null").groupBy("a", "b").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    kept = r.where("reason is null").join(first, ["a", "b"]).select(F.when(F.struct("conv_id", "turn") == F.col("first"), "kept").otherwise("duplicate").alias("verdict"))
-    return kept.union(r.where("reason is not null").select("reason")).groupBy("verdict").agg(F.count("*").alias("n"))
+    i = F.col("conv_id")
+    target = F.lead("text").over(W.partitionBy("conv_id").orderBy("turn"))
+    pairs = t.conversations.select("conv_id", "turn", F.when(i % 5 == 1, "\\* same").otherwise(F.col("text")).alias("source"), target.alias("target"), (i % 13 == 5).alias("kept_as_is"), (i % 11 == 3).alias("junk"), F.array(F.lit(True), i % 7 != 2).alias("checks"))
+    return training_pairs(pairs, "[à-ÿ]", ["conv_id", "turn"]).groupBy("verdict").agg(F.count("*").alias("n"))
 
 
 @query("flt19_excluded", f"SELECT * FROM ({CASCADE_SQL}) WHERE reason IS NOT NULL AND (contains(reason, 'duplicate') OR doc_id = 24)")
@@ -162,12 +208,18 @@ def prj1(t):
     return t.documents.withColumns({"lang": F.upper("lang")}).drop("text").select("doc_id", "lang", "source", "n_chars")
 
 
-@query("prj2_default_columns")
+def default_columns(df: DataFrame, known: list[str], more: int = 3) -> list[str]:
+    """PRJ2: the known columns that the table has, in their order, then the first others that can be filtered: numbers, truth values, lists and strings of few words."""
+    kinds = (T.BooleanType, T.ArrayType, T.IntegerType, T.LongType, T.DoubleType, T.ShortType, T.FloatType)
+    rest = [f.name for f in df.schema.fields if f.name not in known and isinstance(f.dataType, kinds)]
+    return [c for c in known if c in df.columns] + rest[:more]
+
+
+@query("prj2_default_columns", "SELECT doc_id, lang, n_chars, quality, toxic, length(text)::INT AS c1 FROM documents LEFT JOIN labels USING (doc_id)")
 def prj2(t):
-    """Known columns of the table, then the first three that can be filtered."""
-    known = [c for c in ("doc_id", "lang", "source", "n_chars") if c in t.documents.columns]
-    more = [f.name for f in t.labels.schema.fields if f.name != "doc_id" and not isinstance(f.dataType, T.MapType)][:3]
-    return t.documents.join(t.labels, "doc_id", "left").select(*known, *more)
+    """Known columns of the view, then the first three that can be filtered; a known one that is absent, texts, maps and the fourth are left out."""
+    view = t.documents.join(t.labels, "doc_id", "left").withColumns({"m": F.create_map("lang", "source"), "c1": F.length("text"), "c2": F.lit(True)})
+    return view.select(*default_columns(view, ["doc_id", "title", "lang", "n_chars"]))
 
 
 @query("ord1_nulls_last", "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) ORDER BY quality DESC NULLS LAST, doc_id LIMIT 100")
@@ -219,50 +271,68 @@ def ord7(t):
 def interleave(candidates: DataFrame, most: int = 200) -> DataFrame:
     """ORD8: kinds take turns, each giving its most severe candidate whose id and signature aren't yet taken, until `most` are.
 
-    Only the strongest row of each (kind, id, signature) can be taken, so candidates are thinned to it before the sequential step.
+    A kind's next candidate is passed over only if its id or its signature is taken, and at most `most` ids and `most`
+    signatures ever are. So of each (kind, id) only the first most + 1 candidates with different signatures can matter, of
+    each (kind, signature) only the first most + 1 with different ids, and of each kind only its first 2 * most * (most + 1)
+    + most of what is left. The sequential step gets these alone: a bounded number a kind.
     """
     import pandas as pd
+    from pyspark.sql import Window as W
 
-    thin = candidates.groupBy("kind", "id", "signature").agg(F.max("severity").alias("severity"))
+    strongest = candidates.groupBy("kind", "id", "signature").agg(F.max("severity").alias("severity"))
+    rank = lambda d, keys, n: d.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("severity"), "id", F.asc_nulls_first("signature")))).where(F.col("_r") <= n).drop("_r")
+    thin = rank(rank(strongest, ["kind", "id"], most + 1), ["kind", "signature"], most + 1)
+    thin = rank(thin, ["kind"], 2 * most * (most + 1) + most)
 
     def take(group: pd.DataFrame) -> pd.DataFrame:
-        lists = {k: g.sort_values(["severity", "id", "signature"], ascending=[False, True, True]).to_dict("records") for k, g in group.groupby("kind")}
-        at, ids, signatures, out = dict.fromkeys(lists, 0), set(), set(), []
-        moved = True
-        while moved and len(out) < most:
-            moved = False
+        lists = {k: iter(g.sort_values(["severity", "id", "signature"], ascending=[False, True, True], na_position="first").itertuples(index=False)) for k, g in group.groupby("kind")}
+        ids, signatures, out = set(), set(), []
+        while lists and len(out) < most:
             for kind in sorted(lists):
-                while at[kind] < len(lists[kind]):
-                    row = lists[kind][at[kind]]
-                    at[kind] += 1
-                    if row["id"] not in ids and row["signature"] not in signatures:
-                        ids.add(row["id"])
-                        signatures.add(row["signature"])
-                        out.append({"rank": len(out) + 1, "kind": kind, "id": row["id"], "signature": row["signature"]})
-                        moved = True
-                        break
-                if len(out) >= most:
-                    break
+                row = next((r for r in lists[kind] if r.id not in ids and (r.signature is None or r.signature not in signatures)), None)
+                if row is None:
+                    del lists[kind]
+                elif len(out) < most:
+                    ids.add(row.id)
+                    signatures.add(row.signature)
+                    out.append((len(out) + 1, kind, row.id, row.signature))
         return pd.DataFrame(out, columns=["rank", "kind", "id", "signature"])
 
     return thin.groupBy(F.lit(1).alias("_all")).applyInPandas(take, "rank long, kind string, id long, signature string")
 
 
-@query("ord8_interleave")
+@query("ord8_interleave", "SELECT row_number() OVER (ORDER BY turn, kind) AS rank, kind, id FROM (SELECT o_orderpriority AS kind, o_orderkey AS id, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS turn FROM orders WHERE o_totalprice > 100000) QUALIFY row_number() OVER (ORDER BY turn, kind) <= 200")
 def ord8(t):
-    return interleave(t.orders.where("o_totalprice > 200000").select(F.col("o_orderpriority").alias("kind"), F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("signature"), F.col("o_totalprice").alias("severity")).withColumn("signature", F.concat("signature", F.pmod("id", F.lit(40)).cast("string"))))
+    """Kinds that share no id: each gives its candidates in turn. (Shared ids and signatures are tested against a walk in Python.)"""
+    c = t.orders.where("o_totalprice > 100000").select(F.col("o_orderpriority").alias("kind"), F.col("o_orderkey").alias("id"), F.lit(None).cast("string").alias("signature"), F.col("o_totalprice").alias("severity"))
+    return interleave(c).select("rank", "kind", "id")
+
+
+def reasons(found: DataFrame, key: str, most: int = 5) -> DataFrame:
+    """ORD9: of each key its reasons in order: the primary one, then the most severe up to `most`, what the context says, and how many more there are. found: key, reason, severity, first (whether primary) and context (of the key).
 
+    Ranks beyond the list are dropped before rows of a key are gathered.
+    """
+    from pyspark.sql import Window as W
+
+    order = W.partitionBy(key).orderBy(F.desc("first"), F.desc("severity"), "reason")
+    ranked = found.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most)
+    lists = ranked.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "reason"))), lambda x: x["reason"]).alias("reasons"))
+    counts = found.groupBy(key).agg(F.greatest(F.count("*") - most, F.lit(0)).alias("more"), F.max("context").alias("context"))
+    whole = F.concat("reasons", F.when(F.col("context").isNotNull(), F.array("context")).otherwise(F.array().cast("array<string>")), F.when(F.col("more") > 0, F.array(F.concat(F.col("more").cast("string"), F.lit(" more")))).otherwise(F.array().cast("array<string>")))
+    return lists.join(counts, key).select(key, F.array_join(whole, "; ").alias("reasons"))
 
-@query("ord9_reasons")
+
+@query("ord9_reasons", "SELECT l_suppkey, array_to_string(list(reason ORDER BY primary_ DESC, l_extendedprice DESC, reason)[1:5] || CASE WHEN l_suppkey % 2 = 0 THEN ['context'] ELSE [] END || CASE WHEN count(*) > 5 THEN [(count(*) - 5) || ' more'] ELSE [] END, '; ') AS reasons FROM (SELECT l_suppkey, l_orderkey || '-' || l_linenumber AS reason, l_extendedprice, l_discount >= 0.1 AND l_quantity > 45 AS primary_ FROM lineitem) GROUP BY l_suppkey")
 def ord9(t):
-    top = F.slice(F.transform(F.sort_array(F.collect_list(F.struct(F.col("l_extendedprice").alias("s"), F.concat_ws("-", "l_returnflag", "l_linenumber").alias("r"))), False), lambda x: x["r"]), 1, 5)
-    return t.lineitem.groupBy("l_orderkey").agg(top.alias("reasons"), F.greatest(F.count("*") - 5, F.lit(0)).alias("more"))
+    rows = t.lineitem.select("l_suppkey", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("reason"), F.col("l_extendedprice").alias("severity"), ((F.col("l_discount") >= 0.1) & (F.col("l_quantity") > 45)).alias("first"), F.when(F.col("l_suppkey") % 2 == 0, "context").alias("context"))
+    return reasons(rows, "l_suppkey")
 
 
-@query("ord10_sample")
+@query("ord10_sample", "SELECT doc_id FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 50")
 def ord10(t):
     """A seeded sample, the same for any partitioning."""
-    return t.documents.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(50)
+    return t.documents.select("doc_id").orderBy(F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string"))), "doc_id").limit(50)
 
 
 @query("ord11_slice", "SELECT doc_id, array_to_string(string_split(text, ' ')[1:12], ' ') AS head FROM documents")
@@ -285,7 +355,13 @@ def ord12(t):
     return shards(t.documents.select("doc_id", "n_chars"), "n_chars", 50_000, "doc_id").select("doc_id", "shard")
 
 
-@query("api1_browse", "SELECT doc_id, lang, n_chars, count(*) OVER ()::BIGINT AS _rows, (sum(m) OVER ())::BIGINT AS _total FROM (SELECT *, ((length(text) - length(replace(lower(text), 'token', ''))) // 5)::BIGINT AS m FROM documents WHERE n_chars >= 200 AND lang IN ('en', 'fr')) WHERE m > 0 ORDER BY m DESC, doc_id LIMIT 10")
+@query("api1_browse", "SELECT doc_id, lang, n_chars, count(*) OVER ()::BIGINT AS _rows, (sum(m) OVER ())::BIGINT AS _total, substr(flat, greatest(1, at_ - 70), at_ - greatest(1, at_ - 70) + 75) AS _snippet FROM (SELECT *, replace(text, chr(10), ' ') AS flat, instr(lower(replace(text, chr(10), ' ')), 'token') AS at_, ((length(text) - length(replace(lower(text), 'token', ''))) // 5)::BIGINT AS m FROM documents WHERE n_chars >= 200 AND lang IN ('en', 'fr')) WHERE m > 0 ORDER BY m DESC, doc_id LIMIT 10")
 def api1(t):
     page = B.browse(t.documents, [("min.n_chars", "200"), ("in.lang", "en"), ("in.lang", "fr"), ("text", "token"), ("size", "10")], "source", "text", "doc_id")
-    return page.select("doc_id", "lang", "n_chars", "_rows", "_total")
+    return page.select("doc_id", "lang", "n_chars", "_rows", "_total", "_snippet")
+
+
+@query("api1_second_page", "SELECT o_orderkey, o_orderstatus, count(*) OVER ()::BIGINT AS _rows FROM orders WHERE contains(lower(o_orderpriority), 'urgent') AND o_totalprice <= 200000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 20 OFFSET 20")
+def api1_second(t):
+    page = B.browse(t.orders, [("max.o_totalprice", "200000"), ("q", "URGENT"), ("sort", "o_totalprice"), ("dir", "desc"), ("size", "20"), ("page", "2")], "o_orderpriority", "o_orderpriority", "o_orderkey")
+    return page.select("o_orderkey", "o_orderstatus", "_rows")

@@ -6,7 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import residue as H
+from ..sources import catalog as K
 from ..sources import files as R
+from ..streaming import log as S
 from .base import query
 from .files import place, written
 from .filters import CASCADE_SQL, cascade
@@ -75,14 +77,26 @@ def qc3(t):
     return partition_check(t.documents, kept, out, "doc_id")
 
 
-@query("src13_discover", "SELECT 'documents' AS name, true AS is_corpus, true AS is_annotation UNION ALL SELECT 'labels', false, true UNION ALL SELECT 'pages', false, false")
+@query("src13_discover", "SELECT dataset, kind, name, detail, rows FROM (VALUES ('one', 'newest', 'docs-20260201', 'jsonl', 'd'), ('one', 'versions', '2', '', ''), ('one', 'annotation', 'quality', 'article', 'l'), ('one', 'annotation', 'lines', 'paragraph', 'l'), ('one', 'ignored', 'annotations/odd', 'no id', ''), ('one', 'ignored', 'extra', 'no id and text', ''), ('two', 'newest', 'any', 'parquet', 'd'), ('two', 'versions', '1', '', '')) v(dataset, kind, name, detail, r) JOIN (SELECT 'd' AS r, count(*)::BIGINT AS rows FROM documents UNION ALL SELECT 'l', count(*) FROM labels UNION ALL SELECT '', 0) USING (r)")
 def src13(t):
-    """What a table can be, by its columns: a corpus has an id and a text, an annotation an id."""
-    rows = []
-    for name in ("documents", "labels", "pages"):
-        columns = set(getattr(t, name).columns)
-        rows.append((name, {"doc_id", "text"} <= columns, "doc_id" in columns))
-    return t.spark.createDataFrame(rows, "name string, is_corpus boolean, is_annotation boolean")
+    """Folders with two versions in three formats, annotations of articles and of paragraphs, and files that are neither; a folder without a corpus is none."""
+    root = place(t)
+    docs, labels = t.documents.select(F.col("doc_id").alias("id"), "text"), t.labels.select(F.col("doc_id").alias("id"), "quality")
+    docs.write.parquet(f"{root}/one/docs-20250101.parquet")
+    docs.write.parquet(f"{root}/one/docs-20260201.parquet")
+    R.write_json_lines(docs, f"{root}/one/docs-20260201.jsonl")
+    R.write_json_lines(labels.select("quality"), f"{root}/one/extra.jsonl")
+    R.write_json_lines(labels, f"{root}/one/annotations/quality.jsonl")
+    labels.withColumn("para", F.lit(1)).write.parquet(f"{root}/one/annotations/lines.parquet")
+    labels.select("quality").write.parquet(f"{root}/one/annotations/odd.parquet")
+    docs.write.parquet(f"{root}/two/any.parquet")
+    labels.write.parquet(f"{root}/three/labels.parquet")
+    out = []
+    for name, ds in K.discover(t.spark, root).items():
+        out += [(name, "newest", ds.newest.stem, ds.newest.ending[1:], K.open_table(t.spark, ds.newest).count()), (name, "versions", str(len(ds.versions)), "", 0)]
+        out += [(name, "annotation", a, level, K.open_table(t.spark, f).count()) for a, (f, level) in ds.annotations.items()]
+        out += [(name, "ignored", f, why, 0) for f, why in ds.ignored.items()]
+    return t.spark.createDataFrame(out, "dataset string, kind string, name string, detail string, rows long")
 
 
 @query("snk2_replaced", "SELECT doc_id FROM labels")
@@ -94,45 +108,53 @@ def snk2(t):
     return R.read_json_lines(t.spark, path, "doc_id long")
 
 
-@query("snk3_gzip_equal", "SELECT count(*)::BIGINT AS rows, true AS same FROM labels")
+@query("snk3_gzip_equal", "SELECT 'again' AS copy, true AS same FROM labels HAVING count(*) > 0 UNION ALL SELECT 'edited', count(*) FILTER (WHERE doc_id % 9 = 1) = 0 FROM labels")
 def snk3(t):
-    plain, packed = (R.read_json_lines(t.spark, written(t, t.labels, z), t.labels.schema) for z in (False, True))
-    a, b = R.content_state(plain), R.content_state(packed)
-    return t.spark.createDataFrame([(a[0], a == b)], "rows long, same boolean")
+    """Packed copies written one after the other are the same bytes; an edited table's are not."""
+    rows = t.labels.select("doc_id", "quality").orderBy("doc_id").coalesce(1)
+    digest = lambda df: t.spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(written(t, df, True)).agg(F.sort_array(F.collect_list(F.sha1("content"))).alias("h")).first()[0]
+    first = digest(rows)
+    edited = rows.withColumn("quality", F.when(F.col("doc_id") % 9 == 1, 7).otherwise(F.col("quality")))
+    return t.spark.createDataFrame([("again", digest(rows) == first), ("edited", digest(edited) == first)], "copy string, same boolean")
 
 
-@query("str3_resumed", "SELECT page_id FROM pages")
+@query("str3_resumed", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN CASE WHEN page_id % 10 = 4 THEN 404 ELSE 200 END ELSE 200 END AS status, CASE WHEN page_id % 2 = 0 AND page_id % 10 <> 6 THEN 1 ELSE 2 END AS run FROM pages")
 def str3(t):
-    """Half of the work is there; only the rest is done and appended."""
+    """Half of the work is there, some of it failed for good and some not: only what is missing or may be tried again is done and added."""
     path = place(t)
-    t.pages.where("page_id % 2 = 0").select("page_id").write.parquet(path)
-    done = t.spark.read.schema("page_id long").parquet(path)
-    t.pages.select("page_id").join(done, "page_id", "left_anti").write.mode("append").parquet(path)
-    return t.spark.read.schema("page_id long").parquet(path)
+    first = t.pages.where("page_id % 2 = 0").select("page_id", F.when(F.col("page_id") % 10 == 6, 503).when(F.col("page_id") % 10 == 4, 404).otherwise(200).alias("status"), F.lit(1).alias("run"))
+    first.write.parquet(path)
+    done = t.spark.read.schema(first.schema).parquet(path)
+    final = done.where(F.col("status").isin(200, 403, 404, 410))
+    again = t.pages.select("page_id").join(final.select("page_id"), "page_id", "left_anti").select("page_id", F.lit(200).alias("status"), F.lit(2).alias("run"))
+    again.write.mode("append").parquet(path)
+    return S.latest(t.spark.read.schema(first.schema).parquet(path), ["page_id"], "run")
 
 
-@query("str5_manifest", "SELECT 1::BIGINT AS same_input, 0::BIGINT AS other_input")
+@query("str5_manifest", "SELECT * FROM (VALUES ('first', false), ('same', true), ('after that', true)) v(input, resumed) UNION ALL SELECT 'edited', count(*) FILTER (WHERE doc_id % 9 = 1) = 0 FROM labels")
 def str5(t):
     """A checkpoint counts only for the input that its manifest names."""
-    state = lambda d: str(R.content_state(d))
-    manifest = state(t.labels)
-    return t.spark.createDataFrame([(int(state(t.labels) == manifest), int(state(t.labels.where("doc_id % 2 = 0")) == manifest))], "same_input long, other_input long")
+    path, rows = place(t), t.labels.select("doc_id", "quality")
+    edited = rows.withColumn("quality", F.when(F.col("doc_id") % 9 == 1, 7).otherwise(F.col("quality")))
+    said = [(name, K.resumable(t.spark, path, df)) for name, df in (("first", rows), ("same", rows.repartition(4)), ("edited", edited), ("after that", edited))]
+    return t.spark.createDataFrame(said, "input string, resumed boolean")
 
 
-@query("str6_stale_caches", "SELECT 'labels' AS cache, false AS stale UNION ALL SELECT 'pages', true")
+@query("str6_stale_caches", "SELECT 'of labels' AS cache, count(*) FILTER (WHERE doc_id % 9 = 1) > 0 AS stale FROM labels UNION ALL SELECT 'of documents', false UNION ALL SELECT 'of both', count(*) FILTER (WHERE doc_id % 9 = 1) > 0 FROM labels")
 def str6(t):
-    """Caches whose source hash is no longer that of the source."""
-    made = t.spark.createDataFrame([("labels", str(R.content_state(t.labels))), ("pages", "made from another source")], "cache string, source string")
-    now = t.spark.createDataFrame([(n, str(R.content_state(getattr(t, n)))) for n in ("labels", "pages")], "cache string, now string")
-    return made.join(now, "cache").select("cache", (F.col("source") != F.col("now")).alias("stale"))
+    """Caches of which a source is edited afterwards."""
+    docs, rows = K.state_of(t.documents.select("doc_id", "text")), t.labels.select("doc_id", "quality")
+    labels = K.state_of(rows)
+    made = {"of labels": {"labels": labels}, "of documents": {"documents": docs}, "of both": {"labels": labels, "documents": docs}}
+    now = {"labels": K.state_of(rows.withColumn("quality", F.when(F.col("doc_id") % 9 == 1, 7).otherwise(F.col("quality")))), "documents": K.state_of(t.documents.repartition(3).select("text", "doc_id"))}
+    return t.spark.createDataFrame(list(K.stale(made, now).items()), "cache string, stale boolean")
 
 
-@query("str10_snapshot", "SELECT count(*)::BIGINT AS before, count(*)::BIGINT AS pinned FROM labels")
+@query("str10_snapshot", "SELECT count(*)::BIGINT AS pinned, (SELECT count(*) FROM documents)::BIGINT AS newest, sum(doc_id)::BIGINT AS pinned_sum FROM labels")
 def str10(t):
-    """A snapshot stays what it was when files are added beside it: its files are listed once."""
-    path = place(t)
-    t.labels.select("doc_id").write.parquet(path)
-    pinned = t.spark.read.parquet(path)
-    before = pinned.count()
-    t.labels.select("doc_id").write.mode("append").parquet(path)
-    return pinned.agg(N("pinned")).select(F.lit(before).cast("long").alias("before"), "pinned")
+    """A reader keeps the snapshot that it has opened while the table is replaced by another."""
+    root = place(t)
+    K.publish(t.labels.select("doc_id"), root)
+    pinned = K.snapshot(t.spark, root)
+    K.publish(t.documents.select("doc_id"), root)
+    return pinned.agg(N("pinned"), F.sum("doc_id").alias("pinned_sum")).join(F.broadcast(K.snapshot(t.spark, root).agg(N("newest"))))

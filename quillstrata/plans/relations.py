@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import block_kind
 from ..operators.ranks import percentile_rank, robust_spread
+from ..sources.catalog import Store
 from ..sources.shared import stored
 from .base import query
 from .filters import CASCADE_SQL, cascade
@@ -182,12 +183,20 @@ def jon18(t):
     return t.benchmark.select("item_id").join(t.labels.select(F.col("doc_id").alias("item_id"), "quality"), "item_id", "left").join(reviews, "item_id", "left")
 
 
-@query("jon19_optional")
+def with_context(base: DataFrame, contexts: dict[str, DataFrame | None], key: str) -> DataFrame:
+    """JON19: contexts joined where there is one; its columns have its name in front. An absent context adds nothing."""
+    for name, rows in contexts.items():
+        if rows is not None:
+            base = base.join(rows.select(key, *[F.col(c).alias(f"{name}_{c}") for c in rows.columns if c != key]), key, "left")
+    return base
+
+
+@query("jon19_optional", "SELECT doc_id, quality AS labels_quality, toxic AS labels_toxic FROM documents LEFT JOIN labels USING (doc_id)")
 def jon19(t):
-    """A context joined only where its table has the column."""
-    context = t.labels.select("doc_id", "quality") if "quality" in t.labels.columns else None
-    base = t.documents.select("doc_id")
-    return base.join(context, "doc_id", "left") if context is not None else base
+    """One context whose file is there, and one whose file is not."""
+    there = {f.stem for f in Store(t.spark).listed(t.sf_dir)}
+    contexts = {name: getattr(t, name) if name in there else None for name in ("labels", "translation")}
+    return with_context(t.documents.select("doc_id"), contexts, "doc_id")
 
 
 @query("jon20_labels_predictions", "SELECT quality, predicted, count(*)::BIGINT AS n FROM (SELECT quality, (NOT regexp_matches(text, '[*#$%&]{3}|!!'))::INT AS predicted FROM labels JOIN documents USING (doc_id)) GROUP BY ALL")
@@ -202,10 +211,16 @@ def jon21(t):
     return a.join(b, "k", "full_outer").select("k", F.coalesce("a", F.lit(0)).alias("a"), F.coalesce("b", F.lit(0)).alias("b"))
 
 
-@query("jon22_bots", "SELECT c_custkey, c_custkey IN (SELECT s_suppkey FROM supplier) OR regexp_matches(c_name, '7$') AS bot FROM customer")
+BOT_NAME = r"(?i)bot\b|^bot"
+
+
+@query("jon22_bots", "SELECT c_custkey, c_custkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) OR name LIKE '%7Bot' OR name LIKE 'bot%' AS bot FROM (SELECT c_custkey, CASE WHEN c_custkey % 10 = 7 THEN c_name || '7Bot' WHEN c_custkey % 10 = 3 THEN 'botany ' || c_name WHEN c_custkey % 10 = 4 THEN 'Robotics ' || c_name ELSE c_name END AS name FROM customer)")
 def jon22(t):
-    listed = t.supplier.select(F.col("s_suppkey").alias("c_custkey"), F.lit(True).alias("_l")).distinct()
-    return t.customer.join(listed, "c_custkey", "left").select("c_custkey", (F.col("_l").isNotNull() | F.col("c_name").rlike("7$")).alias("bot"))
+    """Users in a group's table, or whose name says so at its start or at a word's end."""
+    k = F.col("c_custkey") % 10
+    name = F.when(k == 7, F.concat("c_name", F.lit("7Bot"))).when(k == 3, F.concat(F.lit("botany "), "c_name")).when(k == 4, F.concat(F.lit("Robotics "), "c_name")).otherwise(F.col("c_name"))
+    listed = t.supplier.where("s_acctbal > 0").select(F.col("s_suppkey").alias("c_custkey"), F.lit(True).alias("_l")).distinct()
+    return t.customer.join(listed, "c_custkey", "left").select("c_custkey", (F.col("_l").isNotNull() | name.rlike(BOT_NAME)).alias("bot"))
 
 
 def partition_check(ids: DataFrame, kept: DataFrame, out: DataFrame, key: str) -> DataFrame:

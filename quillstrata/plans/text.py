@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as X
 from .base import Tables, query
@@ -152,37 +150,43 @@ def txt22(t):
     return t.documents.select("doc_id", X.count_pattern(F.col("text"), "[aeiou]{3}", True).alias("n"), F.col("text").rlike("[0-9]{16}").alias("hit"))
 
 
-def kwic(found: DataFrame, pattern: str, context: int = 70, most: int = 3) -> DataFrame:
-    """TXT23: up to `most` snippets of each row, their context widened to a blank within 20 characters; for the rows of a page, after its limit."""
-    import re
+def kwic(rows: DataFrame, text: str, pattern: str, context: int = 70, most: int = 3, slack: int = 20) -> DataFrame:
+    """TXT23: rows with `snippets`: up to `most` hits with pre, match and post, each `context` characters wide and cut at a blank within `slack` more.
 
-    seek = re.compile(pattern)
-    kind = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("pre", "match", "post")]))
+    Expressions alone: hits from regexp_extract_all, what is between them from split, places from running sums of lengths.
+    """
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, most + 1)
+    sizes = F.transform(F.slice(gaps, 1, most), F.length)
+    place = lambda k: F.aggregate(F.slice(F.col("_sizes"), 1, k + 1), F.lit(0), lambda a, x: a + x) + F.aggregate(F.slice(F.col("_hits"), 1, k), F.lit(0), lambda a, x: a + F.length(x))
+    flat = lambda x: F.replace(x, F.lit("\n"), F.lit(" ⏎ "))
 
-    @F.pandas_udf(kind)
-    def snippets(texts: pd.Series) -> pd.Series:
-        def of(text: str) -> list[dict]:
-            out = []
-            for m in seek.finditer(text or ""):
-                a, b = max(0, m.start() - context), min(len(text), m.end() + context)
-                if a and (k := text.rfind(" ", max(0, a - 20), a)) >= 0:
-                    a = k + 1
-                if b < len(text) and (k := text.find(" ", b, b + 20)) >= 0:
-                    b = k
-                out.append({"pre": text[a : m.start()].replace("\n", " ⏎ "), "match": m[0], "post": text[m.end() : b].replace("\n", " ⏎ ")})
-                if len(out) == most:
-                    break
-            return out
+    def of(hit: Column, k: Column) -> Column:
+        return F.element_at(F.transform(F.array(place(k)), lambda at: around(hit, at)), 1)
 
-        return texts.map(of)
+    def around(hit: Column, at: Column) -> Column:
+        wide = F.greatest(F.lit(0), at - context - slack)
+        far = F.substr(F.col(text), wide + 1, F.greatest(F.lit(0), at - context - wide))  # what lies before the context
+        blank = F.length(far) - F.length(F.substring_index(far, " ", -1))  # place of its last blank
+        start = F.when(F.contains(far, F.lit(" ")), wide + blank).otherwise(F.greatest(F.lit(0), at - context))
+        end = at + F.length(hit) + context
+        rest = F.substr(F.col(text), end + 1, F.lit(slack))
+        more = F.when(F.contains(rest, F.lit(" ")), F.length(F.substring_index(rest, " ", 1))).otherwise(0)
+        pre, post = F.substr(F.col(text), start + 1, at - start), F.substr(F.col(text), at + F.length(hit) + 1, F.lit(context) + more)
+        return F.struct(flat(pre).alias("pre"), hit.alias("match"), flat(post).alias("post"))
 
-    return found.withColumn("snippets", snippets("text"))
+    return rows.withColumns({"_hits": F.slice(hits, 1, most), "_sizes": sizes}).withColumn("snippets", F.transform("_hits", of)).drop("_hits", "_sizes")
 
 
-@query("txt23_kwic")
+_KWIC = "FROM (SELECT doc_id, text, unnest(range(1, least(3, len(h)) + 1)) AS k, h, string_split_regex(text, '[0-9]{16}') AS g FROM (SELECT doc_id, text, regexp_extract_all(text, '[0-9]{16}') AS h FROM documents WHERE regexp_matches(text, '[0-9]{16}')))"
+_AT = "list_sum(list_transform(g[1:k], lambda x: length(x)))::BIGINT + 16 * (k - 1)"
+_FAR = "substr(text, greatest(0, p - 90) + 1, greatest(0, p - 70 - greatest(0, p - 90)))"
+
+
+@query("txt23_kwic", f"SELECT doc_id, replace(substr(text, s + 1, p - s), chr(10), ' ⏎ ') AS pre, h[k] AS match, replace(substr(text, p + 17, 70 + m), chr(10), ' ⏎ ') AS post FROM (SELECT *, CASE WHEN contains(far, ' ') THEN greatest(0, p - 90) + length(far) - instr(reverse(far), ' ') + 1 ELSE greatest(0, p - 70) END AS s, CASE WHEN contains(rest, ' ') THEN instr(rest, ' ') - 1 ELSE 0 END AS m FROM (SELECT *, {_FAR} AS far, substr(text, p + 87, 20) AS rest FROM (SELECT *, {_AT} AS p {_KWIC})))")
 def txt23(t):
-    page = t.documents.where(F.col("text").rlike("[0-9]{16}")).select("doc_id", "text").orderBy("doc_id").limit(50)
-    return kwic(page, "[0-9]{16}").select("doc_id", F.explode("snippets").alias("s")).select("doc_id", "s.pre", "s.match", "s.post")
+    rows = t.documents.where(F.col("text").rlike("[0-9]{16}")).select("doc_id", "text")
+    return kwic(rows, "text", "[0-9]{16}").select("doc_id", F.explode("snippets").alias("s")).select("doc_id", "s.pre", "s.match", "s.post")
 
 
 @query("txt24_hashes", "SELECT doc_id, sha1(text) AS text_sha1, substr(sha1(text), 1, 16) AS key FROM documents")
@@ -293,9 +297,13 @@ def prj3(t):
     return lines(t).select("doc_id", F.col("para").cast("int").alias("para"), F.length("line").alias("n"))
 
 
-@query("t1_mask_build", "SELECT doc_id, sha1(regexp_replace(replace(text, source, 'TITLE'), '[0-9][0-9.,]*', 'N', 'g')) AS mask FROM documents")
+@query("t1_mask_build", "SELECT p_partkey, 'TITLE is N of TITLE, or N: TITLE' AS mask FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'TITLE, ' || p_type || ' is N of TITLE, or N: TITLE' FROM part WHERE p_partkey % 2 = 1")
 def t1(t):
-    return t.documents.select("doc_id", F.sha1(X.mask_build(F.col("text"), F.col("source"))).alias("mask"))
+    """The title, it without its bracket, and its part before a comma."""
+    name, odd = F.concat(F.lit("Mr "), "p_name"), F.col("p_partkey") % 2 == 1
+    title = F.when(odd, F.concat(name, F.lit(", x"))).otherwise(F.concat(name, F.lit(" (town)")))
+    text = F.concat(F.when(odd, F.concat(name, F.lit(", "), "p_type")).otherwise(title), F.lit(" is "), F.col("p_size").cast("string"), F.lit(".5 of "), name, F.lit(", or 1,000: "), name)
+    return t.part.select("p_partkey", X.mask_build(text, title).alias("mask"))
 
 
 def skeletons(rows: DataFrame, key: str, text: str, rare_below: int = 20, least: int = 4) -> DataFrame:

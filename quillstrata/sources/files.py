@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +32,16 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Data
     return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
-def read_pages_xml(spark: SparkSession, path: str) -> DataFrame:
-    """SRC6: pages of the main namespace that are no redirects, with their last revision; plain, gzip or bz2."""
+def read_pages_xml(spark: SparkSession, path: str, flags: dict[str, list[str]] | None = None) -> DataFrame:
+    """SRC6: pages of the main namespace that are no redirects, with their last revision; plain, gzip or bz2.
+
+    flags: a column for each name, whether the text uses one of its templates (in lower case; a star stands for any beginning or end).
+    """
     pages = spark.read.format("xml").option("rowTag", "page").option("attributePrefix", "_").schema("title string, ns long, id long, redirect struct<_title:string>, revision array<struct<id:long,timestamp:string,text:struct<_VALUE:string>>>").load(path)
     last = F.element_at(F.array_sort(F.transform("revision", lambda r: F.struct(r["timestamp"].alias("timestamp"), r["id"].alias("revid"), r["text"]["_VALUE"].alias("text")))), -1)
-    return pages.where((F.col("ns") == 0) & F.col("redirect").isNull()).withColumn("_l", last).select("id", "title", "_l.revid", "_l.timestamp", "_l.text")
+    rows = pages.where((F.col("ns") == 0) & F.col("redirect").isNull()).withColumn("_l", last).select("id", "title", "_l.revid", "_l.timestamp", "_l.text")
+    form = lambda n: "".join("[^|{}]*" if ch == "*" else "[ _]" if ch == " " else re.escape(ch) for ch in n)
+    return rows.withColumns({name: F.coalesce(F.col("text").rlike(r"(?i)\{\{\s*(?:" + "|".join(map(form, names)) + r")\s*(?:\||\}\})"), F.lit(False)) for name, names in (flags or {}).items()})
 
 
 def read_history_xml(spark: SparkSession, path: str) -> DataFrame:
@@ -140,14 +147,7 @@ def read_queue(spark: SparkSession, path: str) -> DataFrame:
     whole = spark.read.text(path, wholetext=True)
     items = F.regexp_extract_all("value", F.lit(r"(?ms)^(## [0-9]+\. .*?)(?=^## |\z)"), F.lit(1))
     head = r"^## ([0-9]+)\. (.*?) \(([0-9]+)\)"
-    return whole.select(F.explode(items).alias("i")).select(F.regexp_extract("i", head, 1).cast("int").alias("rank"), F.regexp_extract("i", head, 2).alias("title"), F.regexp_extract("i", head, 3).cast("long").alias("id"), F.trim(F.regexp_replace("i", r"^[^\n]*\n?", "")).alias("body"))
-
-
-def newest(files: DataFrame) -> DataFrame:
-    """SRC14: of each stem the newest file, then jsonl before jsonl.gz before parquet. files: path and modificationTime."""
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    order = F.when(name.endswith(".jsonl"), 2).when(name.endswith(".jsonl.gz"), 1).otherwise(0)
-    return files.groupBy(F.regexp_replace(name, r"\.(jsonl|jsonl\.gz|parquet)$", "").alias("stem")).agg(F.max_by("path", F.struct("modificationTime", order)).alias("path"))
+    return whole.select(F.explode(items).alias("i")).select(F.regexp_extract("i", head, 1).cast("int").alias("rank"), F.regexp_extract("i", head, 2).alias("title"), F.regexp_extract("i", head, 3).cast("long").alias("id"), F.btrim(F.regexp_replace("i", r"^[^\n]*\n?", ""), F.lit(" \t\r\n")).alias("body"))
 
 
 def kinds_of(df: DataFrame, most: int = 40) -> DataFrame:
@@ -232,3 +232,16 @@ def markdown_table(df: DataFrame, most: int = 1000) -> str:
         raise ValueError(f"more than {most} rows are no report")
     rows = [df.columns, ["---"] * len(df.columns), *[[cell(v) for v in r] for r in found]]
     return "\n".join("| " + " | ".join(r) + " |" for r in rows)
+
+
+def export_decisions(decisions: DataFrame, key: str, path: str, cleared: bool = True, array: bool = False) -> None:
+    """SNK8: the last decision of each id, sorted by id, as JSON lines or as one array; without the cleared ones if `cleared` is false."""
+    rows = (decisions if cleared else decisions.where(F.col("state") != "cleared")).drop("state").orderBy(key)
+    if not array:
+        rows.write.option("ignoreNullFields", "false").json(path)
+        return
+    # one file, a line for each element: what stands before and after it depends on whether it is the first or the last
+    lines = rows.select(key, F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("j"))
+    ends = lines.agg(F.min(key).alias("_a"), F.max(key).alias("_b"))
+    framed = lines.join(F.broadcast(ends)).select(key, F.concat(F.when(F.col(key) == F.col("_a"), "[").otherwise(" "), "j", F.when(F.col(key) == F.col("_b"), "]").otherwise(",")).alias("value"))
+    framed.repartition(1).sortWithinPartitions(key).select("value").write.text(path)

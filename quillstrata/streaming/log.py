@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.catalog import Store
 from ..sources.shared import shared_dir
 
 
@@ -16,15 +18,27 @@ def replay(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "jso
     return spark.readStream.schema(schema).option("pathGlobFilter", "*").format(fmt).load(path)
 
 
-def run_once(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """All that is there now, through the stream with a checkpoint, into a table in the shared folder."""
+def run_once(stream: DataFrame, mode: str = "append", place: str | None = None) -> DataFrame:
+    """All that is there now and that a run at the same place hasn't seen, through the stream with a checkpoint, into a table in the shared folder."""
     spark = stream.sparkSession
-    out = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    out = place or f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     query = stream.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
+def replayed(spark: SparkSession, path: str, schema: T.StructType, place: str) -> DataFrame:
+    """STR1: all events of a log so far. What earlier runs at `place` have read is not read again, unless a file that they
+    read is gone or has become shorter: then the whole log is replayed at a new place."""
+    store = Store(spark)
+    files = {f.name: f.size for f in store.listed(path)}
+    seen = json.loads(store.text(f"{place}/seen.json") or '{"run": 0, "files": {}}')
+    run = seen["run"] + any(files.get(name, -1) < size for name, size in seen["files"].items())
+    out = run_once(replay(spark, path, schema), place=f"{place}/run{run}")
+    store.write_text(f"{place}/seen.json", json.dumps({"run": run, "files": files}))
+    return out
+
+
 def latest(events: DataFrame, keys: list[str], at: str) -> DataFrame:
     """STR7: the last event of each key, in append order."""
     rest = [c for c in events.columns if c not in (*keys, at)]
