@@ -13,6 +13,7 @@ from ..functions import text as X
 from ..functions.markdown import html_blocks
 from ..operators import classify as C
 from ..operators.ranks import medians, percentile_rank, quantiles, robust_spread, robust_z
+from ..sources.shared import stored
 from .base import query
 from .relations import latest_events, repeated_groups
 from .reviews import STATES_SQL, decision_states, decisions_of
@@ -590,9 +591,24 @@ def api3(t):
     return position_of(rows, "n_chars", "doc_id", rows.agg(F.max("doc_id")).first()[0])
 
 
-@query("api5_template", f"SELECT doc_id, count(*)::BIGINT AS n FROM {_L} WHERE length(line) > 0 AND substr(sha1(regexp_replace(line, '[0-9]+', '#', 'g')), 1, 16) = (SELECT key FROM (SELECT substr(sha1(regexp_replace(line, '[0-9]+', '#', 'g')), 1, 16) AS key, count(DISTINCT doc_id) AS n FROM {_L} WHERE length(line) > 0 GROUP BY 1) ORDER BY n DESC, key LIMIT 1) GROUP BY doc_id")
+def groups_page(groups: DataFrame, kinds: list[str], least: int, page: int, size: int) -> DataFrame:
+    """API5: a page of repeated groups of some kinds in `least` documents or more, with totals over all of them."""
+    found = groups.where(F.col("kind").isin(kinds) & (F.col("articles") >= least))
+    totals = found.agg(N("groups"), F.sum("paragraphs").alias("in_groups"))
+    return found.orderBy(F.desc("articles"), F.desc("paragraphs"), "key").offset((page - 1) * size).limit(size).join(F.broadcast(totals))
+
+
+@query("api5_templates", f"SELECT key, paragraphs, articles, variants, count(*) OVER ()::BIGINT AS groups, (sum(paragraphs) OVER ())::BIGINT AS in_groups FROM (SELECT key, count(*)::BIGINT AS paragraphs, count(DISTINCT doc_id)::BIGINT AS articles, count(DISTINCT line)::BIGINT AS variants, (SELECT kind FROM (SELECT key AS k, kind, count(*) AS c FROM {_KEYED} GROUP BY ALL) m WHERE m.k = g.key ORDER BY c DESC, kind LIMIT 1) AS kind FROM {_KEYED} g GROUP BY key) WHERE articles >= 3 AND kind IN ('para', 'list') ORDER BY articles DESC, paragraphs DESC, key LIMIT 20 OFFSET 20")
+def api5_groups(t):
+    """The second page of groups in three documents or more."""
+    page = groups_page(stored(repeated_groups(lines(t).where(F.length("line") > 0), "line", "doc_id", 3)), ["para", "list"], 3, 2, 20)
+    return page.select("key", "paragraphs", "articles", "variants", "groups", "in_groups")
+
+
+@query("api5_template", f"WITH p AS {_KEYED}, top AS (SELECT key FROM p GROUP BY key ORDER BY count(DISTINCT doc_id) DESC, key LIMIT 1) SELECT doc_id, count(*)::BIGINT AS n, count(DISTINCT line)::BIGINT AS variants, min(line) AS example FROM p WHERE key = (SELECT key FROM top) GROUP BY doc_id")
 def api5(t):
-    """Documents of the largest group of repeated paragraphs."""
+    """Documents of the largest group of repeated paragraphs, with an example."""
     p = lines(t).where(F.length("line") > 0)
     top = repeated_groups(p, "line", "doc_id", 1).orderBy(F.desc("articles"), "key").limit(1).select("key")
-    return p.withColumn("key", X.content_key(X.mask_digits(F.col("line")))).join(F.broadcast(top), "key", "left_semi").groupBy("doc_id").agg(N())
+    of = p.withColumn("key", X.content_key(X.mask_digits(F.col("line")))).join(F.broadcast(top), "key", "left_semi")
+    return of.groupBy("doc_id", "line").agg(N("c")).groupBy("doc_id").agg(F.sum("c").alias("n"), F.count("*").alias("variants"), F.min("line").alias("example"))

@@ -2,57 +2,110 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import residue as H
+from ..functions import text as X
 from ..sources import catalog as K
 from ..sources import files as R
 from ..streaming import log as S
 from .base import query
 from .files import place, written
 from .filters import CASCADE_SQL, cascade
+from .measures import _bins_sql, facet, histogram
 from .relations import latest_events, partition_check
+from .reviews import _KIND
+from .reviews import _LINES as _PARAS
 from .text import lines
 
 N = lambda name="n": F.count("*").alias(name)
 _L = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
 
 
-@query("htm9_residue", "SELECT sum(len(regexp_extract_all(text, '[*#$%&]{3}')))::BIGINT AS symbols, sum(len(regexp_extract_all(html, '</?[a-zA-Z][^<>]{0,200}>')))::BIGINT AS tags FROM (SELECT text, NULL AS html FROM documents UNION ALL SELECT NULL, html FROM pages)")
+# what each sample becomes, by number
+_STRIPPED = [
+    ('x <a href="y" class="cx-link">link</a> z', "x link z"), ("a &amp; b&#13;&#10;c", "a & b c"), ("{| a | b | c | d |}", ""), ("{| a |- b", " a  b"), ("see Infobox|width= 3|name = q", "see "), ("a | name = q", "a | name = q"),
+    ('cell style="x" end', "cell  end"), ("in Category:Living people] x", "in  x"), ("Category:Towns", "Towns"), ("plain text", "plain text"),
+]
+_CLEAN = [
+    ("a [[b]] ''c'' [2] d", "a b c d"), ("see (https://x.y/z) or www.q.r now", "see or now"), ("__NOTOC__ <poem>verse</poem> 70px", "verse"), ("ଓଡ଼ିଆ | ପାଠ || ", "ଓଡ଼ିଆ । ପାଠ ॥"), ("name (; , ) and (, x) and (y ;)", "name and (x) and (y)"), ("pic.jpg | thumb", ""),
+    ("|| a || b", ""), ("... !", ""), ("Template:Gone", ""), ("[[Category: x]]", ""), ("a\n।\nb", "a\nb"), ("x[1] y [୧୨]", "x[1] y"),
+]
+_POWERS = [("6.1 x 108 ppb", r"$6.1 \times 10^{8}$ ppb"), ("6×1021 t", r"$6 \times 10^{21}$ t"), ("5.15×10\u22125", r"$5.15 \times 10^{-5}$"), ("2 x 105 MW", "2 x 105 MW"), ("22 x 1012", "22 x 1012"), ("1,2 x 1012", "1,2 x 1012"), ("2.5 * 10-12 m", r"$2.5 \times 10^{-12}$ m"), ("3 x 1012.5", "3 x 1012.5")]
+_HEADS = [("One. ==Two== three", "0One. |2Two|0 three"), ("'== Two == x", "2Two|0 x"), ("a, ==b==, c", "0a, b, c"), ("x ===y===", "0x y"), ("end: ===y===", "0end: |3y"), ("plain", "0plain")]
+
+
+def samples(t, pairs: list[tuple[str, str]]):
+    """p_partkey and a sample by number."""
+    return t.part.select("p_partkey", F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), (F.col("p_partkey") % len(pairs) + 1).cast("int")).alias("s"))
+
+
+def _wanted(name: str, pairs: list[tuple[str, str]]) -> str:
+    quoted = ", ".join("'" + b.replace("'", "''") + "'" for _, b in pairs)
+    return f"SELECT p_partkey, (ARRAY[{quoted}])[p_partkey % {len(pairs)} + 1] AS {name} FROM part"
+
+
+@query("htm9_residue", _wanted("stripped", _STRIPPED))
 def htm9(t):
-    both = t.documents.select("text", F.lit(None).cast("string").alias("html")).union(t.pages.select(F.lit(None).cast("string"), "html"))
-    return both.agg(F.sum(H.residue_counts(F.col("text"))["symbols"]).alias("symbols"), F.sum(H.residue_counts(F.col("html"))["tag"]).alias("tags"))
+    """Every rule, what it leaves alone, and a table typed as text."""
+    return samples(t, _STRIPPED).select("p_partkey", H.strip_residue(F.col("s")).alias("stripped"))
 
 
-@query("htm10_clean_block")
+@query("htm9_counts", "SELECT sum(len(regexp_extract_all(html, '<a\\s[^<>]*>|</a>')))::BIGINT AS anchors, sum(len(regexp_extract_all(html, '&amp;')))::BIGINT AS entities, sum(len(regexp_extract_all(html, '\\b(?:style|class|align|width|bgcolor|colspan|rowspan|valign|cellpadding|border)\\s*=\\s*\"[^\"]*\"')))::BIGINT AS attributes FROM pages")
+def htm9_counts(t):
+    """How often rules fire, over whole pages."""
+    c = t.pages.select(H.residue_counts(F.col("html")).alias("c"))
+    return c.agg(F.sum("c.anchor tags").alias("anchors"), F.sum("c.entity &amp;").alias("entities"), F.sum("c.attributes").alias("attributes"))
+
+
+@query("htm10_clean_block", _wanted("cleaned", _CLEAN))
 def htm10(t):
-    return t.documents.select("doc_id", F.sha1(H.clean_block(F.col("text"))).alias("cleaned"))
+    return samples(t, _CLEAN).select("p_partkey", H.clean_block(F.col("s")).alias("cleaned"))
 
 
-@query("htm11_typed_powers")
+@query("htm11_typed_powers", _wanted("formula", _POWERS))
 def htm11(t):
-    made = t.part.select("p_partkey", F.concat(F.lit("about "), F.col("p_size").cast("string"), F.lit(" x 10^"), (1 + F.col("p_partkey") % 9).cast("string"), F.lit(" units")).alias("s"))
-    return made.select("p_partkey", H.typed_powers(F.col("s")).alias("formula"))
+    return samples(t, _POWERS).select("p_partkey", H.typed_powers(F.col("s")).alias("formula"))
 
 
-@query("htm13_split_headings", "SELECT p_partkey, '## ' || p_name AS first, '=no' AS second FROM part")
+@query("htm13_split_headings", _wanted("blocks", _HEADS))
 def htm13(t):
-    made = t.part.select("p_partkey", H.split_headings(F.concat(F.lit("== "), "p_name", F.lit(" ==\n=no"))).alias("a"))
-    return made.select("p_partkey", F.col("a")[0].alias("first"), F.col("a")[1].alias("second"))
+    """Headings after a sentence and at the start; elsewhere the signs alone go."""
+    blocks = samples(t, _HEADS).select("p_partkey", H.split_headings(F.col("s")).alias("b"))
+    return blocks.select("p_partkey", F.array_join(F.transform("b", lambda x: F.concat(x["level"].cast("string"), x["text"])), "|").alias("blocks"))
 
 
-@query("api4_overview", "SELECT 'documents' AS of, count(*)::BIGINT AS rows, min(n_chars) AS lo, max(n_chars) AS hi FROM documents UNION ALL SELECT 'labelled', count(*), min(n_chars), max(n_chars) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
-def api4(t):
-    own = t.documents.select("doc_id", "n_chars").join(t.labels.select("doc_id", F.lit(True).alias("l")).distinct(), "doc_id", "left")
-    one = own.agg(N("a"), F.min("n_chars").alias("b"), F.max("n_chars").alias("c"), F.count("l").alias("d"), F.min(F.when(F.col("l"), F.col("n_chars"))).alias("e"), F.max(F.when(F.col("l"), F.col("n_chars"))).alias("f"))
-    return one.select(F.expr("stack(2, 'documents', a, b, c, 'labelled', d, e, f) as (of, rows, lo, hi)"))
+_CHARS = _bins_sql("chars", "n_chars", "documents")
 
 
-@query("api6_para_search", f"SELECT doc_id, count(*)::BIGINT AS paragraphs, sum(len(regexp_extract_all(line, '[0-9]+')))::BIGINT AS matches FROM {_L} WHERE regexp_matches(line, '[0-9]+') GROUP BY doc_id ORDER BY matches DESC, doc_id LIMIT 20")
+@query("api4_overview", f"SELECT 'total' AS section, 'documents' AS name, '' AS option, count(*)::DOUBLE AS n FROM documents UNION ALL SELECT 'total', 'characters', '', sum(n_chars)::DOUBLE FROM documents UNION ALL SELECT 'histogram', 'n_chars', bin::VARCHAR, n::DOUBLE FROM ({_CHARS}) UNION ALL SELECT 'facet', 'lang', lang, count(*)::DOUBLE FROM documents GROUP BY lang UNION ALL SELECT 'facet', 'source', source, count(*)::DOUBLE FROM documents GROUP BY source UNION ALL SELECT 'nulls', 'quality', '', count(*)::DOUBLE FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT 'annotation', 'labels', 'matched', count(*)::DOUBLE FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) UNION ALL SELECT 'warning', 'labels', 'corpus articles have no row', count(*)::DOUBLE FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT 'warning', 'labels', 'ids are not in this corpus', count(*)::DOUBLE FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) HAVING count(*) > 0")
+def api4(t):
+    """Totals, distributions, facets, nulls, the status of an annotation and its warnings, as one table."""
+    d = t.documents.select("doc_id", "lang", "source", "n_chars")
+    empty, number = F.lit(""), lambda c: F.col(c).cast("double").alias("n")
+    row = lambda df, section, name, option, n: df.select(F.lit(section).alias("section"), name.alias("name"), option.alias("option"), number(n))
+    totals = d.agg(N(), F.sum("n_chars").alias("c"))
+    both = d.select("doc_id", F.lit(1).alias("d")).join(t.labels.select("doc_id", F.lit(1).alias("l")).distinct(), "doc_id", "full_outer")
+    status = both.agg(F.count_if(F.col("d").isNotNull() & F.col("l").isNotNull()).alias("matched"), F.count_if(F.col("l").isNull()).alias("missing"), F.count_if(F.col("d").isNull()).alias("orphans"))
+    facets = facet(d, "lang").union(facet(d, "source"))
+    parts = [
+        row(totals, "total", F.lit("documents"), empty, "n"), row(totals, "total", F.lit("characters"), empty, "c"), row(histogram(d, "n_chars"), "histogram", F.lit("n_chars"), F.col("bin").cast("string"), "n"), row(facets, "facet", F.col("facet"), F.col("option"), "n"),
+        row(status, "nulls", F.lit("quality"), empty, "missing"), row(status, "annotation", F.lit("labels"), F.lit("matched"), "matched"),
+        row(status.where("missing > 0"), "warning", F.lit("labels"), F.lit("corpus articles have no row"), "missing"), row(status.where("orphans > 0"), "warning", F.lit("labels"), F.lit("ids are not in this corpus"), "orphans"),
+    ]
+    return functools.reduce(DataFrame.union, parts)
+
+
+@query("api6_para_search", f"SELECT doc_id, para, kind, n, found, chars FROM (SELECT doc_id, para, {_KIND} AS kind, len(h)::BIGINT AS n, array_to_string(h[1:12], '|') AS found, length(line)::INT AS chars FROM (SELECT *, regexp_extract_all(line, '[0-9]+') AS h FROM ({_PARAS}))) WHERE n > 0 AND kind IN ('para', 'list') ORDER BY doc_id, para LIMIT 50 OFFSET 50")
 def api6(t):
-    hit = lines(t).where(F.col("line").rlike("[0-9]+"))
-    return hit.groupBy("doc_id").agg(N("paragraphs"), F.sum(F.regexp_count("line", F.lit("[0-9]+"))).alias("matches")).orderBy(F.desc("matches"), "doc_id").limit(20)
+    """The second page of paragraphs of two kinds that match, with their first twelve hits. Totals by kind are AGG27."""
+    hits = F.regexp_extract_all("line", F.lit("[0-9]+"), F.lit(0))
+    p = lines(t).where(F.col("line").rlike("[0-9]+")).withColumn("kind", X.block_kind(F.col("line"))).where(F.col("kind").isin("para", "list"))
+    page = p.orderBy("doc_id", "para").offset(50).limit(50)
+    return page.select("doc_id", "para", "kind", F.size(hits).cast("long").alias("n"), F.array_join(F.slice(hits, 1, 12), "|").alias("found"), F.length("line").alias("chars"))
 
 
 @query("api8_undo", "SELECT user_id, nth_value(event_type, 2) OVER w AS verdict FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
@@ -63,10 +116,26 @@ def api8(t):
     return last.select("user_id").join(before, "user_id", "left")
 
 
-@query("api9_excluded_summary", f"SELECT regexp_replace(reason, ' of [0-9]+$', '') AS reason, count(*)::BIGINT AS n, count(l.doc_id)::BIGINT AS labelled FROM ({CASCADE_SQL}) c LEFT JOIN labels l USING (doc_id) WHERE reason IS NOT NULL GROUP BY 1")
+_EX = f"SELECT doc_id, regexp_replace(reason, ' of [0-9]+$', '') AS reason, nullif(regexp_extract(reason, ' of ([0-9]+)$', 1), '') AS named FROM ({CASCADE_SQL}) WHERE reason IS NOT NULL"
+
+
+@query("api9_excluded_summary", f"WITH x AS ({_EX}), k AS (SELECT doc_id FROM ({CASCADE_SQL}) WHERE reason IS NULL) SELECT reason, count(*)::BIGINT AS n, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels))::BIGINT AS labelled, count(*) FILTER (WHERE named IS NOT NULL AND named::BIGINT IN (SELECT doc_id FROM k))::BIGINT AS named_kept, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM k))::BIGINT AS contradictions FROM x GROUP BY reason")
 def api9(t):
-    out = cascade(t.documents).where("reason is not null").join(t.labels.select("doc_id", F.lit(1).alias("l")), "doc_id", "left")
-    return out.groupBy(F.regexp_replace("reason", " of [0-9]+$", "").alias("reason")).agg(N(), F.count("l").alias("labelled"))
+    """Reasons with checks: how many are annotated, name an id that was kept, or were kept themselves."""
+    c = cascade(t.documents)
+    kept = c.where("reason is null").select(F.col("doc_id").alias("_k"), F.lit(1).alias("_kept"))
+    x = c.where("reason is not null").select("doc_id", F.regexp_replace("reason", " of [0-9]+$", "").alias("reason"), F.nullif(F.regexp_extract("reason", " of ([0-9]+)$", 1), F.lit("")).cast("long").alias("named"))
+    both = x.join(t.labels.select("doc_id", F.lit(1).alias("l")).distinct(), "doc_id", "left").join(kept, F.col("named") == F.col("_k"), "left").withColumnRenamed("_kept", "_n").drop("_k").join(kept, F.col("doc_id") == F.col("_k"), "left")
+    return both.groupBy("reason").agg(N(), F.count("l").alias("labelled"), F.count("_n").alias("named_kept"), F.count("_kept").alias("contradictions"))
+
+
+@query("api9_removed_blocks", f"SELECT b.doc_id, para, length(line)::INT AS chars, x.reason, x.doc_id IS NULL AS article_kept FROM ({_PARAS}) b LEFT JOIN ({_EX}) x USING (doc_id) WHERE regexp_matches(line, '[0-9]{{16}}') AND contains(lower(line), 'e') ORDER BY chars DESC, b.doc_id, para LIMIT 40")
+def api9_blocks(t):
+    """Blocks that were removed, searched and sorted, with what became of their article."""
+    why = cascade(t.documents).where("reason is not null").select("doc_id", F.regexp_replace("reason", " of [0-9]+$", "").alias("reason"), F.lit(True).alias("_out"))
+    b = lines(t).where(F.col("line").rlike("[0-9]{16}") & F.contains(F.lower("line"), F.lit("e"))).select("doc_id", "para", F.length("line").alias("chars"))
+    page = b.orderBy(F.desc("chars"), "doc_id", "para").limit(40)
+    return page.join(why, "doc_id", "left").select("doc_id", "para", "chars", "reason", F.col("_out").isNull().alias("article_kept"))
 
 
 @query("qc3_consistency", f"WITH c AS ({CASCADE_SQL}), l AS (SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id) SELECT (SELECT count(*) FROM documents)::BIGINT AS ids, count(*) FILTER (WHERE reason IS NULL)::BIGINT AS kept, count(*) FILTER (WHERE reason IS NOT NULL)::BIGINT AS excluded, (SELECT count(*) FROM l WHERE n > 1)::BIGINT AS repeated, (SELECT count(*) FROM l WHERE doc_id NOT IN (SELECT doc_id FROM documents))::BIGINT AS strangers, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l))::BIGINT AS lost FROM c")

@@ -112,6 +112,51 @@ def test_interleave_takes_turns_and_no_id_twice(spark):
     assert got == [("a", 1), ("b", 3), ("a", 2)]
 
 
+@pytest.mark.parametrize("most", [1, 5, 30])
+def test_interleave_equals_a_walk(spark, most):
+    """Shared ids and signatures, ties, missing signatures: the thinned candidates give what all of them would."""
+    import random
+
+    rnd = random.Random(most)
+    rows = [(rnd.choice("abc"), rnd.randint(1, 40), rnd.choice(["s%d" % rnd.randint(1, 25), None]), float(rnd.randint(1, 30))) for _ in range(600)]
+    got = [(r["kind"], r["id"], r["signature"]) for r in interleave(spark.createDataFrame(rows, "kind string, id long, signature string, severity double"), most).orderBy("rank").collect()]
+    best = {}
+    for kind, i, s, v in rows:
+        best[kind, i, s] = max(v, best.get((kind, i, s), 0.0))
+    lists = {k: sorted(((-v, i, s or "", s) for (kk, i, s), v in best.items() if kk == k)) for k in "abc"}
+    ids, signatures, want = set(), set(), []
+    moved = True
+    while moved and len(want) < most:
+        moved = False
+        for k in "abc":
+            for _, i, _, s in lists[k]:
+                if len(want) < most and i not in ids and (s is None or s not in signatures):
+                    ids.add(i)
+                    signatures.add(s)
+                    want.append((k, i, s))
+                    moved = True
+                    break
+    assert got == want
+
+
+def test_quantiles_and_ranks_of_groups(spark):
+    from quillstrata.operators import ranks as K
+
+    rows = [("a", 1.0), ("a", 1.0), ("a", 4.0), ("a", None), ("b", 7.0), (None, 2.0), (None, 8.0), ("c", None)]
+    d = spark.createDataFrame(rows, "g string, v double")
+    assert {r["g"]: list(r["q"]) for r in K.quantiles(d, ["g"], "v", [0.0, 0.25, 0.5, 1.0]).collect()} == {"a": [1.0, 1.0, 1.0, 4.0], "b": [7.0] * 4, None: [2.0, 3.5, 5.0, 8.0]}
+    assert {(r["g"], r["med"], round(r["spread"], 6)) for r in K.robust_spread(d, ["g"], "v").collect()} == {("a", 1.0, 0.0), ("b", 7.0, 0.0), (None, 5.0, round(3 * 1.4826, 6))}
+    z = {(r["g"], r["v"]): r["z"] for r in K.robust_z(d, ["g"], "v").collect()}
+    assert z["a", 4.0] is None and z[None, 8.0] == pytest.approx(1 / 1.4826) and z["c", None] is None
+    assert K.quantiles(d.where("v is null"), [], "v", [0.5]).first()["q"][0] is None
+    many = spark.range(2000).selectExpr("id % 3 as g", "cast(id * 7919 % 2000 as double) as v")
+    import numpy as np
+
+    pdf = many.toPandas()
+    for r in K.quantiles(many, ["g"], "v", [0.1, 0.5, 0.9]).collect():
+        assert list(r["q"]) == pytest.approx(list(np.quantile(pdf[pdf.g == r["g"]].v, [0.1, 0.5, 0.9])))
+
+
 def test_walk_ends_on_cycles(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5)], "child int, parent int")
     got = {(r["node"], r["depth"]) for r in walk(edges, spark.createDataFrame([(1,)], "root int")).collect()}
