@@ -13,7 +13,7 @@
 4. Classes that share a key of at most BUCKET classes are compared with each other. In a larger bucket, all are
    compared with one leader; only what isn't yet in one component goes on to further leaders, of which each round
    takes sixteen times as many, so that every pair not yet connected is compared at last.
-5. A pair is dropped if the sizes, the rare tokens that they don't share, or counts of tokens in 64 bins, rule it out; the rest is verified on the whole sets.
+5. A pair is dropped if the sizes, the rare tokens that they don't share, or counts of tokens in BINS bins, rule it out; the rest is verified on the whole sets.
 6. Components of the links (components.py).
 
 Defined cases: null and empty texts, and those without words, have no shingles and are linked with nothing; texts with
@@ -43,7 +43,7 @@ from .components import components
 FREQUENT_FROM, FREQUENT_MOST, BUCKET, COMBINED = 32, 1_000_000, 32, 4
 #: Keys of large buckets that may be broadcast.
 FEW_KEYS = 100_000
-BINS, COUNT_TOKENS, BLOOM_LEAST, BLOOM_MOST, SLICE = 64, 1_000_000, 26, 30, 2 << 20
+BINS, COUNT_TOKENS, BLOOM_LEAST, BLOOM_MOST, SLICE = 256, 1_000_000, 26, 30, 2 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _L, _B = T.LongType(), T.BinaryType()
 
@@ -252,14 +252,16 @@ def _near(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
     return stored(both.select("a", "b", "x", "y", "na", "nb").mapInArrow(rule_out, "a long, b long"))
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """v and tokens of the classes in wanted (v), and of a few others, by one pass over the texts.
+def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """v and tokens of the classes in wanted (v), and of a few others, by one pass over the texts: the first row of a class stands for it.
 
-    A few bits for each class that is wanted, up to 2^BLOOM_MOST of them, make a bounded filter, whose false hits do no harm.
+    A few bits for each row that is wanted, up to 2^BLOOM_MOST of them, make a bounded filter, whose false hits do no harm.
+    docs: text and row; classes: v and row.
     """
-    bits_of_filter = min(BLOOM_MOST, max(BLOOM_LEAST, wanted.count().bit_length() + 4))
-    place = F.expr(f"shiftrightunsigned(v, {64 - bits_of_filter})")
-    words = wanted.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(v, {64 - bits_of_filter}) & 31 as int))")).alias("bits")).toPandas()
+    rows = stored(wanted.join(classes, "v").select("row").distinct())
+    bits_of_filter = min(BLOOM_MOST, max(BLOOM_LEAST, rows.count().bit_length() + 6))
+    place = F.expr(f"shiftrightunsigned(row, {64 - bits_of_filter})")
+    words = rows.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(row, {64 - bits_of_filter}) & 31 as int))")).alias("bits")).toPandas()
     mask = np.zeros(1 << (bits_of_filter - 5), np.uint32)
     if len(words):
         mask[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
@@ -270,16 +272,23 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         shingler = Shingler(size)
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [s for s in shingler(encoded(batch, "text")) if len(s)]
-            names = classes_of(found)
-            at = names.view(np.uint64) >> np.uint64(64 - bits_of_filter)
+            at = batch.column("row").to_numpy().view(np.uint64) >> np.uint64(64 - bits_of_filter)
             hit = (held.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1)
-            rows = {int(names[i]): found[i].tobytes() for i in np.flatnonzero(hit)}
-            return pa.RecordBatch.from_arrays([pa.array(rows.keys(), pa.int64()), pa.array(rows.values(), pa.binary())], names=schema.names)
+            found = [s for s in shingler(encoded(batch.filter(pa.array(hit.astype(bool))), "text")) if len(s)]
+            sets_ = dict(zip(classes_of(found).tolist(), found, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(sets_, pa.int64()), pa.array([s.tobytes() for s in sets_.values()], pa.binary())], names=schema.names)
 
         return apply
 
-    return stored(map_texts(docs, "text", schema, build, SLICE).groupBy("v").agg(F.first("tokens").alias("tokens")))
+    out = stored(map_texts(docs.select("text", "row"), "text", schema, build, SLICE))
+    discard(rows)
+    again = stored(out.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v"))
+    if again.isEmpty():
+        return out
+    few = F.broadcast(again) if again.limit(FEW_KEYS + 1).count() <= FEW_KEYS else again
+    once = stored(out.join(few, "v", "left_anti").union(out.join(few, "v", "left_semi").groupBy("v").agg(F.first("tokens").alias("tokens"))))
+    discard(out, again)
+    return once
 
 
 def _verified(near: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
@@ -301,17 +310,17 @@ def _verified(near: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -> DataFrame:
-    """v and c, the least class of its component, for each linked class. classes: v, n and bins."""
+    """v and c, the least class of its component, for each linked class. docs: text and row; classes: v, n, bins and row, a row that stands for it."""
     total = classes.agg(F.sum("n")).first()[0] or 0
     entries = stored(_entries(docs, size, share, frequent_names(docs, size, total)))
-    shared = entries.groupBy("key").agg(F.min("v").alias("_a"), F.max("v").alias("_b")).where("_a <> _b").select("key")
+    shared = stored(entries.groupBy("key").agg(F.min("v").alias("_a"), F.max("v").alias("_b")).where("_a <> _b").select("key"))
     # the keys of two classes or more; copies of a document have one row
     multi = stored(entries.select("key", "v", "m").join(shared, "key").groupBy("key", "v").agg(F.min("m").alias("m")))
     large = stored(multi.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > BUCKET))
     few = F.broadcast(large) if large.limit(FEW_KEYS + 1).count() <= FEW_KEYS else large
     cold = multi.join(few.select("key"), "key", "left_anti")
     hot = stored(entries.join(few, "key").groupBy("key", "v").agg(F.min("m").alias("m"), F.min("p").alias("p"), F.min("held").alias("held")))
-    discard(entries)
+    discard(entries, shared)
     # a class with combinations has all its rare tokens among its keys: two that link either share one, and are compared for that, or have all others in common at most
     n, r = (lambda m: F.shiftright(m, 32)), (lambda m: F.col(m).bitwiseAND(F.lit(0xFFFFFFFF)))
     common = F.least(n("ma") - r("ma"), n("mb") - r("mb"))
@@ -323,7 +332,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
     if near.isEmpty() and hot.isEmpty():
         return components(near)
     wanted = near.select(F.col("a").alias("v")).union(near.select(F.col("b").alias("v"))).union(hot.select("v")).distinct()
-    tokens = _sets_of(docs, wanted, size)
+    tokens = _sets_of(docs, classes, wanted, size)
     linked = components(_verified(near, tokens, share))
     if hot.isEmpty():
         return linked
@@ -373,7 +382,8 @@ def _classified_now(keyed: DataFrame, size: int, share: int) -> tuple[DataFrame,
     all_ = stored(sets(keyed, size))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     classes = stored(all_.where("v is not null").groupBy("v").agg(F.min("n").alias("n"), F.min("bins").alias("bins"), F.min("doc_id").alias("least"), F.min(first).alias("first"), F.count("*").alias("rows")))
-    linked = linked_classes(keyed.select("doc_id", "text"), classes.select("v", "n", "bins"), size, share)
+    row = lambda of: F.xxhash64(f"{of}doc_id", f"{of}text_key")
+    linked = linked_classes(keyed.select("text", row("").alias("row")), classes.select("v", "n", "bins", row("first.").alias("row")), size, share)
     named = classes.select("v", "least", "first", "rows").join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
     of = named.groupBy("c").agg(F.min("least").alias("component_id"), F.min("first").alias("first"), F.sum("rows").alias("rows"))
     out = stored(named.select("v", "c").join(of, "c").select("v", "component_id", "first", "rows"))
