@@ -88,11 +88,11 @@ def src8(t):
     return R.read_sql_dump(t.spark, path).withColumn("text", F.md5("text"))
 
 
-@query("src12_statements", "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'Q1,Q' || p_partkey WHEN 1 THEN 'Q' || p_partkey WHEN 2 THEN 'Q7' ELSE '' END AS items FROM part")
+@query("src12_statements", "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'Q1,Q' || (p_partkey + 100) WHEN 1 THEN 'Q' || (p_partkey + 100) WHEN 2 THEN 'Q7' ELSE '' END AS items FROM part")
 def src12(t):
     """Normal statements, a preferred one beside them, a deprecated one, and none with a value; repeats count once."""
     one = lambda rank, item: F.concat(F.lit('{"rank":"' + rank + '","mainsnak":{"snaktype":"value","datavalue":{"value":{"id":"'), item, F.lit('"}}}}'))
-    own, q = F.concat(F.lit("Q"), F.col("p_partkey").cast("string")), F.lit("Q1")
+    own, q = F.concat(F.lit("Q"), (F.col("p_partkey") + 100).cast("string")), F.lit("Q1")
     cases = F.element_at(F.array(F.concat_ws(",", one("normal", q), one("normal", own), one("normal", q)), F.concat_ws(",", one("normal", q), one("preferred", own), one("deprecated", F.lit("Q3"))), F.concat_ws(",", one("deprecated", own), one("normal", F.lit("Q7")), one("normal", F.lit("P7"))), F.lit('{"rank":"normal","mainsnak":{"snaktype":"novalue"}}')), (F.col("p_size") % 4 + 1).cast("int"))
     made = t.part.select("p_partkey", F.concat(F.lit('{"P31":['), cases, F.lit('],"P106":[]}')).alias("claims"))
     return made.select("p_partkey", F.array_join(best_ranked(F.col("claims"), "P31"), ",").alias("items"))
