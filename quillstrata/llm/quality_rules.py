@@ -8,7 +8,9 @@ Minimum-length guards: below MIN_WORDS words the base rule fails; the word histo
 both limits give way by a SLACK / sqrt(words), as short texts stray by chance alone.
 
 Defined cases: null and empty texts have zero counts and fail the base rule; with no language to compare with (no row has
-a lang) the base rule alone decides. Repeated rows get equal results, one row each. Other columns are left aside.
+a lang) the base rule alone decides. Very long texts are counted piece by piece, whole. Common words that tie go by their
+bytes; a text at a limit is kept. Repeated rows get equal results, one row each. An empty table gives an empty one. Other
+columns are left aside.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from ..sources.shared import stored
+from ..sources.shared import discard, stored
 from ._batches import bounded_batches, encoded, give_back, map_texts, slices, texts_of
 
 MIN_WORDS, WORD_GUARD, COMMON_WORDS = 50, 80, 48
@@ -199,6 +201,7 @@ def fit(docs: DataFrame) -> list[Reference]:
     classes: dict[str, dict[int, int]] = {}
     for r in sums.where("word is null").collect():
         classes.setdefault(r["lang"], {})[r["class"]] = r["n"]
+    discard(sums)
     return [Reference(lang, tuple(classes.get(lang, {}).get(k, 0) for k in range(len(CLASSES))), tuple(common[lang]), totals[lang]) for lang in sorted(totals)]
 
 
