@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quillstrata.llm import ngram_jaccard, packing, pii, quality_classifier, quality_rules
 from quillstrata.llm.queries import pii_key
-from quillstrata.sources.shared import stored
+from quillstrata.sources.shared import discard, stored
 from quillstrata.sources.tables import table
 
 
@@ -61,7 +61,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -328,6 +328,19 @@ def sco6(t):
     return robust_z(percentile_rank(e, [], "bpb"), [], "lbpb").select("doc_id", R6("pct").alias("pct"), F.round("z", 4).alias("z"))
 
 
+@query("sco8_controls", _BITS + "SELECT count(*)::BIGINT AS documents, count(*) FILTER (WHERE bits > 0)::BIGINT AS scored, count(*)::BIGINT AS shuffled_same, count(*)::BIGINT AS again_same, count(*)::BIGINT AS single_close FROM d")
+def sco8(t):
+    """Controls of a scorer: words in another order (a model of single words must not care), a second run over other partitions, and sums in single precision."""
+    d = t.documents.select("doc_id", "text")
+    first = unigram_bits(d, "doc_id", "text").select("doc_id", "bits")
+    mixed = unigram_bits(d.select("doc_id", X.shuffled_words(F.col("text"), 3).alias("text")), "doc_id", "text").select("doc_id", F.col("bits").alias("mixed"))
+    again = unigram_bits(d.repartition(7, "text"), "doc_id", "text").select("doc_id", F.col("bits").alias("again"))
+    close = lambda a, b, by: F.count_if(F.abs(a - b) <= by * F.greatest(F.abs(a), F.lit(1.0)))
+    both = first.join(mixed, "doc_id").join(again, "doc_id")
+    bits = F.col("bits")
+    return both.agg(N("documents"), F.count_if(bits > 0).alias("scored"), close(bits, F.col("mixed"), 1e-9).alias("shuffled_same"), close(bits, F.col("again"), 1e-9).alias("again_same"), close(bits, bits.cast("float").cast("double"), 1e-6).alias("single_close"))
+
+
 @query("sco7_cost", "SELECT lang, round(sum(strlen(text) / CASE WHEN lang = 'en' THEN 6.7 ELSE 2.3 END), 3) AS tokens FROM documents GROUP BY lang")
 def sco7(t):
     return t.documents.groupBy("lang").agg(F.round(F.sum(F.octet_length("text") / F.when(F.col("lang") == "en", 6.7).otherwise(2.3)), 3).alias("tokens"))

@@ -227,3 +227,17 @@ def str10(t):
     pinned = K.snapshot(t.spark, root)
     K.publish(t.documents.select("doc_id"), root)
     return pinned.agg(N("pinned"), F.sum("doc_id").alias("pinned_sum")).join(F.broadcast(K.snapshot(t.spark, root).agg(N("newest"))))
+
+
+@query("api12_home", "SELECT 'one' AS dataset, '20260201' AS version, (SELECT count(*) FROM documents)::BIGINT AS articles, (SELECT sum(n_chars) FROM documents)::BIGINT AS chars, 1::BIGINT AS annotations, (SELECT count(*) FROM labels)::BIGINT AS annotated, (SELECT count(*) FROM benchmark)::BIGINT AS review_first")
+def api12(t):
+    """The counts of the first page: each dataset's newest version, its annotations, and how many items its review queue holds."""
+    root, docs = place(t), t.documents.select(F.col("doc_id").alias("id"), "text")
+    docs.write.parquet(f"{root}/one/docs-20260201.parquet")
+    t.labels.select(F.col("doc_id").alias("id"), "quality").write.parquet(f"{root}/one/annotations/quality.parquet")
+    t.benchmark.select(F.concat(F.lit("## "), F.col("item_id").cast("string"), F.lit(". Item ("), F.col("item_id").cast("string"), F.lit(")\n")).alias("value")).coalesce(1).write.text(f"{root}/one/quality")
+    ds = K.discover(t.spark, root)["one"]
+    queue = R.read_queue(t.spark, f"{root}/one/quality").agg(N("review_first"))
+    rows = K.open_table(t.spark, ds.newest).agg(N("articles"), F.sum(F.length("text")).alias("chars"))
+    marked = K.open_table(t.spark, ds.annotations["quality"][0]).agg(F.count_distinct("id").alias("annotated"))
+    return rows.join(F.broadcast(marked)).join(F.broadcast(queue)).select(F.lit(ds.folder).alias("dataset"), F.lit(max(ds.versions)).alias("version"), "articles", "chars", F.lit(len(ds.annotations)).cast("long").alias("annotations"), "annotated", "review_first")
