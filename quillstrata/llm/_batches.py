@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,9 +19,8 @@ BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 <<
 
 def bounded_batches(spark: SparkSession) -> None:
     """Lowers the session's bound on Arrow batches (64 MB if it wasn't set) to BATCH_BYTES; rows longer than that have a batch of their own."""
-    held = spark.conf.get(BATCH_SETTING, "64m").lower()
-    unit = {"b": 0, "k": 10, "m": 20, "g": 30}.get(held[-1])
-    if (int(held[:-1]) << unit if unit is not None else int(held)) > BATCH_BYTES:
+    size, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)b?\s*", spark.conf.get(BATCH_SETTING, "64m").lower()).groups()
+    if not 0 < int(size) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit] <= BATCH_BYTES:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 

@@ -41,8 +41,8 @@ from ._batches import bounded_batches, encoded, give_back, map_texts, slices, te
 from .components import components
 
 FREQUENT_FROM, FREQUENT_MOST, BUCKET, COMBINED = 32, 1_000_000, 32, 4
-#: Keys of large buckets that may be broadcast.
-FEW_KEYS = 100_000
+#: Keys of large buckets that may be broadcast; parts that a task deals to.
+FEW_KEYS, WIDE = 100_000, 512
 BINS, COUNT_TOKENS, BLOOM_LEAST, BLOOM_MOST, SLICE = 256, 1_000_000, 26, 30, 2 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _L, _B = T.LongType(), T.BinaryType()
@@ -156,13 +156,39 @@ def sets(docs: DataFrame, size: int) -> DataFrame:
     return map_texts(docs, "text", schema, build, SLICE)
 
 
+def _summed(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each name once, with the sum of its counts."""
+    order = np.argsort(names, kind="stable")
+    names, counts = names[order], counts[order]
+    first = np.flatnonzero(np.r_[len(names) > 0, names[1:] != names[:-1]])
+    return names[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _dealt(names: np.ndarray, counts: np.ndarray, part: np.ndarray) -> tuple[list[int], list[bytes], list[bytes]]:
+    """part, names and counts in packed arrays, a row for each part."""
+    order = np.argsort(part, kind="stable")
+    names, counts, part = names[order], np.minimum(counts[order], 2**32 - 1).astype(np.uint32), part[order]
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    split = zip(np.split(part, cuts), np.split(names, cuts), np.split(counts, cuts), strict=True) if len(names) else ()
+    rows = [(int(p[0]), a.tobytes(), c.tobytes()) for p, a, c in split]
+    return tuple(map(list, zip(*rows, strict=True))) if rows else ([], [], [])
+
+
+def _unpacked(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    names, counts = (np.concatenate([np.frombuffer(x, np.uint32) for x in group[c]]) for c in ("names", "counts"))
+    return _summed(names, counts.astype(np.int64))
+
+
 def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
     """Names of the tokens in more than FREQUENT_FROM documents, the most frequent FREQUENT_MOST at most.
 
     Tasks count the tokens of COUNT_TOKENS at a time and deal names and counts out in packed arrays, so that a token in a
-    third of all rows is one entry of each; the number of dealt parts grows with the number of tokens.
+    third of all rows is one entry of each. The number of parts grows with the number of tokens, but a task deals to WIDE
+    parts at most: groups of its rows, of bounded size, are summed and dealt on to the parts within each of these.
     """
     parts = max(8, -(-tokens // (2 * COUNT_TOKENS)))
+    wide = min(parts, WIDE)
+    inner = -(-parts // wide)
     schema = T.StructType([T.StructField("part", _L), T.StructField("names", _B), T.StructField("counts", _B)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,13 +196,8 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
 
         def deal() -> pa.RecordBatch:
             names, counts = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint32), return_counts=True)
-            part = names % np.uint32(parts)
-            order = np.argsort(part, kind="stable")
-            names, counts, part = names[order], np.minimum(counts[order], 2**32 - 1).astype(np.uint32), part[order]
-            cuts = np.flatnonzero(np.diff(part)) + 1
-            rows = [(int(p[0]), a.tobytes(), c.tobytes()) for p, a, c in zip(np.split(part, cuts), np.split(names, cuts), np.split(counts, cuts), strict=True) if len(p)]
-            columns = list(zip(*rows, strict=True)) or [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=schema.names)
+            columns = _dealt(names, counts, names % np.uint32(wide))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=schema.names)
 
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
@@ -190,16 +211,20 @@ def frequent_names(docs: DataFrame, size: int, tokens: int) -> np.ndarray:
         held = []
         give_back()
 
+    def deal_on(group: pd.DataFrame) -> pd.DataFrame:
+        names, counts = _unpacked(group)
+        columns = _dealt(names, counts, group["part"].iloc[0] + wide * (names // np.uint32(wide) % np.uint32(inner)).astype(np.int64))
+        return pd.DataFrame(dict(zip(schema.names, columns, strict=True)))
+
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        names = np.concatenate([np.frombuffer(x, np.uint32) for x in group["names"]])
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"]]).astype(np.int64)
-        order = np.argsort(names, kind="stable")
-        names, counts = names[order], counts[order]
-        first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
-        total = np.add.reduceat(counts, first)
-        return pd.DataFrame({"name": names[first][total > FREQUENT_FROM].astype(np.int64), "n": total[total > FREQUENT_FROM]})
-
-    counted = stored(docs.mapInArrow(count, schema).groupBy("part").applyInPandas(add, "name long, n long"))
+        names, counts = _unpacked(group)
+        return pd.DataFrame({"name": names[counts > FREQUENT_FROM].astype(np.int64), "n": counts[counts > FREQUENT_FROM]})
+
+    dealt = docs.mapInArrow(count, schema)
+    if inner > 1:
+        salts = max(1, tokens // (wide * 8 * COUNT_TOKENS))
+        dealt = dealt.withColumn("_salt", F.pmod(F.xxhash64("names"), F.lit(salts))).groupBy("part", "_salt").applyInPandas(deal_on, schema)
+    counted = stored(dealt.groupBy("part").applyInPandas(add, "name long, n long"))
     # powers of two, from above, as long as all tokens of them fit
     levels = counted.groupBy(F.floor(F.log2("n") * 4).alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
     least, held = None, 0

@@ -570,6 +570,35 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, size, share):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
 
 
+def test_frequent_names_are_those_of_a_plain_count(spark, monkeypatch):
+    """Dealt once, and dealt on to parts within parts; from packed arrays as from a Counter."""
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{int(rnd.paretovariate(0.7)) % 300}" for _ in range(rnd.randint(0, 30))) for _ in range(400)]
+    want = Counter()
+    for s in ngram_jaccard.Shingler(1)([t.encode() for t in texts]):
+        want.update((s >> np.uint64(32)).tolist())
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    monkeypatch.setattr(ngram_jaccard, "COUNT_TOKENS", 50)
+    for wide in (512, 4):
+        monkeypatch.setattr(ngram_jaccard, "WIDE", wide)
+        got = ngram_jaccard.frequent_names(docs, 1, sum(want.values()))
+        assert sorted(got.tolist()) == sorted(n for n, c in want.items() if c > ngram_jaccard.FREQUENT_FROM)
+
+
+def test_arrow_batches_are_bounded(spark):
+    from quillstrata.llm import _batches
+
+    before = spark.conf.get(_batches.BATCH_SETTING)
+    try:
+        for held, want in (("64m", "4194304b"), ("1m", "1m"), ("2MB", "2MB"), ("67108864b", "4194304b"), ("1g", "4194304b")):
+            spark.conf.set(_batches.BATCH_SETTING, held)
+            _batches.bounded_batches(spark)
+            now = spark.conf.get(_batches.BATCH_SETTING)
+            assert now.lower() == want.lower() or now == want.removesuffix("b")
+    finally:
+        spark.conf.set(_batches.BATCH_SETTING, before)
+
+
 def test_short_texts_of_frequent_shingles(spark, monkeypatch):
     """Groups of copies make all shingles frequent; sets of 5 to 20 tokens then differ by one or two of them."""
     monkeypatch.setattr(ngram_jaccard, "FREQUENT_FROM", 2)
