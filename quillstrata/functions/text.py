@@ -233,7 +233,7 @@ def origin(url: Column) -> Column:
 
 
 def origin_of_dump(name: Column) -> Column:
-    """TXT28: the origin of the site that a dump's name tells: "orwiki-20260901" is from https://or.wikipedia.org."""
+    """TXT28: the origin of the site that a dump's name tells: "frwiki-20250101" is from https://fr.wikipedia.org."""
     lang = F.regexp_extract(name, r"^([a-z][a-z_]*?)wiki-[0-9]{8}", 1)
     return F.when(lang != "", F.concat(F.lit("https://"), F.translate(lang, "_", "-"), F.lit(".wikipedia.org")))
 

@@ -215,9 +215,9 @@ def txt27(t):
     return s.select("doc_id", F.md5(F.array_join(F.array_sort(ws), " ")).alias("words"), F.md5(F.regexp_replace("s", r"[^ \t-\r]+", "x")).alias("gaps"), (many & (F.col("s") != F.col("text"))).alias("moved"))
 
 
-@query("txt28_origin", "SELECT page_id, nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), '') AS origin, CASE page_id % 3 WHEN 0 THEN 'https://or.wikipedia.org' WHEN 1 THEN 'https://zh-min-nan.wikipedia.org' END AS dump FROM pages")
+@query("txt28_origin", "SELECT page_id, nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), '') AS origin, CASE page_id % 3 WHEN 0 THEN 'https://fr.wikipedia.org' WHEN 1 THEN 'https://zh-min-nan.wikipedia.org' END AS dump FROM pages")
 def txt28(t):
-    name = F.element_at(F.array(F.lit("orwiki-20260901-pages.xml.bz2"), F.lit("zh_min_nanwiki-20260901"), F.lit("notes.txt")), (F.col("page_id") % 3 + 1).cast("int"))
+    name = F.element_at(F.array(F.lit("frwiki-20250101-pages.xml.bz2"), F.lit("zh_min_nanwiki-20250101"), F.lit("notes.txt")), (F.col("page_id") % 3 + 1).cast("int"))
     return t.pages.select("page_id", X.origin(F.col("url")).alias("origin"), X.origin_of_dump(name).alias("dump"))
 
 
