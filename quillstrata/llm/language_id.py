@@ -27,8 +27,8 @@ from .sample import sample_texts
 
 #: Bounds of the training sample: documents of each language, characters taken of each, characters in each automaton.
 SAMPLE_DOCS, SAMPLE_CHARS, TRAIN_CHARS = 256, 2048, 24_000
-#: Columns of the dense tables: characters that the language's text lacks, and its most frequent ones.
-DENSE, STRETCH, SHARPNESS = 64, 2048, 8.0
+#: Columns of the dense tables: characters that the language's text lacks, and its most frequent ones; fewer where languages are so many that the tables would have more than DENSE_CELLS cells.
+DENSE, DENSE_CELLS, STRETCH, SHARPNESS = 64, 32_000_000, 2048, 8.0
 _SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
@@ -66,17 +66,17 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return step
 
 
-def _dense(step: list[dict[int, int]], base: int, columns: dict[int, int]) -> np.ndarray:
+def _dense(step: list[dict[int, int]], base: int, columns: dict[int, int], dense: int) -> np.ndarray:
     """Row per state: 4 * (place of the next state's row) + phrases that end. A failed match starts anew with the same character. columns: of the codes that have one; column 0 matches nothing."""
-    table = np.empty((len(step), DENSE), np.int64)
+    table = np.empty((len(step), dense), np.int64)
     table[:] = 4 * base + 2
     for code, c in columns.items():
-        table[:, c] = 4 * (base + step[0][code] * DENSE) + 1
-    table[0, [c for c in range(DENSE) if c not in columns.values()]] = 4 * base + 1
+        table[:, c] = 4 * (base + step[0][code] * dense) + 1
+    table[0, [c for c in range(dense) if c not in columns.values()]] = 4 * base + 1
     for s, moves in enumerate(step):
         for code, to in moves.items():
             if code in columns:
-                table[s, columns[code]] = 4 * (base + to * DENSE)
+                table[s, columns[code]] = 4 * (base + to * dense)
     return table.ravel()
 
 
@@ -90,6 +90,7 @@ class Model:
 class Parser:
     def __init__(self, model: Model):
         self.langs = [lang for lang, _ in model.texts]
+        dense = self.dense = max(4, min(DENSE, DENSE_CELLS // max(1, 2 * sum(len(text) for _, text in model.texts))))
         known = sorted({ch for _, text in model.texts for ch in text} - {"\0"})
         self.codes = np.zeros(0x110000, np.int32)  # 0: in no training text
         for i, ch in enumerate(known):
@@ -105,13 +106,13 @@ class Parser:
             walk[points == 0] = between  # two training texts meet
             counts = np.bincount(walk[points != 0], minlength=self.width)
             order = [int(c) for c in np.argsort(-counts, kind="stable") if counts[c]]
-            columns = {c: i + 1 for i, c in enumerate(order[: DENSE - 1])}
+            columns = {c: i + 1 for i, c in enumerate(order[: dense - 1])}
             self.column[k, list(columns)] = list(columns.values())
             step = suffix_automaton(walk.tolist())
-            tables.append(_dense(step, base, columns))
-            for c in order[DENSE - 1 :]:
-                self.first[k, c] = 4 * (base + step[0][c] * DENSE)
-            rare = [((base // DENSE + s) * self.width + c, 4 * (base + to * DENSE)) for s, moves in enumerate(step) for c, to in moves.items() if c != between and c not in columns]
+            tables.append(_dense(step, base, columns, dense))
+            for c in order[dense - 1 :]:
+                self.first[k, c] = 4 * (base + step[0][c] * dense)
+            rare = [((base // dense + s) * self.width + c, 4 * (base + to * dense)) for s, moves in enumerate(step) for c, to in moves.items() if c != between and c not in columns]
             keys.append(np.array([x for x, _ in rare], np.int64))
             targets.append(np.array([x for _, x in rare], np.int64))
             self.starts.append(base)
@@ -127,7 +128,7 @@ class Parser:
         now = self.table[(state >> 2) + self.column[:, codes]]
         at = np.flatnonzero(self.rare[codes])
         if len(at):
-            first, key = self.first[:, codes[at]], (state[:, at] >> 2).astype(np.int64) // DENSE * self.width + codes[at]
+            first, key = self.first[:, codes[at]], (state[:, at] >> 2).astype(np.int64) // self.dense * self.width + codes[at]
             place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             own = np.where(self.keys[place] == key, self.targets[place], first + 1)
             now[:, at] = np.where(first > 0, own, now[:, at])

@@ -227,7 +227,9 @@ def test_language_phrases_equal_brute_force():
             assert got[i, k] * len(text) / parser.bits[k] == pytest.approx(phrases(train, text))
 
 
-def test_languages_of_large_and_many_scripts():
+@pytest.mark.parametrize("cells", [32_000_000, 1])
+def test_languages_of_large_and_many_scripts(monkeypatch, cells):
+    monkeypatch.setattr(language_id, "DENSE_CELLS", cells)  # with few cells the most frequent characters alone have columns
     random.seed(5)
     scripts = {"el": (0x3B1, 24), "hi": (0x905, 48), "ja": (0x3041, 80), "ko": (0xAC00, 900), "or": (0xB05, 45), "zh": (0x4E00, 1200), "zz": (0x20000, 300)}
     words = {lang: ["".join(chr(a + random.randrange(n)) for _ in range(3)) for _ in range(300)] for lang, (a, n) in scripts.items()}
