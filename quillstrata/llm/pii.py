@@ -32,7 +32,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut, stored
+from ..sources.shared import cut, discard, stored
 
 #: Attempts at a surrogate that collides with none; the number of those left falls by orders of magnitude with each. From LATE on, formats of permuted digits that are too dense go back to the first.
 ATTEMPTS, LATE = 24, 8
@@ -360,12 +360,14 @@ def exceptions(found: DataFrame, key: str) -> DataFrame | None:
     originals = all_.select("kind", F.col("normal").alias("_made"), F.lit(True).alias("_taken"))
     changed = False
     for turn in range(1, ATTEMPTS + 1):
-        made = all_.withColumn("_new", surrogate(kind, F.col("form"), F.col("normal"), k, attempt)).withColumn("_made", normal_form(kind, F.col("_new"))).drop("_new")
+        # stored, so that the long expressions stand in one plain projection, and what follows has columns alone
+        made = stored(all_.withColumn("_new", surrogate(kind, F.col("form"), F.col("normal"), k, attempt)).withColumn("_made", normal_form(kind, F.col("_new"))).drop("_new"))
         first = made.groupBy("kind", "_made").agg(F.min(F.struct("attempt", "normal")).alias("_first"), F.count("*").alias("_sharing")).where("_sharing > 1")
         judged = made.join(first, ["kind", "_made"], "left").join(originals, ["kind", "_made"], "left")
         shared = F.col("_sharing").isNotNull() & (F.struct("attempt", "normal") != F.col("_first"))
         bad = ~F.col("fixed") & (F.coalesce(F.col("_taken"), F.lit(False)) | shared)
         judged = cut(judged.select("kind", "normal", "form", "fixed", F.when(bad, F.lit(turn)).otherwise(attempt).alias("attempt"), bad.alias("_bad")))
+        discard(made)
         all_ = judged.drop("_bad")
         if judged.where("_bad").isEmpty():
             break
@@ -382,7 +384,7 @@ def replace(docs: DataFrame, key: str, kinds: str | None = "_pii") -> DataFrame:
     k = F.lit(key)
     if kinds in docs.columns:
         raise ValueError(f"there is a column {kinds} already")
-    found = entities(docs)
+    found = stored(entities(docs))
     odd = exceptions(found, key)
     # columns of this function's own lie in structs, so that they clash with no other
     own, rows = F.lit(None).cast("map<string,int>"), docs.select(F.struct("*").alias("d"))
@@ -390,6 +392,7 @@ def replace(docs: DataFrame, key: str, kinds: str | None = "_pii") -> DataFrame:
         held = found.where("doc_id is not null").join(odd, ["kind", "normal"]).groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "normal").alias("name"), "attempt"))).alias("odd"))
         held = stored(held)
         few = held.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        discard(found)
         rows = rows.join(F.broadcast(held) if few else held, F.col("d.doc_id") == F.col("doc_id"), "left").select("d", "odd")
         own = F.col("odd")
 
