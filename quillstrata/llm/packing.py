@@ -9,7 +9,7 @@ which even out what whole documents cannot.
 
 Defined cases: null and empty texts are the end id alone; repeated rows are packed once each; an empty table gives no
 pieces; texts longer than a window span several; pieces that tie go by doc_id and start. Other columns are left aside. Words are kept for reuse up to KEPT_WORDS
-a task, then forgotten: a bound on memory, not on what is packed.
+a worker, then forgotten: a bound on memory, not on what is packed.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from ._batches import encoded, map_texts, texts_of
 
 CAPACITY, END_ID = 4096, 2
 GROUP_WINDOWS, FILLER_EVERY, FILLERS, LEAST_FILLED = 512, 8, (64, 48, 32, 24, 16), 256
-#: Words kept in a task, and bytes of texts encoded at once.
-KEPT_WORDS, SLICE = 600_000, 2 << 20
+#: Words kept in a worker, and bytes of texts encoded at once.
+KEPT_WORDS, SLICE = 1_200_000, 2 << 20
 _MARKS = b".,;:!?*$%&#"
 #: A last letter that stays one letter under the model's normal form and lower case: A-Z, and U+00C0 to U+00FF without two signs.
 _LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -170,12 +170,19 @@ class Tokenizer:
             gc.enable()
 
 
-def pieces(docs: DataFrame, path: str) -> DataFrame:
-    """The pieces of every document, in a narrow step."""
+_tokenizers: dict[str, Tokenizer] = {}
+
+
+def pieces(docs: DataFrame, path: str, keep: bool = True) -> DataFrame:
+    """The pieces of every document, in a narrow step. keep: whether a worker keeps the tokenizer and its words between its tasks, or has its memory back after each."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def build():
-        tokenizer = Tokenizer(path)
+        tokenizer = _tokenizers.get(path) or Tokenizer(path)
+        if keep:
+            _tokenizers[path] = tokenizer
+        else:
+            _tokenizers.pop(path, None)
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
@@ -193,9 +200,9 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
     return map_texts(texts_of(docs), "text", _PIECES, build, SLICE)
 
 
-def pack(docs: DataFrame, path: str) -> DataFrame:
+def pack(docs: DataFrame, path: str, keep: bool = True) -> DataFrame:
     """Pieces with sequence_id and offset. Groups are of bounded size, dealt by a hash of document, start and place in the table."""
-    found = cut(pieces(docs, path))
+    found = cut(pieces(docs, path, keep))
     total = found.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (GROUP_WINDOWS * CAPACITY)))
 
