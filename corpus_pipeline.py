@@ -44,8 +44,8 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces in windows of 4096 ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces in windows of 4096 ids. Workers have had other stages before: they give the words' memory back after each task."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep=False)
 
 
 STAGES = [
