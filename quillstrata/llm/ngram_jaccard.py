@@ -10,8 +10,9 @@
    so all combinations of k = COMBINED tokens side by side in the first ka + (k - 1)b + k tokens are keys (b is taken
    one higher, as a may be less than d). Sets so small that this promises nothing (fewer than 20 tokens at 80 %) have
    their first d + 1 tokens as keys, whatever their class: the condition is the same for both sets of a pair.
-4. Classes that share a key of at most BUCKET classes are compared with each other. In a larger bucket, all are
-   compared with one leader; only what isn't yet in one component goes on to further leaders, of which each round
+4. Classes that share a key of at most BUCKET classes are compared with each other. Of larger buckets, each class is
+   first compared with the leader of those with the same least key. In a bucket that is not yet in one component, all are
+   compared with its leader; only what isn't yet in one component goes on to further leaders, of which each round
    takes sixteen times as many, so that every pair not yet connected is compared at last.
 5. A pair is dropped if the sizes, the rare tokens that they don't share, or counts of tokens in BINS bins, rule it out; the rest is verified on the whole sets.
 6. Components of the links (components.py).
@@ -364,8 +365,16 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
     # the class that is in the most large buckets is nearest to all in them: it leads first
     degree = hot.groupBy("v").agg(F.count("*").alias("_degree"))
     hot = stored(hot.join(degree, "v"))
+    # each class by its least key alone: near copies mostly share it, and a row for each class is enough to connect them
+    one = hot.groupBy("v").agg(F.min(F.struct("key", "m")).alias("_k"), F.max("_degree").alias("_degree")).select("v", "_degree", "_k.*")
+    heads = one.groupBy("key").agg(F.max_by(F.struct("v", "m"), F.struct("_degree", "v")).alias("_h")).select("key", F.col("_h.v").alias("a"), F.col("_h.m").alias("ma"))
+    to = one.select("key", F.col("v").alias("b"), F.col("m").alias("mb")).join(heads, "key").where((F.col("a") != F.col("b")) & fits)
+    tested = stored(to.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    new = _verified(_near(tested, classes, share), tokens, share)
+    if not new.isEmpty():
+        linked = components(linked.select(F.col("v").alias("a"), F.col("c").alias("b")).union(new))
     leaders = hot.groupBy("key").agg(F.max_by("v", F.struct("_degree", "v")).alias("a"))
-    tested, taken = None, 1
+    first, taken = True, 1
     largest = hot.agg(F.max("held")).first()[0]
     while True:
         marked = hot.join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
@@ -373,15 +382,15 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
         entries = stored(marked.join(open_, "key"))
         if entries.isEmpty():
             break
-        if tested is None:
+        if first:
             lead = entries.join(leaders, "key").where("v = a").drop("a")
         else:
             lead = entries.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) * F.col("held") < F.lit(taken * (1 << 30)).cast("long"))
         # of the keys that a pair shares side by side, the first one stands for all
         to = left(lead, "p", "c").join(right(entries, "p", "c"), "key").where((F.col("ca") != F.col("cb")) & ((F.col("pa") != F.col("pb")) | (F.col("pa") == 0)) & fits)
         pairs = to.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = pairs if tested is None else tested.union(pairs)
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
+        tested, first = tested.union(pairs), False
         new = _verified(_near(pairs, classes, share), tokens, share)
         if not new.isEmpty():
             linked = components(linked.select(F.col("v").alias("a"), F.col("c").alias("b")).union(new))
