@@ -13,7 +13,10 @@
 4. Classes that share a key of at most BUCKET classes are compared with each other. Of larger buckets, each class is
    first compared with the leader of those with the same least key. In a bucket that is not yet in one component, all are
    compared with its leader; only what isn't yet in one component goes on to further leaders, of which each round
-   takes sixteen times as many, so that every pair not yet connected is compared at last.
+   takes sixteen times as many, so that every pair not yet connected is compared at last. In its last round those outside
+   the bucket's main component lead: a group of near copies is compared with what is not in it, not with itself. A pair
+   is made only where the parities of counts in BINS bins allow a link: tokens that one set has and the other has not are
+   as many as the parities that differ, at least.
 5. A pair is dropped if the sizes, the rare tokens that they don't share, or counts of tokens in BINS bins, rule it out; the rest is verified on the whole sets.
 6. Components of the links (components.py).
 
@@ -278,6 +281,24 @@ def _near(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
     return stored(both.select("a", "b", "x", "y", "na", "nb").mapInArrow(rule_out, "a long, b long"))
 
 
+def _parities(classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (v and others) with the parities of its classes' bins, 64 in each of the longs s0, s1 and so on.
+
+    Two parities differ only where the counts do, full ones (255) included.
+    """
+    kept = wanted.columns
+    schema = T.StructType([*wanted.schema.fields, *[T.StructField(f"s{i}", _L) for i in range(BINS // 64)]])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+            packed = np.packbits(bins & 1, axis=1).view(np.int64)
+            columns = [*[batch.column(c) for c in kept], *[pa.array(np.ascontiguousarray(c), pa.int64()) for c in packed.T]]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return wanted.join(classes.select("v", "bins"), "v").select(*kept, "bins").mapInArrow(build, schema)
+
+
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """v and tokens of the classes in wanted (v), and of a few others, by one pass over the texts: the first row of a class stands for it.
 
@@ -364,7 +385,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
         return linked
     # the class that is in the most large buckets is nearest to all in them: it leads first
     degree = hot.groupBy("v").agg(F.count("*").alias("_degree"))
-    hot = stored(hot.join(degree, "v"))
+    entries, hot = hot, stored(hot.join(_parities(classes, degree), "v"))
+    discard(entries)
     # each class by its least key alone: near copies mostly share it, and a row for each class is enough to connect them
     one = hot.groupBy("v").agg(F.min(F.struct("key", "m")).alias("_k"), F.max("_degree").alias("_degree")).select("v", "_degree", "_k.*")
     heads = one.groupBy("key").agg(F.max_by(F.struct("v", "m"), F.struct("_degree", "v")).alias("_h")).select("key", F.col("_h.v").alias("a"), F.col("_h.m").alias("ma"))
@@ -376,18 +398,26 @@ def linked_classes(docs: DataFrame, classes: DataFrame, size: int, share: int) -
     leaders = hot.groupBy("key").agg(F.max_by("v", F.struct("_degree", "v")).alias("a"))
     first, taken = True, 1
     largest = hot.agg(F.max("held")).first()[0]
+    parts = [f"s{i}" for i in range(BINS // 64)]
+    differ = sum((F.bit_count(F.col(f"{s}a").bitwiseXOR(F.col(f"{s}b"))) for s in parts), F.lit(0))
+    fits &= (100 + share) * differ <= (100 - share) * (n("ma") + n("mb"))
     while True:
-        marked = hot.join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
-        open_ = marked.groupBy("key").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b").select("key")
-        entries = stored(marked.join(open_, "key"))
+        # buckets of which all pairs were compared in the round before are done, even if they stay apart
+        marked = hot.where(F.col("held") > taken // 16).join(linked, "v", "left").withColumn("c", F.coalesce("c", "v"))
+        within = marked.groupBy("key", "c").agg(F.count("*").alias("_n")).groupBy("key").agg(F.max_by("c", F.struct("_n", "c")).alias("main"), F.count("*").alias("_n"))
+        entries = marked.join(within.where("_n > 1").drop("_n"), "key")
+        if first:
+            entries = entries.join(leaders, "key").withColumn("leads", F.expr("v = a")).drop("a")
+        else:  # where all would lead, of two components one at least is not the main one
+            chosen = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) * F.col("held") < F.lit(taken * (1 << 30)).cast("long")
+            entries = entries.withColumn("leads", chosen & ((F.col("held") > taken) | (F.col("c") != F.col("main"))))
+        entries = stored(entries.drop("main"))
         if entries.isEmpty():
+            discard(entries)
             break
-        if first:
-            lead = entries.join(leaders, "key").where("v = a").drop("a")
-        else:
-            lead = entries.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) * F.col("held") < F.lit(taken * (1 << 30)).cast("long"))
-        # of the keys that a pair shares side by side, the first one stands for all
-        to = left(lead, "p", "c").join(right(entries, "p", "c"), "key").where((F.col("ca") != F.col("cb")) & ((F.col("pa") != F.col("pb")) | (F.col("pa") == 0)) & fits)
+        # of the keys that a pair shares side by side, the first one stands for all; of two leaders, one is compared with the other
+        once = ((F.col("pa") != F.col("pb")) | (F.col("pa") == 0)) & (~F.col("leadsb") | (F.col("a") < F.col("b")))
+        to = left(entries.where("leads"), "p", "c", *parts).join(right(entries, "p", "c", "leads", *parts), "key").where((F.col("ca") != F.col("cb")) & once & fits)
         pairs = to.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
         tested, first = tested.union(pairs), False

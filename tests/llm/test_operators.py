@@ -572,6 +572,47 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, size, share):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
 
 
+def listed(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def executions(spark):
+    return [e.executionId() for e in listed(spark._jsparkSession.sharedState().statusStore().executionsList())]
+
+
+def rows_of_joins(spark, since):
+    """The most rows that a join made in the queries after the first `since` ones."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store, most = spark._jsparkSession.sharedState().statusStore(), 0
+    for k in executions(spark):
+        if k > since:
+            values = store.executionMetrics(k)
+            for node in listed(store.planGraph(k).allNodes()):
+                for metric in listed(node.metrics()) if "Join" in node.name() else ():
+                    if metric.name() == "number of output rows" and (held := values.get(metric.accumulatorId())).isDefined():
+                        most = max(most, int(held.get().replace(",", "")))
+    return most
+
+
+@pytest.mark.parametrize(("size", "share"), [(5, 80), (3, 90)])
+def test_groups_beside_others_are_compared_once(spark, size, share):
+    """A large group of near copies, and copies just too far from it that share many of its frequent shingles."""
+    rnd = random.Random(size)
+    base, texts = [f"w{i}" for i in range(150)], []
+    for _ in range(500):
+        one = list(base)
+        for at in rnd.sample(range(5, 145, 9), rnd.choice((1, 1, 2, 2, 3, 6, 7, 8))):
+            one[at] = f"{rnd.choice('ab')}{at}"
+        texts.append(" ".join(one))
+    rows = list(enumerate(texts))
+    since = max(executions(spark), default=-1)
+    found = ngram_jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size, share).collect()
+    want = brute_components(rows, size, share)
+    assert len({c for _, c in want.values()}) > 20
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+    assert rows_of_joins(spark, since) < len(rows) ** 2
+
+
 def test_frequent_names_are_those_of_a_plain_count(spark, monkeypatch):
     """Dealt once, and dealt on to parts within parts; from packed arrays as from a Counter."""
     rnd = random.Random(2)
