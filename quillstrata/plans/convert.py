@@ -23,9 +23,16 @@ def one_of(*choices: str) -> Column:
     return F.element_at(F.array(*map(F.lit, choices)), (F.col("p_size") % len(choices) + 1).cast("int"))
 
 
+def made_blocks(t, html: Column) -> DataFrame:
+    """p_partkey and blocks of a page made of each part. Rows are few bytes and pages take long: they are dealt to all tasks, however few files hold them."""
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size").repartition(tasks, "p_partkey")
+    return html_blocks(parts.select("p_partkey", html.alias("html")), "p_partkey", "html")
+
+
 def markdown_of(t, html: Column) -> DataFrame:
     """p_partkey and the Markdown of a page made of each part."""
-    return html_blocks(t.part.select("p_partkey", html.alias("html")), "p_partkey", "html").select("p_partkey", assembled(F.col("blocks")).alias("markdown"))
+    return made_blocks(t, html).select("p_partkey", assembled(F.col("blocks")).alias("markdown"))
 
 
 def part_columns() -> tuple[Column, Column, Column]:
@@ -72,8 +79,7 @@ _ROWS = "SELECT p_partkey, unnest([{{'kind': 'heading', 'level': 2, 'line': '##
 def htm5(t):
     name, kind, brand = part_columns()
     html = tags("<h2>", name, "</h2><p>", kind, "<br> ", brand, "<ul><li>", F.col("p_size"), "</ul><table class=wikitable><tr><th>", name, "<tr><td>", F.col("p_size"), "</table><nav>", name, "</nav>")
-    made = html_blocks(t.part.select("p_partkey", html.alias("html")), "p_partkey", "html")
-    return made.select("p_partkey", F.explode("blocks").alias("b")).select("p_partkey", "b.kind", "b.level", F.concat("b.lead", "b.text").alias("line"))
+    return made_blocks(t, html).select("p_partkey", F.explode("blocks").alias("b")).select("p_partkey", "b.kind", "b.level", F.concat("b.lead", "b.text").alias("line"))
 
 
 @query("htm6_lists", "SELECT p_partkey, '1. ' || p_name || chr(10) || '   - ' || p_type || chr(10) || '   - ' || p_brand || CASE WHEN p_size % 3 = 0 THEN chr(10) || '2. plain ' || p_size || chr(10) || '3. end' ELSE chr(10) || '2. end' END AS markdown FROM part")
