@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -126,28 +126,40 @@ def bigrams(rows: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(key, w.alias("w")).where(F.size("w") >= 2).select(key, F.explode(F.array_distinct(pairs)).alias("gram"))
 
 
+#: Distinct grams of a probe that go to every task; more of them are joined by the gram, with the same result.
+MOST_KNOWN = 1_000_000
+
+
 def near_copies(probe: DataFrame, pool: DataFrame, least: float = 0.5) -> DataFrame:
     """JON14, DUP4: probe rows p and pool rows q whose bigram sets have a Jaccard of `least` or more.
 
-    Sets are ordered by how many rows hold a gram, the rarest first. Two sets that are alike enough share one of their first
-    n - least * n + 1 grams, so that only these meet; sizes rule pairs out, and whole sets decide. A gram that many rows hold
-    comes into a prefix only where nothing rarer is left.
+    Pairs share grams of the probe alone, and no fewer than `least` of either set. So a pool row is its number of grams and
+    those that any probe row has, too few of which rule it out where it is made; the others' grams are never shuffled.
+    What is left is ordered by how many rows hold a gram, the rarest first. Two sets that are alike enough share one of their
+    first s - least * n + 1 of s grams, so that only these meet; sizes rule pairs out, and whole sets decide. A gram that many
+    rows hold comes into a prefix only where nothing rarer is left.
     """
-    common = probe.select("gram").union(pool.select("gram")).groupBy("gram").agg(F.count("*").alias("_df"))
-
-    def ranked(rows: DataFrame, key: str) -> DataFrame:
-        listed = rows.join(common, "gram").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_df", "gram"))).alias("_g"))
-        return listed.select(key, F.transform("_g", lambda x: x["gram"]).alias(f"_{key}"))
+    probe = stored(probe)
+    known = stored(probe.select("gram").distinct())
+    few = known.limit(MOST_KNOWN + 1).count() <= MOST_KNOWN
+    marked = pool.join((F.broadcast if few else lambda d: d)(known.withColumn("_known", F.col("gram"))), "gram", "left")
+    sets = marked.groupBy("q").agg(F.count("*").alias("nq"), F.collect_list("_known").alias("_g"))
+    kept = stored(sets.where((F.size("_g") > 0) & (F.size("_g") >= F.col("nq") * least)))
+    common = probe.select("gram").union(kept.select(F.explode("_g"))).groupBy("gram").agg(F.count("*").alias("_df"))
+
+    def ranked(rows: DataFrame, key: str, *more: Column) -> DataFrame:
+        listed = rows.join(common, "gram").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_df", "gram"))).alias("_g"), *more)
+        return listed.select(key, f"n{key}", F.transform("_g", lambda x: x["gram"]).alias(f"_{key}"))
 
     def prefix(sets: DataFrame, key: str) -> DataFrame:
-        n = F.size(f"_{key}")
-        return sets.select(key, n.alias(f"n{key}"), F.explode(F.slice(f"_{key}", 1, n - F.ceil(n * least).cast("int") + 1)).alias("gram"))
+        return sets.select(key, f"n{key}", F.explode(F.slice(f"_{key}", 1, (F.size(f"_{key}") - F.ceil(F.col(f"n{key}") * least) + 1).cast("int"))).alias("gram"))
 
-    p, q = stored(ranked(probe, "p")), stored(ranked(pool, "q"))
+    p = stored(ranked(probe, "p", F.count("*").alias("np")))
+    q = stored(ranked(kept.select("q", "nq", F.explode("_g").alias("gram")), "q", F.first("nq").alias("nq")))
     sizes = (F.col("np") >= F.col("nq") * least) & (F.col("nq") >= F.col("np") * least)
     met = prefix(p, "p").join(prefix(q, "q"), "gram").where(sizes).select("p", "q").distinct()
     both = met.join(p, "p").join(q, "q").withColumn("_c", F.size(F.array_intersect("_p", "_q")))
-    j = both.withColumn("jaccard", F.col("_c") / (F.size("_p") + F.size("_q") - F.col("_c")))
+    j = both.withColumn("jaccard", F.col("_c") / (F.col("np") + F.col("nq") - F.col("_c")))
     return j.where(F.col("jaccard") >= least).select("p", "q", F.round("jaccard", 6).alias("jaccard"))
 
 
