@@ -257,13 +257,31 @@ def agg30(t):
 # scores: bits are those of a unigram model of letters, which stands in for the external scorer
 
 
+#: Words whose costs every task gets.
+FREQUENT = 100_000
+
+
 def unigram_bits(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """SCO1: key, bits and bytes by a model whose tokens are lower-case words, with add-one smoothing; any scorer with these columns can take its place."""
-    w = rows.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-zà-ÿ]+"), F.lit(0))).alias("w"))
-    freq = w.groupBy("w").agg(F.count("*").alias("c"))
-    size = freq.agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
-    cost = freq.join(F.broadcast(size)).select("w", (-F.log2((F.col("c") + 1) / (F.col("total") + F.col("kinds")))).alias("cost"))
-    bits = w.groupBy(key, "w").agg(F.count("*").alias("k")).join(cost, "w").groupBy(key).agg(F.sum(F.col("k") * F.col("cost")).alias("bits"))
+    """SCO1: key, bits and bytes by a model whose tokens are lower-case words, with add-one smoothing; any scorer with these columns can take its place.
+
+    The costs of the FREQUENT words go to every task, so that a text's words of these are summed where the text is; words that
+    are rarer, a small share of all, meet their costs by the word, and none of them is in many texts.
+    """
+    w = rows.select(key, F.explode_outer(F.regexp_extract_all(F.lower(text), F.lit("[a-zà-ÿ]+"), F.lit(0))).alias("w")).where("w is not null")
+    freq = stored(w.groupBy("w").agg(F.count("*").alias("c")))
+    # a row for each count that occurs: of n words in all, at most the root of 2 n
+    counts = sorted(tuple(r) for r in freq.groupBy("c").agg(F.count("*").alias("n")).collect())
+    cost = freq.select("w", "c", (-F.log2((F.col("c") + 1) / F.lit(sum((c + 1) * n for c, n in counts)))).alias("cost"))
+    least, taken = None, 0
+    for c, n in reversed(counts):
+        if (taken := taken + n) > FREQUENT:
+            break
+        least = c
+    frequent = cost.where(F.col("c") >= least if least is not None else F.lit(False)).select("w", "cost")
+    each = w.join(F.broadcast(frequent), "w", "left")
+    parts = stored(each.groupBy(key, F.when(F.col("cost").isNull(), F.col("w")).alias("w")).agg(F.sum("cost").alias("_s"), F.count("*").alias("_k")))
+    rare = parts.where("w is not null").join(cost, "w").select(key, (F.col("_k") * F.col("cost")).alias("_s"))
+    bits = parts.where("w is null").select(key, "_s").union(rare).groupBy(key).agg(F.sum("_s").alias("bits"))
     return rows.select(key, F.octet_length(text).cast("long").alias("bytes")).join(bits, key, "left").select(key, F.coalesce("bits", F.lit(0.0)).alias("bits"), "bytes")
 
 
