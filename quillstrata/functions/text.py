@@ -67,12 +67,19 @@ def heading_key(text: Column) -> Column:
 
 def script_mix(text: Column, native: str = NATIVE_CLASS) -> Column:
     """TXT11: shares of native, Latin and other among letters and marks. Latin: ASCII letters and U+00C0 to U+024F; joiners don't count."""
-    own = F.regexp_count(text, F.lit(f"[{native}]"))
-    latin = F.regexp_count(text, F.lit(r"[A-Za-z]|[\x{C0}-\x{24F}&&[\p{L}\p{M}]]"))
-    other = F.regexp_count(text, F.lit(rf"[\p{{L}}\p{{M}}&&[^A-Za-z\x{{C0}}-\x{{24F}}{native}]]"))
-    total = own + latin + other
-    share = lambda x: F.when(total > 0, x / total).otherwise(0.0)
-    return F.struct(share(own).alias("native"), share(latin).alias("latin"), share(other).alias("other"))
+    # what is lost without them: runs go at once, where a match for each letter takes an array of letters
+    count = lambda c, chars: F.length(c) - F.length(F.regexp_replace(c, f"{chars}++", ""))
+    bare = F.regexp_replace(text, r"[\x00-\x7f]++", "")
+    latin = count(text, "[A-Za-z]") + count(bare, r"[\x{C0}-\x{24F}&&[\p{L}\p{M}]]")
+    other = count(bare, rf"[\p{{L}}\p{{M}}&&[^\x{{C0}}-\x{{24F}}{native}]]")
+
+    def shares(n: Column) -> Column:
+        total = n["native"] + n["latin"] + n["other"]
+        return F.struct(*[F.when(total > 0, n[k] / total).otherwise(0.0).alias(k) for k in ("native", "latin", "other")])
+
+    # by way of an array, as each count would be made again wherever a share names it
+    counts = F.struct(count(text, f"[{native}]").alias("native"), latin.alias("latin"), other.alias("other"))
+    return F.element_at(F.transform(F.array(counts), shares), 1)
 
 
 # Common English words.
