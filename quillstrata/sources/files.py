@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .shared import stored
 
@@ -59,12 +62,14 @@ _ESCAPES = {"0": "\0", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a",
 
 def _literal(text: str, at: int) -> tuple[str, int]:
     """The string whose first character is at `at`, and the place after its closing quote. Two quotes are one."""
-    out = []
+    out, quote = [], -1
     while True:
-        quote, back = text.find("'", at), text.find("\\", at)
+        if quote < at:
+            quote = text.find("'", at)
         if quote < 0:
             raise ValueError(f"no end of the string at {at}")
-        if 0 <= back < quote:
+        back = text.find("\\", at, quote)
+        if back >= 0:
             out += [text[at:back], _ESCAPES.get(text[back + 1], text[back + 1])]
             at = back + 2
         elif text[quote + 1 : quote + 2] == "'":
@@ -117,6 +122,12 @@ def sql_tuples(statement: str, columns: int) -> list[tuple]:
 _COLUMN_KINDS = ((("bigint", "int", "mediumint", "smallint", "tinyint"), "bigint"), (("double", "float", "decimal", "numeric", "real"), "double"))
 
 
+#: What a number without quotes becomes in a column of a kind.
+_OF_KIND = {"bigint": int, "double": float}
+#: Characters of statements whose rows a worker holds at once.
+STATEMENT_CHARS = 1 << 20
+
+
 def sql_schema(spark: SparkSession, path: str) -> str:
     """SRC8: names and kinds of the columns from the dump's CREATE TABLE."""
     declared = r"^\s+`([^`]+)`\s+([A-Za-z]+)"
@@ -129,17 +140,27 @@ def sql_schema(spark: SparkSession, path: str) -> str:
 
 def read_sql_dump(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """SRC8 over any store that Spark reads: statements as lines, their tuples in Arrow batches; without a schema the dump's own."""
-    import pandas as pd
-
     kinds = T._parse_datatype_string(schema or sql_schema(spark, path))
     names = [f.name for f in kinds.fields]
 
-    def rows(batches):
-        for batch in batches:
-            for line in batch["value"]:
-                yield pd.DataFrame(sql_tuples(line, len(names)), columns=names)
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [[None if v is None else of(v) for v in c] if (of := _OF_KIND.get(f.dataType.simpleString())) else c for c, f in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, kinds, strict=True)], names=names)
 
-    return spark.read.text(path).where(F.col("value").startswith("INSERT INTO")).select("value").mapInPandas(rows, kinds)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            for line in batch.column(0):
+                statement = line.as_py()
+                rows += sql_tuples(statement, len(names))
+                held += len(statement)
+                if rows and held > STATEMENT_CHARS:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(rows)
+
+    return spark.read.text(path).where(F.col("value").startswith("INSERT INTO")).select("value").mapInArrow(run, kinds)
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
