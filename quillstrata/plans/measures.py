@@ -330,7 +330,8 @@ _EL = "e AS (SELECT *, round(bits / bytes, 9) AS bpb FROM g WHERE bytes >= 100 A
 def flagged(t) -> DataFrame:
     """SCO5: percentile, robust z and flag of bits per byte within the group, for documents of 100 bytes or more that have bits."""
     e = scored(t).where("bytes >= 100 and bits > 0").withColumn("bpb", F.round(F.col("bits") / F.col("bytes"), 9)).withColumn("lbpb", F.ln("bpb"))
-    ranked = robust_z(percentile_rank(e, ["grp"], "bpb"), ["grp"], "lbpb")
+    # stored, as ranks and spreads read them several times
+    ranked = robust_z(stored(percentile_rank(stored(e), ["grp"], "bpb")), ["grp"], "lbpb")
     return ranked.withColumn("flag", F.when(F.col("pct") >= 0.99, "high").when(F.col("pct") <= 0.01, "low"))
 
 
@@ -343,7 +344,7 @@ def sco5(t):
 def sco6(t):
     """Documents as a whole, of 500 bytes or more: one group."""
     e = unigram_bits(t.documents, "doc_id", "text").where("bytes >= 500 and bits > 0").withColumn("bpb", F.round(F.col("bits") / F.col("bytes"), 9)).withColumn("lbpb", F.ln("bpb"))
-    return robust_z(percentile_rank(e, [], "bpb"), [], "lbpb").select("doc_id", R6("pct").alias("pct"), F.round("z", 4).alias("z"))
+    return robust_z(stored(percentile_rank(stored(e), [], "bpb")), [], "lbpb").select("doc_id", R6("pct").alias("pct"), F.round("z", 4).alias("z"))
 
 
 @query("sco8_controls", _BITS + "SELECT count(*)::BIGINT AS documents, count(*) FILTER (WHERE bits > 0)::BIGINT AS scored, count(*)::BIGINT AS shuffled_same, count(*)::BIGINT AS again_same, count(*)::BIGINT AS single_close FROM d")
