@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -540,8 +541,8 @@ RESIDUE = {
 }
 
 
-def residue(rows: DataFrame, key: str, text: str, before: int = 20, after: int = 40) -> DataFrame:
-    """QC4: key, name and context of the first hit of every pattern in every text, all in one pass; formulas are masked for the wikitext. The context is cut only where there is a hit."""
+def residue(rows: DataFrame, key: str, text: str, before: int = 20, after: int = 40, names: Collection[str] = RESIDUE.keys()) -> DataFrame:
+    """QC4: key, name and context of the first hit of every pattern of `names` in every text, all in one pass; formulas are masked for the wikitext. The context is cut only where there is a hit."""
 
     def of(name: str, pattern: str) -> Column:
         where = F.regexp_replace(text, X.MATH, "MATH") if name.startswith("wikitext") else F.col(text)
@@ -549,8 +550,9 @@ def residue(rows: DataFrame, key: str, text: str, before: int = 20, after: int =
         start = F.greatest(F.lit(1), at - before)
         return F.when(where.rlike(pattern), F.struct(F.lit(name).alias("name"), F.substr(where, start, at - start + after).alias("context")))
 
-    hits = F.array(*[of(name, p) for name, p in RESIDUE.items()])
-    return rows.select(key, F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h")).select(key, "h.name", "h.context")
+    hits = F.array(*[of(name, p) for name, p in RESIDUE.items() if name in names])
+    # outer, as Spark looks into an array for rows beforehand otherwise, and searches the texts twice
+    return rows.select(key, F.explode_outer(hits).alias("h")).where("h is not null").select(key, "h.name", "h.context")
 
 
 _SAMPLES = ["a [[b]] c", "x |  thumb y", "see www.x", "Category:Q", "data-cx=1", "a&nbsp;b", "Error: Lang z", "so $a$$b$ so", "୧", "a୤b", "ଯ଼", "a\x07b", "nothing here", "== H ==", "12px", "$ {{ $ ok"]
@@ -567,7 +569,7 @@ def qc4(t):
 @query("qc4_residue_counts", "SELECT 'URL' AS name, count(*)::BIGINT AS n FROM documents WHERE regexp_matches(text, 'https?://|www[.]') HAVING count(*) > 0 UNION ALL SELECT 'HTML entity', count(*)::BIGINT FROM documents WHERE regexp_matches(text, '&(amp|lt|gt|quot|nbsp|#1[03]);') HAVING count(*) > 0 UNION ALL SELECT 'category link', count(*)::BIGINT FROM documents WHERE regexp_matches(text, 'Category:') HAVING count(*) > 0")
 def qc4_counts(t):
     """Documents by residue."""
-    return residue(t.documents, "doc_id", "text").where(F.col("name").isin("URL", "HTML entity", "category link")).groupBy("name").agg(N())
+    return residue(t.documents, "doc_id", "text", names=("URL", "HTML entity", "category link")).groupBy("name").agg(N())
 
 
 def expected_blocks(text: Column) -> Column:
