@@ -599,7 +599,7 @@ def qc1(t):
 def qc5(t):
     """Copies of a table by row count and by an order-free hash: the same rows, edited ones, fewer, and each twice."""
     base = t.documents.select("doc_id", "text")
-    copies = {"same": base.repartition(3, "doc_id"), "edited": base.withColumn("text", F.when(F.col("doc_id") % 10 == 3, F.concat("text", F.lit(" "))).otherwise(F.col("text"))), "shorter": base.where("doc_id % 2 = 0"), "doubled": base.union(base)}
+    copies = {"same": base.repartition("doc_id"), "edited": base.withColumn("text", F.when(F.col("doc_id") % 10 == 3, F.concat("text", F.lit(" "))).otherwise(F.col("text"))), "shorter": base.where("doc_id % 2 = 0"), "doubled": base.union(base)}
     state = lambda d: d.agg(N("rows"), F.sum(F.xxhash64("doc_id", "text").cast("decimal(38,0)")).alias("h"))
     of = state(base).select(F.col("rows").alias("_r"), F.col("h").alias("_h"))
     every = functools.reduce(DataFrame.union, [state(d).select(F.lit(name).alias("copy"), "rows", "h") for name, d in copies.items()])
