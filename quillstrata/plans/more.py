@@ -215,7 +215,7 @@ def str6(t):
     docs, rows = K.state_of(t.documents.select("doc_id", "text")), t.labels.select("doc_id", "quality")
     labels = K.state_of(rows)
     made = {"of labels": {"labels": labels}, "of documents": {"documents": docs}, "of both": {"labels": labels, "documents": docs}}
-    now = {"labels": K.state_of(rows.withColumn("quality", F.when(F.col("doc_id") % 9 == 1, 7).otherwise(F.col("quality")))), "documents": K.state_of(t.documents.repartition(3).select("text", "doc_id"))}
+    now = {"labels": K.state_of(rows.withColumn("quality", F.when(F.col("doc_id") % 9 == 1, 7).otherwise(F.col("quality")))), "documents": K.state_of(t.documents.repartition("doc_id").select("text", "doc_id"))}
     return t.spark.createDataFrame(list(K.stale(made, now).items()), "cache string, stale boolean")
 
 
