@@ -31,8 +31,9 @@ def written(t, df: DataFrame, compressed: bool = False) -> str:
     return path
 
 
-def dumped(pages: DataFrame, path: str, files: int = 8) -> None:
-    """A dump of pages (id, page): XML files of one root each, written partition by partition."""
+def dumped(pages: DataFrame, path: str) -> None:
+    """A dump of pages (id, page): XML files of one root each, written partition by partition. A file is a task to its reader, so that there are as many as the session deals to."""
+    files = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def whole(batches):
         yield pd.DataFrame({"value": ["<dump>"]})
