@@ -230,7 +230,7 @@ def category_links(html: Column, prefix: str, namespace: str = "") -> Column:
 def shuffled_words(text: Column, seed: int) -> Column:
     """TXT27: words in a seeded order, the white space between them where it was."""
     word, gap = F.regexp_extract_all(text, F.lit(r"[^ \t-\r]+"), F.lit(0)), F.split(text, r"[^ \t-\r]+", -1)
-    mixed = F.transform(F.array_sort(F.transform(word, lambda w, i: F.struct(F.xxhash64(w, i, F.lit(seed)).alias("h"), i.alias("i"), w.alias("w")))), lambda s: s["w"])
+    mixed = F.transform(F.sort_array(F.transform(word, lambda w, i: F.struct(F.xxhash64(w, i, F.lit(seed)).alias("h"), i.alias("i"), w.alias("w")))), lambda s: s["w"])
     return F.array_join(F.zip_with(gap, mixed, lambda g, w: F.concat(F.coalesce(g, F.lit("")), F.coalesce(w, F.lit("")))), "")
 
 

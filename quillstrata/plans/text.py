@@ -212,7 +212,7 @@ def txt27(t):
     s = t.documents.select("doc_id", "text", X.shuffled_words(F.col("text"), 7).alias("s"))
     ws = F.regexp_extract_all("s", F.lit(r"[^ \t-\r]+"), F.lit(0))
     many = F.size(F.array_distinct(ws)) > 20
-    return s.select("doc_id", F.md5(F.array_join(F.array_sort(ws), " ")).alias("words"), F.md5(F.regexp_replace("s", r"[^ \t-\r]+", "x")).alias("gaps"), (many & (F.col("s") != F.col("text"))).alias("moved"))
+    return s.select("doc_id", F.md5(F.array_join(F.sort_array(ws), " ")).alias("words"), F.md5(F.regexp_replace("s", r"[^ \t-\r]+", "x")).alias("gaps"), (many & (F.col("s") != F.col("text"))).alias("moved"))
 
 
 @query("txt28_origin", "SELECT page_id, nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), '') AS origin, CASE page_id % 3 WHEN 0 THEN 'https://fr.wikipedia.org' WHEN 1 THEN 'https://zh-min-nan.wikipedia.org' END AS dump FROM pages")
