@@ -354,7 +354,7 @@ def sco8(t):
     d = t.documents.select("doc_id", "text")
     first = unigram_bits(d, "doc_id", "text").select("doc_id", "bits")
     mixed = unigram_bits(d.select("doc_id", X.shuffled_words(F.col("text"), 3).alias("text")), "doc_id", "text").select("doc_id", F.col("bits").alias("mixed"))
-    again = unigram_bits(d.repartition(7, "text"), "doc_id", "text").select("doc_id", F.col("bits").alias("again"))
+    again = unigram_bits(d.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "doc_id"), "doc_id", "text").select("doc_id", F.col("bits").alias("again"))
     close = lambda a, b, by: F.count_if(F.abs(a - b) <= by * F.greatest(F.abs(a), F.lit(1.0)))
     both = first.join(mixed, "doc_id").join(again, "doc_id")
     bits = F.col("bits")
